@@ -32,28 +32,39 @@ def part_names(t) -> DataFrame:
 
 
 def name_sets(t):
+    """declared / shipped / run / materialized (project, name) sets.
+
+    Brand number mod 5 picks the run: 0 created nothing, 1 invented names
+    only (``<name>_custom``), 2 invented names and built candidates, 3 built
+    candidates only, 4 declares nothing beyond what ships.
+    """
     p = part_names(t)
     size, b = F.col("size"), F.col("b")
-    declared = p.where(((b != 4) & (size <= 35)) | ((b == 4) & (size <= 20)))
+    built = F.pmod(F.col("partkey"), F.lit(4)) != 0
+    invented = p.where(b.isin(1, 2) & size.between(36, 45)).withColumn(
+        "name", F.concat(F.col("name"), F.lit("_custom")))
+    cand = p.where(b.isin(2, 3, 4) & size.between(21, 28))
     shipped = p.where(size <= 20)
-    run = p.where((size <= 20)
-                  | (b.isin(1, 2) & size.between(36, 45))
-                  | (b.isin(2, 3, 4) & size.between(21, 28)))
-    materialized = p.where(F.pmod(F.col("partkey"), F.lit(4)) != 0)
+    declared = p.where(((b != 4) & (size <= 35)) | ((b == 4) & (size <= 20)))
+    run = shipped.unionByName(invented).unionByName(cand)
+    materialized = run.where(built)
     return declared, shipped, run, materialized
 
 
 NAME_CTE = """
 p AS (SELECT p_brand AS project, replace(p_name, ' ', '_') AS name, p_size AS size,
              p_partkey AS partkey, CAST(substring(p_brand, 7, 4) AS INTEGER) % 5 AS b FROM part),
+runs AS (
+  SELECT project, name, partkey FROM p WHERE size <= 20
+  UNION ALL SELECT project, name || '_custom', partkey FROM p
+   WHERE b IN (1, 2) AND size BETWEEN 36 AND 45
+  UNION ALL SELECT project, name, partkey FROM p WHERE b IN (2, 3, 4) AND size BETWEEN 21 AND 28),
 tagged AS (
   SELECT project, name, 'declared' AS tag FROM p
    WHERE (b <> 4 AND size <= 35) OR (b = 4 AND size <= 20)
   UNION ALL SELECT project, name, 'shipped' FROM p WHERE size <= 20
-  UNION ALL SELECT project, name, 'run' FROM p
-   WHERE size <= 20 OR (b IN (1, 2) AND size BETWEEN 36 AND 45)
-      OR (b IN (2, 3, 4) AND size BETWEEN 21 AND 28)
-  UNION ALL SELECT project, name, 'materialized' FROM p WHERE partkey % 4 <> 0),
+  UNION ALL SELECT project, name, 'run' FROM runs
+  UNION ALL SELECT project, name, 'materialized' FROM runs WHERE partkey % 4 <> 0),
 flags AS (
   SELECT project, name, bool_or(tag = 'declared') AS d, bool_or(tag = 'shipped') AS s,
          bool_or(tag = 'run') AS r, bool_or(tag = 'materialized') AS m
