@@ -145,11 +145,11 @@ DECLARED_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD")
 
 @query("domain_drift", sql="""
 WITH spec AS (SELECT DISTINCT p_brand AS project, p_type AS value FROM part WHERE p_size <= 25),
-declared(value) AS (VALUES ('ECONOMY'), ('LARGE'), ('MEDIUM'), ('SMALL'), ('STANDARD')),
 projects AS (SELECT DISTINCT p_brand AS project FROM part),
 both_sides AS (
   SELECT project, value, true AS in_spec, false AS in_declared FROM spec
-  UNION ALL SELECT project, value, false, true FROM projects, declared),
+  UNION ALL SELECT project, unnest(['ECONOMY', 'LARGE', 'MEDIUM', 'SMALL', 'STANDARD']), false, true
+  FROM projects),
 flags AS (SELECT project, value, bool_or(in_spec) AS s, bool_or(in_declared) AS d
           FROM both_sides GROUP BY project, value)
 SELECT project AS brand, count(*) FILTER (WHERE s) AS n_spec,
