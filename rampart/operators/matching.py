@@ -148,15 +148,22 @@ def column_match(gold: DataFrame, pred: DataFrame | None, gold_cols: Sequence[st
         "side string, col string, cls string")
     prof = (meta.join(profile(both), ["side", "col", "cls"], "left")
             .na.fill(0, ["n_rows", "n_null"]))
-    # Bounded by len(gold_cols) x len(pred_cols): column metadata, not data.
-    pairs = candidate_pairs(prof.where("side = 'gold'"), prof.where("side = 'pred'"), tol)
-    real = pairs.where(~F.col("trivial"))
-    # Rank only the columns some non-trivial pair still needs.
-    needed = real.select(F.col("gold_col").alias("col"), F.lit("gold").alias("side")) \
-        .unionByName(real.select(F.col("pred_col").alias("col"), F.lit("pred").alias("side"))) \
-        .distinct()
-    ranked = _ranked(both.join(F.broadcast(needed), ["side", "col"], "left_semi"),
-                     not ignore_order)
+    # The pair list is column metadata, at most len(gold_cols) x len(pred_cols)
+    # rows: it is read on the driver once (like a schema) so that the data
+    # plans below stay literal filters and a tiny broadcast, and the profile
+    # aggregate runs exactly once.
+    pair_rows = candidate_pairs(prof.where("side = 'gold'"), prof.where("side = 'pred'"),
+                                tol).collect()
+    if len(pair_rows) > len(gold_cols) * len(pred_cols):
+        raise AssertionError("pair list larger than its column bound")
+    trivial = [(r.gold_col, r.pred_col) for r in pair_rows if r.trivial]
+    real_pairs = [(r.gold_col, r.pred_col) for r in pair_rows if not r.trivial]
+    real = spark.createDataFrame(real_pairs, "gold_col string, pred_col string")
+    need_g = sorted({gc for gc, _ in real_pairs})
+    need_p = sorted({pc for _, pc in real_pairs})
+    keep = ((F.col("side") == "gold") & F.col("col").isin(*need_g)) | \
+        ((F.col("side") == "pred") & F.col("col").isin(*need_p)) if real_pairs else F.lit(False)
+    ranked = _ranked(both.where(keep), not ignore_order)
     g = ranked.where("side = 'gold'").alias("g")
     p = ranked.where("side = 'pred'").alias("p")
     gp = g.join(F.broadcast(real.alias("pr")), F.col("g.col") == F.col("pr.gold_col"))
@@ -168,8 +175,8 @@ def column_match(gold: DataFrame, pred: DataFrame | None, gold_cols: Sequence[st
                               F.col("pr.pred_col").alias("pred_col")).agg(
         F.bool_and(F.coalesce(eq, F.lit(False))).alias("ok"))
     # Equal-length columns that are entirely null (or empty) are equal.
-    per_pair = per_pair.unionByName(
-        pairs.where("trivial").select("gold_col", "pred_col", F.lit(True).alias("ok")))
+    per_pair = per_pair.unionByName(spark.createDataFrame(
+        [(g_, p_, True) for g_, p_ in trivial], "gold_col string, pred_col string, ok boolean"))
     hits = per_pair.groupBy("gold_col").agg(
         F.bool_or("ok").alias("matched"),
         F.min(F.when(F.col("ok"), F.col("pred_col"))).alias("matched_by"))
