@@ -114,9 +114,9 @@ def declared_models(spark: SparkSession, root: str, project_depth: int = 1) -> D
     Files are read whole (one row per file) and parsed per batch with
     ``mapInPandas``; YAML parsing is the only per-row Python step.
     """
-    files = (spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.yml").text(root)
-             .select(F.input_file_name().alias("path"), "value")
+    files = (spark.read.option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.yml").text(root, wholetext=True)
+             .select(F.col("_metadata.file_path").alias("path"), "value")
              .where(F.col("path").rlike(r"/models/")))
     prefix = "file:" + os.path.abspath(root) + "/"
 

@@ -76,7 +76,7 @@ def derived_amount_rows(target: DataFrame, source: DataFrame, base: DataFrame, *
                         target_source_keys: Sequence[tuple[str, str]],
                         source_base_keys: Sequence[tuple[str, str]],
                         kind_col: str, value_col: str, found_col: str, base_col: str,
-                        target_filter: Column | None = None,
+                        target_filter: Column | str | None = None,
                         carry: Sequence[str] = (),
                         percentage_kind: str = "percentage", scale: int = 2,
                         tol: float = DEFAULT_TOL) -> DataFrame:
