@@ -1,0 +1 @@
+"""Structured Streaming jobs; see :mod:`rampart.streaming.jobs`."""
