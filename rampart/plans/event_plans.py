@@ -389,3 +389,33 @@ def event_scan_tolerant(spark, sf_dir) -> DataFrame:
                                                                   "run": ("$.run", "bigint")})
     return parsed.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"),
                                             F.count_distinct("run").alias("n_runs"))
+
+
+@query("verdict_rollup", sql="""
+WITH r AS (SELECT user_id, event_type = 'purchase' AND value > 150 AS is_round,
+                  value < 300 AS ok, event_id % 5 <> 0 AS round_settled FROM events)
+SELECT user_id, count(*) FILTER (WHERE is_round) AS n_rounds,
+       coalesce(bool_and(ok) FILTER (WHERE is_round), true) AS all_ok,
+       coalesce(bool_or(NOT ok) FILTER (WHERE is_round), false) AS any_bad,
+       count(*) FILTER (WHERE is_round) > 0
+         AND coalesce(bool_and(round_settled) FILTER (WHERE is_round), false) AS settled,
+       count(*) FILTER (WHERE is_round) > 0
+         AND coalesce(bool_and(ok) FILTER (WHERE is_round), false) AS all_built
+FROM r GROUP BY user_id
+""")
+def verdict_rollup(spark, sf_dir) -> DataFrame:
+    """all/any over possibly empty sets -- ``all`` of nothing is true,
+    but ``settled`` is false with zero rounds and ``all_built`` needs a
+    non-empty list (Spark's bool_and over no rows is null, hence coalesce)."""
+    e = load_tables(spark, sf_dir).events
+    is_round = (F.col("event_type") == "purchase") & (F.col("value") > 150)
+    ok = F.col("value") < 300
+    settled_round = F.pmod(F.col("event_id"), F.lit(5)) != 0
+    n = F.count_if(is_round)
+    return e.groupBy("user_id").agg(
+        n.alias("n_rounds"),
+        F.coalesce(F.bool_and(F.when(is_round, ok)), F.lit(True)).alias("all_ok"),
+        F.coalesce(F.bool_or(F.when(is_round, ~ok)), F.lit(False)).alias("any_bad"),
+        ((n > 0) & F.coalesce(F.bool_and(F.when(is_round, settled_round)), F.lit(False)))
+         .alias("settled"),
+        ((n > 0) & F.coalesce(F.bool_and(F.when(is_round, ok)), F.lit(False))).alias("all_built"))
