@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -138,7 +139,9 @@ def column_match(gold: DataFrame, pred: DataFrame | None, gold_cols: Sequence[st
     pred_cols = [c for c in pred.columns if c != pred_order_col]
     g_long = to_long(gold, gold_cols, "gold", None if ignore_order else order_col)
     p_long = to_long(pred, pred_cols, "pred", None if ignore_order else pred_order_col)
-    both = g_long.unionByName(p_long)
+    # Read by the profile and by the ranking; released after the ranking's
+    # checkpoint is written (see below).
+    both = g_long.unionByName(p_long).persist(StorageLevel.MEMORY_AND_DISK)
     # Every checked column gets a profile row, also when its table is empty.
     gtypes = dict((f.name, f.dataType) for f in gold.schema.fields)
     ptypes = dict((f.name, f.dataType) for f in pred.schema.fields)
@@ -164,6 +167,7 @@ def column_match(gold: DataFrame, pred: DataFrame | None, gold_cols: Sequence[st
     keep = ((F.col("side") == "gold") & F.col("col").isin(*need_g)) | \
         ((F.col("side") == "pred") & F.col("col").isin(*need_p)) if real_pairs else F.lit(False)
     ranked = _ranked(both.where(keep), not ignore_order)
+    both.unpersist()
     g = ranked.where("side = 'gold'").alias("g")
     p = ranked.where("side = 'pred'").alias("p")
     gp = g.join(F.broadcast(real.alias("pr")), F.col("g.col") == F.col("pr.gold_col"))

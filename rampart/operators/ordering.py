@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,11 +34,19 @@ def positions(df: DataFrame, group: Sequence[str], order: Sequence[str | Column]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(g) for g in group] + [F.col(o) if isinstance(o, str) else o
                                              for o in order]
-    ranged = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    # The range bounds are sampled from the input and the checkpoint writes
+    # the sorted partitions; persisting both inputs avoids computing each
+    # twice.  Both are released once the reliable checkpoint is written, so
+    # the returned plan depends only on the checkpoint files.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = (src.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumn("_pid", F.shiftright(F.col("_mid"), 33)) \
                    .withColumn("_idx", F.col("_mid") - F.shiftleft(F.col("_pid"), 33))
-    ranged = cut_lineage(ranged)
+    staged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = cut_lineage(staged)
+    staged.unpersist()
+    src.unpersist()
     counts = ranged.groupBy("_pid", *group).agg(F.min("_idx").alias("_first"),
                                                 F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
