@@ -47,7 +47,14 @@ def missing_nodes(log: Column) -> Column:
     dropped; an absent path is an empty string."""
     names = F.regexp_extract_all(log, F.lit(MISSING_NODE_RE), 1)
     paths = F.regexp_extract_all(log, F.lit(MISSING_NODE_RE), 2)
-    return F.array_distinct(F.arrays_zip(names.alias("name"), paths.alias("path")))
+    hits = F.array_distinct(F.arrays_zip(names.alias("name"), paths.alias("path")))
+    # cheap literal test first: most texts never mention a missing node
+    return F.when(F.coalesce(log.contains("Did not find matching node for patch"), F.lit(False)),
+                  hits).otherwise(F.array().cast(hits_type()))
+
+
+def hits_type() -> str:
+    return "array<struct<name:string,path:string>>"
 
 
 def triggered(text: Column) -> Column:
@@ -55,6 +62,19 @@ def triggered(text: Column) -> Column:
     return F.coalesce(text.rlike(TRIGGER_RE), F.lit(False))
 
 
+def trigger_lines(text: Column) -> Column:
+    """The lines of a whole text that trigger (a trigger never spans lines,
+    so ``size(trigger_lines(t)) > 0`` is exactly ``triggered(t)``)."""
+    return F.filter(F.split(text, "\n"), lambda ln: F.coalesce(ln.rlike(TRIGGER_RE), F.lit(False)))
+
+
+def first_trigger_line(lines: Column) -> Column:
+    """H5 within one whole text, from its ``trigger_lines``: the first
+    non-blank one, trimmed and cut to 300; a per-row expression."""
+    nonblank = F.filter(lines, lambda ln: ln.rlike(r"\S"))
+    return F.substring(strip_ws(F.try_element_at(nonblank, F.lit(1))), 1, 300)
+
+
 def first_trigger_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """H5: per text, the first non-blank line that triggers, trimmed, cut to 300."""
     lines = docs.select(key, F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line"))

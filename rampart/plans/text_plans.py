@@ -90,11 +90,13 @@ SELECT doc_id, triggered, n_hits, hit_list, first_trigger,
 FROM j
 """)
 def log_diagnostics(spark, sf_dir) -> DataFrame:
+    # One projection per document: each whole log is mined in its own row,
+    # so the job is a single scan with no shuffle.
     logs = doc_logs(load_tables(spark, sf_dir))
-    ft = X.first_trigger_lines(logs, "doc_id", "log")
-    hits = X.missing_nodes(F.col("log"))
-    j = logs.join(ft, "doc_id", "left").select("doc_id", X.triggered(F.col("log")).alias("triggered"),
-                                                hits.alias("hits"), "first_trigger")
+    t = logs.select("doc_id", "log", X.trigger_lines(F.col("log")).alias("tl"))
+    j = t.select("doc_id", (F.size("tl") > 0).alias("triggered"),
+                 X.missing_nodes(F.col("log")).alias("hits"),
+                 X.first_trigger_line(F.col("tl")).alias("first_trigger"))
     return j.select(
         "doc_id", "triggered", F.size("hits").alias("n_hits"),
         F.array_join(F.transform("hits", lambda h: F.concat(h["name"], F.lit("@"), h["path"])),
