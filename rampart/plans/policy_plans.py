@@ -288,3 +288,68 @@ def verdict_message(spark, sf_dir) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select(*VERDICT_COLS)
+
+
+def retry_text(spark, sf_dir) -> DataFrame:
+    """Retry messages for the violating stand-in policies."""
+    from rampart.operators import messages as Msg
+    from rampart.operators import names as N
+    from rampart.plans.gate_plans import name_sets
+    t = load_tables(spark, sf_dir)
+    enum = P.value_domain_check(priority_table(t), "priority", PRIORITY_DOMAIN,
+                                confusions=PRIORITY_CONFUSIONS, policy="enum")
+    parts = [
+        Msg.domain_retry_text(enum.violations, "priority", PRIORITY_DOMAIN)
+           .select(F.lit("enum").alias("policy"), F.lit("").alias("subject"), "text"),
+        Msg.count_retry_text(discount_verdict(spark, sf_dir), "amount invariant")
+           .select(F.lit("discount").alias("policy"), F.lit("").alias("subject"), "text"),
+        Msg.name_gate_retry_text(N.name_flags(*name_sets(t)))
+           .select(F.lit("namegate").alias("policy"), F.col("project").alias("subject"), "text"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _retry_sql() -> str:
+    from rampart.plans.gate_plans import NAME_CTE
+    dom = ", ".join(f"''{d}''" for d in PRIORITY_DOMAIN)
+    return f"""
+WITH {DISCOUNT_CTE}, {PRIORITY_CTE}, {NAME_CTE},
+enum_v AS (
+  SELECT value, row_count,
+         CASE k WHEN 'urgent' THEN '1-URGENT' WHEN 'high' THEN '2-HIGH'
+                WHEN 'medium' THEN '3-MEDIUM' WHEN 'low' THEN '5-LOW'
+                ELSE CASE WHEN replace(k, '_', ' ') IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')
+                          THEN replace(k, '_', ' ') END END AS suggestion
+  FROM keyed WHERE outside),
+enum_t AS (
+  SELECT 'enum' AS policy, '' AS subject,
+         'the `priority` column holds values outside its declared domain -> '
+         || string_agg(CASE WHEN value IS NULL THEN 'None' ELSE '''' || value || '''' END
+                       || ' (' || CAST(row_count AS VARCHAR) || ' rows) '
+                       || CASE WHEN suggestion IS NOT NULL THEN 'must be ''' || suggestion || ''''
+                               ELSE 'is not a declared value' END,
+                       '; ' ORDER BY coalesce(value, ''))
+         || '. The declared domain is exactly: ' || '{dom}' || '.' AS text
+  FROM enum_v HAVING count(*) > 0),
+disc_t AS (
+  SELECT 'discount' AS policy, '' AS subject,
+         printf('%d of %d rows violate the amount invariant; see the violations table',
+                count(*) FILTER (WHERE is_violation), count(*)) AS text
+  FROM flagged HAVING count(*) > 0 AND count(*) FILTER (WHERE is_null) = 0
+                  AND count(*) FILTER (WHERE is_violation) > 0),
+gate_t AS (
+  SELECT 'namegate' AS policy, project AS subject,
+         'built under undeclared name(s): ' || string_agg(name, ', ' ORDER BY name) FILTER (WHERE offender)
+         || '; declared models still unbuilt: '
+         || coalesce(string_agg(name, ', ' ORDER BY name) FILTER (WHERE unmet), '')
+         || '. Rebuild under a declared name; do not add new names to the schema.' AS text
+  FROM sets GROUP BY project
+  HAVING count(*) FILTER (WHERE offender) > 0 AND count(*) FILTER (WHERE built_candidate) = 0)
+SELECT * FROM enum_t UNION ALL SELECT * FROM disc_t UNION ALL SELECT * FROM gate_t
+"""
+
+
+query("retry_text", sql=_retry_sql())(retry_text)
