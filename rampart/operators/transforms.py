@@ -3,8 +3,8 @@
 Scale notes: running totals first collapse to one row per (entity, day), so a
 window partition holds at most one row per calendar day whatever the
 entity's volume; first-activity dates are a grouped ``min`` joined back
-instead of a per-entity window; the daily spine is generated per segment from
-a single-row date bound (joined on a constant key, size one row).
+instead of a per-entity window; the daily spine is generated per entity up to
+one scalar date bound.
 """
 
 from __future__ import annotations
@@ -43,11 +43,13 @@ def daily_spine(activity: DataFrame, *, entity: str, day: str, start: str,
     """Every day from ``start`` to the LAST ACTIVITY DAY (never the
     clock) for every entity, left-joined with the per-day aggregates."""
     daily = activity.groupBy(entity, F.col(day).cast("date").alias("day")).agg(*measures)
-    bound = activity.agg(F.max(F.col(day).cast("date")).alias("last_day")) \
-        .withColumn("_k", F.lit(1))
-    entities = activity.select(entity).distinct().withColumn("_k", F.lit(1))
-    spine = entities.join(bound, "_k").select(
-        entity, F.explode(F.sequence(F.lit(start).cast("date"), F.col("last_day"))).alias("day"))
+    # The clamp is one scalar (the last activity day), read once on the driver
+    # and used as a literal: no join against a one-row table.
+    last_day = activity.agg(F.max(F.col(day).cast("date"))).first()[0]
+    if last_day is None:
+        return daily.limit(0)
+    spine = activity.select(entity).distinct().select(
+        entity, F.explode(F.sequence(F.lit(start).cast("date"), F.lit(last_day))).alias("day"))
     return spine.join(daily, [entity, "day"], "left")
 
 
