@@ -100,7 +100,8 @@ def candidate_pairs(gold_prof: DataFrame, pred_prof: DataFrame,
     return g.join(p, keys).where(all_null | (same_cls & (num_ok | exact_ok))).select(
         F.col("g.col").alias("gold_col"), F.col("p.col").alias("pred_col"),
         F.col("g.n_rows").alias("n_rows"),
-        (all_null).alias("trivial"))
+        (all_null).alias("trivial"),
+        F.col("g.fp").eqNullSafe(F.col("p.fp")).alias("fp_equal"))
 
 
 def values_equal(g_null: Column, g_num: Column, g_str: Column, g_cls: Column,
@@ -161,13 +162,33 @@ def column_match(gold: DataFrame, pred: DataFrame | None, gold_cols: Sequence[st
         raise AssertionError("pair list larger than its column bound")
     trivial = [(r.gold_col, r.pred_col) for r in pair_rows if r.trivial]
     real_pairs = [(r.gold_col, r.pred_col) for r in pair_rows if not r.trivial]
+    exact_ok: list[tuple[str, str]] = []
+    if ignore_order:
+        # Equal fingerprints: confirm multiset equality with a hash aggregate
+        # of value counts (no sort).  Exact equality implies the tolerant
+        # match; a pair whose counts differ may still match within the
+        # tolerance and goes on to ranking.
+        cands = [(r.gold_col, r.pred_col) for r in pair_rows if not r.trivial and r.fp_equal]
+        if cands:
+            exact_ok = _confirm_exact(spark, both, cands)
+        best = {}
+        for gc, pc in exact_ok:
+            best[gc] = min(pc, best.get(gc, pc))
+        ok_set = set(exact_ok)
+        # Only pairs that could still change matched / matched_by get ranked.
+        real_pairs = [(gc, pc) for gc, pc in real_pairs
+                      if (gc, pc) not in ok_set and (gc not in best or pc < best[gc])]
     real = spark.createDataFrame(real_pairs, "gold_col string, pred_col string")
     need_g = sorted({gc for gc, _ in real_pairs})
     need_p = sorted({pc for _, pc in real_pairs})
     keep = ((F.col("side") == "gold") & F.col("col").isin(*need_g)) | \
         ((F.col("side") == "pred") & F.col("col").isin(*need_p)) if real_pairs else F.lit(False)
-    ranked = _ranked(both.where(keep), not ignore_order)
+    ranked = _ranked(both.where(keep), not ignore_order) if real_pairs else None
     both.unpersist()
+    known = spark.createDataFrame([(g_, p_, True) for g_, p_ in trivial + exact_ok],
+                                  "gold_col string, pred_col string, ok boolean")
+    if ranked is None:
+        return _fold(spark, known, gold_cols)
     g = ranked.where("side = 'gold'").alias("g")
     p = ranked.where("side = 'pred'").alias("p")
     gp = g.join(F.broadcast(real.alias("pr")), F.col("g.col") == F.col("pr.gold_col"))
@@ -178,9 +199,12 @@ def column_match(gold: DataFrame, pred: DataFrame | None, gold_cols: Sequence[st
     per_pair = joined.groupBy(F.col("pr.gold_col").alias("gold_col"),
                               F.col("pr.pred_col").alias("pred_col")).agg(
         F.bool_and(F.coalesce(eq, F.lit(False))).alias("ok"))
-    # Equal-length columns that are entirely null (or empty) are equal.
-    per_pair = per_pair.unionByName(spark.createDataFrame(
-        [(g_, p_, True) for g_, p_ in trivial], "gold_col string, pred_col string, ok boolean"))
+    # Equal-length columns that are entirely null (or empty), and pairs
+    # confirmed exactly equal, are matches.
+    return _fold(spark, per_pair.unionByName(known), gold_cols)
+
+
+def _fold(spark, per_pair: DataFrame, gold_cols: Sequence[str]) -> DataFrame:
     hits = per_pair.groupBy("gold_col").agg(
         F.bool_or("ok").alias("matched"),
         F.min(F.when(F.col("ok"), F.col("pred_col"))).alias("matched_by"))
@@ -191,6 +215,33 @@ def column_match(gold: DataFrame, pred: DataFrame | None, gold_cols: Sequence[st
                     "matched_by"))
 
 
+def _confirm_exact(spark, both: DataFrame, cands: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Pairs whose value multisets are identical (value counts compared with
+    a null-safe full outer join).  The result is at most the candidate list."""
+    gcols = sorted({g for g, _ in cands})
+    pcols = sorted({p for _, p in cands})
+    sel = ((F.col("side") == "gold") & F.col("col").isin(*gcols)) | \
+        ((F.col("side") == "pred") & F.col("col").isin(*pcols))
+    counts = both.where(sel).groupBy("side", "col", "is_null", "v_num", "v_str").agg(
+        F.count(F.lit(1)).alias("cnt"))
+    pairs = F.broadcast(spark.createDataFrame(cands, "gold_col string, pred_col string"))
+    g = counts.where("side = 'gold'").join(pairs, F.col("col") == F.col("gold_col")).select(
+        "gold_col", "pred_col", "is_null", "v_num", "v_str", F.col("cnt").alias("cg"))
+    p = counts.where("side = 'pred'").join(pairs, F.col("col") == F.col("pred_col")).select(
+        "gold_col", "pred_col", "is_null", "v_num", "v_str", F.col("cnt").alias("cp"))
+    a, b = g.alias("a"), p.alias("b")
+    cond = ((F.col("a.gold_col") == F.col("b.gold_col")) & (F.col("a.pred_col") == F.col("b.pred_col"))
+            & (F.col("a.is_null") == F.col("b.is_null"))
+            & F.col("a.v_num").eqNullSafe(F.col("b.v_num"))
+            & F.col("a.v_str").eqNullSafe(F.col("b.v_str")))
+    j = a.join(b, cond, "full_outer").select(
+        F.coalesce("a.gold_col", "b.gold_col").alias("gold_col"),
+        F.coalesce("a.pred_col", "b.pred_col").alias("pred_col"),
+        (F.coalesce("a.cg", F.lit(-1)) == F.coalesce("b.cp", F.lit(-1))).alias("same"))
+    res = j.groupBy("gold_col", "pred_col").agg(F.bool_and("same").alias("ok")).collect()
+    return [(r.gold_col, r.pred_col) for r in res if r.ok]
+
+
 def multiset_diff(gold: DataFrame, pred: DataFrame) -> DataFrame:
     """M4 strict mode: rows only in gold / only in pred, duplicates counted."""
     cols = gold.columns
