@@ -69,12 +69,18 @@ def to_long(df: DataFrame, columns: Sequence[str], side: str,
 
 def profile(long: DataFrame) -> DataFrame:
     """Per (side, col): rows, nulls, class, min, max, multiset fingerprint."""
-    fp = F.when(~F.col("is_null"), F.xxhash64(F.col("v_num"), F.col("v_str")))
+    # Multiset fingerprint: the 64-bit hash summed in three 21/21/22-bit
+    # slices, each a plain long sum that cannot overflow below ~4e12 rows per
+    # column (no big-decimal arithmetic).
+    h = F.when(~F.col("is_null"), F.xxhash64(F.col("v_num"), F.col("v_str")))
+    mask = F.lit((1 << 21) - 1)
+    slices = [F.sum(F.shiftrightunsigned(h, k).bitwiseAND(mask)) for k in (0, 21)] + \
+        [F.sum(F.shiftrightunsigned(h, 42))]
     return long.groupBy("side", "col", "cls").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if("is_null").alias("n_null"),
         F.min("v_num").alias("lo"), F.max("v_num").alias("hi"),
-        F.sum(fp.cast("decimal(38,0)")).alias("fp"))
+        F.struct(*[x.alias(f"s{i}") for i, x in enumerate(slices)]).alias("fp"))
 
 
 def candidate_pairs(gold_prof: DataFrame, pred_prof: DataFrame,
