@@ -74,9 +74,9 @@ traj AS (
          (event_type = 'error' AND k % 2 = 0) AS is_error
   FROM traj0),
 idx AS (
-  SELECT *, sum(CASE WHEN is_start THEN 1 ELSE 0 END) OVER (
-              PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
-            - CASE WHEN is_start THEN 1 ELSE 0 END AS starts_before
+  SELECT *, CAST(sum(CASE WHEN is_start THEN 1 ELSE 0 END) OVER (
+                PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+              - CASE WHEN is_start THEN 1 ELSE 0 END AS BIGINT) AS starts_before
   FROM traj),
 firsts AS (
   SELECT user_id,

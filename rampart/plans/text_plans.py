@@ -98,7 +98,7 @@ def log_diagnostics(spark, sf_dir) -> DataFrame:
                  X.missing_nodes(F.col("log")).alias("hits"),
                  X.first_trigger_line(F.col("tl")).alias("first_trigger"))
     return j.select(
-        "doc_id", "triggered", F.size("hits").alias("n_hits"),
+        "doc_id", "triggered", F.size("hits").cast("long").alias("n_hits"),
         F.array_join(F.transform("hits", lambda h: F.concat(h["name"], F.lit("@"), h["path"])),
                      ", ").alias("hit_list"),
         "first_trigger",
