@@ -7,14 +7,15 @@ ignored.  Null and NaN are equal to each other; two numerics are equal under
 (a string never equals a number).  Booleans count as numbers.
 
 Plan (SURVEY §4.3):
-1. unpivot the checked columns to long rows ``(side, col, is_null, v_num, v_str)``;
-2. profile every column in one aggregate (rows, nulls, class, min, max,
-   exact multiset fingerprint);
-3. keep only pairs that can still match (same length and null count, same
+1. profile every column in one global aggregate over each wide table (rows,
+   nulls, class, min, max, exact multiset fingerprint);
+2. keep only pairs that can still match (same length and null count, same
    class, min/max within tolerance, equal fingerprint for exact classes);
-4. rank the surviving columns' values (sorted, or by an explicit order column)
-   with :func:`rampart.operators.ordering.positions`;
-5. join gold to predicted on (pair, rank) and fold with ``bool_and``.
+3. unpivot only the surviving columns to long rows
+   ``(side, col, is_null, v_num, v_str)``; confirm equal-fingerprint pairs by
+   value counts, rank the rest (sorted, or by an explicit order column) with
+   :func:`rampart.operators.ordering.positions`;
+4. join gold to predicted on (pair, rank) and fold with ``bool_and``.
 
 Sort difference from the reference: it sorts numbers by their *string* form;
 we sort them numerically.  Under a fixed tolerance, if any pairing matches,
@@ -25,7 +26,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,21 +44,24 @@ def value_class(dt: T.DataType) -> str:
     return OTHER
 
 
+def _forms(col: Column, dt: T.DataType) -> tuple[str, Column, Column, Column]:
+    """(class, is_null, v_num, v_str) of one column: numbers as doubles (NaN
+    is null), everything else as text."""
+    cls = value_class(dt)
+    if cls == NUM:
+        num = col.cast("double")
+        is_null = col.isNull() | F.isnan(num)
+        return cls, is_null, F.when(~is_null, num), F.lit(None).cast("string")
+    return cls, col.isNull(), F.lit(None).cast("double"), col.cast("string")
+
+
 def to_long(df: DataFrame, columns: Sequence[str], side: str,
             order_col: str | None = None) -> DataFrame:
     """One row per (column, row): the value in numeric or text form."""
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     items = []
     for c in columns:
-        cls = value_class(types[c])
-        col = F.col(f"`{c}`")
-        if cls == NUM:
-            num = col.cast("double")
-            is_null = col.isNull() | F.isnan(num)
-            v_num, v_str = F.when(~is_null, num), F.lit(None).cast("string")
-        else:
-            is_null = col.isNull()
-            v_num, v_str = F.lit(None).cast("double"), col.cast("string")
+        cls, is_null, v_num, v_str = _forms(F.col(f"`{c}`"), types[c])
         items.append(F.struct(F.lit(c).alias("col"), F.lit(cls).alias("cls"),
                               is_null.alias("is_null"), v_num.alias("v_num"),
                               v_str.alias("v_str")))
@@ -67,47 +70,63 @@ def to_long(df: DataFrame, columns: Sequence[str], side: str,
         F.lit(side).alias("side"), "x.*", *(["_ord"] if order_col else []))
 
 
-def profile(long: DataFrame) -> DataFrame:
-    """Per (side, col): rows, nulls, class, min, max, multiset fingerprint."""
+def profile(df: DataFrame, columns: Sequence[str], side: str) -> list[tuple]:
+    """Per column: rows, nulls, class, min, max, multiset fingerprint.
+
+    One global aggregate over the wide table (partial per task, one row per
+    task merged): no unpivot and no shuffle of values.  The result is column
+    metadata, one tuple per column.
+    """
     # Multiset fingerprint: the 64-bit hash summed in three 21/21/22-bit
     # slices, each a plain long sum that cannot overflow below ~4e12 rows per
     # column (no big-decimal arithmetic).
-    h = F.when(~F.col("is_null"), F.xxhash64(F.col("v_num"), F.col("v_str")))
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
     mask = F.lit((1 << 21) - 1)
-    slices = [F.sum(F.shiftrightunsigned(h, k).bitwiseAND(mask)) for k in (0, 21)] + \
-        [F.sum(F.shiftrightunsigned(h, 42))]
-    return long.groupBy("side", "col", "cls").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if("is_null").alias("n_null"),
-        F.min("v_num").alias("lo"), F.max("v_num").alias("hi"),
-        F.struct(*[x.alias(f"s{i}") for i, x in enumerate(slices)]).alias("fp"))
-
-
-def candidate_pairs(gold_prof: DataFrame, pred_prof: DataFrame,
-                    tol: float = DEFAULT_TOL) -> DataFrame:
-    """(gold_col, pred_col) pairs that pass every cheap necessary condition.
-
-    Equal length and equal null count are necessary, so they are the
-    equi-join keys; both profiles hold one row per column, so this join is
-    over column metadata, never over data.
-    """
-    g, p = gold_prof.alias("g"), pred_prof.alias("p")
-    all_null = (F.col("g.n_null") == F.col("g.n_rows")) & (F.col("p.n_null") == F.col("p.n_rows"))
-    same_cls = F.col("g.cls") == F.col("p.cls")
+    exprs, classes = [F.count(F.lit(1)).alias("n_rows")], []
+    for i, c in enumerate(columns):
+        cls, is_null, v_num, v_str = _forms(F.col(f"`{c}`"), types[c])
+        classes.append(cls)
+        h = F.when(~is_null, F.xxhash64(v_num, v_str))
+        exprs += [F.count_if(is_null).alias(f"n{i}"), F.min(v_num).alias(f"lo{i}"),
+                  F.max(v_num).alias(f"hi{i}"),
+                  F.sum(F.shiftrightunsigned(h, 0).bitwiseAND(mask)).alias(f"a{i}"),
+                  F.sum(F.shiftrightunsigned(h, 21).bitwiseAND(mask)).alias(f"b{i}"),
+                  F.sum(F.shiftrightunsigned(h, 42)).alias(f"c{i}")]
+    r = df.agg(*exprs).collect()[0]
+    return [(side, c, classes[i], r["n_rows"], r[f"n{i}"] or 0, r[f"lo{i}"], r[f"hi{i}"],
+             (r[f"a{i}"], r[f"b{i}"], r[f"c{i}"]))
+            for i, c in enumerate(columns)]
 
+
+def candidate_pairs(gold_prof: list[tuple], pred_prof: list[tuple],
+                    tol: float = DEFAULT_TOL) -> list[dict]:
+    """(gold_col, pred_col) pairs that pass every cheap necessary condition:
+    equal length and null count, and either both entirely null, or the same
+    class with min/max within tolerance (numbers) or equal fingerprints.
+
+    Both inputs are :func:`profile` tuples, one per column, so this is a
+    comparison of column metadata (like a schema), never of data.
+    """
     def near(a, b):
-        return (a.isNull() & b.isNull()) | (F.abs(a - b) <= F.greatest(
-            F.lit(tol), F.lit(DEFAULT_REL_TOL) * F.greatest(F.abs(a), F.abs(b))))
+        if a is None or b is None:
+            return a is None and b is None
+        return abs(a - b) <= max(tol, DEFAULT_REL_TOL * max(abs(a), abs(b)))
 
-    num_ok = (F.col("g.cls") == NUM) & near(F.col("g.lo"), F.col("p.lo")) & \
-        near(F.col("g.hi"), F.col("p.hi"))
-    exact_ok = (F.col("g.cls") != NUM) & F.col("g.fp").eqNullSafe(F.col("p.fp"))
-    keys = (F.col("g.n_rows") == F.col("p.n_rows")) & (F.col("g.n_null") == F.col("p.n_null"))
-    return g.join(p, keys).where(all_null | (same_cls & (num_ok | exact_ok))).select(
-        F.col("g.col").alias("gold_col"), F.col("p.col").alias("pred_col"),
-        F.col("g.n_rows").alias("n_rows"),
-        (all_null).alias("trivial"),
-        F.col("g.fp").eqNullSafe(F.col("p.fp")).alias("fp_equal"))
+    out = []
+    for _, gc, gcls, gn, gnull, glo, ghi, gfp in gold_prof:
+        for _, pc, pcls, pn, pnull, plo, phi, pfp in pred_prof:
+            if gn != pn or gnull != pnull:
+                continue
+            trivial = gnull == gn
+            fp_equal = gfp == pfp
+            if gcls == NUM:
+                ok = near(glo, plo) and near(ghi, phi)
+            else:
+                ok = fp_equal
+            if trivial or (gcls == pcls and ok):
+                out.append({"gold_col": gc, "pred_col": pc, "n_rows": gn,
+                            "trivial": trivial, "fp_equal": fp_equal})
+    return out
 
 
 def values_equal(g_null: Column, g_num: Column, g_str: Column, g_cls: Column,
@@ -144,39 +163,34 @@ def column_match(gold: DataFrame, pred: DataFrame | None, gold_cols: Sequence[st
                                      "gold_col string, idx int, matched boolean, "
                                      "matched_by string")
     pred_cols = [c for c in pred.columns if c != pred_order_col]
-    g_long = to_long(gold, gold_cols, "gold", None if ignore_order else order_col)
-    p_long = to_long(pred, pred_cols, "pred", None if ignore_order else pred_order_col)
-    # Read by the profile and by the ranking; released after the ranking's
-    # checkpoint is written (see below).
-    both = g_long.unionByName(p_long).persist(StorageLevel.MEMORY_AND_DISK)
-    # Every checked column gets a profile row, also when its table is empty.
-    gtypes = dict((f.name, f.dataType) for f in gold.schema.fields)
-    ptypes = dict((f.name, f.dataType) for f in pred.schema.fields)
-    meta = spark.createDataFrame(
-        [("gold", c, value_class(gtypes[c])) for c in gold_cols]
-        + [("pred", c, value_class(ptypes[c])) for c in pred_cols],
-        "side string, col string, cls string")
-    prof = (meta.join(profile(both), ["side", "col", "cls"], "left")
-            .na.fill(0, ["n_rows", "n_null"]))
-    # The pair list is column metadata, at most len(gold_cols) x len(pred_cols)
-    # rows: it is read on the driver once (like a schema) so that the data
-    # plans below stay literal filters and a tiny broadcast, and the profile
-    # aggregate runs exactly once.
-    pair_rows = candidate_pairs(prof.where("side = 'gold'"), prof.where("side = 'pred'"),
-                                tol).collect()
-    if len(pair_rows) > len(gold_cols) * len(pred_cols):
-        raise AssertionError("pair list larger than its column bound")
-    trivial = [(r.gold_col, r.pred_col) for r in pair_rows if r.trivial]
-    real_pairs = [(r.gold_col, r.pred_col) for r in pair_rows if not r.trivial]
+    g_order = None if ignore_order else order_col
+    p_order = None if ignore_order else pred_order_col
+
+    def long_of(gcols, pcols):
+        # Only the named columns are unpivoted; each pass re-reads its inputs
+        # (pruned to those columns) instead of caching every column long.
+        return to_long(gold, gcols, "gold", g_order).unionByName(
+            to_long(pred, pcols, "pred", p_order))
+
+    # The profiles and the pair list are column metadata, at most
+    # len(gold_cols) x len(pred_cols) pairs: they are read on the driver once
+    # (like a schema) so that the data plans below stay literal filters and a
+    # tiny broadcast.
+    pair_rows = candidate_pairs(profile(gold, gold_cols, "gold"),
+                                profile(pred, pred_cols, "pred"), tol)
+    trivial = [(r["gold_col"], r["pred_col"]) for r in pair_rows if r["trivial"]]
+    real_pairs = [(r["gold_col"], r["pred_col"]) for r in pair_rows if not r["trivial"]]
     exact_ok: list[tuple[str, str]] = []
     if ignore_order:
         # Equal fingerprints: confirm multiset equality with a hash aggregate
         # of value counts (no sort).  Exact equality implies the tolerant
         # match; a pair whose counts differ may still match within the
         # tolerance and goes on to ranking.
-        cands = [(r.gold_col, r.pred_col) for r in pair_rows if not r.trivial and r.fp_equal]
+        cands = [(r["gold_col"], r["pred_col"]) for r in pair_rows
+                 if not r["trivial"] and r["fp_equal"]]
         if cands:
-            exact_ok = _confirm_exact(spark, both, cands)
+            exact_ok = _confirm_exact(spark, long_of(sorted({g for g, _ in cands}),
+                                                     sorted({p for _, p in cands})), cands)
         best = {}
         for gc, pc in exact_ok:
             best[gc] = min(pc, best.get(gc, pc))
@@ -187,10 +201,7 @@ def column_match(gold: DataFrame, pred: DataFrame | None, gold_cols: Sequence[st
     real = spark.createDataFrame(real_pairs, "gold_col string, pred_col string")
     need_g = sorted({gc for gc, _ in real_pairs})
     need_p = sorted({pc for _, pc in real_pairs})
-    keep = ((F.col("side") == "gold") & F.col("col").isin(*need_g)) | \
-        ((F.col("side") == "pred") & F.col("col").isin(*need_p)) if real_pairs else F.lit(False)
-    ranked = _ranked(both.where(keep), not ignore_order) if real_pairs else None
-    both.unpersist()
+    ranked = _ranked(long_of(need_g, need_p), not ignore_order) if real_pairs else None
     known = spark.createDataFrame([(g_, p_, True) for g_, p_ in trivial + exact_ok],
                                   "gold_col string, pred_col string, ok boolean")
     if ranked is None:
@@ -223,12 +234,9 @@ def _fold(spark, per_pair: DataFrame, gold_cols: Sequence[str]) -> DataFrame:
 
 def _confirm_exact(spark, both: DataFrame, cands: list[tuple[str, str]]) -> list[tuple[str, str]]:
     """Pairs whose value multisets are identical (value counts compared with
-    a null-safe full outer join).  The result is at most the candidate list."""
-    gcols = sorted({g for g, _ in cands})
-    pcols = sorted({p for _, p in cands})
-    sel = ((F.col("side") == "gold") & F.col("col").isin(*gcols)) | \
-        ((F.col("side") == "pred") & F.col("col").isin(*pcols))
-    counts = both.where(sel).groupBy("side", "col", "is_null", "v_num", "v_str").agg(
+    a null-safe full outer join).  ``both`` holds the candidates' columns in
+    long form.  The result is at most the candidate list."""
+    counts = both.groupBy("side", "col", "is_null", "v_num", "v_str").agg(
         F.count(F.lit(1)).alias("cnt"))
     pairs = F.broadcast(spark.createDataFrame(cands, "gold_col string, pred_col string"))
     g = counts.where("side = 'gold'").join(pairs, F.col("col") == F.col("gold_col")).select(
