@@ -252,11 +252,13 @@ def diagnose_sql(tables=None) -> str:
 query("table_diagnose", sql=diagnose_sql())(diagnose_all)
 
 
-def task_verdicts(spark, sf_dir) -> DataFrame:
+def task_verdicts(spark, sf_dir, diag: DataFrame | None = None) -> DataFrame:
     """M3: per task -- score 1 iff every checked column of every table
     matched; PASS needs every target present and non-empty, else
-    SUSPECT_PASS; a missing prediction is FAIL with a reason."""
-    diag = diagnose_all(spark, sf_dir)
+    SUSPECT_PASS; a missing prediction is FAIL with a reason.  ``diag`` is
+    :func:`diagnose_all`'s result when the caller already has it."""
+    if diag is None:
+        diag = diagnose_all(spark, sf_dir)
     spec = spark.createDataFrame([(task, tab) for task, tabs in TASKS.items() for tab in tabs],
                                  "task string, table string")
     j = F.broadcast(spec).join(diag, "table")   # spec: a driver-side literal list
@@ -338,7 +340,7 @@ def audit_table(spark, sf_dir) -> DataFrame:
     per_task = F.broadcast(spec).join(diag, "table").groupBy("task").agg(
         ordered_join(note, F.col("pos")).alias("notes"),
         F.count(F.lit(1)).alias("n_tables"))
-    verdicts = task_verdicts(spark, sf_dir).select("task", "score", "verdict")
+    verdicts = task_verdicts(spark, sf_dir, diag).select("task", "score", "verdict")
     models = spark.createDataFrame([(m, r, s) for m, (r, s) in MODELS.items()],
                                    "model string, region string, steps_per_table int")
     runs = per_task.join(verdicts, "task").select(
