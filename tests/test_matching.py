@@ -84,3 +84,61 @@ def test_shuffle_and_small_jitter_invariance(spark, values, rnd):
     p = [(v + rnd.uniform(-0.004, 0.004),) for v in values]
     rnd.shuffle(p)
     assert match(spark, g, "v double", p, "w double") == {"v": True}
+
+
+def _brute(gold: dict, pred: dict) -> dict:
+    """Every pair sorted and compared in Python: (matched, matched_by) per gold column."""
+    def is_null(v):
+        return v is None or (isinstance(v, float) and math.isnan(v))
+
+    def key(v):
+        return (is_null(v), 0 if is_null(v) else v)
+
+    def same(a, b):
+        if is_null(a) or is_null(b):
+            return is_null(a) and is_null(b)
+        if isinstance(a, str) != isinstance(b, str):
+            return False
+        if isinstance(a, str):
+            return a == b
+        return math.isclose(float(a), float(b), rel_tol=1e-9, abs_tol=0.01)
+
+    out = {}
+    for g, gv in gold.items():
+        hits = [p for p, pv in sorted(pred.items()) if len(pv) == len(gv)
+                and all(same(a, b) for a, b in zip(sorted(gv, key=key), sorted(pv, key=key)))]
+        out[g] = (bool(hits), hits[0] if hits else None)
+    return out
+
+
+def test_pruned_match_equals_brute_force(spark):
+    """Profile pruning, the exact value-count confirmation and the ranked
+    compare together give the brute-force answer, matched_by included."""
+    for seed in range(3):
+        rnd = random.Random(seed)
+        n = 40
+        a = [rnd.choice([None, float(rnd.randint(-50, 50)) / 4]) for _ in range(n)]
+        b = [rnd.choice(["x", "y", "zz", None]) for _ in range(n)]
+        c = [rnd.randint(0, 1000) for _ in range(n)]
+        gold = {"a": a, "b": b, "c": c}
+        perm = list(range(n))
+        rnd.shuffle(perm)
+        pred = {
+            "p_exact_a": [a[i] for i in perm],                                   # exact multiset
+            "p_a_jit": [None if v is None else v + rnd.uniform(-0.009, 0.009) for v in a],  # ranked; name sorts first
+            "p_far_a": [None if v is None else v + (0.02 if i == 3 else 0.0)
+                        for i, v in enumerate(a)],
+            "p_nan_a": [math.nan if v is None else v for v in a],                # null == NaN
+            "p_b": [b[i] for i in perm],
+            "p_b_str_c": [str(v) for v in c],                                   # text never equals numbers
+            "p_c_plus": [v + 1 for v in c],
+            "p_c": list(reversed(c)),
+        }
+        cols = sorted(pred)
+        types = {"p_b": "string", "p_b_str_c": "string", "p_c_plus": "long", "p_c": "long"}
+        g = spark.createDataFrame(list(zip(a, b, c)), "a double, b string, c long")
+        p = spark.createDataFrame(list(zip(*[pred[k] for k in cols])),
+                                  ", ".join(f"{k} {types.get(k, 'double')}" for k in cols))
+        got = {r.gold_col: (r.matched, r.matched_by)
+               for r in M.column_match(g, p, ["a", "b", "c"]).collect()}
+        assert got == _brute(gold, pred), seed
