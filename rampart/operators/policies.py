@@ -106,6 +106,18 @@ def derived_amount_rows(target: DataFrame, source: DataFrame, base: DataFrame, *
     )
 
 
+def key_fanout(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """P1 join hazard: a key that is not unique multiplies the rows P1
+    checks.  One row: distinct keys, keys seen more than once, and the extra
+    rows those repeats add to a join.  A grouped count combines map-side, so
+    a hot key is pre-aggregated before the shuffle."""
+    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return per.agg(F.count(F.lit(1)).alias("distinct_keys"),
+                   F.count_if(F.col("_n") > 1).alias("duplicated_keys"),
+                   F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n") - 1)), F.lit(0))
+                    .cast("bigint").alias("extra_rows"))
+
+
 def derived_amount_check(target: DataFrame | None, source: DataFrame | None,
                          base: DataFrame | None, *, policy: str = "derived_amount",
                          **kw) -> PolicyResult:

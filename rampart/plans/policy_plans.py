@@ -110,6 +110,24 @@ def discount_check(spark, sf_dir) -> DataFrame:
          .alias("abs_error"))
 
 
+@query("discount_key_fanout", sql="""
+SELECT side, count(*) AS distinct_keys, count(*) FILTER (WHERE n > 1) AS duplicated_keys,
+       CAST(coalesce(sum(n - 1) FILTER (WHERE n > 1), 0) AS BIGINT) AS extra_rows
+FROM (SELECT 'source' AS side, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber
+      UNION ALL
+      SELECT 'base', count(*) FROM orders GROUP BY o_orderkey)
+GROUP BY side
+""")
+def discount_key_fanout(spark, sf_dir) -> DataFrame:
+    """SURVEY §7.6 hazard 6: P1's join keys on the raw inputs (lineitem's
+    (orderkey, linenumber) repeats in the driver's data)."""
+    t = load_tables(spark, sf_dir)
+    src = P.key_fanout(t.lineitem, ["l_orderkey", "l_linenumber"]).select(
+        F.lit("source").alias("side"), "*")
+    base = P.key_fanout(t.orders, ["o_orderkey"]).select(F.lit("base").alias("side"), "*")
+    return src.unionByName(base)
+
+
 def discount_verdict(spark, sf_dir) -> DataFrame:
     t = load_tables(spark, sf_dir)
     target, source, base = discount_inputs(t)

@@ -125,3 +125,13 @@ def test_range_check(spark):
     df = spark.createDataFrame([(0.03,), (1.0,), (-0.5,), (None,)], "months double")
     v = verdict(P.range_check(df, "months", lower=0.0))
     assert (v.status, v.checked_rows, v.n_violations) == ("violation", 3, 1)
+
+
+def test_key_fanout_counts_repeated_join_keys(spark):
+    """SURVEY §7.6 hazard 6: repeated keys inflate P1's checked rows; the
+    fan-out report names how many keys repeat and how many rows they add."""
+    df = spark.createDataFrame([(1, 1), (1, 1), (1, 1), (2, 1), (2, 2)], "k long, n int")
+    r = P.key_fanout(df, ["k", "n"]).collect()[0]
+    assert (r.distinct_keys, r.duplicated_keys, r.extra_rows) == (3, 1, 2)
+    r = P.key_fanout(df.limit(0), ["k", "n"]).collect()[0]
+    assert (r.distinct_keys, r.duplicated_keys, r.extra_rows) == (0, 0, 0)
