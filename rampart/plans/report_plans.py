@@ -356,3 +356,24 @@ def firing_breakdown(spark, sf_dir) -> DataFrame:
         X.ordered_join(F.col("policy"), F.col("k"), ">").alias("handoff"),
         F.count(F.lit(1)).alias("n_policies"))
     return per.groupBy("fired_set", "handoff", "n_policies").agg(F.count(F.lit(1)).alias("runs"))
+
+
+# ---------------------------------------------------------------------------
+# Per-task record files (JSON partitioned by task), written and read back
+# ---------------------------------------------------------------------------
+
+@query("sink_roundtrip", sql=TRIAL_SQL + f"SELECT {TRIAL_COLS} FROM trial")
+def sink_roundtrip(spark, sf_dir) -> DataFrame:
+    """The trial rows written as JSON records, one folder per task, into a
+    fresh folder under the session's checkpoint dir, then read back with the
+    written schema.  Must equal ``trial_rows``."""
+    import uuid
+
+    from rampart.session import ensure_checkpoint_dir
+    from rampart.sources import sinks
+
+    rows = trial_rows_df(load_tables(spark, sf_dir))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/records/trials-{uuid.uuid4().hex}"
+    sinks.write_records(rows, path, fmt="json", partition_by=["task"])
+    back = sinks.read_records(spark, path, fmt="json", schema=rows.schema)
+    return back.select(*rows.columns)
