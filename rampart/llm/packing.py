@@ -127,7 +127,7 @@ def pack(docs: DataFrame, path: str, size: int = 4096, end_id: int = 2, windows:
         yield p.take()
 
     def merge(first_id: int):
-        def run(key, table: pa.Table) -> pa.Table:
+        def run(key, table):
             p = Packer(size, 1 << 30, first_id + (key[0].as_py() << 12))
             table = table.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
             for r in table.to_pylist():
