@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from rampart.llm.packing import op4
+from rampart.llm.store import shipped
+from rampart.llm.substring import op1
 from rampart.llm.tokens import op2
 
-QUERIES = {
+QUERIES = {name: shipped(plan) for name, plan in {
+    "op1_substring_dedup": op1,
     "op2_token_counts": op2,
     "op4_packing": op4,
-}
+}.items()}
 
 ORACLE: dict[str, str] = {}

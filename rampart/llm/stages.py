@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rampart.llm import packing, tokens
+from rampart.llm import packing, store, tokens
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokens.tokenizer_path())
 
 
-STAGES = [("packing", packed)]
+STAGES = [(name, store.shipped(stage)) for name, stage in [
+    ("packing", packed),
+]]
