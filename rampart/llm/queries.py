@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from rampart.llm.near_dup import op7
 from rampart.llm.packing import op4
 from rampart.llm.store import shipped
 from rampart.llm.substring import op1
@@ -11,6 +12,7 @@ QUERIES = {name: shipped(plan) for name, plan in {
     "op1_substring_dedup": op1,
     "op2_token_counts": op2,
     "op4_packing": op4,
+    "op7_near_dup": op7,
 }.items()}
 
 ORACLE: dict[str, str] = {}
