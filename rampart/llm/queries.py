@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from rampart.llm.decontam import op9
+from rampart.llm.html_text import op10
 from rampart.llm.near_dup import op7
 from rampart.llm.packing import op4
 from rampart.llm.store import shipped
@@ -13,6 +15,8 @@ QUERIES = {name: shipped(plan) for name, plan in {
     "op2_token_counts": op2,
     "op4_packing": op4,
     "op7_near_dup": op7,
+    "op9_decontamination": op9,
+    "op10_html_text": op10,
 }.items()}
 
 ORACLE: dict[str, str] = {}
