@@ -9,14 +9,16 @@ from rampart.llm.packing import op4
 from rampart.llm.store import shipped
 from rampart.llm.substring import op1
 from rampart.llm.tokens import op2
+from rampart.llm.topk import OP5_SQL, op5
 
 QUERIES = {name: shipped(plan) for name, plan in {
     "op1_substring_dedup": op1,
     "op2_token_counts": op2,
     "op4_packing": op4,
+    "op5_exact_top_k": op5,
     "op7_near_dup": op7,
     "op9_decontamination": op9,
     "op10_html_text": op10,
 }.items()}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_exact_top_k": OP5_SQL}
