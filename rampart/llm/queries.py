@@ -6,17 +6,21 @@ from rampart.llm.decontam import op9
 from rampart.llm.html_text import op10
 from rampart.llm.near_dup import op7
 from rampart.llm.packing import op4
+from rampart.llm.quality import op8
 from rampart.llm.store import shipped
 from rampart.llm.substring import op1
 from rampart.llm.tokens import op2
 from rampart.llm.topk import OP5_SQL, op5
+from rampart.llm.toxicity import op6
 
 QUERIES = {name: shipped(plan) for name, plan in {
     "op1_substring_dedup": op1,
     "op2_token_counts": op2,
     "op4_packing": op4,
     "op5_exact_top_k": op5,
+    "op6_toxicity": op6,
     "op7_near_dup": op7,
+    "op8_quality": op8,
     "op9_decontamination": op9,
     "op10_html_text": op10,
 }.items()}
