@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from rampart.llm.decontam import op9
 from rampart.llm.html_text import op10
+from rampart.llm.lm import op3
 from rampart.llm.near_dup import op7
 from rampart.llm.packing import op4
 from rampart.llm.quality import op8
@@ -16,6 +17,7 @@ from rampart.llm.toxicity import op6
 QUERIES = {name: shipped(plan) for name, plan in {
     "op1_substring_dedup": op1,
     "op2_token_counts": op2,
+    "op3_lm_scores": op3,
     "op4_packing": op4,
     "op5_exact_top_k": op5,
     "op6_toxicity": op6,

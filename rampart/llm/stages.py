@@ -1,16 +1,65 @@
-"""Stages of the corpus pipeline."""
+"""Stages of the corpus pipeline.
+
+Each takes (spark, docs, sf_dir) and gives what it keeps: all columns of documents,
+but for the last, which gives the pieces of packed sequences.  Near-duplicate and
+repeat stages work on the documents that their predecessor kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rampart.llm import decontam, near_dup, packing, quality, store, substring, tokens
+
+LEAST_QUALITY = 0.3
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier scores 0.3 or more.  It is fitted on
+    labelled rows of ``docs``; without any, every document stays."""
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    if not model.w2.any():
+        return docs
+    return quality.filtered(docs, model, LEAST_QUALITY)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group (five-word shingles, similarity 0.8):
+    the one with the smallest id, and one row of it.  Null ids stay."""
+    groups = near_dup.near_duplicates(docs.select("doc_id", "text"), shingle=5)
+    gone = store.write(groups.where("not kept").select("doc_id").distinct(), "gone")
+    once = docs.join(gone, "doc_id", "left_anti")
+    spare = once.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    if not spare:
+        return once
+    first = (once.where("doc_id is not null").groupBy("doc_id")
+             .agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("r")))
+    return once.where("doc_id is null").unionByName(
+        first.select("doc_id", "r.*").select(docs.columns))
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words that 50-word windows of smaller documents cover:
+    such texts become their kept words, n_chars follows; texts that lose nothing stay
+    as they are.  Documents with nothing left go."""
+    return substring.without_repeats(docs)
+
 
-from rampart.llm import packing, store, tokens
+def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 4096 tokens."""
     return packing.pack(docs, tokens.tokenizer_path())
 
 
 STAGES = [(name, store.shipped(stage)) for name, stage in [
+    ("quality", good),
+    ("near_dup", distinct),
+    ("substring", unrepeated),
+    ("decontamination", unleaked),
     ("packing", packed),
 ]]

@@ -188,6 +188,45 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
             .withColumnRenamed("id", id_col))
 
 
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
+    """The rows of ``docs``, all columns, without covered words (see ``dedup``): a text
+    that loses words becomes its kept words, joined by one space, and ``n_chars``, if
+    there is such a column, its length; a text that loses all of them goes."""
+    names = list(docs.columns)
+    keyed = docs.withColumn("__rep_tk", F.xxhash64(text_col))
+    spans = store.write(repeats(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+                                .withColumn("tk", F.xxhash64("text")), size)
+                        .groupBy("id", "tk").agg(F.collect_list(F.struct("at", "length")).alias("s"))
+                        .select(F.col("id").alias("__rep_id"), F.col("tk").alias("__rep_t"), F.col("s.at").alias("__rep_at"),
+                                F.col("s.length").alias("__rep_len")), "spans")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, texts = np.ones(len(batch), bool), []
+            for i, (text, at, length) in enumerate(zip(batch.column(text_col), batch.column("__rep_at"), batch.column("__rep_len"))):
+                text = text.as_py()
+                if at.is_valid:
+                    words = (text or "").encode().split()
+                    gone = covered(np.asarray(at.values), np.asarray(length.values), len(words))
+                    if gone.any():
+                        text = b" ".join([x for x, g in zip(words, gone.tolist()) if not g]).decode()
+                        keep[i] = bool(text)
+                texts.append(text)
+            out = []
+            for c in names:
+                col = batch.column(c)
+                if c == text_col:
+                    col = pa.array(texts, pa.string())
+                elif c == "n_chars":
+                    col = pa.array([len(t) if v else n for t, v, n in zip(texts, batch.column("__rep_at").is_valid().to_pylist(),
+                                                                          col.to_pylist())], col.type)
+                out.append(col)
+            yield pa.RecordBatch.from_arrays(out, names).filter(pa.array(keep))
+
+    both = keyed.join(spans, (F.col(id_col) == F.col("__rep_id")) & (F.col("__rep_tk") == F.col("__rep_t")), "left")
+    return both.select(*names, "__rep_at", "__rep_len").mapInArrow(work, docs.schema)
+
+
 def op1(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return dedup(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
