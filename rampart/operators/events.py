@@ -5,11 +5,11 @@ pair (ts, tie)).  Starts are tool calls; ends close them.
 
 Call indices (E1/E2) and first occurrences (D5) are computed as *counts of
 starts before a threshold*: a grouped ``min`` finds each run's thresholds
-(one row per run), that row is joined back to the run's events and a grouped
-``count_if`` counts what lies before it.  Both aggregates combine map-side
-and the join is an equi-join on the run key (AQE splits a skewed run), so a
-run holding a third of all events never sits whole in one task -- unlike
-``sum(is_start) over (partition by run order by ts)``.
+(one row per run), that row is joined back to the run's events on (run, salt)
+(:mod:`rampart.operators.skew`) and counted per (run, salt), then per run.
+Both aggregates combine map-side, and a run holding a third of all events is
+spread over many tasks -- unlike ``sum(is_start) over (partition by run
+order by ts)``, or a join on the run alone, which AQE cannot split here.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rampart.operators.skew import SALT, join_per_group
+
 # Fixed values that must equal the reference's behaviour.
 WRITE_TOOLS = ("write", "edit", "str_replace", "create_file")
 MODEL_PATH_RE = r"models/(?:[A-Za-z0-9_]+/)*([A-Za-z0-9_]+)\.sql"
@@ -55,14 +57,16 @@ def first_indices(ev: DataFrame, *, run: str, is_start: Column,
     firsts = e.groupBy("_run").agg(
         F.count_if("_start").alias("n_calls"),
         *[F.min(F.when(F.col(f"_m_{n}"), key)).alias(f"_k_{n}") for n in markers])
-    j = e.join(firsts.drop("n_calls"), "_run")
+    j = join_per_group(e, firsts.drop("n_calls"), ["_run"], ["_ts", "_tie"])
     ts_c, tie_c = F.col("_ts"), F.col("_tie")
-    counts = j.groupBy("_run").agg(
+    counts = j.groupBy("_run", SALT).agg(
         *[F.count_if(F.col("_start") & before(ts_c, tie_c, F.col(f"_k_{n}"))).alias(f"_c_{n}")
           for n in markers],
         *[F.count_if(F.col(f"_a_{n}") & before(F.col(f"_k_{m}")["ts"], F.col(f"_k_{m}")["tie"],
                                                key)).alias(n)
           for n, (m, _) in dict(after_counts).items()])
+    names = [f"_c_{n}" for n in markers] + list(dict(after_counts))
+    counts = counts.groupBy("_run").agg(*[F.sum(n).alias(n) for n in names])
     out = firsts.join(counts, "_run", "left")
     cols = [F.col("_run").alias(run), F.col("n_calls")]
     for n, (_, notice) in markers.items():

@@ -110,7 +110,8 @@ def candidate_pairs(gold_prof: list[tuple], pred_prof: list[tuple],
     def near(a, b):
         if a is None or b is None:
             return a is None and b is None
-        return abs(a - b) <= max(tol, DEFAULT_REL_TOL * max(abs(a), abs(b)))
+        # equal first: inf - inf is not a number
+        return a == b or abs(a - b) <= max(tol, DEFAULT_REL_TOL * max(abs(a), abs(b)))
 
     out = []
     for _, gc, gcls, gn, gnull, glo, ghi, gfp in gold_prof:
@@ -120,7 +121,7 @@ def candidate_pairs(gold_prof: list[tuple], pred_prof: list[tuple],
             trivial = gnull == gn
             fp_equal = gfp == pfp
             if gcls == NUM:
-                ok = near(glo, plo) and near(ghi, phi)
+                ok = fp_equal or (near(glo, plo) and near(ghi, phi))
             else:
                 ok = fp_equal
             if trivial or (gcls == pcls and ok):

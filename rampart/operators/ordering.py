@@ -4,53 +4,47 @@
 one task; a group holding a third of the data then runs on one core.  Here
 rows are range-partitioned on (g, k), sorted within partitions and numbered
 by ``monotonically_increasing_id`` (partition id in the high bits, the row's
-place in the sorted partition in the low bits).  The lineage is cut with a
-reliable checkpoint so ids never change, then each (partition, group) gets
-its offset from a small table of per-partition counts (at most one row per
-partition a group spans).
+place in the sorted partition in the low bits).  The numbered rows are
+written once under the checkpoint folder so ids never change, then each
+(partition, group) gets its offset from a small table of per-partition counts
+(at most one row per partition a group spans).  The partitions' number is
+left to the session and to AQE.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rampart.session import cut_lineage
-
-_LOW_BITS = 1 << 33
+from rampart.session import store
 
 
 def positions(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
-              name: str = "pos", num_partitions: int | None = None) -> DataFrame:
+              name: str = "pos") -> DataFrame:
     """Add a 1-based ``name`` column: the row's place within its group.
 
     ``order`` entries may be column names or sort Columns (e.g. ``F.col(x).asc_nulls_last()``).
     Ties are numbered in an arbitrary but fixed order.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(g) for g in group] + [F.col(o) if isinstance(o, str) else o
                                              for o in order]
-    # The range bounds are sampled from the input and the checkpoint writes
-    # the sorted partitions; persisting both inputs avoids computing each
-    # twice.  Both are released once the reliable checkpoint is written, so
-    # the returned plan depends only on the checkpoint files.
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = (src.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    # Equal sort keys cannot be told apart by range bounds; the row's own number
+    # in the input splits a frequent value over many partitions.
+    ranged = df.withColumn("_tie", F.monotonically_increasing_id())
+    ranged = ranged.repartitionByRange(*sort_cols, "_tie") \
+        .sortWithinPartitions(*sort_cols, "_tie").drop("_tie")
+    # One write; ids are fixed by the files, and nothing is kept on executors.
+    ranged = store(ranged.withColumn("_mid", F.monotonically_increasing_id()), "positions")
     ranged = ranged.withColumn("_pid", F.shiftright(F.col("_mid"), 33)) \
                    .withColumn("_idx", F.col("_mid") - F.shiftleft(F.col("_pid"), 33))
-    staged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = cut_lineage(staged)
-    staged.unpersist()
-    src.unpersist()
     counts = ranged.groupBy("_pid", *group).agg(F.min("_idx").alias("_first"),
                                                 F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    out = ranged.join(offsets.select("_pid", *group, "_first", "_off"), ["_pid", *group])
+    out = ranged.alias("r").join(offsets.select("_pid", *group, "_first", "_off").alias("o"),
+                                 [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in ["_pid", *group]])
+    out = out.select(*[F.col(f"r.{c}").alias(c) for c in ranged.columns], "_first", "_off")
     return out.withColumn(name, F.col("_off") + F.col("_idx") - F.col("_first") + 1) \
               .drop("_mid", "_pid", "_idx", "_first", "_off")

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rampart.operators.skew import SALT, join_per_group
+
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's behaviour.
 MISSING_NODE_RE = (r"Did not find matching node for patch with name '([^']+)'"
@@ -155,7 +157,7 @@ def context_window(msgs: DataFrame, *, conv: str, pos: str, memory: int) -> Data
     the last 2*memory.  overflow: keep the first, drop the next two.
     """
     n = msgs.groupBy(conv).agg(F.count(F.lit(1)).alias("_n"))
-    j = msgs.join(n, conv)
+    j = join_per_group(msgs, n, [conv], [pos]).drop(SALT)
     p = F.col(pos)
     window = (F.col("_n") <= 2 * memory + 1) | (p == 0) | (p >= F.col("_n") - 2 * memory)
     overflow = ~p.isin(1, 2)

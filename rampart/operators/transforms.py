@@ -9,13 +9,16 @@ one scalar date bound.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rampart.operators.ordering import positions
+from rampart.operators.skew import SALT, join_per_group
 from rampart.operators.policies import expected_amount
+from rampart.session import store
 
 
 def charge_history(df: DataFrame, *, charge: str, kinds: Mapping[str, Column],
@@ -38,18 +41,25 @@ def percentage_amount(kind: Column, value: Column, base: Column) -> Column:
     return expected_amount(kind, value, base)
 
 
-def daily_spine(activity: DataFrame, *, entity: str, day: str, start: str,
-                measures: Sequence[Column]) -> DataFrame:
-    """Every day from ``start`` to the LAST ACTIVITY DAY (never the
-    clock) for every entity, left-joined with the per-day aggregates."""
-    daily = activity.groupBy(entity, F.col(day).cast("date").alias("day")).agg(*measures)
-    # The clamp is one scalar (the last activity day), read once on the driver
-    # and used as a literal: no join against a one-row table.
-    last_day = activity.agg(F.max(F.col(day).cast("date"))).first()[0]
-    if last_day is None:
+def daily_spine(activity: DataFrame, *, entity: str, day: str,
+                measures: Sequence[Column], start: str | None = None) -> DataFrame:
+    """Every day from the FIRST to the LAST ACTIVITY DAY (never the
+    clock) for every entity, left-joined with the per-day aggregates.
+
+    With a ``start`` the spine begins there: earlier activity is outside the
+    contract and left out, and a start after the last activity day gives no
+    rows.  Rows without a day are on no spine.  The input is aggregated once;
+    the bounds and the entities come from its daily rows."""
+    daily = store(activity.where(F.col(day).isNotNull())
+                  .groupBy(entity, F.col(day).cast("date").alias("day")).agg(*measures), "daily")
+    # The clamps are two scalars, read once and used as literals.
+    first_day, last_day = daily.agg(F.min("day"), F.max("day")).first()
+    if start is not None:
+        first_day = datetime.date.fromisoformat(start)
+    if last_day is None or first_day > last_day:
         return daily.limit(0)
-    spine = activity.select(entity).distinct().select(
-        entity, F.explode(F.sequence(F.lit(start).cast("date"), F.lit(last_day))).alias("day"))
+    spine = daily.select(entity).distinct().select(
+        entity, F.explode(F.sequence(F.lit(first_day), F.lit(last_day))).alias("day"))
     return spine.join(daily, [entity, "day"], "left")
 
 
@@ -67,9 +77,10 @@ def running_totals(df: DataFrame, *, entity: str, day: str, amount: str,
 def active_months(df: DataFrame, *, entity: str, day: str, inclusive: bool = True,
                   scale: int = 2) -> DataFrame:
     """T5: (days since the entity's first day [+1]) / 30, rounded; never
-    negative.  First day = grouped min joined back (no per-entity window)."""
+    negative.  First day = grouped min joined back on (entity, salt), so an
+    entity with a third of all rows is split (no per-entity window)."""
     first = df.groupBy(entity).agg(F.min(F.col(day).cast("date")).alias("_first"))
-    j = df.join(first, entity)
+    j = join_per_group(df, first, [entity], df.columns).drop(SALT)
     days = F.datediff(F.col(day).cast("date"), F.col("_first")) + (1 if inclusive else 0)
     months = F.round(days.cast("decimal(12,0)") / F.lit(30), scale)
     return j.withColumn("months", F.greatest(months, F.lit(0)).cast("double")).drop("_first")

@@ -9,7 +9,8 @@ from rampart.operators import transforms as T
 from rampart.plans.registry import query
 from rampart.sources.tables import load_tables
 
-SPINE_START = "1995-01-01"
+# M5: the later end of the predicted spine, in days after the last activity of all.
+SPINE_SURPLUS_DAYS = 30
 
 
 def _dec(c, scale=2):
@@ -51,13 +52,13 @@ def charge_history(spark, sf_dir) -> DataFrame:
     return h.select("charge_id", "charge_row_num", "line_item_type", "amount")
 
 
-@query("daily_spine", sql=f"""
+@query("daily_spine", sql="""
 WITH act AS (SELECT c_mktsegment AS segment, CAST(o_orderdate AS DATE) AS day, o_custkey, o_totalprice
              FROM orders JOIN customer ON c_custkey = o_custkey),
 daily AS (SELECT segment, day, count(*) AS orders, count(DISTINCT o_custkey) AS customers,
                  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
           FROM act GROUP BY segment, day),
-spine AS (SELECT segment, CAST(unnest(generate_series(DATE '{SPINE_START}', (SELECT max(day) FROM act),
+spine AS (SELECT segment, CAST(unnest(generate_series((SELECT min(day) FROM act), (SELECT max(day) FROM act),
                                                       INTERVAL 1 DAY)) AS DATE) AS day
           FROM (SELECT DISTINCT segment FROM act))
 SELECT s.segment, s.day, coalesce(d.orders, 0) AS orders, coalesce(d.customers, 0) AS customers,
@@ -68,7 +69,7 @@ def daily_spine(spark, sf_dir) -> DataFrame:
     t = load_tables(spark, sf_dir)
     act = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).select(
         F.col("c_mktsegment").alias("segment"), "o_orderdate", "o_custkey", "o_totalprice")
-    s = T.daily_spine(act, entity="segment", day="o_orderdate", start=SPINE_START, measures=[
+    s = T.daily_spine(act, entity="segment", day="o_orderdate", measures=[
         F.count(F.lit(1)).alias("orders"), F.count_distinct("o_custkey").alias("customers"),
         F.sum(_dec("o_totalprice")).cast("double").alias("revenue")])
     return s.select("segment", "day", F.coalesce("orders", F.lit(0)).alias("orders"),
@@ -78,23 +79,27 @@ def daily_spine(spark, sf_dir) -> DataFrame:
 
 @query("spine_drift", sql=f"""
 WITH act AS (SELECT o_orderstatus AS status, CAST(o_orderdate AS DATE) AS day FROM orders),
+e AS (SELECT max(day) + {SPINE_SURPLUS_DAYS} AS last_day FROM act),
 b AS (SELECT status, min(day) AS first_day, max(day) AS gold_end FROM act GROUP BY status)
 SELECT status, gold_end, date_diff('day', first_day, gold_end) + 1 AS gold_rows,
-       date_diff('day', first_day, DATE '2001-12-31') + 1 AS pred_rows,
-       date_diff('day', gold_end, DATE '2001-12-31') AS surplus,
-       (SELECT count(*) FROM (SELECT unnest(generate_series(first_day, DATE '2001-12-31', INTERVAL 1 DAY)) AS d)
+       date_diff('day', first_day, last_day) + 1 AS pred_rows,
+       date_diff('day', gold_end, last_day) AS surplus,
+       (SELECT count(*) FROM (SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS d)
         WHERE CAST(d AS DATE) > gold_end) AS surplus_after_gold_end,
-       date_diff('day', gold_end, DATE '2001-12-31')
-         = (SELECT count(*) FROM (SELECT unnest(generate_series(first_day, DATE '2001-12-31', INTERVAL 1 DAY)) AS d)
+       date_diff('day', gold_end, last_day)
+         = (SELECT count(*) FROM (SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS d)
             WHERE CAST(d AS DATE) > gold_end) AS explained
-FROM b
+FROM b CROSS JOIN e
 """)
 def spine_drift(spark, sf_dir) -> DataFrame:
     """M5: a spine run to a later end day than the gold's last activity day
     has surplus rows; they are explained when all of them fall after the
-    gold's last day.  The later end is a fixed date, never the clock."""
+    gold's last day.  The later end is a fixed number of days after the last activity of
+    all statuses, never the clock."""
     o = load_tables(spark, sf_dir).orders
-    end = F.lit("2001-12-31").cast("date")
+    o = o.where("o_orderdate is not null")
+    last_day = o.agg(F.max(F.col("o_orderdate").cast("date"))).first()[0]     # one scalar
+    end = F.date_add(F.lit(last_day), SPINE_SURPLUS_DAYS)
     b = o.groupBy(F.col("o_orderstatus").alias("status")).agg(
         F.min(F.col("o_orderdate").cast("date")).alias("first_day"),
         F.max(F.col("o_orderdate").cast("date")).alias("gold_end"))

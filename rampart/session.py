@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -26,7 +27,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -38,8 +39,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only where none is named.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; we always
-    read it from the session.  Only when it is unset (a bare local test
-    session) do we make a fresh folder of our own.
+    read it from the session.  Only when it is unset in a local session (tests, the bench) do we
+    make a fresh folder of our own; elsewhere that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,11 +49,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="rampart-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a table as Parquet under the checkpoint folder and read it back:
+    lineage ends there, and a lost executor costs only its running tasks."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df):
     """Reliable checkpoint (survives executor loss); never a local checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
