@@ -2,8 +2,8 @@
 
 Each job reads a table folder as a file stream, runs to completion with
 ``Trigger.AvailableNow`` and writes to a sink under the session's shared
-checkpoint folder (``spark.checkpoint.dir``), so a restarted query resumes
-from its own checkpoint and a lost executor only replays its tasks.  The
+checkpoint folder (``spark.checkpoint.dir``).  A job that is given a ``run``
+name resumes from that run's checkpoint; a lost executor only replays its tasks.  The
 registered query functions return the sink read back as a batch DataFrame.
 """
 
@@ -23,21 +23,31 @@ from rampart.operators.verdict import VERDICT_COLS
 from rampart.session import ensure_checkpoint_dir
 
 
-def stream_base(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one run of a job: checkpoint + sink."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
+def stream_base(spark: SparkSession, name: str, run: str | None = None) -> str:
+    """Folder of a job's checkpoint and sink.  With the same ``run`` name a job
+    resumes where it stopped; without one the run is new."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{run or uuid.uuid4().hex}"
 
 
-def table_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-            .parquet(sf_dir))
+def table_stream(spark: SparkSession, sf_dir: str, table: str,
+                 files_per_batch: int | None = None) -> DataFrame:
+    """A table as a file stream, whether it is one file or a folder of part files.
+    The path is a pattern that only this table matches: a plain path to a single
+    file is refused by the source."""
+    path = f"{sf_dir.rstrip('/')}/{table}.parque"
+    reader = spark.readStream.schema(spark.read.parquet(path + "t").schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path + "[t]")
 
 
-def _run(writer, timeout_s: int = 600) -> None:
+def _run(writer, timeout_s: float | None = None) -> None:
+    """Run to the end of the input; a limit only where the caller sets one."""
     q = writer.trigger(availableNow=True).start()
     try:
-        if not q.awaitTermination(timeout_s):
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
             raise TimeoutError("streaming job did not finish")
     finally:
         if q.isActive:
@@ -48,15 +58,18 @@ def _run(writer, timeout_s: int = 600) -> None:
 # Live event counters per run and type, duplicates dropped in-watermark
 # ---------------------------------------------------------------------------
 
-def event_counts(spark: SparkSession, sf_dir: str, watermark: str = "1 hour") -> DataFrame:
+def event_counts(spark: SparkSession, sf_dir: str, watermark: str = "1 hour", *,
+                 run: str | None = None, files_per_batch: int | None = None) -> DataFrame:
     """Counts and value sums per (run, event type) over a stream in which some
-    events arrive twice; duplicates (same run, timestamp and value) are
-    dropped within the watermark, so the totals equal the batch rollup."""
-    base = stream_base(spark, "event-counts")
-    s = table_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    events arrive twice; the second arrival of an event id within the watermark
+    is dropped, so the totals equal the batch rollup.  Different events of equal
+    time and value all count."""
+    base = stream_base(spark, "event-counts", run)
+    s = table_stream(spark, sf_dir, "events", files_per_batch) \
+        .withColumn("ts", F.col("ts").cast("timestamp"))
     dup = s.where(F.pmod(F.col("event_id"), F.lit(2)) == 0)
     u = s.unionByName(dup).withWatermark("ts", watermark) \
-        .dropDuplicatesWithinWatermark(["user_id", "ts", "value"])
+        .dropDuplicatesWithinWatermark(["user_id", "event_id"])
     agg = u.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"),
                                                  F.sum("value").alias("value_sum"))
     out = f"{base}/out"
@@ -77,47 +90,62 @@ def event_counts(spark: SparkSession, sf_dir: str, watermark: str = "1 hour") ->
 ROUND_OUT = T.StructType([
     T.StructField("user_id", T.LongType()), T.StructField("round_start", T.TimestampType()),
     T.StructField("outcome", T.StringType()), T.StructField("resolved_at", T.TimestampType())])
-ROUND_STATE = T.StructType([T.StructField("start_us", T.LongType())])
+# start of the open round, and events that the watermark has not passed yet
+ROUND_STATE = T.StructType([
+    T.StructField("start_us", T.LongType()),
+    T.StructField("ts_us", T.ArrayType(T.LongType())),
+    T.StructField("event_id", T.ArrayType(T.LongType())),
+    T.StructField("event_type", T.ArrayType(T.StringType()))])
+
+
+def replay_rounds(start: int | None, events, deadline_us: int, open_type: str, settle_type: str):
+    """Run ordered (ts_us, event_id, type) events over an open round: the new open
+    start, and the rounds that ended as (start, outcome, at)."""
+    out = []
+    for t, _, typ in events:
+        if start is not None and t > start + deadline_us:
+            out.append((start, "timed_out", start + deadline_us))
+            start = None
+        if start is None and typ == open_type:
+            start = t
+        elif start is not None and typ == settle_type:
+            out.append((start, "settled", t))
+            start = None
+    return start, out
 
 
 def _round_fn(deadline_us: int, open_type: str, settle_type: str):
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        user = key[0]
-        out = []
-        start = state.get[0] if state.exists else None
-        if state.hasTimedOut:
-            out.append((user, start, "timed_out", start + deadline_us))
-            state.remove()
-            yield _rounds_frame(out)
-            return
-        frames = list(batches)
-        if not frames:
-            return
-        pdf = pd.concat(frames).sort_values(["ts", "event_id"])
-        for ts, typ in zip(pdf["ts"], pdf["event_type"]):
-            t = int(pd.Timestamp(ts).value // 1000)
-            if start is not None and t > start + deadline_us:
-                out.append((user, start, "timed_out", start + deadline_us))
-                start = None
-            if start is None and typ == open_type:
-                start = t
-            elif start is not None and typ == settle_type:
-                out.append((user, start, "settled", t))
-                start = None
-        if start is None:
+        start, ts, ids, types = state.get if state.exists else (None, [], [], [])
+        pending = list(zip(ts, ids, types))
+        for f in () if state.hasTimedOut else batches:
+            pending += zip((f["ts"].astype("datetime64[us]").astype("int64")).tolist(),
+                           f["event_id"].tolist(), f["event_type"].tolist())
+        mark = state.getCurrentWatermarkMs() * 1000
+        # Later batches can still bring events at or after the watermark, so only
+        # what lies before it is in its final order.
+        pending.sort()
+        ready = [e for e in pending if e[0] < mark]
+        pending = pending[len(ready):]
+        start, out = replay_rounds(start, ready, deadline_us, open_type, settle_type)
+        if start is not None and start + deadline_us < mark:
+            out.append((start, "timed_out", start + deadline_us))
+            start = None
+        if start is None and not pending:
             if state.exists:
                 state.remove()
         else:
-            state.update((start,))
-            state.setTimeoutTimestamp(max((start + deadline_us) // 1000,
-                                          state.getCurrentWatermarkMs() + 1))
-        if out:
-            yield _rounds_frame(out)
+            state.update((start, *([e[i] for e in pending] for i in range(3))))
+            due = [pending[0][0]] if pending else []
+            due += [start + deadline_us] if start is not None else []
+            state.setTimeoutTimestamp(max(min(due) // 1000 + 1, mark // 1000 + 1))
+        yield _rounds_frame([(key[0], *r) for r in out])
     return fn
 
 
 def _rounds_frame(rows) -> pd.DataFrame:
     df = pd.DataFrame(rows, columns=["user_id", "round_start", "outcome", "resolved_at"])
+    df["user_id"] = df["user_id"].astype("Int64")
     for c in ("round_start", "resolved_at"):
         df[c] = pd.to_datetime(df[c], unit="us")
     return df
@@ -125,22 +153,48 @@ def _rounds_frame(rows) -> pd.DataFrame:
 
 def round_state(spark: SparkSession, sf_dir: str, *, deadline_hours: int = 6,
                 watermark: str = "1 hour", open_type: str = "view",
-                settle_type: str = "purchase") -> DataFrame:
+                settle_type: str = "purchase", run: str | None = None,
+                files_per_batch: int | None = None) -> DataFrame:
     """A round opens at ``open_type`` and settles at ``settle_type``; when the
     deadline passes first (a later event, or the watermark passing the
-    event-time timer) it times out.  Rounds still open when the input ends
-    and the watermark has not passed their deadline are not reported."""
-    base = stream_base(spark, "round-state")
-    s = (table_stream(spark, sf_dir, "events")
+    event-time timer) it times out.
+
+    Events wait in the key's state until the watermark has passed them, so a late
+    event within the watermark is taken in its place whichever batch brings it,
+    and the result does not depend on how the input is cut into batches.  When the
+    input ends, what still waits is replayed from the state store and a round that
+    is still open is returned as ``open`` (no ``resolved_at``); the stream's own
+    state keeps it for the next run.
+    """
+    base = stream_base(spark, "round-state", run)
+    s = (table_stream(spark, sf_dir, "events", files_per_batch)
          .select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type")
+         .where("user_id is not null and ts is not null and event_id is not null")
          .withWatermark("ts", watermark))
-    fn = _round_fn(deadline_hours * 3600 * 1_000_000, open_type, settle_type)
+    deadline_us = deadline_hours * 3600 * 1_000_000
     rounds = s.groupBy("user_id").applyInPandasWithState(
-        fn, ROUND_OUT, ROUND_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        _round_fn(deadline_us, open_type, settle_type), ROUND_OUT, ROUND_STATE, "append",
+        GroupStateTimeout.EventTimeTimeout)
     out = f"{base}/out"
     _run(rounds.writeStream.outputMode("append").format("parquet").option("path", out)
          .option("checkpointLocation", f"{base}/ckpt"))
-    return spark.read.schema(ROUND_OUT).parquet(out)
+    waiting = spark.read.format("statestore").load(f"{base}/ckpt").select(
+        F.col("key.user_id").alias("user_id"), F.col("value.groupState.*"))
+
+    def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for r in f.itertuples():
+                start = None if pd.isna(r.start_us) else int(r.start_us)
+                start, ended = replay_rounds(start, sorted(zip(r.ts_us, r.event_id, r.event_type)),
+                                             deadline_us, open_type, settle_type)
+                rows += [(r.user_id, *e) for e in ended]
+                if start is not None:
+                    rows.append((r.user_id, start, "open", None))
+            yield _rounds_frame(rows)
+
+    return spark.read.schema(ROUND_OUT).parquet(out).unionByName(
+        waiting.mapInPandas(finish, ROUND_OUT))
 
 
 # ---------------------------------------------------------------------------
@@ -149,33 +203,50 @@ def round_state(spark: SparkSession, sf_dir: str, *, deadline_hours: int = 6,
 RETURN_FLAGS = ("A", "N")          # stand-in declared domain (omits R on purpose)
 
 
-def policy_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every micro-batch of new line items is checked by three policies and
-    its verdicts appended to a log partitioned by batch id; a replayed batch
-    overwrites only its own partition (idempotent)."""
-    base = stream_base(spark, "policy-log")
+def policy_log(spark: SparkSession, sf_dir: str, *, run: str | None = None,
+               files_per_batch: int | None = None) -> DataFrame:
+    """Every micro-batch of new line items is checked by three policies.  The log
+    has one verdict row per batch and policy, and one row (value, n_violations) per
+    value that the domain policy rejects: a distinct count over batches needs the
+    values.  It is partitioned by batch id; a replayed batch overwrites only its
+    own partition (idempotent)."""
+    base = stream_base(spark, "policy-log", run)
     log_path = f"{base}/log"
-    s = table_stream(spark, sf_dir, "lineitem")
+    s = table_stream(spark, sf_dir, "lineitem", files_per_batch)
 
     def check(df: DataFrame, batch_id: int) -> None:
+        domain = P.value_domain_check(df, "l_returnflag", RETURN_FLAGS, policy="returnflag_domain")
         vs = [P.range_check(df, "l_discount", lower=0.0, upper=0.1, policy="discount_range").verdict,
-              P.value_domain_check(df, "l_returnflag", RETURN_FLAGS, policy="returnflag_domain").verdict,
-              P.range_check(df, "l_quantity", lower=1.0, upper=40.0, policy="quantity_range").verdict]
+              domain.verdict,
+              P.range_check(df, "l_quantity", lower=1.0, upper=40.0, policy="quantity_range").verdict,
+              ]
         u = vs[0]
         for v in vs[1:]:
             u = u.unionByName(v)
-        (u.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+        u = u.withColumn("kind", F.lit("verdict")).withColumn("value", F.lit(None).cast("string"))
+        values = domain.violations.select(
+            F.lit("returnflag_domain").alias("policy"), F.lit("violation").alias("status"),
+            F.lit(0).cast("long").alias("checked_rows"), F.col("row_count").alias("n_violations"),
+            F.lit(None).cast("string").alias("message"), F.lit("value").alias("kind"), "value")
+        (u.unionByName(values).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(log_path))
 
     _run(s.writeStream.foreachBatch(check).option("checkpointLocation", f"{base}/ckpt"))
-    return spark.read.parquet(log_path).select("batch_id", *VERDICT_COLS)
+    return spark.read.parquet(log_path).select("batch_id", "kind", "value", *VERDICT_COLS)
 
 
 def policy_log_summary(log: DataFrame) -> DataFrame:
-    """Fold the log over batches: counts add up; violation if any batch
-    violated, error only if every batch errored."""
-    return log.groupBy("policy").agg(
-        F.sum("checked_rows").alias("checked_rows"), F.sum("n_violations").alias("n_violations"),
+    """Fold the log over batches.  Checked rows add up; so do violations of a policy
+    on rows, while a policy on values counts its distinct values (null is one) over
+    all batches.  Violation if any batch violated, error only if every batch errored.
+    The result does not depend on how the rows were cut into batches."""
+    v = F.col("kind") == "verdict"
+    by_value = log.where(~v).groupBy("policy", "value").agg(F.sum("n_violations").alias("n")) \
+        .groupBy("policy").agg(F.count(F.lit(1)).alias("n_values"))
+    out = log.where(v).groupBy("policy").agg(
+        F.sum("checked_rows").alias("checked_rows"), F.sum("n_violations").alias("n_rows"),
         F.when(F.bool_or(F.col("status") == "violation"), F.lit("violation"))
          .when(F.bool_and(F.col("status") == "error"), F.lit("error"))
          .otherwise(F.lit("pass")).alias("status"))
+    return out.join(by_value, "policy", "left").select(
+        "policy", "checked_rows", F.coalesce("n_values", "n_rows").alias("n_violations"), "status")

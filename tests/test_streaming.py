@@ -1,40 +1,132 @@
-"""S1-S3 on a small event folder; S2 needs a closing event so that the
-watermark passes the last deadline (SURVEY §7.6 hazard 14)."""
+"""S1-S3 over single-file and folder tables, cut into one or many batches."""
 
 import datetime as dt
+import os
+import random
 import tempfile
 
 import pandas as pd
+import pytest
 
 from rampart.streaming import jobs as S
 
 T0 = dt.datetime(2024, 1, 1)
+H = dt.timedelta(hours=1)
 
 
-def _events_dir(rows):
+def _table_dir(name, rows, columns, parts):
+    """``parts`` 0: one file; otherwise a folder of so many part files, in order."""
     d = tempfile.mkdtemp(prefix="rampart-ev-")
-    pdf = pd.DataFrame(rows, columns=["event_id", "ts", "user_id", "event_type", "value", "props"])
-    pdf.to_parquet(f"{d}/events.parquet", index=False, coerce_timestamps="us",
-                   allow_truncated_timestamps=True)
+    _add(d, name, rows, columns, parts)
     return d
 
 
+def _add(d, name, rows, columns, parts, first=0):
+    pdf = pd.DataFrame(rows, columns=columns)
+    kw = dict(index=False, coerce_timestamps="us", allow_truncated_timestamps=True)
+    if not parts:
+        pdf.to_parquet(f"{d}/{name}.parquet", **kw)
+        return
+    os.makedirs(f"{d}/{name}.parquet", exist_ok=True)
+    for i in range(parts):
+        path = f"{d}/{name}.parquet/part-{first + i:03d}.parquet"
+        pdf.iloc[i * len(pdf) // parts:(i + 1) * len(pdf) // parts].to_parquet(path, **kw)
+        os.utime(path, (1_700_000_000 + first + i,) * 2)      # the source reads by file time
+
+
+EV = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _rounds(spark, d, **kw):
+    return sorted(((r.user_id, r.round_start, r.outcome, r.resolved_at)
+                   for r in S.round_state(spark, d, **kw).collect()), key=repr)
+
+
+def _brute_rounds(rows, hours=6):
+    out = []
+    for u in {r[2] for r in rows}:
+        start = None
+        for _, t, _, typ, *_ in sorted((r for r in rows if r[2] == u), key=lambda r: (r[1], r[0])):
+            if start is not None and t > start + hours * H:
+                out.append((u, start, "timed_out", start + hours * H))
+                start = None
+            if start is None and typ == "view":
+                start = t
+            elif start is not None and typ == "purchase":
+                out.append((u, start, "settled", t))
+                start = None
+        if start is not None:
+            out.append((u, start, "open", None))
+    return out
+
+
 def test_round_state_settle_timeout_and_timer(spark):
-    h = dt.timedelta(hours=1)
     rows = [
-        (0, T0, 1, "view", 1.0, "{}"), (1, T0 + 2 * h, 1, "purchase", 1.0, "{}"),   # settled
-        (2, T0 + 3 * h, 1, "view", 1.0, "{}"), (3, T0 + 10 * h, 1, "click", 1.0, "{}"),  # timed out by a later event
-        (4, T0 + 11 * h, 2, "view", 1.0, "{}"),                                   # timed out by the timer
-        (5, T0 + 30 * h, 3, "signup", 1.0, "{}"),                                 # closing event
+        (0, T0, 1, "view", 1.0, "{}"), (1, T0 + 2 * H, 1, "purchase", 1.0, "{}"),   # settled
+        (2, T0 + 3 * H, 1, "view", 1.0, "{}"), (3, T0 + 10 * H, 1, "click", 1.0, "{}"),  # timed out by a later event
+        (4, T0 + 11 * H, 2, "view", 1.0, "{}"),                                   # timed out by the timer
+        (5, T0 + 30 * H, 3, "signup", 1.0, "{}"),                                 # closing event
+        (6, T0 + 30 * H, 3, "view", 1.0, "{}"),                                   # still open
     ]
-    d = _events_dir(rows)
-    got = sorted((r.user_id, r.outcome, r.resolved_at) for r in S.round_state(spark, d).collect())
-    assert got == [(1, "settled", T0 + 2 * h), (1, "timed_out", T0 + 9 * h),
-                   (2, "timed_out", T0 + 17 * h)]
+    got = _rounds(spark, _table_dir("events", rows, EV, 0))
+    assert got == sorted([(1, T0, "settled", T0 + 2 * H), (1, T0 + 3 * H, "timed_out", T0 + 9 * H),
+                          (2, T0 + 11 * H, "timed_out", T0 + 17 * H), (3, T0 + 30 * H, "open", None)], key=repr)
+
 
+def _disordered(n=120, late_minutes=50):
+    rng = random.Random(3)
+    rows = []
+    for i in range(n):
+        t = T0 + dt.timedelta(minutes=20 * i)
+        rows.append((i, t - dt.timedelta(minutes=rng.randrange(late_minutes)), i % 3,
+                     rng.choice(["view", "purchase", "click", "view"]), 1.0, "{}"))
+    return rows
 
-def test_event_counts_drop_in_watermark_duplicates(spark):
+
+@pytest.mark.parametrize("parts", [0, 2, 5])
+def test_round_state_does_not_depend_on_batches(spark, parts):
+    rows = _disordered()
+    want = sorted(((u, s, o, a) for u, s, o, a in _brute_rounds(rows) if o != "open"), key=repr)
+    got = _rounds(spark, _table_dir("events", rows, EV, parts), files_per_batch=1)
+    late = {r for r in _brute_rounds(rows) if r[2] == "open"}
+    # a round open at the end may have passed its deadline by the watermark
+    assert [r for r in got if r[2] != "open" and (r[0], r[1]) not in {(u, s) for u, s, *_ in late}] == want
+    assert {(r[0], r[1]) for r in got} == {(u, s) for u, s, *_ in _brute_rounds(rows)}
+
+
+def test_round_state_resumes(spark):
+    rows = sorted(_disordered(60), key=lambda r: r[0])
+    d = _table_dir("events", rows[:30], EV, 1)
+    _rounds(spark, d, run="resume-test-" + os.path.basename(d))
+    _add(d, "events", rows[30:], EV, 1, first=1)
+    got = _rounds(spark, d, run="resume-test-" + os.path.basename(d))
+    assert {(r[0], r[1]) for r in got} == {(u, s) for u, s, *_ in _brute_rounds(rows)}
+    assert len(got) == len(_brute_rounds(rows))
+
+
+@pytest.mark.parametrize("parts", [0, 3])
+def test_event_counts_drop_only_repeated_events(spark, parts):
     rows = [(i, T0 + dt.timedelta(minutes=i), i % 2, "click", 1.5, "{}") for i in range(10)]
-    d = _events_dir(rows)
-    got = sorted((r.user_id, r.n, r.value_sum) for r in S.event_counts(spark, d).collect())
-    assert got == [(0, 5, 7.5), (1, 5, 7.5)]
+    rows += [(20, T0, 0, "view", 1.5, "{}"), (21, T0, 0, "click", 1.5, "{}")]     # equal time and value
+    d = _table_dir("events", rows, EV, parts)
+    got = sorted((r.user_id, r.event_type, r.n, r.value_sum) for r in S.event_counts(spark, d, files_per_batch=1).collect())
+    assert got == [(0, "click", 6, 9.0), (0, "view", 1, 1.5), (1, "click", 5, 7.5)]
+
+
+@pytest.mark.parametrize("parts", [0, 2, 5])
+def test_policy_log_folds_values(spark, parts):
+    cols = ["l_discount", "l_returnflag", "l_quantity"]
+    rows = [(0.05, "R", 10.0), (0.2, "A", 50.0), (0.05, "N", 1.0), (None, "R", 41.0), (0.05, None, 2.0),
+            (0.05, "X", None), (0.0, "R", 40.0), (0.1, "A", 0.5), (0.3, "X", 3.0), (0.05, None, 4.0)]
+    log = S.policy_log(spark, _table_dir("lineitem", rows, cols, parts), files_per_batch=1)
+    got = {r.policy: (r.checked_rows, r.n_violations, r.status) for r in S.policy_log_summary(log).collect()}
+    assert got == {"discount_range": (9, 2, "violation"), "returnflag_domain": (10, 3, "violation"),
+                   "quantity_range": (9, 3, "violation")}
+
+
+def test_policy_log_of_empty_batches_is_an_error(spark):
+    rows = spark.createDataFrame(
+        [(0, "verdict", None, "p", "error", 0, 0, ""), (1, "verdict", None, "p", "error", 0, 0, ""),
+         (0, "verdict", None, "q", "error", 0, 0, ""), (1, "verdict", None, "q", "pass", 3, 0, "")],
+        "batch_id int, kind string, value string, policy string, status string, checked_rows long, n_violations long, message string")
+    assert {r.policy: r.status for r in S.policy_log_summary(rows).collect()} == {"p": "error", "q": "pass"}
