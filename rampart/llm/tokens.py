@@ -17,6 +17,7 @@ import functools
 import hashlib
 import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,37 @@ def tokenizer_path(name: str = WORD_BPE) -> str:
     return public_tokenizers.path(name)
 
 
+class Slots:
+    """A map from 64-bit keys to numbers in sorted arrays, a few runs of growing
+    size; far smaller than a dict."""
+
+    def __init__(self):
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def __len__(self) -> int:
+        return self.size
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        out = np.full(len(keys), -1, np.int64)
+        for k, v in self.runs:
+            at = np.minimum(np.searchsorted(k, keys), len(k) - 1)
+            hit = k[at] == keys
+            out[hit] = v[at[hit]]
+        return out
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """``keys`` are ascending and not in the map."""
+        self.size += len(keys)
+        run = keys, values.astype(np.int32)
+        while self.runs and len(self.runs[-1][0]) < 2 * len(run[0]):
+            k, v = self.runs.pop()
+            k, v = np.concatenate([k, run[0]]), np.concatenate([v, run[1]])
+            order = np.argsort(k, kind="stable")
+            run = k[order], v[order]
+        self.runs.append(run)
+
+
 class WordCoder:
     """Ids of whole texts by the tokenizers library, one call per new word.
 
@@ -47,58 +79,65 @@ class WordCoder:
 
     PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)\Z")
 
-    def __init__(self, path: str, limit: int = 1_500_000):
+    def __init__(self, path: str, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.limit = self.tokenizer.model, limit
         self.letters = _byte_letters()
+        self.small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.clear()
 
     def clear(self) -> None:
-        self.slot: dict[int, int] = {}          # word hash -> row of the table below
-        self.parts: dict[str, list[int]] = {}   # letters or tail -> ids
-        self.flat = np.empty(1 << 16, np.uint32)
+        self.slot = Slots()                     # word hash -> row of the table below
+        self.parts: dict[str, bytes] = {}       # letters or tail -> ids
+        self.flat = np.empty(1 << 16, np.uint16 if self.small else np.uint32)
         self.at = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _part(self, text: str) -> list[int]:
+    def _part(self, text: str) -> bytes:
         got = self.parts.get(text)
         if got is None:
             shown = text if text.isascii() else "".join(map(self.letters.__getitem__, text.encode()))
-            got = self.parts[text] = [t.id for t in self.model.tokenize(shown)]
+            got = self.parts[text] = self._raw([t.id for t in self.model.tokenize(shown)])
         return got
 
-    def _encode(self, raw: bytes) -> list[int]:
+    def _raw(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.small else 'I'}", *ids)
+
+    def _encode(self, raw: bytes) -> bytes:
         text = raw.decode("utf-8", "replace")
         m = self.PLAIN.match(text)
         if m and "|" not in m[2]:
             ids = self._part(m[1].lower())
             return ids + self._part(m[2]) if m[2] else ids
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, key: int, raw: bytes) -> int:
-        n, ids = len(self.slot), self._encode(raw)
-        if n + 2 > len(self.at):
+        return self._raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _learn(self, words: list[bytes]) -> np.ndarray:
+        """Rows of new words."""
+        n = len(self.slot)
+        raws = [self._encode(x) for x in words]
+        ids = np.frombuffer(b"".join(raws), "<u2" if self.small else "<u4")
+        while n + len(words) + 1 > len(self.at):
             self.at = np.concatenate([self.at, np.zeros(len(self.at), np.int64)])
         while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty(len(self.flat), np.uint32)])
+            self.flat = np.concatenate([self.flat, np.empty(len(self.flat), self.flat.dtype)])
         self.flat[self.used:self.used + len(ids)] = ids
+        size = np.array([len(r) for r in raws], np.int64) // ids.itemsize
+        self.at[n + 1:n + 1 + len(words)] = self.used + np.cumsum(size)
         self.used += len(ids)
-        self.at[n + 1] = self.used
-        self.slot[key] = n
-        return n
+        return np.arange(n, n + len(words))
 
     def slots(self, w: Words) -> np.ndarray:
-        if len(self.slot) > self.limit:
+        if len(self.slot) > self.limit or len(self.parts) > self.limit:
             self.clear()
         keys, at, inverse = np.unique(w.hashes(), return_index=True, return_inverse=True)
-        get = self.slot.get
-        found = [get(k, -1) for k in keys.tolist()]
-        for i, s in enumerate(found):
-            if s < 0:
-                found[i] = self._learn(int(keys[i]), w.word(at[i]))
-        return np.asarray(found, np.int64)[inverse]
+        found = self.slot.find(keys)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            found[new] = self._learn([w.word(i) for i in at[new].tolist()])
+            self.slot.add(keys[new], found[new])
+        return found[inverse]
 
     def counts(self, w: Words) -> np.ndarray:
         """Tokens of each text."""
@@ -112,7 +151,7 @@ class WordCoder:
         size = self.at[s + 1] - self.at[s]
         run = np.concatenate([[0], np.cumsum(size)])
         take = np.arange(run[-1]) + np.repeat(self.at[s] - run[:-1], size)
-        return self.flat[take], run[w.first]
+        return self.flat[take].astype(np.uint32), run[w.first]
 
 
 def _byte_letters() -> list[str]:
@@ -169,7 +208,8 @@ def count_tokens(docs: DataFrame, path: str, cache_dir: str, id_col: str = "doc_
                 yield pa.RecordBatch.from_arrays([part.column("content"), pa.array(n, pa.int64())],
                                                  ["content", "n_tokens"])
 
-    counted = work.select("content", "text").mapInArrow(encode, "content binary, n_tokens long")
+    counted = work.select("content", "text").mapInArrow(encode, "content binary, n_tokens long") \
+        .dropDuplicates(["content"])
     counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens") \
         .write.mode("append").parquet(cache_dir)
     stored = (spark.read.schema(schema).parquet(cache_dir).where(F.col("tokenizer") == version)

@@ -115,6 +115,15 @@ def pair_steps(ev: DataFrame, *, run: str, call_id: str, is_start: Column, is_en
                     *[F.col(p).alias(f"end_{p}") for p in payload])
 
 
+def step_label(command: Column, path: Column, pattern: Column, args: Column) -> Column:
+    """The first of command, path and pattern that is not empty, else the first
+    120 characters of the arguments' JSON; all cut to 600 characters."""
+    def full(c):
+        return F.when(c != "", c)
+    return F.substring(F.coalesce(full(command), full(path), full(pattern),
+                                  F.substring(F.coalesce(args, F.lit("{}")), 1, 120)), 1, 600)
+
+
 def model_names(text: Column) -> Column:
     """H1: every model name in ``models/(dir/)*name.sql`` paths of a text."""
     return F.regexp_extract_all(text, F.lit(MODEL_PATH_RE), 1)

@@ -258,8 +258,12 @@ def _confirm_exact(spark, both: DataFrame, cands: list[tuple[str, str]]) -> list
 
 
 def multiset_diff(gold: DataFrame, pred: DataFrame) -> DataFrame:
-    """M4 strict mode: rows only in gold / only in pred, duplicates counted."""
+    """M4 strict mode: rows only in gold / only in pred, each distinct row once with
+    its surplus ``n``.  One grouped sum of signs gives both sides in one shuffle, and
+    a row of any number of copies is combined before it."""
     cols = gold.columns
-    g_only = gold.select(*cols).exceptAll(pred.select(*cols)).withColumn("side", F.lit("gold_only"))
-    p_only = pred.select(*cols).exceptAll(gold.select(*cols)).withColumn("side", F.lit("pred_only"))
-    return g_only.unionByName(p_only)
+    both = gold.select(*cols, F.lit(1).alias("_sign")).unionByName(
+        pred.select(*cols, F.lit(-1).alias("_sign")))
+    surplus = both.groupBy(*cols).agg(F.sum("_sign").alias("_n")).where("_n <> 0")
+    return surplus.select(*cols, F.abs("_n").alias("n"),
+                          F.when(F.col("_n") > 0, "gold_only").otherwise("pred_only").alias("side"))

@@ -259,20 +259,30 @@ def _type_rows(spark, rows):
 
 
 def type_report(target: DataFrame, source: DataFrame, column_map: Mapping[str, str]) -> DataFrame:
-    """All mapped columns with their categories and per-column status."""
-    res = type_preservation_check(target, source, column_map)
+    """All mapped columns with their categories and status (from the schemas), and from
+    one scan of the target: ``n_values`` non-null values, and ``n_lost``, how many of a
+    drifted column's values do not cast back to the source's type."""
     spark = target.sparkSession
     tfields = {f.name.lower(): f.dataType for f in target.schema.fields}
     sfields = {f.name.lower(): f.dataType for f in source.schema.fields}
-    rows = []
+    rows, sums = [], []
     for tcol, scol in column_map.items():
         if tcol.lower() in tfields and scol.lower() in sfields:
             found, expected = tfields[tcol.lower()], sfields[scol.lower()]
+            drifted = drifted_to_string(expected, found)
             rows.append((tcol, base_type_name(found), base_type_name(expected),
                          category(found), category(expected), scol,
-                         VIOLATION if drifted_to_string(expected, found) else PASS))
-    del res
-    return _type_rows(spark, rows)
+                         VIOLATION if drifted else PASS))
+            c = F.col(tcol)
+            lost = F.count_if(c.isNotNull() & c.try_cast(expected).isNull()) if drifted \
+                else F.lit(0).cast("bigint")
+            sums.append(F.struct(F.lit(tcol).alias("column"), F.count(c).alias("n_values"),
+                                 lost.alias("n_lost")))
+    table = _type_rows(spark, rows)
+    if not rows:
+        return table.withColumn("n_values", F.lit(0).cast("bigint")).withColumn("n_lost", F.lit(0).cast("bigint"))
+    scanned = target.agg(F.array(*sums).alias("x")).select(F.inline("x"))
+    return table.join(scanned, "column")
 
 
 def range_check(df: DataFrame, column: str, *, lower: float | None = 0.0,

@@ -21,17 +21,23 @@ from rampart.operators.policies import expected_amount
 from rampart.session import store
 
 
-def charge_history(df: DataFrame, *, charge: str, kinds: Mapping[str, Column],
-                   order_tie: Sequence[str] = ()) -> DataFrame:
-    """One row per (source row, kind) with a row number per charge,
-    ordered by (kind, amount, tie columns).  Numbering is distributed
-    (:func:`positions`), so a charge with huge fan-out is not one task."""
-    parts = [df.select(F.col(charge).alias("charge_id"), *[F.col(c) for c in order_tie],
-                       F.lit(k).alias("line_item_type"), amt.alias("amount"))
-             for k, amt in kinds.items()]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+def charge_history(df: DataFrame, *, charge: str, kinds: Mapping[str, Column | tuple[Column, Column]],
+                   order_tie: Sequence[str] = (), carry: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row per (source row, kind) with a row number per charge, ordered by
+    (kind, amount, tie columns).  A kind is an amount, or (amount, condition) where
+    only some rows have it; ``source_index`` is the kind's place in ``kinds`` and
+    ``carry`` names further columns.  The source is read once, its kinds exploded.
+    Numbering is distributed (:func:`positions`), so a charge with huge fan-out is
+    not one task."""
+    items = []
+    for i, (name, kind) in enumerate(kinds.items()):
+        amount, cond = kind if isinstance(kind, tuple) else (kind, F.lit(True))
+        items.append(F.struct(F.lit(name).alias("line_item_type"), F.lit(i).alias("source_index"),
+                              amount.cast("double").alias("amount"), cond.alias("has")))
+    u = df.select(F.col(charge).alias("charge_id"), *[F.col(c) for c in order_tie],
+                  *[c.alias(n) for n, c in (carry or {}).items()],
+                  F.explode(F.filter(F.array(*items), lambda x: x["has"])).alias("x"))
+    u = u.select("*", "x.line_item_type", "x.source_index", "x.amount").drop("x")
     return positions(u, ["charge_id"], ["line_item_type", "amount", *order_tie],
                      name="charge_row_num")
 
@@ -89,19 +95,23 @@ def active_months(df: DataFrame, *, entity: str, day: str, inclusive: bool = Tru
 def product_rollup(lines: DataFrame, *, product: str, line_key: Sequence[str],
                    quantity: str, price: str, discount: str, tax: str,
                    refunded: Column) -> DataFrame:
-    """Two-level aggregate -- per order line first, then per product:
-    quantity, subtotal, refunds, net, average per line, discount and tax."""
+    """T6 per product: lines, quantity, net quantity, subtotal, refunds, net, averages
+    per line (amount, quantity, discount), discount and tax.  Sums combine before the
+    shuffle; only the keys are shuffled whole, to count distinct lines."""
     d = lambda c: F.col(c).cast("decimal(18,2)")
-    per_line = lines.groupBy(product, *line_key).agg(
-        F.sum(d(quantity)).alias("q"), F.sum(d(price)).alias("sub"),
-        F.sum(F.when(refunded, d(price)).otherwise(0)).alias("ref"),
+    back = lambda c: F.sum(F.when(refunded, c).otherwise(0))
+    sums = lines.groupBy(F.col(product).alias("_p")).agg(
+        F.sum(d(quantity)).alias("q"), back(d(quantity)).alias("qref"),
+        F.sum(d(price)).alias("sub"), back(d(price)).alias("ref"),
         F.sum(d(price) * d(discount)).alias("disc"), F.sum(d(price) * d(tax)).alias("tax"))
-    agg = per_line.groupBy(product).agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("q").alias("q"), F.sum("sub").alias("sub"),
-        F.sum("ref").alias("ref"), F.sum("disc").alias("disc"), F.sum("tax").alias("tax"))
+    n = lines.select(product, *line_key).distinct().groupBy(product).agg(F.count(F.lit(1)).alias("lines"))
+    agg = sums.join(n, F.col("_p").eqNullSafe(F.col(product)))
     r = lambda c: F.round(c, 2).cast("double")
+    per = lambda c: F.col(c).cast("double") / F.col("lines")
     return agg.select(product, "lines", r(F.col("q")).alias("quantity"),
+                      r(F.col("q") - F.col("qref")).alias("net_quantity"),
                       r(F.col("sub")).alias("subtotal"), r(F.col("ref")).alias("refunds"),
                       r(F.col("sub") - F.col("ref")).alias("net"),
-                      (F.col("sub").cast("double") / F.col("lines")).alias("avg_per_line"),
+                      per("sub").alias("avg_per_line"), per("q").alias("avg_quantity_per_line"),
+                      per("disc").alias("avg_discount_per_line"),
                       r(F.col("disc")).alias("discount_total"), r(F.col("tax")).alias("tax_total"))

@@ -168,26 +168,45 @@ def wrong_names(spark, sf_dir) -> DataFrame:
 
 
 @query("step_pairing", sql="""
-WITH e AS (SELECT user_id, event_id // 2 AS call_id, ts, event_id,
-                  event_id % 2 = 0 AS is_start, event_id % 2 = 1 AS is_end FROM events),
+WITH e AS (
+  SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 AS call_id, ts, event_id,
+         event_id % 2 = 0 AS is_start, event_id % 2 = 1 AS is_end, event_type AS tool, props AS args,
+         CASE event_id % 6 WHEN 0 THEN 'dbt run ' || repeat('x', CAST(event_id % 900 AS INTEGER))
+                           WHEN 2 THEN '' END AS command,
+         CASE WHEN event_id % 4 = 2 THEN 'models/' || event_type END AS path,
+         CASE WHEN event_id % 10 = 4 THEN 'pattern' END AS pattern
+  FROM events),
 s AS (SELECT *, sum(CASE WHEN is_end THEN 1 ELSE 0 END) OVER (
                   PARTITION BY user_id, call_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
                 - CASE WHEN is_end THEN 1 ELSE 0 END AS seg FROM e),
-st AS (SELECT DISTINCT user_id, call_id, seg FROM s WHERE is_start),
-en AS (SELECT * FROM s WHERE is_end)
-SELECT en.user_id, count(*) AS steps, count(st.seg) AS matched,
-       count(*) - count(st.seg) AS unmatched_ends
-FROM en LEFT JOIN st ON st.user_id = en.user_id AND st.call_id = en.call_id AND st.seg = en.seg
-GROUP BY en.user_id
+st AS (SELECT * FROM s WHERE is_start QUALIFY row_number() OVER (
+         PARTITION BY user_id, call_id, seg ORDER BY ts DESC, event_id DESC) = 1)
+SELECT en.user_id, en.event_id, st.event_id IS NOT NULL AS matched, coalesce(st.tool, '?') AS tool,
+       substring(CASE WHEN st.command <> '' THEN st.command WHEN st.path <> '' THEN st.path
+                      WHEN st.pattern <> '' THEN st.pattern
+                      ELSE substring(coalesce(st.args, '{}'), 1, 120) END, 1, 600) AS label
+FROM s en LEFT JOIN st ON st.user_id = en.user_id AND st.call_id = en.call_id AND st.seg = en.seg
+WHERE en.is_end
 """)
 def step_pairing(spark, sf_dir) -> DataFrame:
-    e = load_tables(spark, sf_dir).events.withColumn(
-        "call_id", F.floor(F.col("event_id") / 2).cast("bigint"))
-    odd = F.pmod(F.col("event_id"), F.lit(2)) == 1
-    steps = E.pair_steps(e, run="user_id", call_id="call_id", is_start=~odd, is_end=odd)
-    return steps.groupBy(F.col("run").alias("user_id")).agg(
-        F.count(F.lit(1)).alias("steps"), F.count_if("matched").alias("matched"),
-        F.count_if(~F.col("matched")).alias("unmatched_ends"))
+    """Even events start calls, odd ones end them; a call id is the
+    user's ``k`` modulo 10, so ids repeat, overlap and miss their partner."""
+    i = F.col("event_id")
+    e = load_tables(spark, sf_dir).events.select(
+        "user_id", "ts", "event_id", F.col("event_type").alias("tool"), F.col("props").alias("args"),
+        F.pmod(F.get_json_object("props", "$.k").cast("bigint"), F.lit(10)).alias("call_id"),
+        F.when(F.pmod(i, F.lit(6)) == 0, F.concat(F.lit("dbt run "), F.repeat(
+            F.lit("x"), F.pmod(i, F.lit(900)).cast("int"))))
+         .when(F.pmod(i, F.lit(6)) == 2, F.lit("")).alias("command"),
+        F.when(F.pmod(i, F.lit(4)) == 2, F.concat(F.lit("models/"), F.col("event_type"))).alias("path"),
+        F.when(F.pmod(i, F.lit(10)) == 4, F.lit("pattern")).alias("pattern"))
+    odd = F.pmod(i, F.lit(2)) == 1
+    steps = E.pair_steps(e, run="user_id", call_id="call_id", is_start=~odd, is_end=odd,
+                         payload=["tool", "command", "path", "pattern", "args"])
+    return steps.select(
+        F.col("run").alias("user_id"), F.col("tie").alias("event_id"), "matched",
+        F.coalesce("start_tool", F.lit("?")).alias("tool"),
+        E.step_label(*[F.col(f"start_{c}") for c in ("command", "path", "pattern", "args")]).alias("label"))
 
 
 RESULT_SQL_CTE = """

@@ -44,8 +44,10 @@ def name_sets(t):
     invented = p.where(b.isin(1, 2) & size.between(36, 45)).withColumn(
         "name", F.concat(F.col("name"), F.lit("_custom")))
     cand = p.where(b.isin(2, 3, 4) & size.between(21, 28))
-    shipped = p.where(size <= 20)
-    declared = p.where(((b != 4) & (size <= 35)) | ((b == 4) & (size <= 20)))
+    shipped = p.where((size <= 20) | (size > 45) | ((b == 4) & (size >= 29)))
+    # every part is in one of the sets
+    declared = p.where(((b != 4) & ((size <= 35) | (size > 45) | b.isin(0, 3)))
+                       | ((b == 4) & ((size <= 20) | (size >= 29))))
     run = shipped.unionByName(invented).unionByName(cand)
     materialized = run.where(built)
     return declared, shipped, run, materialized
@@ -55,14 +57,16 @@ NAME_CTE = """
 p AS (SELECT p_brand AS project, replace(p_name, ' ', '_') AS name, p_size AS size,
              p_partkey AS partkey, CAST(substring(p_brand, 7, 4) AS INTEGER) % 5 AS b FROM part),
 runs AS (
-  SELECT project, name, partkey FROM p WHERE size <= 20
+  SELECT project, name, partkey FROM p WHERE size <= 20 OR size > 45 OR (b = 4 AND size >= 29)
   UNION ALL SELECT project, name || '_custom', partkey FROM p
    WHERE b IN (1, 2) AND size BETWEEN 36 AND 45
   UNION ALL SELECT project, name, partkey FROM p WHERE b IN (2, 3, 4) AND size BETWEEN 21 AND 28),
 tagged AS (
   SELECT project, name, 'declared' AS tag FROM p
-   WHERE (b <> 4 AND size <= 35) OR (b = 4 AND size <= 20)
-  UNION ALL SELECT project, name, 'shipped' FROM p WHERE size <= 20
+   WHERE (b <> 4 AND (size <= 35 OR size > 45 OR b IN (0, 3)))
+      OR (b = 4 AND (size <= 20 OR size >= 29))
+  UNION ALL SELECT project, name, 'shipped' FROM p
+   WHERE size <= 20 OR size > 45 OR (b = 4 AND size >= 29)
   UNION ALL SELECT project, name, 'run' FROM runs
   UNION ALL SELECT project, name, 'materialized' FROM runs WHERE partkey % 4 <> 0),
 flags AS (
@@ -144,8 +148,8 @@ DECLARED_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD")
 
 
 @query("domain_drift", sql="""
-WITH spec AS (SELECT DISTINCT p_brand AS project, p_type AS value FROM part WHERE p_size <= 25),
-projects AS (SELECT DISTINCT p_brand AS project FROM part),
+WITH spec AS (SELECT DISTINCT p_brand || '/' || p_size AS project, p_type AS value FROM part),
+projects AS (SELECT DISTINCT p_brand || '/' || p_size AS project FROM part),
 both_sides AS (
   SELECT project, value, true AS in_spec, false AS in_declared FROM spec
   UNION ALL SELECT project, unnest(['ECONOMY', 'LARGE', 'MEDIUM', 'SMALL', 'STANDARD']), false, true
@@ -159,11 +163,16 @@ SELECT project AS brand, count(*) FILTER (WHERE s) AS n_spec,
 FROM flags GROUP BY project
 """)
 def domain_drift(spark, sf_dir) -> DataFrame:
+    """A project is a brand and size; each of its parts has a spec text
+    whose ``kind`` entry quotes the part's type, between entries that quote others."""
     from rampart.operators.domains import domain_drift as drift
+    from rampart.operators.domains import domain_from_spec
     t = load_tables(spark, sf_dir)
-    spec = t.part.where(F.col("p_size") <= 25).select(
-        F.col("p_brand").alias("project"), F.col("p_type").alias("value"))
-    projects = t.part.select(F.col("p_brand").alias("project"))
+    project = F.concat("p_brand", F.lit("/"), F.col("p_size").cast("string"))
+    text = F.concat(F.lit("  - name: label\n    description: 'NOT THIS'\n  - name: kind\n    description: one of '"),
+                    F.col("p_type"), F.lit("'\n  - name: other\n    description: 'NOR THIS'\n"))
+    spec = t.part.select(project.alias("project"), F.explode(domain_from_spec(text, "kind")).alias("value"))
+    projects = t.part.select(project.alias("project"))
     return drift(spec, projects, DECLARED_TYPES).withColumnRenamed("project", "brand")
 
 
@@ -259,7 +268,8 @@ def policy_stack(spark, sf_dir) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Verdict log from events: retry loop and outcome classes
 # ---------------------------------------------------------------------------
-# Error messages of the stand-in error checks, chosen by event_id mod 4.
+# Fragments that the outcome classes look for.  The stand-in error
+# checks choose one by event_id mod 4.
 ERROR_MESSAGES = (
     "target table charge_history not materialized",
     "source table charge_data missing from produced DB",

@@ -107,7 +107,7 @@ def discount_check(spark, sf_dir) -> DataFrame:
         F.count_if("is_null").alias("null_rows"),
         F.round(F.coalesce(F.sum(F.when(F.col("is_violation"), F.abs(
             F.col("amount_found") - F.col("amount_expected")))), F.lit(0.0)), 2)
-         .alias("abs_error"))
+         .alias("abs_error")).orderBy(F.col("value_type").asc_nulls_first())
 
 
 @query("discount_key_fanout", sql="""
@@ -197,7 +197,7 @@ def enum_domain_check(spark, sf_dir) -> DataFrame:
     t = load_tables(spark, sf_dir)
     res = P.value_domain_check(priority_table(t), "priority", PRIORITY_DOMAIN,
                                confusions=PRIORITY_CONFUSIONS, policy="enum")
-    return res.violations
+    return res.violations.orderBy(F.col("value").asc_nulls_first())
 
 
 def enum_verdict(spark, sf_dir) -> DataFrame:
@@ -255,13 +255,19 @@ cat AS (
   FROM m JOIN found f ON f.column_name = m.tcol JOIN expected e ON e.column_name = m.scol)
 SELECT "column", found_category, expected_category, source_column,
        CASE WHEN expected_category IN ('integral', 'numeric') AND found_category = 'string'
-            THEN 'violation' ELSE 'pass' END AS status
+            THEN 'violation' ELSE 'pass' END AS status,
+       CASE "column" WHEN 'l_partkey' THEN (SELECT count(l_partkey) FROM lineitem)
+                     WHEN 'l_linenumber' THEN (SELECT count(l_linenumber) FROM lineitem)
+                     ELSE (SELECT count(l_extendedprice) FROM lineitem) END AS n_values,
+       CASE WHEN "column" = 'l_partkey' THEN
+         (SELECT count(*) FROM lineitem WHERE l_partkey IS NOT NULL
+             AND TRY_CAST(CAST(l_partkey AS VARCHAR) AS BIGINT) IS NULL) ELSE 0 END AS n_lost
 FROM cat
 """)
 def id_type_check(spark, sf_dir) -> DataFrame:
     t = load_tables(spark, sf_dir)
     return P.type_report(typed_target(t), t.part, ID_MAP).select(
-        "column", "found_category", "expected_category", "source_column", "status")
+        "column", "found_category", "expected_category", "source_column", "status", "n_values", "n_lost")
 
 
 # ---------------------------------------------------------------------------

@@ -19,27 +19,31 @@ def _dec(c, scale=2):
 
 @query("charge_history", sql="""
 WITH k AS (
-  SELECT l_orderkey AS charge_id, l_linenumber, 'charge line' AS line_item_type,
-         l_extendedprice AS amount FROM lineitem
+  SELECT *, 'charge line' AS line_item_type, 0 AS source_index, l_extendedprice AS amount FROM lineitem
   UNION ALL
-  SELECT l_orderkey, l_linenumber, 'discount',
+  SELECT *, 'discount', 1,
          CAST(round(CAST(round(l_discount * 100, 2) AS DECIMAL(38,6))
                     * CAST(l_extendedprice AS DECIMAL(38,6)) * CAST(0.01 AS DECIMAL(3,2)), 2) AS DOUBLE)
   FROM lineitem
   UNION ALL
-  SELECT l_orderkey, l_linenumber, 'shipping',
+  SELECT *, 'shipping', 2,
          CAST(round(CAST(l_quantity AS DECIMAL(18,2)) * CAST(0.5 AS DECIMAL(3,2)), 2) AS DOUBLE)
   FROM lineitem
   UNION ALL
-  SELECT l_orderkey, l_linenumber, 'tax',
+  SELECT *, 'tax', 3,
          CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)), 2) AS DOUBLE)
-  FROM lineitem)
-SELECT charge_id, row_number() OVER (PARTITION BY charge_id
-                                     ORDER BY line_item_type, amount, l_linenumber) AS charge_row_num,
-       line_item_type, amount
+  FROM lineitem
+  UNION ALL
+  SELECT *, 'refund', 4, -l_extendedprice FROM lineitem WHERE l_returnflag = 'R')
+SELECT l_orderkey AS charge_id,
+       row_number() OVER (PARTITION BY l_orderkey ORDER BY line_item_type, amount, l_linenumber, l_partkey, l_suppkey)
+         AS charge_row_num,
+       source_index, CAST(l_shipdate AS DATE) AS charge_created_at, l_suppkey AS customer_id,
+       l_partkey AS address_id, amount, line_item_type || ' ' || l_linenumber AS title, line_item_type
 FROM k
 """)
 def charge_history(spark, sf_dir) -> DataFrame:
+    """T1 with all checked columns; supplier and part stand for customer and address."""
     li = load_tables(spark, sf_dir).lineitem
     kinds = {
         "charge line": F.col("l_extendedprice"),
@@ -47,9 +51,14 @@ def charge_history(spark, sf_dir) -> DataFrame:
                                         F.col("l_extendedprice")),
         "shipping": F.round(_dec("l_quantity") * F.lit(0.5).cast("decimal(3,2)"), 2).cast("double"),
         "tax": F.round(_dec("l_extendedprice") * _dec("l_tax"), 2).cast("double"),
+        "refund": (-F.col("l_extendedprice"), F.coalesce(F.col("l_returnflag") == "R", F.lit(False))),
     }
-    h = T.charge_history(li, charge="l_orderkey", kinds=kinds, order_tie=["l_linenumber"])
-    return h.select("charge_id", "charge_row_num", "line_item_type", "amount")
+    h = T.charge_history(li, charge="l_orderkey", kinds=kinds, order_tie=["l_linenumber", "l_partkey", "l_suppkey"],
+                         carry={"charge_created_at": F.col("l_shipdate").cast("date")})
+    return h.select("charge_id", "charge_row_num", "source_index", "charge_created_at",
+                    F.col("l_suppkey").alias("customer_id"), F.col("l_partkey").alias("address_id"), "amount",
+                    F.concat("line_item_type", F.lit(" "), F.col("l_linenumber").cast("string")).alias("title"),
+                    "line_item_type")
 
 
 @query("daily_spine", sql="""
@@ -149,14 +158,17 @@ WITH per_line AS (
   SELECT l_partkey, l_orderkey, l_linenumber,
          sum(CAST(l_quantity AS DECIMAL(18,2))) AS q, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS sub,
          sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS ref,
+         sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS DECIMAL(18,2)) ELSE 0 END) AS qref,
          sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2))) AS disc,
          sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2))) AS tax
   FROM lineitem GROUP BY 1, 2, 3),
 p AS (SELECT l_partkey, count(*) AS lines, sum(q) AS q, sum(sub) AS sub, sum(ref) AS ref,
-             sum(disc) AS disc, sum(tax) AS tax FROM per_line GROUP BY 1)
-SELECT l_partkey, lines, CAST(round(q, 2) AS DOUBLE) AS quantity, CAST(round(sub, 2) AS DOUBLE) AS subtotal,
+             sum(qref) AS qref, sum(disc) AS disc, sum(tax) AS tax FROM per_line GROUP BY 1)
+SELECT l_partkey, lines, CAST(round(q, 2) AS DOUBLE) AS quantity,
+       CAST(round(q - qref, 2) AS DOUBLE) AS net_quantity, CAST(round(sub, 2) AS DOUBLE) AS subtotal,
        CAST(round(ref, 2) AS DOUBLE) AS refunds, CAST(round(sub - ref, 2) AS DOUBLE) AS net,
-       CAST(sub AS DOUBLE) / lines AS avg_per_line,
+       CAST(sub AS DOUBLE) / lines AS avg_per_line, CAST(q AS DOUBLE) / lines AS avg_quantity_per_line,
+       CAST(disc AS DOUBLE) / lines AS avg_discount_per_line,
        CAST(round(disc, 2) AS DOUBLE) AS discount_total, CAST(round(tax, 2) AS DOUBLE) AS tax_total
 FROM p
 """)
