@@ -124,6 +124,12 @@ def step_label(command: Column, path: Column, pattern: Column, args: Column) ->
                                   F.substring(F.coalesce(args, F.lit("{}")), 1, 120)), 1, 600)
 
 
+def usage_record(raw: Column) -> Column:
+    """A usage JSON object as a record; equal records are equal whatever the order
+    of their keys.  Missing fields are null."""
+    return F.from_json(raw, "input bigint, output bigint, totalTokens bigint, cost struct<total: double>")
+
+
 def model_names(text: Column) -> Column:
     """H1: every model name in ``models/(dir/)*name.sql`` paths of a text."""
     return F.regexp_extract_all(text, F.lit(MODEL_PATH_RE), 1)

@@ -1,10 +1,9 @@
-"""Retry text per policy (P9): the message sent back on a violation, naming
-what is wrong.
+"""Retry text per policy (P9): what is sent back on a violation, as rows.
 
-Offenders are named where their number is bounded by the rule itself:
-distinct out-of-domain values (P2) and offending model names per project
-(P4).  Row-level policies (P1, P10) report counts; their offending rows are
-the full violations table, never a capped list in a string.
+One row per offender: ``(policy, subject, position, text)``.  Every offending row,
+value, name and column is named; ``position`` orders a policy's rows, and is given
+by :func:`rampart.operators.ordering.positions`, so no policy's offenders meet in
+one task or one string.
 """
 
 from __future__ import annotations
@@ -14,44 +13,66 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rampart.operators.ordering import positions
+
 
 def _quote(c: Column) -> Column:
     return F.when(c.isNull(), F.lit("None")).otherwise(F.concat(F.lit("'"), c, F.lit("'")))
 
 
-def domain_retry_text(violations: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
-    """One row: each offending value with its row count and the replacement
-    when one is known, then the declared domain."""
-    part = F.concat(_quote(F.col("value")), F.lit(" ("), F.col("row_count").cast("string"),
-                    F.lit(" rows) "),
-                    F.when(F.col("suggestion").isNotNull(),
-                           F.concat(F.lit("must be "), _quote(F.col("suggestion"))))
-                     .otherwise(F.lit("is not a declared value")))
+def domain_retry_rows(violations: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
+    """P2, one row per value outside the domain: its row count, the replacement when
+    one is known, and the declared domain."""
     dom = ", ".join(f"'{d}'" for d in domain)
-    items = F.sort_array(F.collect_list(F.struct(F.coalesce(F.col("value"), F.lit("")).alias("k"),
-                                                 part.alias("p"))))
-    return violations.agg(F.array_join(F.transform(items, lambda x: x["p"]), "; ").alias("bad"),
-                          F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 0) \
-        .select(F.concat(F.lit(f"the `{column}` column holds values outside its declared domain -> "),
-                         F.col("bad"), F.lit(f". The declared domain is exactly: {dom}.")).alias("text"))
-
-
-def name_gate_retry_text(flags: DataFrame) -> DataFrame:
-    """Per project with offenders and no built candidate: the invented names
-    and the declared models still unbuilt (both sorted)."""
-    agg = flags.groupBy("project").agg(
-        F.array_sort(F.collect_list(F.when(F.col("offender"), F.col("name")))).alias("off"),
-        F.array_sort(F.collect_list(F.when(F.col("unmet"), F.col("name")))).alias("unmet"),
-        F.count_if("built_candidate").alias("n_built"))
-    bad = agg.where((F.size("off") > 0) & (F.col("n_built") == 0))
-    return bad.select("project", F.concat(
-        F.lit("built under undeclared name(s): "), F.array_join("off", ", "),
-        F.lit("; declared models still unbuilt: "), F.array_join("unmet", ", "),
-        F.lit(". Rebuild under a declared name; do not add new names to the schema.")).alias("text"))
-
-
-def count_retry_text(verdict: DataFrame, what: str) -> DataFrame:
-    """Row-level policies: the count, pointing at the violations table."""
-    return verdict.where(F.col("status") == "violation").select(
-        F.format_string(f"%d of %d rows violate the {what}; see the violations table",
-                        F.col("n_violations"), F.col("checked_rows")).alias("text"))
+    return violations.select(_quote(F.col("value")).alias("subject"), F.concat(
+        F.lit(f"`{column}` holds "), _quote(F.col("value")), F.lit(" in "), F.col("row_count").cast("string"),
+        F.lit(" rows; "),
+        F.when(F.col("suggestion").isNotNull(), F.concat(F.lit("it must be "), _quote(F.col("suggestion"))))
+         .otherwise(F.lit("it is not a declared value")),
+        F.lit(f". The declared domain is exactly: {dom}.")).alias("text"))
+
+
+def amount_retry_rows(violations: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """P1, one row per violating row, named by the ``keys`` that the check carried."""
+    def shown(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit("None"))
+
+    def money(c):
+        return F.coalesce(F.col(c).cast("decimal(38,2)").cast("string"), F.lit("None"))
+    subject = F.concat_ws("/", *[shown(k) for k in keys])
+    return violations.select(subject.alias("subject"), F.concat(
+        subject, F.lit(" ("), F.col("value_type"), F.lit("): amount is "), money("amount_found"),
+        F.lit(" but must be "), money("amount_expected"), F.lit(" from value "), money("raw_value"),
+        F.lit(" and base "), money("base_amount")).alias("text"))
+
+
+def type_retry_rows(report: DataFrame) -> DataFrame:
+    """P3, one row per column that drifted to text."""
+    return report.where(F.col("status") == "violation").select(F.col("column").alias("subject"), F.concat(
+        F.lit("`"), F.col("column"), F.lit("` is "), F.col("found_category"), F.lit(" but its source `"),
+        F.col("source_column"), F.lit("` is "), F.col("expected_category"),
+        F.lit("; keep the source type")).alias("text"))
+
+
+def name_gate_retry_rows(flags: DataFrame) -> DataFrame:
+    """P4, for projects with offenders and no built candidate: one row per invented
+    name and one per declared model still unbuilt."""
+    bad = flags.groupBy("project").agg(F.bool_or("offender").alias("_off"),
+                                       F.bool_or("built_candidate").alias("_built")) \
+        .where("_off and not _built").select("project")
+    subject = F.concat("project", F.lit("/"), "name")
+    return flags.where("offender or unmet").join(bad, "project").select(subject.alias("subject"), F.when(
+        F.col("offender"), F.concat(F.lit("built under the undeclared name "), F.col("name"),
+                                    F.lit("; rebuild under a declared name, do not add new names to the schema")))
+        .otherwise(F.concat(F.lit("the declared model "), F.col("name"), F.lit(" is still unbuilt"))).alias("text"))
+
+
+def retry_rows(policies: dict[str, DataFrame]) -> DataFrame:
+    """(policy, subject, position, text) of several policies' (subject, text) rows,
+    positions by subject and text within each policy."""
+    out = None
+    for name, rows in policies.items():
+        part = rows.select(F.lit(name).alias("policy"), "subject", "text")
+        out = part if out is None else out.unionByName(part)
+    return positions(out, ["policy"], ["subject", "text"], name="position") \
+        .select("policy", "subject", "position", "text").orderBy("policy", "position")

@@ -348,15 +348,17 @@ counters AS (
          count(*) FILTER (WHERE event_type <> 'error') AS tool_calls,
          count(*) FILTER (WHERE event_type = 'signup'
                           AND CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 = 0) AS dbt_calls,
+         count(*) FILTER (WHERE event_type IN ('error', 'purchase', 'view') AND event_id % 7 = 0) AS policy_checks,
          count(DISTINCT CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 7)
                              AS INTEGER)) AS rounds
   FROM doubled GROUP BY user_id),
 usage AS (
-  SELECT user_id, round(sum(value), 2) AS usage, count(*) AS usage_msgs
-  FROM (SELECT DISTINCT user_id, ts, value FROM doubled WHERE event_type = 'purchase')
+  SELECT user_id, round(sum(value), 2) AS usage, CAST(sum(k) AS BIGINT) AS input_tokens, count(*) AS usage_msgs
+  FROM (SELECT DISTINCT user_id, ts, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+        FROM doubled WHERE event_type = 'purchase')
   GROUP BY user_id)
-SELECT c.user_id, turns, tool_calls, dbt_calls, rounds, coalesce(usage, 0) AS usage,
-       coalesce(usage_msgs, 0) AS usage_msgs
+SELECT c.user_id, turns, tool_calls, dbt_calls, policy_checks, rounds, coalesce(usage, 0) AS usage,
+       coalesce(input_tokens, 0) AS input_tokens, coalesce(usage_msgs, 0) AS usage_msgs
 FROM counters c LEFT JOIN usage u ON u.user_id = c.user_id
 """)
 def usage_rollup(spark, sf_dir) -> DataFrame:
@@ -369,14 +371,26 @@ def usage_rollup(spark, sf_dir) -> DataFrame:
         F.count_if(typ == "view").alias("turns"),
         F.count_if(typ != "error").alias("tool_calls"),
         F.count_if((typ == "signup") & (F.pmod(k, F.lit(2)) == 0)).alias("dbt_calls"),
+        F.count_if(typ.isin("error", "purchase", "view") & (F.pmod("event_id", F.lit(7)) == 0))
+         .alias("policy_checks"),
         F.count_distinct(rnd).alias("rounds"))
-    # Usage counted once per distinct (run, timestamp, usage) message.
-    usage = (doubled.where(typ == "purchase").dropDuplicates(["user_id", "ts", "value"])
-             .groupBy("user_id").agg(F.round(F.sum("value"), 2).alias("usage"),
+    # Usage is a nested record, counted once per (run, timestamp, record); the
+    # second copy of a message has its keys in another order.
+    total, tokens = F.col("value").cast("string"), k.cast("string")
+    first = F.concat(F.lit('{"input": '), tokens, F.lit(', "cost": {"total": '), total, F.lit("}}"))
+    other = F.concat(F.lit('{"cost": {"total": '), total, F.lit('}, "input": '), tokens, F.lit("}"))
+    messages = e.where(typ == "purchase").select("user_id", "ts", "event_id", first.alias("usage")) \
+        .unionByName(e.where((typ == "purchase") & (F.pmod("event_id", F.lit(2)) == 0))
+                     .select("user_id", "ts", "event_id", other.alias("usage")))
+    record = E.usage_record(F.col("usage"))
+    usage = (messages.select("user_id", "ts", record.alias("u")).dropDuplicates(["user_id", "ts", "u"])
+             .groupBy("user_id").agg(F.round(F.sum("u.cost.total"), 2).alias("usage"),
+                                     F.sum("u.input").alias("input_tokens"),
                                      F.count(F.lit(1)).alias("usage_msgs")))
     return counters.join(usage, "user_id", "left").select(
-        "user_id", "turns", "tool_calls", "dbt_calls", "rounds",
+        "user_id", "turns", "tool_calls", "dbt_calls", "policy_checks", "rounds",
         F.coalesce("usage", F.lit(0.0)).alias("usage"),
+        F.coalesce("input_tokens", F.lit(0)).alias("input_tokens"),
         F.coalesce("usage_msgs", F.lit(0)).alias("usage_msgs"))
 
 

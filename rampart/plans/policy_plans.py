@@ -71,7 +71,8 @@ target AS (
               ELSE CAST(s.value AS DOUBLE) END AS amount
   FROM src s LEFT JOIN base b ON s.charge_id = b.charge_id),
 checked AS (
-  SELECT lower(s.value_type) AS value_type, CAST(t.amount AS DOUBLE) AS amount_found,
+  SELECT t.charge_id, t.line_no, s.value AS raw_value, CAST(b.total_price AS DOUBLE) AS base_amount,
+         lower(s.value_type) AS value_type, CAST(t.amount AS DOUBLE) AS amount_found,
          CASE WHEN lower(s.value_type) = 'percentage' THEN CAST(round(
                    CAST(s.value AS DECIMAL(38,6)) * CAST(b.total_price AS DECIMAL(38,6))
                    * CAST(0.01 AS DECIMAL(3,2)), 2) AS DOUBLE)
@@ -315,64 +316,59 @@ def verdict_message(spark, sf_dir) -> DataFrame:
 
 
 def retry_text(spark, sf_dir) -> DataFrame:
-    """Retry messages for the violating stand-in policies."""
+    """Retry messages for the violating stand-in policies, one row per offender."""
     from rampart.operators import messages as Msg
     from rampart.operators import names as N
     from rampart.plans.gate_plans import name_sets
     t = load_tables(spark, sf_dir)
     enum = P.value_domain_check(priority_table(t), "priority", PRIORITY_DOMAIN,
                                 confusions=PRIORITY_CONFUSIONS, policy="enum")
-    parts = [
-        Msg.domain_retry_text(enum.violations, "priority", PRIORITY_DOMAIN)
-           .select(F.lit("enum").alias("policy"), F.lit("").alias("subject"), "text"),
-        Msg.count_retry_text(discount_verdict(spark, sf_dir), "amount invariant")
-           .select(F.lit("discount").alias("policy"), F.lit("").alias("subject"), "text"),
-        Msg.name_gate_retry_text(N.name_flags(*name_sets(t)))
-           .select(F.lit("namegate").alias("policy"), F.col("project").alias("subject"), "text"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    target, source, base = discount_inputs(t)
+    amount = P.derived_amount_check(target, source, base, carry=["charge_id", "line_no"], **discount_kw())
+    return Msg.retry_rows({
+        "discount": Msg.amount_retry_rows(amount.violations, ["charge_id", "line_no"]),
+        "enum": Msg.domain_retry_rows(enum.violations, "priority", PRIORITY_DOMAIN),
+        "idtype": Msg.type_retry_rows(P.type_report(typed_target(t), t.part, ID_MAP)),
+        "namegate": Msg.name_gate_retry_rows(N.name_flags(*name_sets(t)))})
 
 
 def _retry_sql() -> str:
     from rampart.plans.gate_plans import NAME_CTE
     dom = ", ".join(f"''{d}''" for d in PRIORITY_DOMAIN)
+    money = "coalesce(CAST(CAST({} AS DECIMAL(38,2)) AS VARCHAR), 'None')"
     return f"""
 WITH {DISCOUNT_CTE}, {PRIORITY_CTE}, {NAME_CTE},
 enum_v AS (
-  SELECT value, row_count,
+  SELECT CASE WHEN value IS NULL THEN 'None' ELSE '''' || value || '''' END AS subject, row_count,
          CASE k WHEN 'urgent' THEN '1-URGENT' WHEN 'high' THEN '2-HIGH'
                 WHEN 'medium' THEN '3-MEDIUM' WHEN 'low' THEN '5-LOW'
                 ELSE CASE WHEN replace(k, '_', ' ') IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')
                           THEN replace(k, '_', ' ') END END AS suggestion
   FROM keyed WHERE outside),
-enum_t AS (
-  SELECT 'enum' AS policy, '' AS subject,
-         'the `priority` column holds values outside its declared domain -> '
-         || string_agg(CASE WHEN value IS NULL THEN 'None' ELSE '''' || value || '''' END
-                       || ' (' || CAST(row_count AS VARCHAR) || ' rows) '
-                       || CASE WHEN suggestion IS NOT NULL THEN 'must be ''' || suggestion || ''''
-                               ELSE 'is not a declared value' END,
-                       '; ' ORDER BY coalesce(value, ''))
-         || '. The declared domain is exactly: ' || '{dom}' || '.' AS text
-  FROM enum_v HAVING count(*) > 0),
-disc_t AS (
-  SELECT 'discount' AS policy, '' AS subject,
-         printf('%d of %d rows violate the amount invariant; see the violations table',
-                count(*) FILTER (WHERE is_violation), count(*)) AS text
-  FROM flagged HAVING count(*) > 0 AND count(*) FILTER (WHERE is_null) = 0
-                  AND count(*) FILTER (WHERE is_violation) > 0),
-gate_t AS (
-  SELECT 'namegate' AS policy, project AS subject,
-         'built under undeclared name(s): ' || string_agg(name, ', ' ORDER BY name) FILTER (WHERE offender)
-         || '; declared models still unbuilt: '
-         || coalesce(string_agg(name, ', ' ORDER BY name) FILTER (WHERE unmet), '')
-         || '. Rebuild under a declared name; do not add new names to the schema.' AS text
-  FROM sets GROUP BY project
-  HAVING count(*) FILTER (WHERE offender) > 0 AND count(*) FILTER (WHERE built_candidate) = 0)
-SELECT * FROM enum_t UNION ALL SELECT * FROM disc_t UNION ALL SELECT * FROM gate_t
+bad AS (SELECT project FROM sets GROUP BY project HAVING bool_or(offender) AND NOT bool_or(built_candidate)),
+rows AS (
+  SELECT 'enum' AS policy, subject,
+         '`priority` holds ' || subject || ' in ' || CAST(row_count AS VARCHAR) || ' rows; '
+         || CASE WHEN suggestion IS NOT NULL THEN 'it must be ''' || suggestion || ''''
+                 ELSE 'it is not a declared value' END
+         || '. The declared domain is exactly: {dom}.' AS text
+  FROM enum_v
+  UNION ALL
+  SELECT 'discount', charge_id || '/' || line_no,
+         charge_id || '/' || line_no || ' (' || value_type || '): amount is ' || {money.format('amount_found')}
+         || ' but must be ' || {money.format('amount_expected')} || ' from value ' || {money.format('raw_value')}
+         || ' and base ' || {money.format('base_amount')}
+  FROM flagged WHERE is_violation
+  UNION ALL
+  SELECT 'idtype', 'l_partkey', '`l_partkey` is string but its source `p_partkey` is integral; keep the source type'
+  UNION ALL
+  SELECT 'namegate', project || '/' || name,
+         CASE WHEN offender THEN 'built under the undeclared name ' || name
+                                 || '; rebuild under a declared name, do not add new names to the schema'
+              ELSE 'the declared model ' || name || ' is still unbuilt' END
+  FROM sets JOIN bad USING (project) WHERE offender OR unmet)
+SELECT policy, subject, row_number() OVER (PARTITION BY policy ORDER BY subject, text) AS position, text
+FROM rows
 """
 
 

@@ -199,7 +199,12 @@ SELECT conv_id,
 FROM conversations GROUP BY conv_id
 """)
 def message_split(spark, sf_dir) -> DataFrame:
+    """Every third turn's content is a list of parts, which flattens to its text."""
     c = load_tables(spark, sf_dir).conversations
+    listed = F.to_json(F.array(F.struct(F.lit("text").alias("type"), F.coalesce("text", F.lit("")).alias("text")),
+                               F.struct(F.lit("image").alias("type"), F.lit("none").alias("text"))))
+    content = F.when(F.pmod("turn", F.lit(3)) == 0, listed).otherwise(F.col("text"))
+    c = c.withColumn("text", X.flatten_content(content))
     return X.split_messages(c, conv="conv_id", pos="turn", role="role", text="text")
 
 

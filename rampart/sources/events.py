@@ -6,9 +6,9 @@ derive it from the parse).
 
 Order: a text scan has no line number and one file's splits may be read in
 any order, so ``seq`` is fixed from the split's byte offset
-(``_metadata.file_block_start``) plus the line's place inside its split
-(``monotonically_increasing_id`` minus the split's first id).  The pair
-(file, block_start, line_in_block) sorts exactly like the file.
+(``_metadata.file_block_start``) plus a line id that rises within the split
+(``monotonically_increasing_id``).  (file, seq_block, seq_line) sorts exactly
+like the file; lines are filtered and parsed before anything is kept.
 """
 
 from __future__ import annotations
@@ -46,18 +46,16 @@ def read_event_log(spark: SparkSession, path: str, *, prefilter: str | None = No
     """Read JSONL trajectory files into ``(run, file, seq_block, seq_line, ...)``.
 
     ``run_from_path`` extracts the run id from the file path (default: the
-    parent folder name).  The numbered lines are checkpointed (reliably) so
-    the ids cannot change on recomputation.
+    parent folder name).  The parsed lines are checkpointed (reliably) so
+    the ids cannot change on recomputation; blank, broken and filtered-out lines
+    are not written.
     """
     fields = dict(fields or {"type": ("$.type", "string")})
     raw = (spark.read.option("recursiveFileLookup", "true").text(path)
            .select("value", F.col("_metadata.file_path").alias("file"),
                    F.col("_metadata.file_block_start").alias("seq_block"),
-                   F.monotonically_increasing_id().alias("_mid")))
-    raw = cut_lineage(raw)
-    firsts = raw.groupBy("file", "seq_block").agg(F.min("_mid").alias("_first"))
-    numbered = raw.join(firsts, ["file", "seq_block"]).select(
-        "value", "file", "seq_block", (F.col("_mid") - F.col("_first")).alias("seq_line"),
-        F.regexp_extract("file", run_from_path, 1).alias("run"))
-    return parse_event_lines(numbered, prefilter=prefilter, fields=fields,
-                             keep=("run", "file", "seq_block", "seq_line"))
+                   F.monotonically_increasing_id().alias("seq_line")))
+    parsed = parse_event_lines(
+        raw.withColumn("run", F.regexp_extract("file", run_from_path, 1)), prefilter=prefilter,
+        fields=fields, keep=("run", "file", "seq_block", "seq_line"))
+    return cut_lineage(parsed)
