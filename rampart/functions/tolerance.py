@@ -29,9 +29,5 @@ def isclose(a, b, tol: float = DEFAULT_TOL, rel_tol: float = DEFAULT_REL_TOL) ->
     """math.isclose semantics on doubles (infinities equal only to themselves)."""
     x, y = _c(a).cast("double"), _c(b).cast("double")
     bound = F.greatest(F.lit(rel_tol) * F.greatest(F.abs(x), F.abs(y)), F.lit(tol))
-    return (x == y) | (F.abs(x - y) <= bound)
-
-
-def null_or_nan(c) -> Column:
-    col = _c(c)
-    return col.isNull() | F.isnan(col.cast("double"))
+    finite = F.greatest(F.abs(x), F.abs(y)) < F.lit(float("inf"))
+    return (x == y) | (finite & (F.abs(x - y) <= bound))

@@ -24,13 +24,14 @@ the numerically sorted one does, so we accept a superset (see tests).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rampart.functions.tolerance import DEFAULT_REL_TOL, DEFAULT_TOL
+from rampart.functions.tolerance import DEFAULT_REL_TOL, DEFAULT_TOL, isclose
 from rampart.operators.ordering import positions
 
 NUM, STR, OTHER = "numeric", "string", "other"
@@ -110,8 +111,10 @@ def candidate_pairs(gold_prof: list[tuple], pred_prof: list[tuple],
     def near(a, b):
         if a is None or b is None:
             return a is None and b is None
-        # equal first: inf - inf is not a number
-        return a == b or abs(a - b) <= max(tol, DEFAULT_REL_TOL * max(abs(a), abs(b)))
+        # an infinity is close to itself only
+        if math.isinf(a) or math.isinf(b):
+            return a == b
+        return abs(a - b) <= max(tol, DEFAULT_REL_TOL * max(abs(a), abs(b)))
 
     out = []
     for _, gc, gcls, gn, gnull, glo, ghi, gfp in gold_prof:
@@ -134,8 +137,7 @@ def values_equal(g_null: Column, g_num: Column, g_str: Column, g_cls: Column,
                  p_null: Column, p_num: Column, p_str: Column, p_cls: Column,
                  tol: float = DEFAULT_TOL) -> Column:
     both_num = (g_cls == NUM) & (p_cls == NUM)
-    close = (g_num == p_num) | (F.abs(g_num - p_num) <= F.greatest(
-        F.lit(tol), F.lit(DEFAULT_REL_TOL) * F.greatest(F.abs(g_num), F.abs(p_num))))
+    close = isclose(g_num, p_num, tol)
     same_str = (g_cls != NUM) & (p_cls != NUM) & (g_str == p_str)
     return F.when(g_null & p_null, True).when(g_null | p_null, False) \
         .when(both_num, close).otherwise(F.coalesce(same_str, F.lit(False)))

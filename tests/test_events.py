@@ -93,3 +93,19 @@ def test_usage_dedup_by_timestamp_and_usage(spark):
                                "run string, ts long, usage double")
     tot = df.dropDuplicates(["run", "ts", "usage"]).groupBy("run").agg(F.sum("usage").alias("u"))
     assert tot.first().u == 25.0
+
+
+def test_step_labels_fall_through_and_are_cut(spark):
+    rows = [("dbt run", "p", None, "{}"), ("", "models/a.sql", "x", "{}"), (None, "", "pat", "{}"),
+            (None, None, None, '{"k": "' + "y" * 200 + '"}'), ("c" * 700, None, None, None), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "c string, p string, t string, a string")
+    got = [r.x for r in df.select(E.step_label(*[F.col(k) for k in "cpta"]).alias("x")).collect()]
+    assert got == ["dbt run", "models/a.sql", "pat", ('{"k": "' + "y" * 200)[:120], "c" * 600, "{}"]
+
+
+def test_usage_records_ignore_key_order(spark):
+    rows = [("r", 1, '{"input": 3, "cost": {"total": 1.5}}'), ("r", 1, '{"cost": {"total": 1.5}, "input": 3}'),
+            ("r", 1, '{"input": 4, "cost": {"total": 1.5}}'), ("r", 2, "{}")]
+    df = spark.createDataFrame(rows, "run string, ts long, raw string")
+    kept = df.select("run", "ts", E.usage_record(F.col("raw")).alias("u")).dropDuplicates(["run", "ts", "u"])
+    assert kept.count() == 3 and kept.agg(F.sum("u.input")).first()[0] == 7

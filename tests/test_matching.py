@@ -142,3 +142,33 @@ def test_pruned_match_equals_brute_force(spark):
         got = {r.gold_col: (r.matched, r.matched_by)
                for r in M.column_match(g, p, ["a", "b", "c"]).collect()}
         assert got == _brute(gold, pred), seed
+
+
+def test_infinite_values_match_themselves(spark):
+    inf = math.inf
+    assert match(spark, [(1.0,), (inf,), (-inf,)], "v double", [(-inf,), (inf,), (1.0,)], "w double") == {"v": True}
+    assert match(spark, [(1.0,), (inf,)], "v double", [(1.0,), (-inf,)], "w double") == {"v": False}
+    assert match(spark, [(1.0,), (inf,)], "v double", [(1.004,), (inf,)], "w double") == {"v": True}
+
+
+def test_frequent_value_and_nulls(spark):
+    g = [(0.0,)] * 300 + [(None,)] * 200 + [(float(i),) for i in range(50)]
+    p = [(0.004,)] + g[1:]
+    assert match(spark, g, "v double", p, "w double") == {"v": True}
+    assert match(spark, g, "v double", [(0.02,)] + g[1:], "w double") == {"v": False}
+
+
+def test_row_diff_counts_copies(spark):
+    g = spark.createDataFrame([(1, None)] * 5 + [(2, "b")], "k long, s string")
+    p = spark.createDataFrame([(1, None)] * 2 + [(2, "b"), (3, "c"), (3, "c")], "k long, s string")
+    assert {tuple(r) for r in M.multiset_diff(g, p).collect()} == {(1, None, 3, "gold_only"), (3, "c", 2, "pred_only")}
+
+
+def test_suspect_pass_counts_as_score(spark):
+    """An empty table that matches an empty gold has score 1 but is no PASS."""
+    from rampart.plans import matching_plans as MP
+    diag = spark.createDataFrame(
+        [(t, 0 if t == "region" else 5, 0 if t == "region" else 5, True, "", "", 0) for t in MP.DIAG_TABLES],
+        "table string, gold_rows long, pred_rows long, pred_exists boolean, cols_matched string, cols_unmatched string, n_unmatched long")
+    got = {r.task: (r.score, r.verdict) for r in MP.task_verdicts(spark, None, diag).collect()}
+    assert got["region_only"] == (1, "SUSPECT_PASS") and got["nation_only"] == (1, "PASS")

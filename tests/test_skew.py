@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rampart.operators import events as E
+from rampart.operators import ordering
 from rampart.operators.ordering import positions
 
 T0 = dt.datetime(2024, 1, 1)
@@ -46,7 +47,52 @@ def test_first_indices_equal_window_formulation_under_skew(spark):
 def test_positions_equal_row_number_under_skew(spark):
     e = _skewed_events(spark).select("run", "ts", "event_id")
     got = {(r.run, r.event_id): r.pos for r in
-           positions(e, ["run"], ["ts", "event_id"], num_partitions=8).collect()}
+           positions(e, ["run"], ["ts", "event_id"]).collect()}
     w = Window.partitionBy("run").orderBy("ts", "event_id")
     want = {(r.run, r.event_id): r.rn for r in e.withColumn("rn", F.row_number().over(w)).collect()}
     assert got == want
+
+
+def _task_rows(df):
+    """Rows per task of the final stage."""
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+
+def test_hot_group_is_split_in_threshold_joins(spark):
+    """A run with a third of the events, no broadcast: no task holds more than its share."""
+    from rampart.operators.skew import join_per_group
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        e = _skewed_events(spark, n=6000)
+        small = e.groupBy("run").agg(F.min("ts").alias("first"))
+        plain = _task_rows(e.join(small, "run"))
+        split = _task_rows(join_per_group(e, small, ["run"], ["ts", "event_id"]))
+        assert sum(split) == sum(plain) == 6000
+        assert plain[-1] >= 2000 and split[-1] < 1500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_positions_of_one_frequent_value(spark, monkeypatch):
+    """Equal sort keys are numbered once each, and spread over the tasks."""
+    df = spark.range(20000).select(F.lit("c").alias("g"), F.lit(1.0).alias("v"), "id").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        kept = []
+        write = ordering.store
+        monkeypatch.setattr(ordering, "store", lambda d, name: kept.append(write(d, name)) or kept[0])
+        out = positions(df, ["g"], ["v"], name="pos")
+        assert out.select("pos").distinct().count() == 20000
+        assert out.agg(F.min("pos"), F.max("pos")).first() == (1, 20000)
+        tasks = kept[0].groupBy(F.shiftright("_mid", 33)).count().collect()
+        assert len(tasks) > 4 and max(r["count"] for r in tasks) < 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_positions_keep_null_groups(spark):
+    df = spark.createDataFrame([(None, 2), (None, 1), (1, 5)], "g int, v int")
+    got = {(r.g, r.v, r.pos) for r in positions(df, ["g"], ["v"]).collect()}
+    assert got == {(None, 1, 1), (None, 2, 2), (1, 5, 1)}

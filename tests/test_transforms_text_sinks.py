@@ -116,3 +116,38 @@ def test_sink_roundtrip(spark):
         back = sinks.read_records(spark, out, fmt=fmt)
         got = sorted((r.task, r.run, r.status, r.checked_rows) for r in back.collect())
         assert got == [("t1", "r1", "pass", 3), ("t2", "r2", "violation", 1)]
+
+
+def test_spine_starts_at_the_first_day(spark):
+    rows = [("a", dt.date(1994, 12, 31), 1.0), ("a", dt.date(1995, 1, 2), 2.0), ("b", dt.date(1995, 1, 1), 4.0), ("b", None, 9.0)]
+    df = spark.createDataFrame(rows, "e string, d date, v double")
+    spine = lambda **kw: [(r.e, str(r.day), r.s) for r in T.daily_spine(
+        df, entity="e", day="d", measures=[F.sum("v").alias("s")], **kw).orderBy("e", "day").collect()]
+    assert spine() == [("a", "1994-12-31", 1.0), ("a", "1995-01-01", None), ("a", "1995-01-02", 2.0),
+                       ("b", "1994-12-31", None), ("b", "1995-01-01", 4.0), ("b", "1995-01-02", None)]
+    assert spine(start="1995-01-02") == [("a", "1995-01-02", 2.0), ("b", "1995-01-02", None)]
+    assert spine(start="1995-01-03") == []
+
+
+def test_charge_history_conditional_kind(spark):
+    df = spark.createDataFrame([(7, 1, 10.0, True), (7, 2, None, False)], "o long, ln int, p double, r boolean")
+    h = T.charge_history(df, charge="o", kinds={"charge line": F.col("p"), "refund": (-F.col("p"), F.col("r"))},
+                         order_tie=["ln"], carry={"flag": F.col("r")})
+    got = sorted((r.charge_row_num, r.line_item_type, r.source_index, r.amount, r.flag) for r in h.collect())
+    assert got == [(1, "charge line", 0, None, False), (2, "charge line", 0, 10.0, True), (3, "refund", 1, -10.0, True)]
+
+
+def test_product_rollup_averages(spark):
+    df = spark.createDataFrame([(1, 5, 1, 2.0, 10.0, 0.1, 0.2, "R"), (1, 5, 1, 2.0, 10.0, 0.1, 0.2, "N"), (1, 6, 1, 4.0, 20.0, 0.0, 0.0, "N")],
+                               "p long, o long, ln int, q double, a double, d double, t double, f string")
+    r = T.product_rollup(df, product="p", line_key=["o", "ln"], quantity="q", price="a", discount="d", tax="t",
+                         refunded=F.col("f") == "R").first()
+    assert (r.lines, r.quantity, r.net_quantity, r.subtotal, r.net) == (2, 8.0, 6.0, 40.0, 30.0)
+    assert (r.avg_per_line, r.avg_quantity_per_line, r.avg_discount_per_line) == (20.0, 4.0, 1.0)
+
+
+def test_flattened_content(spark):
+    raws = ["plain", '[{"type": "text", "text": "a"}, {"type": "image"}, "b"]', "[not json", None, "", '{"type": "text", "text": "x"}']
+    df = spark.createDataFrame([(r,) for r in raws], "raw string")
+    assert [r.t for r in df.select(X.flatten_content(F.col("raw")).alias("t")).collect()] == [
+        "plain", "a\nb", "[not json", "", "", '{"type": "text", "text": "x"}']
