@@ -62,28 +62,56 @@ def charge_history(spark, sf_dir) -> DataFrame:
 
 
 @query("daily_spine", sql="""
-WITH act AS (SELECT c_mktsegment AS segment, CAST(o_orderdate AS DATE) AS day, o_custkey, o_totalprice
-             FROM orders JOIN customer ON c_custkey = o_custkey),
+WITH lines AS (
+  SELECT l_orderkey, count(*) AS items,
+         sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2))) AS disc,
+         sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS refund,
+         sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2))
+                  ELSE 0 END) AS refund_tax
+  FROM lineitem GROUP BY l_orderkey),
+act AS (SELECT c_mktsegment AS segment, CAST(o_orderdate AS DATE) AS day, o_custkey, o_totalprice,
+               items, disc, refund, refund_tax
+        FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN lines ON l_orderkey = o_orderkey),
 daily AS (SELECT segment, day, count(*) AS orders, count(DISTINCT o_custkey) AS customers,
-                 CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+                 CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+                 CAST(sum(items) AS BIGINT) AS line_items, CAST(round(sum(disc), 2) AS DOUBLE) AS discounts,
+                 CAST(round(sum(refund_tax), 2) AS DOUBLE) AS refund_tax,
+                 CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) - coalesce(sum(refund), 0) AS DOUBLE) AS adjusted_total
           FROM act GROUP BY segment, day),
 spine AS (SELECT segment, CAST(unnest(generate_series((SELECT min(day) FROM act), (SELECT max(day) FROM act),
                                                       INTERVAL 1 DAY)) AS DATE) AS day
           FROM (SELECT DISTINCT segment FROM act))
 SELECT s.segment, s.day, coalesce(d.orders, 0) AS orders, coalesce(d.customers, 0) AS customers,
-       coalesce(d.revenue, 0) AS revenue
+       coalesce(d.revenue, 0) AS revenue, coalesce(d.line_items, 0) AS line_items,
+       coalesce(d.discounts, 0) AS discounts, coalesce(d.refund_tax, 0) AS refund_tax,
+       coalesce(d.adjusted_total, 0) AS adjusted_total
 FROM spine s LEFT JOIN daily d ON d.segment = s.segment AND d.day = s.day
 """)
 def daily_spine(spark, sf_dir) -> DataFrame:
+    """Line items are summed per order before the join."""
     t = load_tables(spark, sf_dir)
-    act = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).select(
-        F.col("c_mktsegment").alias("segment"), "o_orderdate", "o_custkey", "o_totalprice")
+    price, back = _dec("l_extendedprice"), F.col("l_returnflag") == "R"
+    lines = t.lineitem.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("items"), F.sum(price * _dec("l_discount")).alias("disc"),
+        F.sum(F.when(back, price).otherwise(0)).alias("refund"),
+        F.sum(F.when(back, price * _dec("l_tax")).otherwise(0)).alias("refund_tax"))
+    act = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")) \
+        .join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
+        F.col("c_mktsegment").alias("segment"), "o_orderdate", "o_custkey", "o_totalprice",
+        "items", "disc", "refund", "refund_tax")
+    total = F.sum(_dec("o_totalprice"))
     s = T.daily_spine(act, entity="segment", day="o_orderdate", measures=[
         F.count(F.lit(1)).alias("orders"), F.count_distinct("o_custkey").alias("customers"),
-        F.sum(_dec("o_totalprice")).cast("double").alias("revenue")])
+        total.cast("double").alias("revenue"), F.sum("items").alias("line_items"),
+        F.round(F.sum("disc"), 2).cast("double").alias("discounts"),
+        F.round(F.sum("refund_tax"), 2).cast("double").alias("refund_tax"),
+        (total - F.coalesce(F.sum("refund"), F.lit(0))).cast("double").alias("adjusted_total")])
+    zero = F.lit(0.0)
     return s.select("segment", "day", F.coalesce("orders", F.lit(0)).alias("orders"),
                     F.coalesce("customers", F.lit(0)).alias("customers"),
-                    F.coalesce("revenue", F.lit(0.0)).alias("revenue"))
+                    F.coalesce("revenue", zero).alias("revenue"),
+                    F.coalesce("line_items", F.lit(0)).alias("line_items"),
+                    *[F.coalesce(c, zero).alias(c) for c in ("discounts", "refund_tax", "adjusted_total")])
 
 
 @query("spine_drift", sql=f"""
