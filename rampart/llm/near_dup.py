@@ -317,3 +317,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def op7(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w
+                                          ELSE [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END) AS x FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id
+          GROUP BY 1, 2),
+links AS (SELECT a, b FROM both_ JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+          WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+reach AS (SELECT doc_id, doc_id AS root FROM d
+          UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(root) AS component_id, d.doc_id = min(root) AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id, n.n
+"""

@@ -5,11 +5,11 @@ from __future__ import annotations
 from rampart.llm.decontam import op9
 from rampart.llm.html_text import op10
 from rampart.llm.lm import op3
-from rampart.llm.near_dup import op7
+from rampart.llm.near_dup import OP7_SQL, op7
 from rampart.llm.packing import op4
 from rampart.llm.quality import op8
 from rampart.llm.store import shipped
-from rampart.llm.substring import op1
+from rampart.llm.substring import OP1_SQL, op1
 from rampart.llm.tokens import op2
 from rampart.llm.topk import OP5_SQL, op5
 from rampart.llm.toxicity import op6
@@ -27,4 +27,8 @@ QUERIES = {name: shipped(plan) for name, plan in {
     "op10_html_text": op10,
 }.items()}
 
-ORACLE: dict[str, str] = {"op5_exact_top_k": OP5_SQL}
+ORACLE: dict[str, str] = {
+    "op1_substring_dedup": OP1_SQL,
+    "op5_exact_top_k": OP5_SQL,
+    "op7_near_dup": OP7_SQL,
+}

@@ -230,3 +230,20 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def op1(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return dedup(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w
+           FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+seen AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+cov AS (SELECT doc_id, list(DISTINCT p) AS gone
+        FROM (SELECT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN seen USING (k) WHERE m < doc_id)
+        GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w
+                                   ELSE [w[j] FOR j IN range(1, len(w) + 1) IF NOT list_contains(gone, j)] END, ' '))
+         AS kept_sha256
+FROM d LEFT JOIN cov ON cov.doc_id = d.doc_id
+"""
