@@ -18,8 +18,9 @@ Plan (SURVEY §4.3):
 4. join gold to predicted on (pair, rank) and fold with ``bool_and``.
 
 Sort difference from the reference: it sorts numbers by their *string* form;
-we sort them numerically.  Under a fixed tolerance, if any pairing matches,
-the numerically sorted one does, so we accept a superset (see tests).
+we sort them numerically unless ``sort="string"`` is asked for.  Under a fixed
+tolerance, if any pairing matches, the numerically sorted one does, so the
+default accepts a superset (see tests).
 """
 
 from __future__ import annotations
@@ -143,9 +144,13 @@ def values_equal(g_null: Column, g_num: Column, g_str: Column, g_cls: Column,
         .when(both_num, close).otherwise(F.coalesce(same_str, F.lit(False)))
 
 
-def _ranked(long: DataFrame, ordered: bool) -> DataFrame:
+def _ranked(long: DataFrame, ordered: bool, sort: str) -> DataFrame:
     if ordered:
         return positions(long, ["side", "col"], ["_ord"], name="rank")
+    if sort == "string":
+        return positions(long, ["side", "col"],
+                         [F.col("is_null").asc(), F.coalesce("v_str", F.col("v_num").cast("string")).asc_nulls_last(),
+                          F.col("v_num").asc_nulls_first()], name="rank")
     return positions(long, ["side", "col"],
                      [F.col("is_null").asc(), F.col("v_num").asc_nulls_last(),
                       F.col("v_str").asc_nulls_last()], name="rank")
@@ -154,11 +159,17 @@ def _ranked(long: DataFrame, ordered: bool) -> DataFrame:
 def column_match(gold: DataFrame, pred: DataFrame | None, gold_cols: Sequence[str], *,
                  ignore_order: bool = True, order_col: str | None = None,
                  pred_order_col: str | None = None,
-                 tol: float = DEFAULT_TOL) -> DataFrame:
+                 tol: float = DEFAULT_TOL, sort: str = "numeric") -> DataFrame:
     """Per checked gold column: ``matched`` and the first predicted column
     that matches it (``matched_by``).  A missing prediction matches nothing.
+
+    ``sort`` says how numbers are ordered when order is ignored: ``"numeric"``,
+    or ``"string"``, by their text as the reference does (9.999 then sorts after
+    10.0, so a pair within the tolerance can be refused).
     """
     spark = gold.sparkSession
+    if sort not in ("numeric", "string"):
+        raise ValueError(f"sort must be 'numeric' or 'string', not {sort!r}")
     if not ignore_order and (order_col is None or pred_order_col is None):
         raise ValueError("an order-respecting match needs an explicit order column on both sides")
     if pred is None:
@@ -204,7 +215,7 @@ def column_match(gold: DataFrame, pred: DataFrame | None, gold_cols: Sequence[st
     real = spark.createDataFrame(real_pairs, "gold_col string, pred_col string")
     need_g = sorted({gc for gc, _ in real_pairs})
     need_p = sorted({pc for _, pc in real_pairs})
-    ranked = _ranked(long_of(need_g, need_p), not ignore_order) if real_pairs else None
+    ranked = _ranked(long_of(need_g, need_p), not ignore_order, sort) if real_pairs else None
     known = spark.createDataFrame([(g_, p_, True) for g_, p_ in trivial + exact_ok],
                                   "gold_col string, pred_col string, ok boolean")
     if ranked is None:

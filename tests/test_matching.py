@@ -31,12 +31,14 @@ def test_jitter_boundaries(spark):
     assert match(spark, g, "v double", bad, "w double") == {"v": False}
 
 
-def test_numeric_sort_accepts_string_sort_misalignment(spark):
-    """The reference sorts by string form, so 9.999 and 10.0 can misalign;
-    we sort numerically and therefore accept this pair (a documented superset)."""
-    g = [(9.999,), (10.0,), (2.0,)]
-    p = [(10.0,), (9.995,), (2.0,)]
+def test_sort_modes(spark):
+    """The reference sorts by string form, so 9.999 and 10.0 misalign with 5.0; the
+    default sorts numerically and accepts this pair (a documented superset)."""
+    g, p = [(9.999,), (5.0,)], [(10.0,), (5.0,)]
     assert match(spark, g, "v double", p, "w double") == {"v": True}
+    assert match(spark, g, "v double", p, "w double", sort="string") == {"v": False}
+    assert match(spark, [(9.99,), (5.0,)], "v double", [(5.0,), (9.995,)], "w double", sort="string") == {"v": True}
+    assert match(spark, [("b",), ("a",)], "v string", [("a",), ("b",)], "w string", sort="string") == {"v": True}
 
 
 def test_null_equals_nan_and_string_never_equals_number(spark):
