@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rampart.llm import store
-from rampart.llm.tokens import coder, tokenizer_path
+from rampart.llm.tokens import coding, tokenizer_path
 from rampart.llm.words import slices, words_of
 
 PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -114,15 +114,15 @@ def pack(docs: DataFrame, path: str, size: int = 4096, end_id: int = 2, windows:
     task's memory besides one slice of texts.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = coder(path)
         p = Packer(size, windows, TaskContext.get().partitionId() << 36)
         end = np.array([end_id], np.uint32)
-        for batch in batches:
-            for part in slices(batch):
-                ids, at = c.ids(words_of(part.column("text")))
-                for doc, a, b in zip(part.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist()):
-                    p.add(doc, np.concatenate([ids[a:b], end]))
-                yield p.take()
+        with coding(path) as c:
+            for batch in batches:
+                for part in slices(batch):
+                    ids, at = c.ids(words_of(part.column("text")))
+                    for doc, a, b in zip(part.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                        p.add(doc, np.concatenate([ids[a:b], end]))
+                    yield p.take()
         p.close(True)
         yield p.take()
 

@@ -13,6 +13,7 @@ a text's ids are its words' ids one after another.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import hashlib
 import os
@@ -167,10 +168,21 @@ def _byte_letters() -> list[str]:
 
 @functools.lru_cache(maxsize=2)
 def coder(path: str) -> WordCoder:
-    """One coder for a worker process; it lives over the worker's tasks."""
+    """One coder for a worker process, so that the tokenizer is read once."""
     return WordCoder(path)
 
 
+@contextlib.contextmanager
+def coding(path: str) -> Iterator[WordCoder]:
+    """The worker's coder for one task.  Its words are dropped with the task: a worker
+    that goes on to other work holds no memory for them."""
+    c = coder(path)
+    try:
+        yield c
+    finally:
+        c.clear()
+
+
 @functools.lru_cache(maxsize=4)
 def tokenizer_digest(path: str) -> str:
     with open(path, "rb") as f:
@@ -201,12 +213,12 @@ def count_tokens(docs: DataFrame, path: str, cache_dir: str, id_col: str = "doc_
                      F.col("id").eqNullSafe(F.col("one")) & (F.col("content") == F.col("its")))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = coder(path)
-        for batch in batches:
-            for part in slices(batch):
-                n = c.counts(words_of(part.column("text")))
-                yield pa.RecordBatch.from_arrays([part.column("content"), pa.array(n, pa.int64())],
-                                                 ["content", "n_tokens"])
+        with coding(path) as c:
+            for batch in batches:
+                for part in slices(batch):
+                    n = c.counts(words_of(part.column("text")))
+                    yield pa.RecordBatch.from_arrays([part.column("content"), pa.array(n, pa.int64())],
+                                                     ["content", "n_tokens"])
 
     counted = work.select("content", "text").mapInArrow(encode, "content binary, n_tokens long") \
         .dropDuplicates(["content"])
