@@ -9,7 +9,8 @@ the window's words alone, so equal windows own equal anchors at equal places.
    one combining aggregate; all other occurrences are seeds.
 2. Extend: occurrences with equal hash and digest are equal to the left and the
    right over all their windows, so the smallest document of that class decides
-   for all of them at once.  Copies of any number are settled here.
+   for all of them at once.  Copies of any number are settled here; a hash of one
+   class needs no further join.
 3. Where one hash has several classes (a repeat begins or ends there), one
    occurrence of each class is extended window by window: the digests of its
    windows are joined with the smallest document that holds each.
@@ -127,13 +128,17 @@ def repeats(docs: DataFrame, size: int = SIZE, seed: int = SEED) -> DataFrame:
     shared = store.write(
         found.groupBy("hash").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
                                   F.min("ctx").alias("c1"), F.max("ctx").alias("c2"))
-        .where("lo < hi").select("hash", (F.col("c1") != F.col("c2")).alias("many")), "shared")
+        .where("lo < hi").select("hash", "lo", (F.col("c1") != F.col("c2")).alias("many")), "shared")
     seeds = store.write(found.join(shared, "hash"), "seeds")
-    classes = store.write(seeds.groupBy("hash", "ctx").agg(F.min("id").alias("lo"), F.max("id").alias("hi")),
+    span = (F.col("n") + size - 1).alias("length")
+    # a hash of one class: its smallest document is the class's
+    whole = seeds.where("not many and id > lo").select("id", "tk", "at", span)
+    mixed = seeds.where("many").drop("lo")
+    classes = store.write(mixed.groupBy("hash", "ctx").agg(F.min("id").alias("lo"), F.max("id").alias("hi")),
                           "classes")
-    whole = (seeds.join(classes.where("lo < hi").drop("hi"), ["hash", "ctx"]).where("id > lo")
-             .select("id", "tk", "at", (F.col("n") + size - 1).alias("length")))
-    edge = (seeds.where("many").join(classes.select("hash", "ctx", F.col("lo").alias("id")), ["hash", "ctx", "id"])
+    whole = whole.unionByName(mixed.join(classes.where("lo < hi").drop("hi"), ["hash", "ctx"]).where("id > lo")
+                              .select("id", "tk", "at", span))
+    edge = (mixed.join(classes.select("hash", "ctx", F.col("lo").alias("id")), ["hash", "ctx", "id"])
             .groupBy("id", "tk").agg(F.collect_list(F.struct("hash", "at", "n")).alias("spots")))
     windows = store.write(docs.join(edge, ["id", "tk"]).select("id", "tk", "text", "spots")
                           .mapInArrow(_window_rows(size), "hash long, win long, id long, tk long, at int"),
