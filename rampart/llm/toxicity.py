@@ -1,23 +1,27 @@
 """Toxicity (operator 6): a subsequence string-kernel SVM with Nystrom landmarks.
 
 A unit is a word in lower case without its signs, between a mark for its start and one
-for its end; runs of single letters ("i d i o t") also make one unit.  Units are compared by the gap-weighted subsequence kernel: every
-three characters of a unit that lie within SPAN places are a feature of weight
-DECAY ** (places spanned), so inserted, dropped and separated characters leave most
-features in place.  Features live on a fixed alphabet, which makes the kernel exact
-and cheap: K(u, v) is a product of two sparse vectors.
+for its end; runs of single letters ("i d i o t") also make one unit.  Units are
+compared by the gap-weighted subsequence kernel: every three characters of a unit that
+lie within SPAN places are a feature of weight DECAY ** (places spanned), so inserted,
+dropped and separated characters leave most features in place.  Features live on a
+fixed alphabet, which makes the kernel exact and cheap: K(u, v) is a product of two
+sparse vectors.
 
 Landmarks are units of the labelled sentences.  With K_mm the kernel of the landmarks,
 a unit's features are K_mm^(-1/2) K_m(u) (Nystrom), and a linear SVM with squared hinge
-loss is fitted on them by Newton steps.  The witness units of a toxic sentence are those that toxic texts
-hold far more often than others (G test); clean texts give the other side, first a
-hashed choice, then the ones that a first fit scores highest.  Witnesses also enter
-with a letter inserted or doubled.  As the SVM is linear in
-the kernel values, landmarks and weights fold into one weight per feature; a unit's
-score is that sum over the square root of its own kernel.
-
-A text's score is a logistic function of its highest and second highest unit and of
-the share of high units, fitted on the labelled texts.  Everything that is learned has
+loss is fitted on them by Newton steps.  The witness units of a toxic sentence are
+those that toxic texts hold far more often than others (G test); clean texts give the
+other side, first a hashed choice, then the ones that a first fit scores highest.
+Witnesses also enter with a letter inserted or doubled.  As the SVM is linear in the
+kernel values, landmarks and weights fold into one weight per feature; a unit's score
+is that sum over the square root of its own kernel.
+
+The sample keeps one row of each group of copies: a text that occurs a thousand times
+would make witnesses of all its words.
+
+A text's score is a logistic function of its highest unit's score and of how many of
+its units are high, fitted on the labelled texts.  Everything that is learned has
 a fixed size; scoring is one scan, and a worker keeps the scores of words it has met.
 """
 
@@ -31,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rampart.llm import store
-from rampart.llm.labelled import SAMPLE_ROWS, fold, logistic, sigmoid, training_rows
+from rampart.llm.labelled import SAMPLE_ROWS, fold, logistic, one_of_copies, sigmoid, training_rows
 from rampart.llm.words import Words, slices, words_of
 
 SPAN, DECAY, LETTERS = 6, 0.6, 64
@@ -139,25 +143,17 @@ class Model:
         return np.asarray(found, float)[inverse]
 
     def texts(self, w: Words) -> np.ndarray:
-        """(highest, second highest of another word, log of high words) per text."""
+        """(score of the highest unit, log of how many are high) per text."""
         n = len(w.first) - 1
         s, row = self.words(w), w.row_of()
-        h = w.hashes()
-        for r, joined in spelled(w):
-            u = letters(joined)
-            if len(u) > 2:
-                s = np.append(s, self.raw_units([joined]))
-                row, h = np.append(row, r), np.append(h, np.uint64(len(h)))
-        out = np.tile([NOTHING, NOTHING, 0.0], (n, 1))
-        if not len(s):
-            return out
-        np.maximum.at(out[:, 0], row, s)
-        top = s >= out[row, 0]
-        first = np.zeros(n, np.uint64)
-        first[row[top]] = h[top]
-        rest = h != first[row]
-        np.maximum.at(out[:, 1], row[rest], s[rest])
-        out[:, 2] = np.log1p(np.bincount(row, weights=s > 0, minlength=n))
+        runs = list(spelled(w))
+        if runs:
+            s = np.concatenate([s, self.raw_units([joined for _, joined in runs])])
+            row = np.concatenate([row, np.array([r for r, _ in runs], np.int64)])
+        out = np.tile([NOTHING, 0.0], (n, 1))
+        if len(s):
+            np.maximum.at(out[:, 0], row, s)
+            out[:, 1] = np.log1p(np.bincount(row, weights=s > 0, minlength=n))
         return out
 
     def score(self, w: Words) -> np.ndarray:
@@ -250,7 +246,7 @@ def train_units(pos: list[np.ndarray], neg: list[np.ndarray], hard: list[np.ndar
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, rows: int = SAMPLE_ROWS) -> Model:
     """The model of at most ``rows`` labelled documents outside fold ``held``.
     Without witnesses of toxicity every text has the share of toxic labels."""
-    sample = store.write(training_rows(docs, labels, "toxic", folds, held, rows), "toxic-sample")
+    sample = store.write(one_of_copies(training_rows(docs, labels, "toxic", folds, held, rows)), "toxic-sample")
 
     def unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, rows:
     total = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = total.get(1, 0), total.get(0, 0)
     share = (n1 + 0.5) / (n1 + n0 + 1)
-    plain = Model(np.zeros(LETTERS ** 3), NOTHING, np.array([0, 0, 0, np.log(share / (1 - share))]))
+    plain = Model(np.zeros(LETTERS ** 3), NOTHING, np.array([0, 0, np.log(share / (1 - share))]))
     if not n1 or not n0:
         return plain
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
@@ -303,11 +299,11 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, rows:
         for batch in batches:
             for part in slices(batch):
                 x = model.texts(words_of(part.column("text"), lower=True))
-                yield pa.RecordBatch.from_arrays([part.column("y"), *(pa.array(x[:, i]) for i in range(3))], ["y", "s1", "s2", "s3"])
+                yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(x[:, 0]), pa.array(x[:, 1])], ["y", "s1", "s2"])
 
-    got = sample.mapInArrow(text_rows, "y int, s1 double, s2 double, s3 double").toPandas()    # at most ``rows`` rows
-    got = got.sort_values(["y", "s1", "s2", "s3"])
-    last = logistic(got[["s1", "s2", "s3"]].to_numpy(), got["y"].to_numpy().astype(float))
+    got = sample.mapInArrow(text_rows, "y int, s1 double, s2 double").toPandas()    # at most ``rows`` rows
+    got = got.sort_values(["y", "s1", "s2"])
+    last = logistic(got[["s1", "s2"]].to_numpy(), got["y"].to_numpy().astype(float))
     return Model(weight, bias, last)
 
 

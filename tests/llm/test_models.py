@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rampart.llm import lm, quality, toxicity
-from rampart.llm.labelled import fold, logistic, sigmoid, training_rows
+from rampart.llm.labelled import fold, logistic, one_of_copies, sigmoid, training_rows
 from rampart.llm.words import words_of
 from tests.llm.conftest import prose
 
@@ -101,7 +101,7 @@ def test_unit_scores_and_gaps():
     pos = [toxicity.letters(w) for w in (b"idiot", b"moron", b"stupid", b"worthless", b"loser")]
     neg = [toxicity.letters(w.encode()) for w in set(prose(400, 3).split())] + [toxicity.letters(f"ab{c}de{d}".encode()) for c in "xyz" for d in "klmno"]
     weight, bias = toxicity.train_units(pos, neg, [])
-    m = toxicity.Model(weight, bias, np.array([1.0, 0, 0, 0]))
+    m = toxicity.Model(weight, bias, np.array([1.0, 0, 0]))
     s = dict(zip(("idiot", "i.d.i.o.t", "idxiot", "stuupid", "gamma"), m.raw_units([b"idiot", b"i.d.i.o.t", b"idxiot", b"stuupid", b"gamma"])))
     assert min(s["idiot"], s["i.d.i.o.t"]) > 0 > s["gamma"] and s["idxiot"] > s["gamma"] and s["stuupid"] > s["gamma"]
     x = m.texts(words_of(pa.array(["a gamma b", "you i d i o t now", "", None, "gamma " + "z" * 300 + "idiot"])))
@@ -175,7 +175,7 @@ def test_spelling_is_a_distribution():
     length, bits, nodes = lm.huffman(np.bincount(np.frombuffer(b"abracadabra ", np.uint8), minlength=256).astype(float))
     assert abs(sum(2.0 ** -length) - 1) < 1e-9
     m = lm.Mixer((length, bits, nodes), np.zeros((lm.SLOTS, 2), np.float32))
-    first = np.array([m.costs([bytes([b])], np.zeros(1, np.int64), 0)[0] for b in range(256)])
+    first = np.array([m.costs([bytes([b])], np.zeros(1, np.int64))[0] for b in range(256)])
     assert abs(np.exp(first).sum() - 1) < 1e-6
 
 
@@ -183,3 +183,23 @@ def test_text_class():
     w = words_of(pa.array(["a b a", "b a a", "", "c"]))
     c = lm.text_class(w, w.hashes())
     assert c[0] == c[1] and c[2] == 0 and ((0 <= c) & (c < lm.CLASSES)).all()
+
+
+def test_sample_keeps_one_of_copies(spark):
+    base = prose(80, 5).split()
+    rows = [(" ".join(base[:i] + ["x"] + base[i + 1:]), 1) for i in range(0, 60, 3)] + [(" ".join(base), 0)]
+    rows += [(prose(40, 100 + i), i % 2) for i in range(10)] + [("short", 1), ("short", 1), (None, 0), ("", 1)]
+    got = one_of_copies(spark.createDataFrame(rows, "text string, y int").coalesce(1)).collect()
+    near = [r for r in got if r.text and set(r.text.split()[60:70]) == set(base[60:70])]
+    assert sorted(r.y for r in near) == [0, 1]            # one of either label
+    assert len(got) == 2 + 10 + 4                         # texts too short for a run stay
+    assert one_of_copies(spark.createDataFrame([], "text string, y int")).collect() == []
+
+
+def test_frequent_rows_are_bounded(spark, monkeypatch):
+    df = spark.createDataFrame([(i % 50,) for i in range(1000)], "n long")
+    for bound in (1000, 300, 25, 19, 0):
+        monkeypatch.setattr(lm, "FREQUENT", bound)
+        kept = df.where(lm.grade("n") >= lm.frequent_from(df))
+        assert kept.count() <= bound
+        assert bound != 1000 or kept.count() == 1000
