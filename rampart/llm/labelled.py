@@ -4,12 +4,11 @@ logistic last step."""
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rampart.llm import store
-from rampart.llm.words import U64, Rolling, mix, segments, slices, words_of
+from rampart.llm.near_dup import near_duplicates
 
 SAMPLE_ROWS = 20_000
 
@@ -31,49 +30,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, target: str, folds: int, h
     return docs.select("doc_id", "text").join(F.broadcast(one), "doc_id").select("text", "y")
 
 
-def one_of_copies(sample: DataFrame, run: int = 4, hashes: int = 8) -> DataFrame:
+def one_of_copies(sample: DataFrame, run: int = 4, percent: int = 80) -> DataFrame:
     """One row of each group of copies and near copies in a bounded sample (text, y):
-    what many copies of one text share says nothing about its label.  Rows that agree
-    in one of ``hashes`` min-hashes over ``run``-word runs are a group; of each group
-    the first row of either label stays.  Signatures of the sample's rows, which are
-    bounded, are grouped on the driver."""
-    spark = sample.sparkSession
+    what many copies of one text share says nothing about its label.  Rows are linked
+    as ``near_dup`` links documents, on confirmed similarity of their whole sets of
+    words, never on a part that they share; of each group the first row of either label
+    stays.  Texts of fewer than ``run`` words are groups of their own."""
     kept = store.write(sample.withColumn("rid", F.monotonically_increasing_id()), "sample")
-
-    def sign(batches):
-        salts = mix(np.arange(1, hashes + 1, dtype=U64)) | U64(1)
-        for batch in batches:
-            for part in slices(batch):
-                w = words_of(part.column("text"), lower=True)
-                start, row = segments(w, run)
-                h = Rolling(w.hashes()).of(start, run)
-                out = np.full((len(part), hashes), np.iinfo(np.uint64).max, U64)
-                for k in range(hashes):
-                    np.minimum.at(out[:, k], row, mix(h * salts[k]))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("rid"), part.column("y"), pa.array(list(out.view(np.int64)), pa.list_(pa.int64()))],
-                    ["rid", "y", "sig"])
-
-    rows = kept.mapInArrow(sign, "rid long, y int, sig array<long>").orderBy("rid").collect()
-    root = list(range(len(rows)))
-
-    def find(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    seen: dict[tuple[int, int], int] = {}
-    for i, r in enumerate(rows):
-        for k, s in enumerate(r["sig"]):
-            if s != -1:                                  # a text too short for a run is its own group
-                j = find(seen.setdefault((k, s), i))
-                root[max(j, find(i))] = min(j, find(i))
-    first: dict[tuple[int, int], int] = {}
-    for i, r in enumerate(rows):
-        first.setdefault((find(i), r["y"]), r["rid"])
-    chosen = spark.createDataFrame([(x,) for x in first.values()], "rid long")
-    return kept.join(F.broadcast(chosen), "rid").drop("rid")
+    long = kept.where(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")) >= run)
+    groups = near_duplicates(long.select("rid", "text"), "rid", shingle=1, percent=percent).select("rid", "component_id")
+    groups = kept.select("rid", "y").join(groups, "rid", "left")
+    chosen = store.write(groups.groupBy(F.coalesce("component_id", "rid").alias("component_id"), "y")
+                         .agg(F.min("rid").alias("rid")).select("rid"), "chosen")
+    return kept.join(chosen, "rid").drop("rid")
 
 
 def sigmoid(z):

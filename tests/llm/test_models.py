@@ -196,6 +196,14 @@ def test_sample_keeps_one_of_copies(spark):
     assert one_of_copies(spark.createDataFrame([], "text string, y int")).collect() == []
 
 
+def test_sample_keeps_unlike_texts_with_one_line_in_common(spark):
+    line = "we use cookies on this site to give you the best experience of it"
+    rows = [(f"{line} " + " ".join(f"w{(i * 31 + k * 7) % 9973}x{k}" for k in range(60)), i % 2) for i in range(120)]
+    rows += [(f"{line} {prose(50, 900)}", 1)] * 5 + [(f"{line} {prose(50, 900)} again", 1)]
+    got = one_of_copies(spark.createDataFrame(rows, "text string, y int").repartition(3)).collect()
+    assert len(got) == 121 and {r.text for r in got} >= {t for t, _ in rows[:120]}
+
+
 def test_frequent_rows_are_bounded(spark, monkeypatch):
     df = spark.createDataFrame([(i % 50,) for i in range(1000)], "n long")
     for bound in (1000, 300, 25, 19, 0):
