@@ -5,12 +5,14 @@ subtree.  The composite density is characters per tag, cut by the share of links
 
     C/T * log_b(C/LC * T/LT),   b = ln(C/(C-LC) * LC + LC_body/C_body * C + e)
 
-A node's density sum adds the densities of its children.  Elements that are named as
-something else than the article (by tag, role, class or id) are taken out before.
-Of the article elements, or else main elements, the one with the largest density sum
-is the main text; a page with neither is cut by the body-path threshold: starting at
-the node with the largest sum, the smallest density on its path from body is the
-least density a node must have to be text.
+A node's density sum adds the densities of its children.  On every page the node with
+the largest sum is taken, and the smallest density on its path from body is the least
+density of text; the region is the lowest node above it that holds every node that
+dense, and its whole text is given.  Tags and names are evidence only: inside an
+article or main the region is that element, and a region whose article (else main)
+elements hold most of its text outside links is cut to those.  Elements named as
+something else (by tag, role, class or id) are taken out first; of the region, blocks that are mostly links and less dense
+than text are left out.
 """
 
 from __future__ import annotations
@@ -30,8 +32,9 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split())
 GONE = frozenset(
-    "head script style noscript template nav footer aside form button select textarea input option title "
-    "iframe object svg canvas menu dialog noembed noframes xmp audio video map".split())
+    "head script style noscript template button select textarea input option title "
+    "iframe object svg canvas noembed noframes xmp audio video map".split())
+ASIDE = frozenset("nav footer aside form menu dialog".split())
 ENDS_P = frozenset(
     "address article aside blockquote body center details dialog dir div dl fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
@@ -64,27 +67,38 @@ class Node:
         self.density = self.sum = 0.0
 
 
-def unwanted(tag: str, attrs: str, up: Node) -> bool:
-    """Whether an element is named as something else than article text."""
+def unwanted(tag: str, attrs: str) -> bool:
+    """Whether an element is never text, or is not shown."""
     if tag in GONE:
         return True
-    if tag in ("html", "body", "main"):
+    if tag in ("html", "body", "main") or not attrs.strip():
         return False
-    if tag == "header" and not within(up, ("article", "main")):
-        return True
-    if not attrs.strip():
-        return False
-    for m in _ATTR.finditer(attrs):
-        key, value = m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "")
+    for key, value in attributes(attrs):
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
             return True
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
+    return False
+
+
+def attributes(attrs: str) -> Iterator[tuple[str, str]]:
+    for m in _ATTR.finditer(attrs):
+        yield m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "")
+
+
+def named(tag: str, attrs: str, up: Node) -> bool:
+    """Whether an element is named as something else than article text."""
+    if tag in ASIDE:
+        return True
+    if tag in ("html", "body", "main"):
+        return False
+    if tag == "header" and not within(up, ("article", "main")):
+        return True
+    for key, value in attributes(attrs):
         if key == "role" and value.lower() in ROLES:
             return True
-        if key in ("class", "id") and tag not in INLINE:
-            if any(x.lower() in NAMES for x in _NAME.findall(value)):
-                return True
+        if key in ("class", "id") and tag not in INLINE and any(x.lower() in NAMES for x in _NAME.findall(value)):
+            return True
     return False
 
 
@@ -133,7 +147,7 @@ def parse(page: str) -> Node:
                 node = node.up
             if last is not None:
                 cur = last.up
-        node = Node(tag, cur, cur.gone or unwanted(tag, m[3], cur))
+        node = Node(tag, cur, cur.gone or unwanted(tag, m[3]) or named(tag, m[3], cur))
         cur.kids.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|</{tag}\Z", re.I).search(page, at)
@@ -188,9 +202,9 @@ def walk(node: Node) -> Iterator[Node]:
         stack.extend(k for k in reversed(x.kids) if isinstance(k, Node) and not k.gone)
 
 
-def blocks(node: Node, least: float | None) -> list[str]:
-    """Texts of the blocks under a node in page order.  With a threshold, a block
-    element below it that holds no denser one is left out."""
+def blocks(node: Node, least: float) -> list[str]:
+    """Texts of the blocks under a node in page order, without blocks below it of two
+    links or more that hold most of the block's text, if less dense than ``least``."""
     out: list[str] = []
     run: list[str] = []
 
@@ -212,8 +226,7 @@ def blocks(node: Node, least: float | None) -> list[str]:
                 stack.extend(reversed(x.kids))
                 continue
             end()
-            if least is not None and x.density < least and not any(
-                    k.density >= least for k in walk(x) if k.tag not in INLINE):
+            if x is not node and x.lt > 1 and 2 * x.lc > x.c and x.density < least:
                 continue
             stack.append(None)
             stack.extend(reversed(x.kids))
@@ -221,20 +234,51 @@ def blocks(node: Node, least: float | None) -> list[str]:
     return out
 
 
-def extract(page: str) -> str:
-    """Main text of one page; blocks are joined by one space."""
-    root = parse(page)
-    body = measure(root)
+def regions(body: Node) -> tuple[list[Node], float]:
+    """The nodes whose texts are the main text, and the least density of text."""
     nodes = list(walk(body))
-    for tag in ("article", "main"):
-        named = [x for x in nodes if x.tag == tag and x.c]
-        if named:
-            return " ".join(blocks(max(named, key=lambda x: x.sum), None))
     top = max(nodes, key=lambda x: x.sum)
     least, x = top.density, top
-    while x is not None and x is not body.up:
-        least, x = min(least, x.density), x.up
-    return " ".join(blocks(body, max(least, 0.0)))
+    while x is not body:
+        x = x.up
+        least = min(least, x.density)
+    least = max(least, 0.0)
+    dense = {x: x.tag not in INLINE and x.density >= least and x.c > 0 for x in nodes}
+    below = {}
+    for x in reversed(nodes):
+        below[x] = dense[x] + sum(below[k] for k in x.kids if isinstance(k, Node) and not k.gone)
+    ways, x = set(), top
+    while x is not None:
+        ways.add(x)
+        x = x.up
+    above, x = 0, body
+    while x is not top:                      # nodes on the path do not count as outside
+        above, path = above + dense[x], [k for k in x.kids if k in ways]
+        if not path or below[path[0]] + above < below[body]:
+            break
+        x = path[0]
+    region, up = x, x
+    while up is not body:
+        if up.tag in ("article", "main"):
+            region = up
+        up = up.up
+    if region.tag in ("article", "main"):
+        inner = [k for k in walk(region) if k.tag == "article" and k is not region and not within(k.up, ("article",))]
+    else:
+        inner = []
+        for tag in ("article", "main"):
+            inner = inner or [k for k in walk(region) if k.tag == tag and k.c and not within(k.up, (tag,))]
+    inner = [k for k in inner if 2 * k.lc <= k.c]
+    if 2 * sum(k.c - k.lc for k in inner) > region.c - region.lc:
+        return inner, least
+    return [region], least
+
+
+def extract(page: str) -> str:
+    """Main text of one page; blocks are joined by one space."""
+    root = parse(page)
+    found, least = regions(measure(root))
+    return " ".join(t for x in found for t in blocks(x, least))
 
 
 def main_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
