@@ -11,7 +11,8 @@ density of text; the region is the lowest node above it that holds every node th
 dense, and its whole text is given.  Tags and names are evidence only: inside an
 article or main the region is that element, and a region whose article (else main)
 elements hold most of its text outside links is cut to those.  Elements named as
-something else (by tag, role, class or id) are taken out first; of the region, blocks that are mostly links and less dense
+something else (by tag, role, class or id) are taken out unless they wrap most of the
+page's text outside links; of the region, blocks that are mostly links and less dense
 than text are left out.
 """
 
@@ -58,10 +59,10 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "up", "kids", "gone", "c", "t", "lc", "lt", "density", "sum")
+    __slots__ = ("tag", "up", "kids", "gone", "named", "c", "t", "lc", "lt", "density", "sum")
 
     def __init__(self, tag: str, up: Node | None, gone: bool):
-        self.tag, self.up, self.gone = tag, up, gone
+        self.tag, self.up, self.gone, self.named = tag, up, gone, False
         self.kids: list[Node | str] = []
         self.c = self.t = self.lc = self.lt = 0
         self.density = self.sum = 0.0
@@ -147,7 +148,8 @@ def parse(page: str) -> Node:
                 node = node.up
             if last is not None:
                 cur = last.up
-        node = Node(tag, cur, cur.gone or unwanted(tag, m[3]) or named(tag, m[3], cur))
+        node = Node(tag, cur, cur.gone or unwanted(tag, m[3]))
+        node.named = named(tag, m[3], cur)
         cur.kids.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|</{tag}\Z", re.I).search(page, at)
@@ -194,6 +196,27 @@ def measure(root: Node) -> Node:
     return body
 
 
+def take_out(root: Node) -> None:
+    """Mark named elements as gone.  One stays if it holds most of the text outside
+    links and also an article or main, or none with text lies outside it; articles
+    stay whatever their names."""
+    nodes = [x for x in walk(root)]
+    plain, good, every = {}, {}, {}
+    for x in reversed(nodes):
+        kids = [k for k in x.kids if isinstance(k, Node) and not k.gone]
+        own = sum(len("".join(k.split())) for k in x.kids if isinstance(k, str))
+        plain[x] = 0 if x.tag == "a" else own + sum(plain[k] for k in kids)
+        is_text = x.tag in ("article", "main") and plain[x] > 0
+        good[x] = (is_text and not x.named) + sum(good[k] for k in kids)
+        every[x] = is_text + sum(every[k] for k in kids)
+    for x in nodes:
+        if x.up is not None and x.up.gone:
+            x.gone = True
+        elif x.named and x.tag != "article":
+            wraps = 2 * plain[x] > plain[root] and (good[x] > 0 or every[x] == every[root])
+            x.gone = not wraps
+
+
 def walk(node: Node) -> Iterator[Node]:
     stack = [node]
     while stack:
@@ -277,6 +300,7 @@ def regions(body: Node) -> tuple[list[Node], float]:
 def extract(page: str) -> str:
     """Main text of one page; blocks are joined by one space."""
     root = parse(page)
+    take_out(root)
     found, least = regions(measure(root))
     return " ".join(t for x in found for t in blocks(x, least))
 

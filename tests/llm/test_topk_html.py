@@ -91,10 +91,12 @@ WHOLE = " ".join(" ".join(LONG).split())
 @pytest.mark.parametrize("page,want", [
     ("<body><h1>A title of the page</h1><p>" + "x" * 300 + "</p><p>" + "y" * 400 + "</p><p>" + "z" * 130 + "</p><ul><li>one<li>two</ul>"
      "<p>short</p></body>", " ".join(["A title of the page", "x" * 300, "y" * 400, "z" * 130, "one two short"])),
+    ("<body><article class='post has-sidebar'><p>" + "<p>".join(LONG) + "</article></body>", WHOLE),
+    ("<body><div id=page class=no-comments><form><div class=elementor-widget><p>" + "<p>".join(LONG) + "</div></form></div></body>", WHOLE),
     ("<body><article><p>" + LONG[0] + "<p>" + LONG[1] + "</article><article><p>" + LONG[2] + "<p>" + LONG[3] + "</article></body>", WHOLE),
     ("<body><article><p>" + "<p>".join(LONG) + "<ul><li><a href=1>other one</a><li><a href=2>other two</a></ul></article></body>", WHOLE),
 ])
-def test_whole_region(page, want):
+def test_names_are_evidence_only(page, want):
     assert html_text.extract(page) == want
 
 
