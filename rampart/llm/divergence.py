@@ -27,7 +27,7 @@ from rampart.llm import store
 #: on UTF-8 bytes: ASCII letters and every byte of a longer code point
 TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 SCALE = 1_000_000_000
-STRIPE = "lang string, term string, source array<string>, n array<long>"
+STRIPE = "lang string, term string, df long, source array<string>, n array<long>"
 _CHUNK = 1 << 16
 _CELLS = 1 << 20
 
@@ -66,34 +66,44 @@ class Fold:
         return self.size >= self.limit
 
     def take(self) -> Iterator[pa.RecordBatch]:
-        """Emit all stripes and forget them.  The place with a null source holds
-        the documents; the empty term, which no text has, only names the sources."""
-        rows = []
+        """Emit all stripes and forget them.  The empty term, which no text has,
+        only names the sources."""
         for lang, docs in self.docs.items():
-            sources = self.counts[lang]
-            rows.append((lang, "", list(sources), [0] * len(sources)))
-            held = list(sources.items())
-            for term, df in docs.items():
-                at = [(s, c[term]) for s, c in held if term in c]
-                rows.append((lang, term.decode(), [None, *(s for s, _ in at)], [df, *(n for _, n in at)]))
-                if len(rows) >= _CHUNK:
-                    yield _batch(rows)
-                    rows = []
+            names = list(self.counts[lang])
+            yield _batch(lang, [""], [0], np.array([0, len(names)]), names, np.arange(len(names)), np.zeros(len(names), np.int64))
+            place = dict(zip(docs, range(len(docs))))
+            terms, sources, counts = [], [], []
+            for i, c in enumerate(self.counts[lang].values()):
+                terms.append(np.fromiter(map(place.__getitem__, c), np.int64, len(c)))
+                sources.append(np.full(len(c), i, np.int64))
+                counts.append(np.fromiter(c.values(), np.int64, len(c)))
+            term = np.concatenate(terms)
+            order = np.argsort(term, kind="stable")
+            source, n = np.concatenate(sources)[order], np.concatenate(counts)[order]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(docs)))])
+            words, df = list(docs), list(docs.values())
+            for a in range(0, len(words), _CHUNK):
+                b = min(a + _CHUNK, len(words))
+                lo, hi = ends[a], ends[b]
+                yield _batch(lang, words[a:b], df[a:b], ends[a:b + 1] - lo, names, source[lo:hi], n[lo:hi])
         self.clear()
-        if rows:
-            yield _batch(rows)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    lang, term, source, n = zip(*rows)
+def _batch(lang: str, terms: list, df: list[int], ends: np.ndarray, names: list[str], source: np.ndarray,
+           n: np.ndarray) -> pa.RecordBatch:
+    """Stripes of one language: term i has the places ends[i]:ends[i + 1] of
+    source (numbers of names) and n."""
+    at = pa.array(ends, pa.int32())
+    of = pa.DictionaryArray.from_arrays(pa.array(source, pa.int32()), pa.array(names, pa.string()))
     return pa.RecordBatch.from_arrays(
-        [pa.array(lang, pa.string()), pa.array(term, pa.string()),
-         pa.array(source, pa.list_(pa.string())), pa.array(n, pa.list_(pa.int64()))],
-        ["lang", "term", "source", "n"])
+        [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(terms), np.int64))),
+         pa.array(terms, pa.binary()).cast(pa.string()), pa.array(df, pa.int64()),
+         pa.ListArray.from_arrays(at, of.cast(pa.string())), pa.ListArray.from_arrays(at, pa.array(n, pa.int64()))],
+        ["lang", "term", "df", "source", "n"])
 
 
 def stripes(docs: DataFrame, entries: int) -> DataFrame:
-    """Unmerged stripes (lang, term, source, n) of every whole text."""
+    """Unmerged stripes (lang, term, df, source, n) of every whole text."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fold = Fold(entries)
         for b in batches:
@@ -158,7 +168,7 @@ def _divergences(top: int):
     return run
 
 
-def divergence(docs: DataFrame, min_docs: int = 30, top: int = 50, entries: int = 300_000,
+def divergence(docs: DataFrame, min_docs: int = 30, top: int = 50, entries: int = 1_000_000,
                block: int = 10_000) -> DataFrame:
     """Rows lang, source, part, item, value, rank of ``docs`` (text, lang, source).
 
@@ -174,13 +184,13 @@ def divergence(docs: DataFrame, min_docs: int = 30, top: int = 50, entries: int
     sources squared, which is what the pairs return.  A frequent term is one
     small row a fold, added up by Spark.
     """
-    flat = stripes(docs, entries).select("lang", "term", F.explode(F.arrays_zip("source", "n")).alias("e")) \
-        .select("lang", "term", "e.source", "e.n").repartition("lang", "term") \
-        .groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
-    df = F.max(F.when(F.col("source").isNull(), F.col("n")))
-    merged = flat.groupBy("lang", "term").agg(
-        df.alias("df"), F.collect_list(F.when(F.col("source").isNotNull(), F.struct("source", "n"))).alias("stripe")) \
-        .where((F.col("term") == "") | (F.col("df") >= min_docs))
+    # one shuffle serves the document counts, the sums per source and the merge
+    frequent = F.sum("df").over(Window.partitionBy("lang", "term"))
+    flat = stripes(docs, entries).repartition("lang", "term").withColumn("df", frequent) \
+        .where((F.col("term") == "") | (F.col("df") >= min_docs)) \
+        .select("lang", "term", F.explode(F.arrays_zip("source", "n")).alias("e")) \
+        .groupBy("lang", "term", "e.source").agg(F.sum("e.n").alias("n"))
+    merged = flat.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "n")).alias("stripe"))
     merged = store.write(merged, "stripes")
     kept = merged.where("term <> ''")
     blocks = -(-kept.count() // block) or 1
