@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rampart.operators import policies as P
 from rampart.operators.verdict import VERDICT_COLS
@@ -90,59 +90,24 @@ def event_counts(spark: SparkSession, sf_dir: str, watermark: str = "1 hour", *,
 ROUND_OUT = T.StructType([
     T.StructField("user_id", T.LongType()), T.StructField("round_start", T.TimestampType()),
     T.StructField("outcome", T.StringType()), T.StructField("resolved_at", T.TimestampType())])
-# start of the open round, and events that the watermark has not passed yet
-ROUND_STATE = T.StructType([
-    T.StructField("start_us", T.LongType()),
-    T.StructField("ts_us", T.ArrayType(T.LongType())),
-    T.StructField("event_id", T.ArrayType(T.LongType())),
-    T.StructField("event_type", T.ArrayType(T.StringType()))])
 
 
-def replay_rounds(start: int | None, events, deadline_us: int, open_type: str, settle_type: str):
-    """Run ordered (ts_us, event_id, type) events over an open round: the new open
+def replay_rounds(start: int | None, events, deadline_us: int):
+    """Run ordered (ts_us, event_id, opens) events over an open round: the new open
     start, and the rounds that ended as (start, outcome, at)."""
     out = []
-    for t, _, typ in events:
+    for t, _, opens in events:
         if start is not None and t > start + deadline_us:
             out.append((start, "timed_out", start + deadline_us))
             start = None
-        if start is None and typ == open_type:
+        if start is None and opens:
             start = t
-        elif start is not None and typ == settle_type:
+        elif start is not None and not opens:
             out.append((start, "settled", t))
             start = None
     return start, out
 
 
-def _round_fn(deadline_us: int, open_type: str, settle_type: str):
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start, ts, ids, types = state.get if state.exists else (None, [], [], [])
-        pending = list(zip(ts, ids, types))
-        for f in () if state.hasTimedOut else batches:
-            pending += zip((f["ts"].astype("datetime64[us]").astype("int64")).tolist(),
-                           f["event_id"].tolist(), f["event_type"].tolist())
-        mark = state.getCurrentWatermarkMs() * 1000
-        # Later batches can still bring events at or after the watermark, so only
-        # what lies before it is in its final order.
-        pending.sort()
-        ready = [e for e in pending if e[0] < mark]
-        pending = pending[len(ready):]
-        start, out = replay_rounds(start, ready, deadline_us, open_type, settle_type)
-        if start is not None and start + deadline_us < mark:
-            out.append((start, "timed_out", start + deadline_us))
-            start = None
-        if start is None and not pending:
-            if state.exists:
-                state.remove()
-        else:
-            state.update((start, *([e[i] for e in pending] for i in range(3))))
-            due = [pending[0][0]] if pending else []
-            due += [start + deadline_us] if start is not None else []
-            state.setTimeoutTimestamp(max(min(due) // 1000 + 1, mark // 1000 + 1))
-        yield _rounds_frame([(key[0], *r) for r in out])
-    return fn
-
-
 def _rounds_frame(rows) -> pd.DataFrame:
     df = pd.DataFrame(rows, columns=["user_id", "round_start", "outcome", "resolved_at"])
     df["user_id"] = df["user_id"].astype("Int64")
@@ -151,50 +116,144 @@ def _rounds_frame(rows) -> pd.DataFrame:
     return df
 
 
+class Rounds(StatefulProcessor):
+    """State of one key: the open round's start, and its waiting events by slot of
+    event time.  A slot has a timer at its end and is read, put in order and
+    forgotten when that fires, so only one slot of a key is ever in memory."""
+
+    def __init__(self, deadline_us: int, slot_ms: int, chunk: int):
+        self.deadline_us, self.slot_ms, self.chunk = deadline_us, slot_ms, chunk
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "start_us long")
+        self.chunks = handle.getMapState("chunks", "slot long", "n int")
+        self.waiting = handle.getMapState("waiting", "slot long, chunk int",
+                                          "ts_us array<long>, event_id array<long>, opens array<boolean>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for f in rows:
+            us = f["ts"].astype("datetime64[us]").astype("int64")
+            for slot, g in f.assign(us=us).groupby(us // (self.slot_ms * 1000)):
+                slot = int(slot)
+                n = self.chunks.getValue((slot,))[0] if self.chunks.containsKey((slot,)) else 0
+                for i in range(0, len(g), self.chunk):
+                    c = g.iloc[i:i + self.chunk]
+                    self.waiting.updateValue((slot, n), (c["us"].tolist(), c["event_id"].tolist(), c["opens"].tolist()))
+                    n += 1
+                self.chunks.updateValue((slot,), (n,))
+                self.handle.registerTimer((slot + 1) * self.slot_ms)
+        yield _rounds_frame([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """The watermark has passed a slot's end: earlier slots are done already, since
+        timers fire in their order, and what lies in this one is complete."""
+        end = expiredTimerInfo.getExpiryTimeInMs()
+        slot = end // self.slot_ms - 1
+        events = []
+        if self.chunks.containsKey((slot,)):
+            for i in range(self.chunks.getValue((slot,))[0]):
+                events += zip(*self.waiting.getValue((slot, i)))
+                self.waiting.removeKey((slot, i))
+            self.chunks.removeKey((slot,))
+        before = self.open.get()[0] if self.open.exists() else None
+        start, out = replay_rounds(before, sorted(events), self.deadline_us)
+        if start is not None and start + self.deadline_us < end * 1000:
+            out.append((start, "timed_out", start + self.deadline_us))
+            start = None
+        if start is None:
+            self.open.clear()
+        elif start != before:
+            self.open.update((start,))
+            self.handle.registerTimer(((start + self.deadline_us) // (self.slot_ms * 1000) + 1) * self.slot_ms)
+        yield _rounds_frame([(key[0], *r) for r in out])
+
+    def close(self) -> None:
+        pass
+
+
+def _run_on_rocksdb(spark: SparkSession, writer) -> None:
+    """Map and timer states need the RocksDB store; the session's choice comes back after."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        _run(writer)
+    finally:
+        spark.conf.unset(key) if was is None else spark.conf.set(key, was)
+
+
+def _finish(deadline_us: int, mark_us: int):
+    """Replay of what waits at the end, one ordered row after another: a key's open
+    start is its first row (``event_id`` null)."""
+    def fn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        user = start = None
+
+        def end():
+            if start is None:
+                return []
+            late = start + deadline_us
+            return [(user, start, "timed_out", late) if late < mark_us else (user, start, "open", None)]
+        for f in frames:
+            out = []
+            for u, t, i, opens in zip(f["user_id"].tolist(), f["ts_us"].tolist(), f["event_id"].tolist(), f["opens"].tolist()):
+                if u != user:
+                    out += end()
+                    user, start = u, None
+                start, ended = replay_rounds(start, [(t, i, opens)], deadline_us)
+                out += [(u, *r) for r in ended]
+            yield _rounds_frame(out)
+        yield _rounds_frame(end())
+    return fn
+
+
 def round_state(spark: SparkSession, sf_dir: str, *, deadline_hours: int = 6,
-                watermark: str = "1 hour", open_type: str = "view",
-                settle_type: str = "purchase", run: str | None = None,
-                files_per_batch: int | None = None) -> DataFrame:
+                delay_ms: int = 3_600_000, open_type: str = "view",
+                settle_type: str = "purchase", run: str | None = None, slot_ms: int = 600_000,
+                chunk: int = 1_000, files_per_batch: int | None = None) -> DataFrame:
     """A round opens at ``open_type`` and settles at ``settle_type``; when the
-    deadline passes first (a later event, or the watermark passing the
-    event-time timer) it times out.
-
-    Events wait in the key's state until the watermark has passed them, so a late
-    event within the watermark is taken in its place whichever batch brings it,
-    and the result does not depend on how the input is cut into batches.  When the
-    input ends, what still waits is replayed from the state store and a round that
-    is still open is returned as ``open`` (no ``resolved_at``); the stream's own
-    state keeps it for the next run.
+    deadline passes first (a later event of these types, or the watermark) it times out.
+
+    Only opening and settling events reach the state; all events drive the
+    watermark.  They wait, by slots of ``slot_ms``, until the watermark has passed
+    them, so a late event within the delay is taken in its place whichever batch
+    brings it, and the result does not depend on how the input is cut into batches.
+    A timed-out round is emitted when the slot of its deadline is passed.
+
+    When the input ends, what still waits is read from the state store and replayed
+    as one ordered scan; a round still open then is returned as ``open`` (no
+    ``resolved_at``) unless its deadline lies before the final watermark (the
+    newest event less the delay).  The stream's own state keeps it for the next
+    run.  Events without a user, time or id are ignored.
     """
     base = stream_base(spark, "round-state", run)
+    known = "user_id is not null and ts is not null and event_id is not null"
     s = (table_stream(spark, sf_dir, "events", files_per_batch)
          .select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type")
-         .where("user_id is not null and ts is not null and event_id is not null")
-         .withWatermark("ts", watermark))
+         .where(known).withWatermark("ts", f"{delay_ms} milliseconds"))
+    # the condition names the event time, so that it stays above the watermark
+    s = s.where(F.when(F.col("ts").isNotNull(), F.col("event_type").isin(open_type, settle_type))) \
+        .select("user_id", "ts", "event_id", (F.col("event_type") == open_type).alias("opens"))
     deadline_us = deadline_hours * 3600 * 1_000_000
-    rounds = s.groupBy("user_id").applyInPandasWithState(
-        _round_fn(deadline_us, open_type, settle_type), ROUND_OUT, ROUND_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
+    rounds = s.groupBy("user_id").transformWithStateInPandas(
+        Rounds(deadline_us, slot_ms, chunk), ROUND_OUT, "append", "EventTime")
     out = f"{base}/out"
-    _run(rounds.writeStream.outputMode("append").format("parquet").option("path", out)
-         .option("checkpointLocation", f"{base}/ckpt"))
-    waiting = spark.read.format("statestore").load(f"{base}/ckpt").select(
-        F.col("key.user_id").alias("user_id"), F.col("value.groupState.*"))
-
-    def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for r in f.itertuples():
-                start = None if pd.isna(r.start_us) else int(r.start_us)
-                start, ended = replay_rounds(start, sorted(zip(r.ts_us, r.event_id, r.event_type)),
-                                             deadline_us, open_type, settle_type)
-                rows += [(r.user_id, *e) for e in ended]
-                if start is not None:
-                    rows.append((r.user_id, start, "open", None))
-            yield _rounds_frame(rows)
-
+    _run_on_rocksdb(spark, rounds.writeStream.outputMode("append").format("parquet").option("path", out)
+                    .option("checkpointLocation", f"{base}/ckpt"))
+
+    def state(name: str) -> DataFrame:
+        return spark.read.format("statestore").option("stateVarName", name).load(f"{base}/ckpt")
+    newest = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").where(known).agg(
+        F.max(F.unix_millis(F.col("ts").cast("timestamp")))).first()[0]
+    waiting = state("waiting").select(F.col("key.user_id").alias("user_id"), F.explode(F.arrays_zip(
+        "user_map_value.ts_us", "user_map_value.event_id", "user_map_value.opens")).alias("e")).select("user_id", "e.*")
+    starts = state("open").select(F.col("key.user_id").alias("user_id"), F.col("value.start_us").alias("ts_us"),
+                                  F.lit(None).cast("long").alias("event_id"), F.lit(True).alias("opens"))
+    left = waiting.unionByName(starts).repartition("user_id") \
+        .sortWithinPartitions("user_id", "ts_us", F.col("event_id").asc_nulls_first())
+    mark_us = ((newest or 0) - delay_ms) * 1000
     return spark.read.schema(ROUND_OUT).parquet(out).unionByName(
-        waiting.mapInPandas(finish, ROUND_OUT))
+        left.mapInPandas(_finish(deadline_us, mark_us), ROUND_OUT))
 
 
 # ---------------------------------------------------------------------------

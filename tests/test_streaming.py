@@ -43,10 +43,13 @@ def _rounds(spark, d, **kw):
 
 
 def _brute_rounds(rows, hours=6):
-    out = []
+    """Opening and settling events of each user in order; what is open at the end has
+    timed out if its deadline lies before the newest event less the delay."""
+    out, mark = [], max(r[1] for r in rows) - H
     for u in {r[2] for r in rows}:
         start = None
-        for _, t, _, typ, *_ in sorted((r for r in rows if r[2] == u), key=lambda r: (r[1], r[0])):
+        for _, t, _, typ, *_ in sorted((r for r in rows if r[2] == u and r[3] in ("view", "purchase")),
+                                       key=lambda r: (r[1], r[0])):
             if start is not None and t > start + hours * H:
                 out.append((u, start, "timed_out", start + hours * H))
                 start = None
@@ -56,8 +59,9 @@ def _brute_rounds(rows, hours=6):
                 out.append((u, start, "settled", t))
                 start = None
         if start is not None:
-            out.append((u, start, "open", None))
-    return out
+            late = start + hours * H
+            out.append((u, start, "timed_out", late) if late < mark else (u, start, "open", None))
+    return sorted(out, key=repr)
 
 
 def test_round_state_settle_timeout_and_timer(spark):
@@ -83,25 +87,103 @@ def _disordered(n=120, late_minutes=50):
     return rows
 
 
-@pytest.mark.parametrize("parts", [0, 2, 5])
-def test_round_state_does_not_depend_on_batches(spark, parts):
+@pytest.mark.parametrize("parts,slot_ms,chunk", [(0, 600_000, 1000), (2, 60_000, 2), (5, 7_200_000, 3)])
+def test_round_state_does_not_depend_on_batches(spark, parts, slot_ms, chunk):
     rows = _disordered()
-    want = sorted(((u, s, o, a) for u, s, o, a in _brute_rounds(rows) if o != "open"), key=repr)
-    got = _rounds(spark, _table_dir("events", rows, EV, parts), files_per_batch=1)
-    late = {r for r in _brute_rounds(rows) if r[2] == "open"}
-    # a round open at the end may have passed its deadline by the watermark
-    assert [r for r in got if r[2] != "open" and (r[0], r[1]) not in {(u, s) for u, s, *_ in late}] == want
-    assert {(r[0], r[1]) for r in got} == {(u, s) for u, s, *_ in _brute_rounds(rows)}
+    got = _rounds(spark, _table_dir("events", rows, EV, parts), files_per_batch=1, slot_ms=slot_ms, chunk=chunk)
+    assert got == _brute_rounds(rows)
 
 
 def test_round_state_resumes(spark):
     rows = sorted(_disordered(60), key=lambda r: r[0])
     d = _table_dir("events", rows[:30], EV, 1)
-    _rounds(spark, d, run="resume-test-" + os.path.basename(d))
+    run = "resume-test-" + os.path.basename(d)
+    assert _rounds(spark, d, run=run) == _brute_rounds(rows[:30])
     _add(d, "events", rows[30:], EV, 1, first=1)
-    got = _rounds(spark, d, run="resume-test-" + os.path.basename(d))
-    assert {(r[0], r[1]) for r in got} == {(u, s) for u, s, *_ in _brute_rounds(rows)}
-    assert len(got) == len(_brute_rounds(rows))
+    assert _rounds(spark, d, run=run) == _brute_rounds(rows)
+    assert _rounds(spark, d, run=run) == _brute_rounds(rows)      # nothing new: nothing changes
+
+
+def test_round_state_nulls_and_ties(spark):
+    rows = [(1, T0, 1, "view", 1.0, "{}"), (2, T0, 1, "purchase", 1.0, "{}"), (4, T0 + H, 1, "purchase", 1.0, "{}"),
+            (3, T0 + H, 1, "view", 1.0, "{}"), (5, T0 + 2 * H, 2, "view", None, None), (6, T0 + 8 * H, 2, "purchase", 1.0, None),
+            (7, T0 + 30 * H, 3, "click", 1.0, None)]
+    d = _table_dir("events", rows, EV, 0)
+    assert _rounds(spark, d) == _brute_rounds(rows)
+    broken = spark.read.parquet(d).selectExpr(
+        "event_id", "ts", "if(event_id = 7, null, user_id) user_id", "if(event_id = 4, null, event_type) event_type", "value", "props")
+    e = tempfile.mkdtemp(prefix="rampart-ev-")
+    broken.coalesce(1).write.parquet(f"{e}/events.parquet")
+    assert (1, T0 + H, "open", None) in _rounds(spark, e)
+
+
+class _Map(dict):
+    def containsKey(self, k):
+        return k in self
+
+    def getValue(self, k):
+        return self[k]
+
+    def updateValue(self, k, v):
+        self[k] = v
+
+    def removeKey(self, k):
+        del self[k]
+
+
+class _Handle:
+    """In-memory states; records the timers."""
+    def __init__(self):
+        self.maps, self.timers, self.value = {}, set(), None
+
+    def getMapState(self, name, *_):
+        return self.maps.setdefault(name, _Map())
+
+    def getValueState(self, *_):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, v):
+        self.value = v
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+
+def test_a_key_is_read_slot_by_slot(monkeypatch):
+    """100,000 events of one key: no state value over a chunk, no replay over a slot."""
+    n, h = 100_000, _Handle()
+    rng = random.Random(5)
+    us = sorted(1_700_000_000_000_000 + rng.randrange(40 * 3_600_000_000) for _ in range(n))
+    f = pd.DataFrame({"ts": pd.to_datetime(us, unit="us"), "event_id": range(n),
+                      "opens": [rng.random() < 0.5 for _ in range(n)]}).sample(frac=1, random_state=1)
+    p = S.Rounds(6 * 3_600_000_000, 600_000, 100)
+    p.init(h)
+    list(p.handleInputRows((1,), iter([f.iloc[:60_000], f.iloc[60_000:]]), None))
+    assert max(len(v[0]) for v in h.maps["waiting"].values()) <= 100
+    seen, replay = [], S.replay_rounds
+    monkeypatch.setattr(S, "replay_rounds", lambda s, ev, d: (seen.append(len(ev)), replay(s, ev, d))[1])
+
+    class Info:
+        def __init__(self, ms):
+            self.getExpiryTimeInMs = lambda: ms
+    got = []
+    while h.timers:
+        ms = min(h.timers)
+        h.timers.remove(ms)
+        for frame in p.handleExpiredTimer((1,), None, Info(ms)):
+            got += frame["resolved_at"].tolist()
+    start, want = replay(None, sorted(zip(us, range(n), f.sort_values("event_id")["opens"])), 6 * 3_600_000_000)
+    assert len(got) == len(want) + (start is not None) and got == sorted(got)
+    assert max(seen) < 1_000 and not h.maps["waiting"] and h.value is None
 
 
 @pytest.mark.parametrize("parts", [0, 3])
