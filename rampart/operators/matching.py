@@ -11,14 +11,18 @@ Plan (SURVEY §4.3):
    nulls, class, min, max, exact multiset fingerprint);
 2. keep only pairs that can still match (same length and null count, same
    class, min/max within tolerance, equal fingerprint for exact classes);
-3. unpivot only the surviving columns to long rows
-   ``(side, col, is_null, v_num, v_str)``; confirm equal-fingerprint pairs by
-   value counts, rank the rest (sorted, or by an explicit order column) with
-   :func:`rampart.operators.ordering.positions`;
-4. join gold to predicted on (pair, rank) and fold with ``bool_and``.
-
-Sort difference from the reference: it sorts numbers by their *string* form;
-we sort them numerically unless ``sort="string"`` is asked for.  Under a fixed
+3. unpivot only the surviving columns and count their values once; equal
+   counts settle exact pairs;
+4. for the numeric pairs left, a distinct value's count makes it an interval of
+   ranks.  Intervals are cut into bins of ranks; within a bin one window holds
+   the value of every column at each rank where any of them changes, and all
+   pairs are compared there.  No row is ranked or copied for a pair: a value
+   that a third of all rows hold is one interval.
+
+With an explicit order column, rows are numbered and joined on (pair, position).
+
+Sort difference from the reference: it sorts numbers by their *text*; we sort
+them numerically unless ``sort="string"`` is asked for.  Under a fixed
 tolerance, if any pairing matches, the numerically sorted one does, so the
 default accepts a superset (see tests).
 """
@@ -27,13 +31,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from math import isqrt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rampart.functions.float_text import float_text
 from rampart.functions.tolerance import DEFAULT_REL_TOL, DEFAULT_TOL, isclose
-from rampart.operators.ordering import positions
+from rampart.operators.ordering import positions, running_total
+from rampart.session import store
 
 NUM, STR, OTHER = "numeric", "string", "other"
 
@@ -46,6 +53,16 @@ def value_class(dt: T.DataType) -> str:
     return OTHER
 
 
+def sort_text(col: Column, dt: T.DataType) -> Column:
+    """The text that a value sorts by in ``sort="string"`` mode: whole numbers
+    without a point, others as :func:`float_text`, booleans by name."""
+    if isinstance(dt, T.BooleanType):
+        return F.when(col, "True").otherwise("False")
+    if isinstance(dt, T.IntegralType) or value_class(dt) != NUM:
+        return col.cast("string")
+    return float_text(col)
+
+
 def _forms(col: Column, dt: T.DataType) -> tuple[str, Column, Column, Column]:
     """(class, is_null, v_num, v_str) of one column: numbers as doubles (NaN
     is null), everything else as text."""
@@ -144,16 +161,60 @@ def values_equal(g_null: Column, g_num: Column, g_str: Column, g_cls: Column,
         .when(both_num, close).otherwise(F.coalesce(same_str, F.lit(False)))
 
 
-def _ranked(long: DataFrame, ordered: bool, sort: str) -> DataFrame:
-    if ordered:
-        return positions(long, ["side", "col"], ["_ord"], name="rank")
+def value_counts(gold: DataFrame, pred: DataFrame, cols: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row per distinct value (is_null, v_num, v_str) of the columns ``cols``
+    ((side, name)), with ``n0``, ``n1``...: how often each column holds it.
+
+    One shuffle serves all columns, and a value of any number of rows is combined
+    before it.
+    """
+    def one(side, df):
+        items = []
+        for i, (s, c) in enumerate(cols):
+            if s == side:
+                _, is_null, v_num, v_str = _forms(F.col(f"`{c}`"), df.schema[c].dataType)
+                items.append(F.struct(F.lit(i).alias("c"), is_null.alias("is_null"), v_num.alias("v_num"), v_str.alias("v_str")))
+        return df.select(F.explode(F.array(*items)).alias("x")).select("x.*")
+    both = one("gold", gold).unionByName(one("pred", pred))
+    return both.groupBy("is_null", "v_num", "v_str").agg(
+        *[F.count_if(F.col("c") == i).alias(f"n{i}") for i in range(len(cols))])
+
+
+def match_intervals(counts: DataFrame, cols: Sequence[tuple[str, str]], types: Sequence[T.DataType],
+                    pairs: list[tuple[str, str]], n_rows: int, sort: str = "numeric",
+                    tol: float = DEFAULT_TOL) -> DataFrame:
+    """(gold_col, pred_col, ok) of numeric ``pairs``: equal, within the tolerance,
+    at every rank.  ``counts`` are the :func:`value_counts` of ``cols``, whose types
+    say how a number sorts by text.  The columns of a pair have equally many values."""
+    number = {c: i for i, c in enumerate(cols)}
+    used = sorted({number["gold", g] for g, _ in pairs} | {number["pred", p] for _, p in pairs})
+    runs = counts.where(~F.col("is_null")).select("v_num", F.explode(F.filter(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col(f"n{i}").alias("cnt")) for i in used]), lambda x: x["cnt"] > 0)).alias("x")) \
+        .select("x.c", "v_num", "x.cnt")
     if sort == "string":
-        return positions(long, ["side", "col"],
-                         [F.col("is_null").asc(), F.coalesce("v_str", F.col("v_num").cast("string")).asc_nulls_last(),
-                          F.col("v_num").asc_nulls_first()], name="rank")
-    return positions(long, ["side", "col"],
-                     [F.col("is_null").asc(), F.col("v_num").asc_nulls_last(),
-                      F.col("v_str").asc_nulls_last()], name="rank")
+        text = F.lit(None).cast("string")
+        for i in used:
+            text = F.when(F.col("c") == i, sort_text(F.col("v_num").cast(types[i]), types[i])).otherwise(text)
+        runs = runs.withColumn("v_txt", text)
+    order = ["v_txt", "v_num"] if sort == "string" else ["v_num"]
+    runs = running_total(runs, ["c"], order, "cnt", "lo")
+    size = max(4096, isqrt(n_rows))
+    last = F.col("lo") + F.col("cnt") - 1
+    cut = runs.select("c", "v_num", "lo", F.explode(F.sequence(
+        F.floor(F.col("lo") / size), F.floor(last / size))).alias("bin"))
+    cut = cut.select("c", "v_num", "bin", F.greatest("lo", F.col("bin") * size).alias("at"))
+    # peers of a rank are in the frame, and every bin begins with a row of each column
+    w = Window.partitionBy("bin").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    held = cut.select(*[F.last(F.when(F.col("c") == i, F.col("v_num")), ignorenulls=True).over(w).alias(f"c{i}")
+                        for i in used])
+
+    def same(g, p):
+        x, y = F.col(f"c{number['gold', g]}"), F.col(f"c{number['pred', p]}")
+        return F.when(x.isNull() & y.isNull(), True).otherwise(F.coalesce(isclose(x, y, tol), F.lit(False)))
+    ok = held.agg(*[F.bool_and(same(g, p)).alias(f"p{i}") for i, (g, p) in enumerate(pairs)])
+    return ok.select(F.explode(F.array(*[F.struct(F.lit(g).alias("gold_col"), F.lit(p).alias("pred_col"),
+                                                  F.coalesce(f"p{i}", F.lit(True)).alias("ok"))
+                                         for i, (g, p) in enumerate(pairs)])).alias("x")).select("x.*")
 
 
 def column_match(gold: DataFrame, pred: DataFrame | None, gold_cols: Sequence[str], *,
@@ -177,52 +238,51 @@ def column_match(gold: DataFrame, pred: DataFrame | None, gold_cols: Sequence[st
                                      "gold_col string, idx int, matched boolean, "
                                      "matched_by string")
     pred_cols = [c for c in pred.columns if c != pred_order_col]
-    g_order = None if ignore_order else order_col
-    p_order = None if ignore_order else pred_order_col
-
-    def long_of(gcols, pcols):
-        # Only the named columns are unpivoted; each pass re-reads its inputs
-        # (pruned to those columns) instead of caching every column long.
-        return to_long(gold, gcols, "gold", g_order).unionByName(
-            to_long(pred, pcols, "pred", p_order))
-
     # The profiles and the pair list are column metadata, at most
     # len(gold_cols) x len(pred_cols) pairs: they are read on the driver once
     # (like a schema) so that the data plans below stay literal filters and a
     # tiny broadcast.
-    pair_rows = candidate_pairs(profile(gold, gold_cols, "gold"),
-                                profile(pred, pred_cols, "pred"), tol)
+    gold_prof = profile(gold, gold_cols, "gold")
+    pair_rows = candidate_pairs(gold_prof, profile(pred, pred_cols, "pred"), tol)
+    # Equal-length columns that are entirely null (or empty) match.
     trivial = [(r["gold_col"], r["pred_col"]) for r in pair_rows if r["trivial"]]
-    real_pairs = [(r["gold_col"], r["pred_col"]) for r in pair_rows if not r["trivial"]]
-    exact_ok: list[tuple[str, str]] = []
+    real = [(r["gold_col"], r["pred_col"]) for r in pair_rows if not r["trivial"]]
     if ignore_order:
-        # Equal fingerprints: confirm multiset equality with a hash aggregate
-        # of value counts (no sort).  Exact equality implies the tolerant
-        # match; a pair whose counts differ may still match within the
-        # tolerance and goes on to ranking.
-        cands = [(r["gold_col"], r["pred_col"]) for r in pair_rows
-                 if not r["trivial"] and r["fp_equal"]]
-        if cands:
-            exact_ok = _confirm_exact(spark, long_of(sorted({g for g, _ in cands}),
-                                                     sorted({p for _, p in cands})), cands)
-        best = {}
-        for gc, pc in exact_ok:
-            best[gc] = min(pc, best.get(gc, pc))
-        ok_set = set(exact_ok)
-        # Only pairs that could still change matched / matched_by get ranked.
-        real_pairs = [(gc, pc) for gc, pc in real_pairs
-                      if (gc, pc) not in ok_set and (gc not in best or pc < best[gc])]
-    real = spark.createDataFrame(real_pairs, "gold_col string, pred_col string")
-    need_g = sorted({gc for gc, _ in real_pairs})
-    need_p = sorted({pc for _, pc in real_pairs})
-    ranked = _ranked(long_of(need_g, need_p), not ignore_order, sort) if real_pairs else None
-    known = spark.createDataFrame([(g_, p_, True) for g_, p_ in trivial + exact_ok],
-                                  "gold_col string, pred_col string, ok boolean")
-    if ranked is None:
-        return _fold(spark, known, gold_cols)
+        known, ok = list(trivial), None
+        if real:
+            cols = sorted({("gold", g) for g, _ in real} | {("pred", p) for _, p in real})
+            types = [(gold if s == "gold" else pred).schema[c].dataType for s, c in cols]
+            counts = store(value_counts(gold, pred, cols), "value-counts")
+            # Equal fingerprints: confirm that the value counts are equal.  Exact
+            # equality implies the tolerant match; numbers whose counts differ may
+            # still match within the tolerance, anything else cannot.
+            cands = [(r["gold_col"], r["pred_col"]) for r in pair_rows if not r["trivial"] and r["fp_equal"]]
+            exact = set(_confirm_exact(counts, cols, cands)) if cands else set()
+            if sort == "string":
+                exact = {(g, p) for g, p in exact if value_class(gold.schema[g].dataType) != NUM
+                         or gold.schema[g].dataType == pred.schema[p].dataType}
+            known += sorted(exact)
+            best: dict[str, str] = {}
+            for g, p in known:
+                best[g] = min(p, best.get(g, p))
+            numeric = {c for _, c, cls, *_ in gold_prof if cls == NUM}
+            # only pairs that could still change matched / matched_by
+            open_ = [(g, p) for g, p in real if g in numeric and (g, p) not in exact and (g not in best or p < best[g])]
+            if open_:
+                n_rows = max(r["n_rows"] for r in pair_rows)
+                ok = match_intervals(counts, cols, types, open_, n_rows, sort, tol)
+        done = spark.createDataFrame([(g, p, True) for g, p in known], "gold_col string, pred_col string, ok boolean")
+        return _fold(spark, done if ok is None else ok.unionByName(done), gold_cols)
+    done = spark.createDataFrame([(g, p, True) for g, p in trivial], "gold_col string, pred_col string, ok boolean")
+    if not real:
+        return _fold(spark, done, gold_cols)
+    long = to_long(gold, sorted({g for g, _ in real}), "gold", order_col).unionByName(
+        to_long(pred, sorted({p for _, p in real}), "pred", pred_order_col))
+    ranked = positions(long, ["side", "col"], ["_ord"], name="rank")
+    pr = F.broadcast(spark.createDataFrame(real, "gold_col string, pred_col string").alias("pr"))
     g = ranked.where("side = 'gold'").alias("g")
     p = ranked.where("side = 'pred'").alias("p")
-    gp = g.join(F.broadcast(real.alias("pr")), F.col("g.col") == F.col("pr.gold_col"))
+    gp = g.join(pr, F.col("g.col") == F.col("pr.gold_col"))
     joined = gp.join(p, (F.col("p.col") == F.col("pr.pred_col"))
                      & (F.col("p.rank") == F.col("g.rank")), "left")
     eq = values_equal(F.col("g.is_null"), F.col("g.v_num"), F.col("g.v_str"), F.col("g.cls"),
@@ -230,9 +290,7 @@ def column_match(gold: DataFrame, pred: DataFrame | None, gold_cols: Sequence[st
     per_pair = joined.groupBy(F.col("pr.gold_col").alias("gold_col"),
                               F.col("pr.pred_col").alias("pred_col")).agg(
         F.bool_and(F.coalesce(eq, F.lit(False))).alias("ok"))
-    # Equal-length columns that are entirely null (or empty), and pairs
-    # confirmed exactly equal, are matches.
-    return _fold(spark, per_pair.unionByName(known), gold_cols)
+    return _fold(spark, per_pair.unionByName(done), gold_cols)
 
 
 def _fold(spark, per_pair: DataFrame, gold_cols: Sequence[str]) -> DataFrame:
@@ -246,28 +304,14 @@ def _fold(spark, per_pair: DataFrame, gold_cols: Sequence[str]) -> DataFrame:
                     "matched_by"))
 
 
-def _confirm_exact(spark, both: DataFrame, cands: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    """Pairs whose value multisets are identical (value counts compared with
-    a null-safe full outer join).  ``both`` holds the candidates' columns in
-    long form.  The result is at most the candidate list."""
-    counts = both.groupBy("side", "col", "is_null", "v_num", "v_str").agg(
-        F.count(F.lit(1)).alias("cnt"))
-    pairs = F.broadcast(spark.createDataFrame(cands, "gold_col string, pred_col string"))
-    g = counts.where("side = 'gold'").join(pairs, F.col("col") == F.col("gold_col")).select(
-        "gold_col", "pred_col", "is_null", "v_num", "v_str", F.col("cnt").alias("cg"))
-    p = counts.where("side = 'pred'").join(pairs, F.col("col") == F.col("pred_col")).select(
-        "gold_col", "pred_col", "is_null", "v_num", "v_str", F.col("cnt").alias("cp"))
-    a, b = g.alias("a"), p.alias("b")
-    cond = ((F.col("a.gold_col") == F.col("b.gold_col")) & (F.col("a.pred_col") == F.col("b.pred_col"))
-            & (F.col("a.is_null") == F.col("b.is_null"))
-            & F.col("a.v_num").eqNullSafe(F.col("b.v_num"))
-            & F.col("a.v_str").eqNullSafe(F.col("b.v_str")))
-    j = a.join(b, cond, "full_outer").select(
-        F.coalesce("a.gold_col", "b.gold_col").alias("gold_col"),
-        F.coalesce("a.pred_col", "b.pred_col").alias("pred_col"),
-        (F.coalesce("a.cg", F.lit(-1)) == F.coalesce("b.cp", F.lit(-1))).alias("same"))
-    res = j.groupBy("gold_col", "pred_col").agg(F.bool_and("same").alias("ok")).collect()
-    return [(r.gold_col, r.pred_col) for r in res if r.ok]
+def _confirm_exact(counts: DataFrame, cols: Sequence[tuple[str, str]],
+                   cands: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Candidate pairs whose columns hold every value equally often: one flag per
+    pair from one pass over the :func:`value_counts`."""
+    number = {c: i for i, c in enumerate(cols)}
+    r = counts.agg(*[F.bool_and(F.col(f"n{number['gold', g]}") == F.col(f"n{number['pred', p]}")).alias(f"p{i}")
+                     for i, (g, p) in enumerate(cands)]).first()
+    return [pair for i, pair in enumerate(cands) if r[f"p{i}"]]
 
 
 def multiset_diff(gold: DataFrame, pred: DataFrame) -> DataFrame:

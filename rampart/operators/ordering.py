@@ -48,3 +48,22 @@ def positions(df: DataFrame, group: Sequence[str], order: Sequence[str | Column]
     out = out.select(*[F.col(f"r.{c}").alias(c) for c in ranged.columns], "_first", "_off")
     return out.withColumn(name, F.col("_off") + F.col("_idx") - F.col("_first") + 1) \
               .drop("_mid", "_pid", "_idx", "_first", "_off")
+
+
+def running_total(df: DataFrame, group: Sequence[str], order: Sequence[str], weight: str,
+                  name: str = "before") -> DataFrame:
+    """Add ``name``: the sum of ``weight`` over the rows before this one in its group.
+
+    ``order`` must be unique within a group (e.g. distinct values with their
+    counts), so range partitions are even and a window per (partition, group)
+    is as small as a partition; earlier partitions come in by one offset each.
+    """
+    keys = [*group, *order]
+    ranged = store(df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id()), "running")
+    before = (Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("_pid", *group).agg(F.sum(weight).alias("_sum"))
+    sums = sums.select("_pid", *group, F.coalesce(F.sum("_sum").over(
+        Window.partitionBy(*group).orderBy("_pid").rowsBetween(*before)), F.lit(0)).alias("_off"))
+    here = F.sum(weight).over(Window.partitionBy("_pid", *group).orderBy(*order).rowsBetween(*before))
+    return ranged.join(sums, ["_pid", *group]).withColumn(
+        name, F.col("_off") + F.coalesce(here, F.lit(0))).drop("_pid", "_off")

@@ -5,6 +5,7 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from rampart.operators import matching as M
 
@@ -174,3 +175,56 @@ def test_suspect_pass_counts_as_score(spark):
         "table string, gold_rows long, pred_rows long, pred_exists boolean, cols_matched string, cols_unmatched string, n_unmatched long")
     got = {r.task: (r.score, r.verdict) for r in MP.task_verdicts(spark, None, diag).collect()}
     assert got["region_only"] == (1, "SUSPECT_PASS") and got["nation_only"] == (1, "PASS")
+
+
+def test_float_text_is_python_text(spark):
+    from rampart.functions.float_text import float_text
+    rnd = random.Random(7)
+    values = [0.0, -0.0, 1e7, 9.999, 10.0, 1e16, 1.5e16, 9999999999999998.0, 1e-4, 1.234e-4, 9.99e-5, 1e-5, 1e22, 1e23, 1e100, 2e-3,
+              1e-100, 123456789.125, -1e7, -2.5e-7, 5e-324, 1.7976931348623157e308, math.inf, -math.inf, 2.0 ** 53, 0.1 + 0.2]
+    values += [rnd.uniform(-1, 1) * 10 ** rnd.randint(-8, 18) for _ in range(2000)]
+    values += [round(rnd.uniform(0, 1e9), 2) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.select("v", float_text(F.col("v")).alias("t")).collect()
+    wrong = [(r.v, r.t) for r in got if r.t != repr(r.v)]
+    # a Java that does not write the shortest text may add a digit; it still reads back the same
+    assert all(float(t) == v for v, t in wrong) and len(wrong) <= len(values) // 200, wrong[:5]
+    assert spark.range(1).select(float_text(F.lit(None).cast("double")).alias("t")).first().t is None
+
+
+def _brute_text(gold, pred):
+    """Both columns sorted by Python's text of the values."""
+    def key(x):
+        return (x is None, str(x), isinstance(x, (int, float)))
+    return all(a is b is None or (a is not None and b is not None and math.isclose(a, b, abs_tol=0.01))
+               for a, b in zip(sorted(gold, key=key), sorted(pred, key=key)))
+
+
+def test_text_sort_equals_brute_force(spark):
+    rnd = random.Random(2)
+    cases = [([9.999, 5.0], [10.0, 5.0]), ([1e7, 2.0, 30.0], [30.0, 1e7, 2.0]), ([1e7, 3.0], [1e7 + 0.005, 3.0]),
+             ([1e16, 2e15, 1e15], [1e15, 1e16, 2e15]), ([0.0001, 0.00001, 1.0], [0.00011, 0.00001, 1.0]),
+             ([None, 2.0, 10.0], [10.004, None, 2.004])]
+    cases += [([round(rnd.uniform(0, 2000), 2) for _ in range(9)],) * 2 for _ in range(4)]
+    cases = [(g, [None if v is None else v + (rnd.choice([0, 0.004]) if i > 5 else 0) for v in p])
+             for i, (g, p) in enumerate(cases)]
+    for g, p in cases:
+        got = match(spark, [(v,) for v in g], "v double", [(v,) for v in reversed(p)], "w double", sort="string")
+        assert got == {"v": _brute_text(g, p)}, (g, p)
+    whole, real = [10 ** k for k in range(18)], [float(10 ** k) for k in range(18)]
+    got = match(spark, [(v,) for v in whole], "v long", [(v,) for v in real], "w double", sort="string")
+    assert got == {"v": _brute_text(whole, real)}
+
+
+def test_hot_value_is_one_interval(spark):
+    """A third of the rows hold one value: the runs stay as many as the distinct values."""
+    g = [(7.0,)] * 3000 + [(float(i),) for i in range(6000)]
+    p = [(7.004,)] * 3000 + g[3000:]
+    gold, pred = spark.createDataFrame(g, "v double"), spark.createDataFrame(p, "w double")
+    cols = [("gold", "v"), ("pred", "w")]
+    counts = M.value_counts(gold, pred, cols)
+    assert counts.count() == 6001
+    got = M.match_intervals(counts, cols, [gold.schema["v"].dataType] * 2, [("v", "w")], 9000).collect()
+    assert [tuple(r) for r in got] == [("v", "w", True)]
+    bad = [(7.004,)] * 2999 + [(8.5,)] + g[3000:]
+    assert match(spark, g, "v double", bad, "w double") == {"v": False}
