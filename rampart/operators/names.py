@@ -87,6 +87,16 @@ def offenders(flags: DataFrame) -> DataFrame:
     return flags.where("offender").select("project", "name")
 
 
+def scored_listing(scored: DataFrame, flags: DataFrame) -> DataFrame:
+    """Per project, the scored (project, name) targets and which of them are
+    materialized (``scored_built``: sorted names)."""
+    made = flags.where("in_materialized").select("project", "name", F.lit(True).alias("_made"))
+    j = scored.select("project", "name").distinct().join(made, ["project", "name"], "left")
+    return j.groupBy("project").agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count("_made").alias("n_scored_built"),
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("_made"), F.col("name")))), ",").alias("scored_built"))
+
+
 # ---------------------------------------------------------------------------
 # Name sources (A8, A9): YAML declarations and SQL file inventories
 # ---------------------------------------------------------------------------

@@ -333,17 +333,20 @@ OUTCOME_SQL = """,
 first_check AS (SELECT user_id, status AS first_status, message AS first_message
                 FROM ranked WHERE pos = 1),
 outcome AS (
-  SELECT t.user_id, fc.first_status, t.final_status AS last_status,
-         t.used - 1 AS retries_used,
-         CASE WHEN fc.first_status IN ('violation', 'pass') THEN fc.first_status
+  SELECT u.user_id, fc.user_id IS NOT NULL AS has_checks, fc.first_status, t.final_status AS last_status,
+         coalesce(t.used - 1, 0) AS retries_used,
+         CASE WHEN fc.user_id IS NULL THEN 'no-policy-or-no-settle'
+              WHEN fc.first_status IN ('violation', 'pass') THEN fc.first_status
               WHEN fc.first_message LIKE '%not materialized%' THEN 'no-target-table'
               WHEN fc.first_message LIKE '%missing from produced DB%' THEN 'missing-source-table'
               WHEN fc.first_message LIKE '%no discount rows%' THEN 'no-discount-rows'
               ELSE 'error: ' || substring(fc.first_message, 1, 40) END AS fired_reason
-  FROM trace t JOIN first_check fc ON fc.user_id = t.user_id),
+  FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN trace t ON t.user_id = u.user_id
+  LEFT JOIN first_check fc ON fc.user_id = u.user_id),
 classed AS (
-  SELECT *, first_status IN ('violation', 'pass') AS fired,
-         CASE WHEN first_status = 'pass' THEN 'passed-first-try'
+  SELECT *, has_checks AND first_status IN ('violation', 'pass') AS fired,
+         CASE WHEN NOT has_checks THEN 'no-policy'
+              WHEN first_status = 'pass' THEN 'passed-first-try'
               WHEN first_status = 'error' THEN 'never-fired(' || fired_reason || ')'
               WHEN last_status = 'pass' THEN 'fixed-after-' || CAST(retries_used AS VARCHAR) || '-retry'
               ELSE 'cap-hit-still-' || last_status END AS dfc_class
@@ -352,18 +355,20 @@ classed AS (
 
 
 def outcome_table(spark, sf_dir) -> DataFrame:
+    """P7, P8 of every run; one without checks has class ``no-policy``."""
     t = load_tables(spark, sf_dir)
     log = check_log(t)
     first = log.groupBy("user_id").agg(
         F.min_by(F.struct("status", "message"), F.struct("ts", "event_id")).alias("f"))
     tr = S.retry_trace(log, run="user_id", cap=CAP)
-    j = tr.join(first, "user_id")
+    j = t.events.select("user_id").distinct().join(tr.join(first, "user_id"), "user_id", "left")
     fs, ls, r = F.col("f.status"), F.col("final_status"), F.col("retries_used")
-    reason = S.fired_reason(fs, F.col("f.message"))
-    return j.select("user_id", fs.alias("first_status"), ls.alias("last_status"),
-                    r.alias("retries_used"), reason.alias("fired_reason"),
-                    fs.isin("violation", "pass").alias("fired"),
-                    S.policy_class(fs, ls, r, reason).alias("dfc_class"))
+    has = fs.isNotNull()
+    reason = F.when(has, S.fired_reason(fs, F.col("f.message"))).otherwise("no-policy-or-no-settle")
+    return j.select("user_id", has.alias("has_checks"), fs.alias("first_status"), ls.alias("last_status"),
+                    F.coalesce(r, F.lit(0)).alias("retries_used"), reason.alias("fired_reason"),
+                    (has & fs.isin("violation", "pass")).alias("fired"),
+                    F.when(has, S.policy_class(fs, ls, r, reason)).otherwise("no-policy").alias("dfc_class"))
 
 
 @query("policy_outcome", sql="WITH " + CHECK_CTE + OUTCOME_SQL + """
@@ -371,12 +376,4 @@ SELECT user_id, first_status, last_status, retries_used, fired_reason, fired, df
 FROM classed
 """)
 def policy_outcome(spark, sf_dir) -> DataFrame:
-    return outcome_table(spark, sf_dir)
-
-
-@query("class_histogram", sql="WITH " + CHECK_CTE + OUTCOME_SQL + """
-SELECT substring(dfc_class, 1, 26) AS dfc_class, count(*) AS runs FROM classed GROUP BY 1
-""")
-def class_histogram(spark, sf_dir) -> DataFrame:
-    return outcome_table(spark, sf_dir).groupBy(
-        F.substring("dfc_class", 1, 26).alias("dfc_class")).agg(F.count(F.lit(1)).alias("runs"))
+    return outcome_table(spark, sf_dir).drop("has_checks")

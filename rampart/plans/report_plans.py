@@ -1,9 +1,8 @@
 """Experiment report plans.
 
-Trial rows (X2) join per-run validity (X1), call-index flags (E1-E3) and
-warning counts; arm = ``user_id % 3``, task = ``floor(user_id / 3) % 4``,
-model = ``user_id % 2`` (SURVEY §7.4).  A run id with ``% 31 == 0`` has an
-unreadable artifact: it is listed, never measured.
+Trial rows (X2) join each expected run's record and validity (X1, A2), resolved
+artifacts (H7), name gate (P4), listing of scored targets (A3, G3) and call
+indices (E1-E3); their inputs are in :mod:`rampart.plans.trial_inputs`.
 """
 
 from __future__ import annotations
@@ -11,64 +10,68 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rampart.operators import events as E
+from rampart.operators import names as N
 from rampart.operators import reports as X
 from rampart.operators import runs as R
+from rampart.plans import trial_inputs as I
 from rampart.plans.event_plans import TRAJ_CTE, causal_table
+from rampart.plans.gate_plans import CHECK_CTE, OUTCOME_SQL, outcome_table
 from rampart.plans.registry import query
-from rampart.plans.run_plans import RUN_FACTS_SQL, validity_table
+from rampart.plans.run_plans import validity_table
 from rampart.sources.tables import load_tables
 
-TASKS4 = ("recharge001", "shopify001", "shopify002", "recharge002")
+
+def resolved_paths(t, records: DataFrame) -> DataFrame:
+    """H7: each run's trajectory and database, first existing of re-rooted, canonical, stored."""
+    files, root = I.artifact_listing(t), F.lit(I.ROOT)
+    out = records.select("user_id")
+    for name, canonical in (("trajectory", F.concat(root, F.lit("/"), F.col("exp"), F.lit("/_pi_meta/"), F.col("task"),
+                                                    F.lit("/trajectory.jsonl"))), ("produced_db", None)):
+        stored = F.col(f"rec.{name}")
+        cands = [R.reroot(stored, F.col("exp"), root)] + ([canonical] if canonical is not None else []) + [stored]
+        c = records.select("user_id", F.posexplode(F.array(*cands)).alias("priority", "path")).where("path is not null")
+        found = R.resolve_first_existing(c, files, run="user_id").select("user_id", F.col("resolved").alias(name))
+        out = out.join(found, "user_id", "left")
+    return out
+
+
+def gate_parts(t) -> tuple[DataFrame, DataFrame]:
+    """(gate verdict, listing of scored targets) per run."""
+    runs, spec = I.grid(t).select("user_id", "task"), F.broadcast(I.spec_table(t.spark))   # a literal list
+    spec = runs.join(spec, "task").select(F.col("user_id").alias("project"), "name", "shipped", "scored")
+    shipped, wrote = spec.where("shipped"), I.written_models(t).withColumnRenamed("user_id", "project")
+    cols = ["project", "name"]
+    flags = N.name_flags(spec.select(*cols), shipped.select(*cols), shipped.select(*cols).unionByName(wrote.select(*cols)),
+                         shipped.select(*cols).unionByName(wrote.where("built").select(*cols)))
+    run = F.col("project").alias("user_id")
+    return (N.name_gate(flags).select(run, "status", "n_built_candidates"),
+            N.scored_listing(spec.where("scored"), flags).select(run, "n_scored", "n_scored_built", "scored_built"))
 
 
 def trial_rows_df(t) -> DataFrame:
-    v = validity_table(t)
-    c = causal_table(t)
-    warn = t.events.groupBy("user_id").agg(
-        F.count_if(F.col("event_type") == "signup").alias("warn"))
-    j = v.join(c, "user_id", "left").join(warn, "user_id", "left")
-    uid = F.col("user_id")
-    validity = F.when((F.col("status") != "MISSING") & (F.pmod(uid, F.lit(31)) == 0),
-                      F.lit("UNREADABLE")).otherwise(F.col("status"))
-    measured = ~validity.isin("MISSING", "UNREADABLE")
-    fw, ft, fn = F.col("first_wrong"), F.col("first_target"), F.col("first_notice")
-    trap, conv, correct = E.causal_flags(fw, ft, fn)
-    score = F.when(F.col("status") != "MISSING",
-                   (correct.cast("boolean") | conv.cast("boolean")).cast("int"))
-
-    def m(x):
-        return F.when(measured, x)
-
-    return j.select(
-        "user_id",
-        F.element_at(F.array(*[F.lit(x) for x in TASKS4]),
-                     (F.pmod(F.floor(uid / 3), F.lit(4)) + 1).cast("int")).alias("task"),
-        F.element_at(F.array(*[F.lit(a) for a in R.ARMS]),
-                     (F.pmod(uid, F.lit(3)) + 1).cast("int")).alias("arm"),
-        F.when(F.pmod(uid, F.lit(2)) == 0, F.lit("larger")).otherwise(F.lit("smaller")).alias("model"),
-        validity.alias("validity"),
-        m(fw.isNotNull() & ft.isNull()).alias("wrong_name"),
-        m(ft.isNotNull()).alias("target_built"),
-        m(ft.isNotNull()).alias("scored_all_built"),
-        m(trap).alias("entered_trap"), m(conv).alias("converted"),
-        m(correct).alias("correct_before_notice"),
-        score.alias("score"),
-        m(F.col("warn")).alias("n_missing_node_warn"))
-
-
-TRIAL_SQL = "WITH " + TRAJ_CTE + "," + RUN_FACTS_SQL + """,
+    records = validity_table(t)
+    warn = t.events.groupBy("user_id").agg(F.count_if(F.col("event_type") == "signup").alias("n_missing_node_warn"))
+    gate, listing = gate_parts(t)
+    return X.trial_rows(
+        I.grid(t).select("user_id", "task", "arm", "model"), records.select("user_id", "problem", "status", "score"),
+        resolved_paths(t, records), gate, listing, causal_table(t).join(warn, "user_id"), "user_id")
+
+
+TRIAL_SQL = "WITH " + TRAJ_CTE + "," + I.INPUT_SQL + "," + I.GATE_SQL + """,
 warn AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'signup') AS warn
          FROM events GROUP BY user_id),
 trial0 AS (
-  SELECT v.user_id, v.status,
-         CASE WHEN v.status <> 'MISSING' AND v.user_id % 31 = 0 THEN 'UNREADABLE'
-              ELSE v.status END AS validity,
-         f.first_wrong, f.first_target, f.first_notice, w.warn
+  SELECT v.*, f.first_wrong, f.first_target, f.first_notice, w.warn, g.gate_status, g.n_built_candidates,
+         l.n_scored, l.n_scored_built, l.scored_built,
+         CASE WHEN record_problem IS NOT NULL THEN record_problem
+              ELSE concat_ws('; ', CASE WHEN v.user_id % 31 = 0 THEN 'trajectory unresolved' END,
+                             CASE WHEN v.user_id % 43 = 1 THEN 'produced database unresolved' END) END AS problems
   FROM validity v LEFT JOIN firsts f ON f.user_id = v.user_id
-  LEFT JOIN warn w ON w.user_id = v.user_id),
+  LEFT JOIN warn w ON w.user_id = v.user_id LEFT JOIN gated g ON g.user_id = v.user_id
+  LEFT JOIN listing l ON l.user_id = v.user_id),
 flags AS (
-  SELECT *, validity NOT IN ('MISSING', 'UNREADABLE') AS measured,
+  SELECT *, CASE WHEN record_problem IS NOT NULL THEN 'MISSING' WHEN problems <> '' THEN 'UNREADABLE' ELSE status END AS validity,
+         problems = '' AS measured,
          coalesce(first_wrong IS NOT NULL AND (first_notice IS NULL OR first_wrong < first_notice),
                   false) AS trap,
          coalesce(first_wrong IS NOT NULL AND (first_notice IS NULL OR first_wrong < first_notice)
@@ -78,25 +81,22 @@ flags AS (
                   false) AS correct
   FROM trial0),
 trial AS (
-  SELECT user_id,
-         list_extract(['recharge001', 'shopify001', 'shopify002', 'recharge002'],
-                      CAST((user_id // 3) % 4 AS INTEGER) + 1) AS task,
-         list_extract(['off', 'generic', 'specific'], CAST(user_id % 3 AS INTEGER) + 1) AS arm,
-         CASE WHEN user_id % 2 = 0 THEN 'larger' ELSE 'smaller' END AS model,
-         validity,
-         CASE WHEN measured THEN first_wrong IS NOT NULL AND first_target IS NULL END AS wrong_name,
-         CASE WHEN measured THEN first_target IS NOT NULL END AS target_built,
-         CASE WHEN measured THEN first_target IS NOT NULL END AS scored_all_built,
+  SELECT user_id, task, arm, model, validity, problems,
+         CASE WHEN measured THEN gate_status END AS gate_status,
+         CASE WHEN measured THEN gate_status = 'violation' END AS wrong_name,
+         CASE WHEN measured THEN n_built_candidates > 0 END AS target_built,
+         CASE WHEN measured THEN scored_built END AS scored_built,
+         CASE WHEN measured THEN n_scored > 0 AND n_scored = n_scored_built END AS scored_all_built,
          CASE WHEN measured THEN trap END AS entered_trap,
          CASE WHEN measured THEN conv END AS converted,
          CASE WHEN measured THEN correct END AS correct_before_notice,
-         CASE WHEN status <> 'MISSING' THEN CAST(correct OR conv AS INTEGER) END AS score,
+         CASE WHEN record_problem IS NULL THEN score END AS score,
          CASE WHEN measured THEN warn END AS n_missing_node_warn
   FROM flags)
 """
 
-TRIAL_COLS = ("user_id, task, arm, model, validity, wrong_name, target_built, scored_all_built, "
-              "entered_trap, converted, correct_before_notice, score, n_missing_node_warn")
+TRIAL_COLS = ("user_id, task, arm, model, validity, problems, gate_status, wrong_name, target_built, scored_built, "
+              "scored_all_built, entered_trap, converted, correct_before_notice, score, n_missing_node_warn")
 
 
 @query("trial_rows", sql=TRIAL_SQL + f"SELECT {TRIAL_COLS} FROM trial")
@@ -182,19 +182,18 @@ def overfit_flag(spark, sf_dir) -> DataFrame:
     return X.overfit_flag(trial_rows(spark, sf_dir))
 
 
-@query("not_counted", sql=TRIAL_SQL + """
-SELECT user_id, validity,
-       CASE validity WHEN 'UNREADABLE' THEN 'trajectory not readable' ELSE 'no record on disk' END
-         AS reason
-FROM trial WHERE validity IN ('UNREADABLE', 'MISSING')
+@query("not_counted", sql=TRIAL_SQL + """,
+tasks AS (SELECT task, bool_and(validity = 'MISSING') AS skipped, bool_or(validity = 'UNREADABLE') AS unread
+          FROM trial GROUP BY task),
+batch AS (SELECT CASE WHEN bool_and(skipped) THEN 'error' WHEN bool_or(NOT skipped AND unread) THEN 'failure' ELSE 'ok' END AS s
+          FROM tasks)
+SELECT user_id, task, validity, problems AS reason,
+       CASE WHEN skipped THEN 'skipped' ELSE 'reported' END AS task_status, batch.s AS batch_status
+FROM trial JOIN tasks USING (task) CROSS JOIN batch WHERE validity IN ('UNREADABLE', 'MISSING')
 """)
 def not_counted(spark, sf_dir) -> DataFrame:
     """What was excluded from every denominator, and why."""
-    r = trial_rows(spark, sf_dir)
-    return r.where(F.col("validity").isin("UNREADABLE", "MISSING")).select(
-        "user_id", "validity",
-        F.when(F.col("validity") == "UNREADABLE", F.lit("trajectory not readable"))
-         .otherwise(F.lit("no record on disk")).alias("reason"))
+    return X.not_counted(trial_rows(spark, sf_dir), "user_id")
 
 
 # ---------------------------------------------------------------------------
@@ -223,31 +222,69 @@ metrics AS (
 """
 
 
-@query("run_summary", sql=TRIAL_SQL + METRICS_SQL + """
+# every expected run with its record's score, its log's metrics and its checks' outcome
+SUMMARY_SQL = "WITH " + I.INPUT_SQL + "," + CHECK_CTE + OUTCOME_SQL + METRICS_SQL + """,
+summary AS (
+  SELECT v.user_id, v.arm, CASE WHEN v.record_problem IS NULL THEN v.score END AS score, m.cost, m.wall_s,
+         coalesce(c.has_checks, false) AS has_checks, coalesce(c.fired, false) AS fired,
+         coalesce(c.fired_reason, 'no-policy-or-no-settle') AS fired_reason,
+         coalesce(c.retries_used, 0) AS retries_used, coalesce(c.dfc_class, 'no-policy') AS dfc_class
+  FROM validity v LEFT JOIN metrics m ON m.user_id = v.user_id LEFT JOIN classed c ON c.user_id = v.user_id)
+"""
+
+
+def summary_rows(spark, sf_dir) -> DataFrame:
+    t = load_tables(spark, sf_dir)
+    out = outcome_table(spark, sf_dir).drop("first_status", "last_status")
+    j = validity_table(t).select("user_id", "arm", "score").join(run_metrics(t), "user_id", "left") \
+        .join(out, "user_id", "left")
+    return j.fillna({"has_checks": False, "fired": False, "fired_reason": "no-policy-or-no-settle",
+                     "retries_used": 0, "dfc_class": "no-policy"})
+
+
+@query("run_summary", sql=SUMMARY_SQL + """
 SELECT arm, count(*) AS runs, count(score) AS scored, count(*) FILTER (WHERE score = 1) AS passed,
        CASE WHEN count(score) > 0 THEN count(*) FILTER (WHERE score = 1) / count(score) END AS pass_rate,
        round(sum(coalesce(cost, 0)), 2) AS cost_total,
        round(sum(coalesce(cost, 0)) / greatest(count(*), 1), 4) AS cost_mean,
        round(sum(wall_s) FILTER (WHERE wall_s > 0), 1) AS wall_total,
-       round(avg(wall_s) FILTER (WHERE wall_s > 0), 2) AS wall_mean
-FROM trial LEFT JOIN metrics USING (user_id) GROUP BY arm
+       round(avg(wall_s) FILTER (WHERE wall_s > 0), 2) AS wall_mean,
+       count(*) FILTER (WHERE has_checks) AS policy_runs, count(*) FILTER (WHERE fired) AS fired,
+       count(*) FILTER (WHERE fired AND score = 1) AS fired_scored_1,
+       count(*) FILTER (WHERE fired AND coalesce(score, 0) <> 1) AS fired_scored_0
+FROM summary GROUP BY arm
 """)
 def run_summary(spark, sf_dir) -> DataFrame:
-    """Pass rate over scored runs only; cost mean over all rows; wall
-    total and mean over truthy (positive, non-null) values."""
-    t = load_tables(spark, sf_dir)
-    j = trial_rows_df(t).join(run_metrics(t), "user_id", "left")
-    truthy = F.col("wall_s") > 0
+    """D9, X7 per arm: pass rate over scored runs only; cost mean over all rows; wall
+    total and mean over truthy (positive, non-null) values; how many runs with checks
+    fired, and what those scored."""
+    j = summary_rows(spark, sf_dir)
+    truthy, passed = F.col("wall_s") > 0, F.coalesce(F.col("score") == 1, F.lit(False))
     return j.groupBy("arm").agg(
-        F.count(F.lit(1)).alias("runs"), F.count("score").alias("scored"),
-        F.count_if(F.col("score") == 1).alias("passed"),
-        F.when(F.count("score") > 0, F.count_if(F.col("score") == 1) / F.count("score"))
-         .alias("pass_rate"),
+        F.count(F.lit(1)).alias("runs"), F.count("score").alias("scored"), F.count_if(passed).alias("passed"),
+        F.when(F.count("score") > 0, F.count_if(passed) / F.count("score")).alias("pass_rate"),
         F.round(F.sum(F.coalesce("cost", F.lit(0.0))), 2).alias("cost_total"),
         F.round(F.sum(F.coalesce("cost", F.lit(0.0))) / F.greatest(F.count(F.lit(1)), F.lit(1)), 4)
          .alias("cost_mean"),
         F.round(F.sum(F.when(truthy, F.col("wall_s"))), 1).alias("wall_total"),
-        F.round(F.avg(F.when(truthy, F.col("wall_s"))), 2).alias("wall_mean"))
+        F.round(F.avg(F.when(truthy, F.col("wall_s"))), 2).alias("wall_mean"),
+        F.count_if("has_checks").alias("policy_runs"), F.count_if("fired").alias("fired"),
+        F.count_if(F.col("fired") & passed).alias("fired_scored_1"),
+        F.count_if(F.col("fired") & ~passed).alias("fired_scored_0"))
+
+
+@query("class_histogram", sql=SUMMARY_SQL + """,
+parts AS (
+  SELECT arm, 'class' AS part, substring(dfc_class, 1, 26) AS value FROM summary
+  UNION ALL SELECT arm, 'fired', CASE WHEN fired THEN 'fired' ELSE 'not fired' END FROM summary WHERE has_checks
+  UNION ALL SELECT arm, 'never-fired', fired_reason FROM summary WHERE has_checks AND NOT fired
+  UNION ALL SELECT arm, 'outcome', CASE WHEN score = 1 THEN 'scored 1' ELSE 'scored 0' END FROM summary WHERE fired
+  UNION ALL SELECT arm, 'retries', CAST(retries_used AS VARCHAR) FROM summary WHERE fired)
+SELECT arm, part, value, count(*) AS runs FROM parts GROUP BY arm, part, value
+""")
+def class_histogram(spark, sf_dir) -> DataFrame:
+    """Classes, fired split, reasons, outcomes and retry counts per arm."""
+    return X.outcome_histograms(summary_rows(spark, sf_dir), ["arm"])
 
 
 @query("model_summary", sql=TRIAL_SQL + METRICS_SQL + """

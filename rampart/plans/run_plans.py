@@ -7,12 +7,17 @@ artifact paths, parts give candidate database files per brand.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rampart.operators import runs as R
 from rampart.operators.ordering import positions
+from rampart.plans import trial_inputs as I
 from rampart.plans.registry import query
+from rampart.session import ensure_checkpoint_dir, store
+from rampart.sources.records import expected_records, parse_records, record_facts, scan_record_files
 from rampart.sources.tables import load_tables
 
 # ---------------------------------------------------------------------------
@@ -192,83 +197,38 @@ def pending_cells(spark, sf_dir) -> DataFrame:
 # X1 run validity
 # ---------------------------------------------------------------------------
 
-def run_facts(t) -> DataFrame:
-    """Per run: tokens, tools, settled, timed-out, first transport error."""
-    e = t.events
-    k = F.get_json_object("props", "$.k")
-    typ = F.col("event_type")
-    marker = F.element_at(F.array(*[F.lit(m) for m in R.NET_MARKERS]),
-                          (F.pmod(k.cast("bigint"), F.lit(10)) + 1).cast("int"))
-    msg = F.when(F.pmod(k.cast("bigint"), F.lit(9)) == 0,
-                 F.concat(marker, F.lit(" api.example.com"))).otherwise(F.lit("HTTP 500"))
-    net_msg = F.when((typ == "error") & R.net_marker_hit(msg), F.substring(msg, 1, 200))
-    order = F.struct("ts", "event_id")
-    outage = F.pmod(F.col("user_id"), F.lit(25)) == 0
-    f = e.groupBy("user_id").agg(
-        F.sum(F.when(typ == "purchase", R.defensive_long(k)).otherwise(0)).alias("tokens0"),
-        F.count_if(typ != "error").alias("tools0"),
-        F.max_by(typ, order).alias("last_type"),
-        F.min_by(net_msg, F.when(net_msg.isNotNull(), order)).alias("net"))
-    return f.select(
-        "user_id",
-        F.when(outage, F.lit(0)).otherwise(F.col("tokens0")).cast("bigint").alias("tokens"),
-        F.when(outage, F.lit(0)).otherwise(F.col("tools0")).cast("bigint").alias("tools"),
-        (F.col("last_type") != "error").alias("settled"),
-        (F.col("last_type") == "signup").alias("timed_out"), "net")
-
-
-RUN_FACTS_SQL = f"""
-ev AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events),
-msgs AS (SELECT *, CASE WHEN CAST(k AS BIGINT) % 9 = 0
-                        THEN list_extract({list(R.NET_MARKERS)}, CAST(CAST(k AS BIGINT) % 10 AS INTEGER) + 1)
-                             || ' api.example.com' ELSE 'HTTP 500' END AS msg FROM ev),
-netev AS (SELECT user_id, ts, event_id, substring(msg, 1, 200) AS net FROM msgs
-          WHERE event_type = 'error' AND ({' OR '.join(f"contains(msg, '{m}')" for m in R.NET_MARKERS)})),
-f0 AS (SELECT user_id,
-              sum(CASE WHEN event_type = 'purchase' THEN coalesce(TRY_CAST(k AS BIGINT), 0) ELSE 0 END)
-                AS tokens0,
-              count(*) FILTER (WHERE event_type <> 'error') AS tools0,
-              arg_max(event_type, (ts, event_id)) AS last_type
-       FROM ev GROUP BY user_id),
-facts AS (
-  SELECT f0.user_id,
-         CAST(CASE WHEN f0.user_id % 25 = 0 THEN 0 ELSE tokens0 END AS BIGINT) AS tokens,
-         CAST(CASE WHEN f0.user_id % 25 = 0 THEN 0 ELSE tools0 END AS BIGINT) AS tools,
-         last_type <> 'error' AS settled, last_type = 'signup' AS timed_out,
-         (SELECT arg_min(net, (ts, event_id)) FROM netev n WHERE n.user_id = f0.user_id) AS net
-  FROM f0),
-expected AS (SELECT DISTINCT user_id FROM events
-             UNION SELECT max(user_id) + 1 FROM events),
-validity AS (
-  SELECT x.user_id,
-         CASE WHEN f.user_id IS NULL THEN 'MISSING'
-              WHEN coalesce(tokens, 0) = 0 AND coalesce(tools, 0) = 0 THEN 'VOID_NO_MODEL'
-              WHEN net IS NOT NULL AND (coalesce(timed_out, false) OR NOT coalesce(settled, false))
-                THEN 'VOID_NETWORK'
-              WHEN coalesce(timed_out, false) OR NOT coalesce(settled, false) THEN 'VOID_TIMEOUT'
-              ELSE 'VALID' END AS status,
-         f.tokens, f.tools, f.net
-  FROM expected x LEFT JOIN facts f ON f.user_id = x.user_id)
-"""
+def validity_table(t, files: DataFrame | None = None) -> DataFrame:
+    """Every expected run with its record's facts and validity.  ``files`` is a
+    :func:`scan_record_files` result; without one the record texts are taken as rows."""
+    if files is None:
+        files = I.record_texts(t).select("exp", F.octet_length("text").alias("bytes"), "text")
+    recs = expected_records(I.grid(t), parse_records(files))
+    j = recs.select("*", *record_facts()).join(I.transport_errors(t), "user_id", "left")
+    status = R.validity_class(F.col("problem").isNull(), F.col("tokens"), F.col("tools"),
+                              F.col("net"), F.col("settled"), F.col("timed_out"))
+    return j.withColumn("status", status)
 
 
-def validity_table(t) -> DataFrame:
-    facts = run_facts(t)
-    users = t.events.select("user_id")
-    expected = users.distinct().unionByName(
-        users.agg((F.max("user_id") + 1).alias("user_id"))).distinct()
-    j = expected.join(facts.withColumn("_rec", F.lit(True)), "user_id", "left")
-    status = R.validity_class(F.col("_rec").isNotNull(), F.col("tokens"), F.col("tools"),
-                              F.col("net"), F.col("settled"), F.col("timed_out"))
-    return j.select("user_id", status.alias("status"), "tokens", "tools", "net")
+def write_record_files(t, root: str) -> None:
+    """The stand-in's records as files, one per run; the empty record has no bytes."""
+    texts = store(I.record_texts(t), "record-texts")
+    texts.where("text <> ''").select("exp", F.col("text").alias("value")).write.partitionBy("exp").text(root)
+    for r in texts.where("text = ''").select("exp").collect():          # one run in 409
+        t.spark.createDataFrame([], "value string").repartition(1).write.text(f"{root}/exp={r.exp}")
 
 
-@query("run_validity", sql="WITH " + RUN_FACTS_SQL + """
-SELECT status, count(*) AS runs FROM validity GROUP BY status
+@query("run_validity", sql="WITH " + I.INPUT_SQL + """
+SELECT status, coalesce(regexp_extract(record_problem, '^(no record|unparseable)', 1), '') AS problem, count(*) AS runs
+FROM validity GROUP BY 1, 2
 """)
 def run_validity(spark, sf_dir) -> DataFrame:
-    v = validity_table(load_tables(spark, sf_dir))
-    return v.groupBy("status").agg(F.count(F.lit(1)).alias("runs"))
+    """X1 over record files: absent, zero-byte and broken ones are MISSING, each with its cause."""
+    t = load_tables(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/records-{uuid.uuid4().hex}"
+    write_record_files(t, root)
+    v = validity_table(t, scan_record_files(spark, root, "*.txt", r"exp=([^/]+)/"))
+    cause = F.regexp_extract(F.coalesce("problem", F.lit("")), "^(no record|unparseable)", 1)
+    return v.groupBy("status", cause.alias("problem")).agg(F.count(F.lit(1)).alias("runs"))
 
 
 # ---------------------------------------------------------------------------

@@ -141,3 +141,125 @@ def test_arm_without_valid_rows_and_zero_trap(spark):
     assert got["off"].no_valid_trials
     pooled = X.arm_table_pooled(golden_rows(spark)).where("pooled").collect()
     assert sorted(r.arm for r in pooled) == ["generic", "off", "specific"]
+
+
+# ---- trial rows from their parts ----------------------------------------------------------
+
+def _golden_parts(spark, tmp_path, broken=False):
+    """The nine recorded runs as files, paths, names and indices: what the report reads."""
+    import json
+
+    from rampart.operators import names as N
+    from rampart.sources import records as A
+    exps = [g[0] for g in GOLDEN]
+    for i, (exp, *_, score) in enumerate(GOLDEN):
+        rec = {"instance_id": "recharge001", "settled": True, "timed_out": False, "score": score, "n_tool_calls_total": 20 + i,
+               "rounds": [{"usage": {"totalTokens": 1000}}, {"usage": None}, {"usage": {"totalTokens": "n/a"}}]}
+        (tmp_path / f"{exp}.stdout.json").write_text(json.dumps(rec))
+    if broken:
+        (tmp_path / "nudge-off-r1.stdout.json").unlink()
+        (tmp_path / "nudge-off-r2.stdout.json").write_text("")
+        (tmp_path / "nudge-off-r3.stdout.json").write_text('{"settled": tr')
+    grid = spark.createDataFrame([(e,) for e in exps], "exp string").select(
+        "exp", F.lit("recharge001").alias("task"), R.arm_of(F.col("exp")).alias("arm"))
+    recs = A.expected_records(grid.select("exp"), A.parse_records(A.scan_record_files(spark, str(tmp_path))))
+    recs = recs.select("*", *A.record_facts())
+    recs = recs.select("exp", "problem", "score", "tokens", R.validity_class(
+        F.col("problem").isNull(), F.col("tokens"), F.col("tools"), F.lit(None), F.col("settled"), F.col("timed_out")).alias("status"))
+    paths = grid.select("exp", F.lit("/t").alias("trajectory"), F.lit("/d").alias("produced_db"))
+    target, wrong = "charge_line_item_history", "charge_history_custom"
+    pairs = "project string, name string"
+    declared = spark.createDataFrame([(e, n) for e in exps for n in (target, "stg_charge")], pairs)
+    shipped = spark.createDataFrame([(e, "stg_charge") for e in exps], pairs)
+    made = [(g[0], target if g[2] else wrong) for g in GOLDEN]
+    run = shipped.union(spark.createDataFrame(made, pairs))
+    flags = N.name_flags(declared, shipped, run, run)
+    gate = N.name_gate(flags).withColumnRenamed("project", "exp")
+    listing = N.scored_listing(declared.where(F.col("name") == target), flags).withColumnRenamed("project", "exp")
+    indices = spark.createDataFrame([(g[0], g[3], g[4], g[5], g[6]) for g in GOLDEN],
+                                    "exp string, first_wrong int, first_target int, first_notice int, n_missing_node_warn int")
+    return grid, recs, paths, gate, listing, indices
+
+
+def test_golden_trial_rows_from_parts(spark, tmp_path):
+    got = {r.exp: r for r in X.trial_rows(*_golden_parts(spark, tmp_path), run="exp").collect()}
+    for exp, wrong, built, fw, ft, fn, warn, score in GOLDEN:
+        r = got[exp]
+        assert (r.validity, r.problems, r.wrong_name, r.target_built, r.scored_all_built, r.n_missing_node_warn, r.score) == (
+            "VALID", "", wrong, built, built, warn, score)
+        assert r.gate_status == ("violation" if wrong else "pass")
+    assert [e for e in got if got[e].converted] == [e for e in got if got[e].entered_trap and "off" not in e]
+    assert {e for e in got if got[e].correct_before_notice} == {"nudge-generic-r1", "nudge-generic-r3"}
+    arms = {r.arm: (r.valid, r.total, r.wrong, r.scored_built, r.trap, r.conv, r.passed)
+            for r in X.arm_table(X.trial_rows(*_golden_parts(spark, tmp_path), run="exp")).collect()}
+    assert arms == {"off": (3, 3, 3, 0, 3, 0, 0), "generic": (3, 3, 0, 3, 1, 1, 0), "specific": (3, 3, 0, 3, 3, 3, 0)}
+
+
+def test_every_unread_part_adds_its_cause(spark, tmp_path):
+    grid, recs, paths, gate, listing, indices = _golden_parts(spark, tmp_path, broken=True)
+    e = F.col("exp")
+    paths = paths.withColumn("trajectory", F.when(~e.isin("nudge-generic-r1", "nudge-generic-r2"), F.col("trajectory"))) \
+        .withColumn("produced_db", F.when(e != "nudge-generic-r1", F.col("produced_db")))
+    gate, indices = gate.where("exp <> 'nudge-specific-r1'"), indices.where("exp not in ('nudge-specific-r1', 'nudge-off-r1')")
+    rows = X.trial_rows(grid, recs, paths, gate, listing, indices, run="exp")
+    got = {r.exp: r for r in rows.collect()}
+    assert {x: (got[x].validity, got[x].problems) for x in got if got[x].validity != "VALID"} == {
+        "nudge-off-r1": ("MISSING", "no record at nudge-off-r1.stdout.json"),
+        "nudge-off-r2": ("MISSING", "no record at nudge-off-r2.stdout.json"),
+        "nudge-off-r3": ("MISSING", "unparseable nudge-off-r3.stdout.json"),
+        "nudge-generic-r1": ("UNREADABLE", "trajectory unresolved; produced database unresolved"),
+        "nudge-generic-r2": ("UNREADABLE", "trajectory unresolved"),
+        "nudge-specific-r1": ("UNREADABLE", "name gate could not read the database; trajectory not readable")}
+    assert all(got[x].wrong_name is None and got[x].entered_trap is None and got[x].scored_built is None
+               for x in got if got[x].validity != "VALID")
+    assert {r.batch_status for r in X.not_counted(rows, "exp").collect()} == {"failure"}
+
+
+def test_not_counted_statuses(spark):
+    def status(rows):
+        df = spark.createDataFrame(rows, "exp string, task string, validity string, problems string")
+        return {(r.task, r.task_status, r.batch_status) for r in X.not_counted(df, "exp").collect()}
+    gone = [("a1", "a", "MISSING", "no record"), ("a2", "a", "MISSING", "no record")]
+    assert status(gone) == {("a", "skipped", "error")}
+    assert status([*gone, ("b1", "b", "VALID", "")]) == {("a", "skipped", "ok")}
+    assert status([*gone, ("b1", "b", "VALID", ""), ("b2", "b", "MISSING", "x")]) == {("a", "skipped", "ok"), ("b", "reported", "ok")}
+    assert status([("b1", "b", "VOID_TIMEOUT", ""), ("b2", "b", "UNREADABLE", "x")]) == {("b", "reported", "failure")}
+
+
+def test_graded_targets_are_not_any_target(spark):
+    """A run that builds a declared model which is not graded: built, but not all scored ones."""
+    from rampart.operators import names as N
+    pairs = "project string, name string"
+    declared = spark.createDataFrame([("p", "products"), ("p", "daily_shop"), ("q", "products"), ("q", "daily_shop")], pairs)
+    made = spark.createDataFrame([("p", "daily_shop"), ("q", "products"), ("q", "extra")], pairs)
+    flags = N.name_flags(declared, declared.limit(0), made, made)
+    gate = {r.project: r for r in N.name_gate(flags).collect()}
+    listing = {r.project: r for r in N.scored_listing(declared.where("name = 'products'"), flags).collect()}
+    assert gate["p"].n_built_candidates == 1 and (listing["p"].n_scored, listing["p"].n_scored_built) == (1, 0)
+    assert gate["q"].status == "pass" and listing["q"].scored_built == "products"
+
+
+def test_record_files_of_every_kind(spark, tmp_path):
+    from rampart.sources import records as A
+    files = {"ok": b'{"score": 1, "settled": true, "n_tool_calls_total": "3"}', "empty": b"", "blank": b" \n", "broken": b'{"score": 1',
+             "list": b"[1, 2]", "latin": b'{"score": "\xe9"}', "odd": b' {"score": "x", "rounds": [null, {"usage": {"totalTokens": 7}}], "new": [1]}'}
+    for name, data in files.items():
+        (tmp_path / f"{name}.stdout.json").write_bytes(data)
+    (tmp_path / "notes.txt").write_text("{}")
+    grid = spark.createDataFrame([(n,) for n in [*files, "absent"]], "exp string")
+    recs = A.expected_records(grid, A.parse_records(A.scan_record_files(spark, str(tmp_path))))
+    got = {r.exp: r for r in recs.select("exp", "problem", *A.record_facts()).collect()}
+    assert {n: (got[n].problem or "").split(" ")[0] for n in got} == {
+        "ok": "", "odd": "", "empty": "no", "absent": "no", "blank": "unparseable", "broken": "unparseable",
+        "list": "unparseable", "latin": "unparseable"}
+    assert (got["ok"].tools, got["ok"].score, got["odd"].tokens, got["odd"].score) == (3, 1, 7, None)
+
+
+def test_outcome_histograms(spark):
+    rows = [("passed-first-try", True, True, "pass", 0, 1), ("fixed-after-2-retry", True, True, "violation", 2, None),
+            ("never-fired(no-target-table)", True, False, "no-target-table", 0, 0), ("no-policy", False, False, "no-policy-or-no-settle", 0, 1)]
+    df = spark.createDataFrame(rows, "dfc_class string, has_checks boolean, fired boolean, fired_reason string, retries_used int, score int")
+    assert {tuple(r) for r in X.outcome_histograms(df).collect()} == {
+        ("class", "passed-first-try", 1), ("class", "fixed-after-2-retry", 1), ("class", "never-fired(no-target-tabl", 1),
+        ("class", "no-policy", 1), ("fired", "fired", 2), ("fired", "not fired", 1), ("never-fired", "no-target-table", 1),
+        ("outcome", "scored 1", 1), ("outcome", "scored 0", 1), ("retries", "0", 1), ("retries", "2", 1)}
