@@ -50,11 +50,20 @@ def name_flags(declared: DataFrame, shipped: DataFrame, run: DataFrame,
     )
 
 
-def name_gate(flags: DataFrame) -> DataFrame:
+def name_gate(flags: DataFrame, unreadable: DataFrame | None = None) -> DataFrame:
     """Per-project verdict in the reference's rule order:
     no declarations -> error; no candidates -> pass (not applicable);
     nothing created materialized -> error; offenders without any built
-    candidate -> violation; otherwise pass (possibly with a helper)."""
+    candidate -> violation; otherwise pass (possibly with a helper).
+
+    ``unreadable`` (project, ...) names projects whose database could not be listed:
+    these are errors whatever the other sets say, and measure nothing."""
+    if unreadable is not None:
+        bad = unreadable.select("project").distinct()
+        known = name_gate(flags.join(bad, "project", "left_anti"))
+        zero = [F.lit(0).cast("bigint").alias(c) for c in known.columns[3:]]
+        return known.unionByName(bad.select("project", F.lit(ERROR).alias("status"),
+                                            F.lit("catalog-unreadable").alias("reason"), *zero))
     agg = flags.groupBy("project").agg(
         F.count_if("in_declared").alias("n_declared"),
         F.count_if("candidate").alias("n_candidates"),

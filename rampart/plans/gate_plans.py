@@ -12,12 +12,16 @@ Stand-ins:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rampart.operators import names as N
 from rampart.operators import stack as S
 from rampart.plans.registry import query
+from rampart.session import ensure_checkpoint_dir
+from rampart.sources import catalogs as C
 from rampart.sources.tables import load_tables
 
 CAP = 3  # retries allowed across a whole stack
@@ -118,6 +122,86 @@ def name_gate(spark, sf_dir) -> DataFrame:
         "n_unmet", "n_built_candidates")
 
 
+# ---------------------------------------------------------------------------
+# A3: the gate over listed databases
+# ---------------------------------------------------------------------------
+KINDS_SHIPPED = ("promo",)
+
+
+def brand_models(t) -> DataFrame:
+    """(project, name, made): the models that a brand family's run has, and whether it made
+    their tables.  A family declares its kinds; some runs use an invented name instead."""
+    p = t.part.select(F.substring("p_brand", 1, 7).alias("project"), F.lower(F.element_at(F.split("p_type", " "), -1)).alias("kind"), "p_partkey")
+    g = p.groupBy("project", "kind").agg(F.min("p_partkey").alias("k"))
+    number = F.substring("project", 7, 1).cast("int")
+    name = F.when((F.pmod(number, F.lit(3)) == 0) & ~F.col("kind").isin(*KINDS_SHIPPED),
+                  F.concat("kind", F.lit("_custom"))).otherwise(F.col("kind"))
+    return g.select("project", "kind", name.alias("name"), (F.pmod("k", F.lit(4)) != 0).alias("made"))
+
+
+def _build_databases(spark, t, models: DataFrame, run: str) -> dict[str, str]:
+    """The stand-in's produced databases, one per brand family and a table per
+    model made; family 4 has none.  Returns project -> database."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/databases-{run}"
+    kind = F.lower(F.element_at(F.split("p_type", " "), -1))
+    t.part.select("p_partkey", "p_name", "p_retailprice", F.translate(F.substring("p_brand", 1, 7), "#", "_").alias("brand"), kind.alias("kind")) \
+        .write.partitionBy("brand", "kind").parquet(f"{root}/data")
+    built: dict[str, dict[str, str]] = {}
+    for r in models.select("project", "kind", "name", "made").collect():      # a table list: families x kinds
+        tables = built.setdefault(r.project, {})
+        if r.made:
+            path = f"{root}/data/brand={r.project.replace('#', '_')}/kind={r.kind}"
+            tables[r.name] = f"(p_partkey BIGINT, p_name STRING, p_retailprice DOUBLE) USING parquet LOCATION '{path}'"
+    names = {p: f"{p.replace('#', '_')}_{run}".lower() for p in built}
+    for p, tables in built.items():
+        if not p.endswith("4"):
+            C.create_database(spark, names[p], f"{root}/{names[p]}", tables)
+    return names
+
+
+@query("catalog_gate", sql="""
+WITH m AS (
+  SELECT substring(p_brand, 1, 7) AS project, lower(split_part(p_type, ' ', -1)) AS kind, min(p_partkey) AS k FROM part GROUP BY 1, 2),
+models AS (
+  SELECT project, kind, k % 4 <> 0 AS made,
+         kind || CASE WHEN CAST(substring(project, 7, 1) AS INTEGER) % 3 = 0 AND kind <> 'promo' THEN '_custom' ELSE '' END AS name
+  FROM m),
+tagged AS (
+  SELECT project, kind AS name, 'd' AS tag FROM models
+  UNION ALL SELECT project, kind, 's' FROM models WHERE kind = 'promo'
+  UNION ALL SELECT project, name, 'r' FROM models
+  UNION ALL SELECT project, name, 'm' FROM models WHERE made),
+f AS (SELECT project, name, bool_or(tag = 'd') AS d, bool_or(tag = 's') AS s, bool_or(tag = 'r') AS r, bool_or(tag = 'm') AS m
+      FROM tagged GROUP BY project, name),
+g AS (SELECT project, count(*) FILTER (WHERE d AND NOT s) AS cand, count(*) FILTER (WHERE r AND NOT s AND m) AS new,
+             count(*) FILTER (WHERE r AND NOT s AND m AND NOT d) AS off, count(*) FILTER (WHERE d AND NOT s AND m) AS got,
+             count(*) FILTER (WHERE d AND NOT s AND NOT m) AS unmet, project LIKE '%4' AS bad FROM f GROUP BY project)
+SELECT project AS brand,
+       CASE WHEN bad THEN 'error' WHEN cand = 0 THEN 'pass' WHEN new = 0 THEN 'error'
+            WHEN off > 0 AND got = 0 THEN 'violation' ELSE 'pass' END AS status,
+       CASE WHEN bad THEN 'catalog-unreadable' WHEN cand = 0 THEN 'not-applicable' WHEN new = 0 THEN 'nothing-created-built'
+            WHEN off > 0 AND got = 0 THEN 'undeclared-name' WHEN off > 0 THEN 'helper-beside-candidate'
+            ELSE 'declared-names' END AS reason,
+       CASE WHEN bad THEN 0 ELSE off END AS n_offenders, CASE WHEN bad THEN 0 ELSE unmet END AS n_unmet,
+       CASE WHEN bad THEN 0 ELSE got END AS n_built_candidates
+FROM g
+""")
+def catalog_gate(spark, sf_dir) -> DataFrame:
+    """P4 with the materialized set as the catalog lists it; a database that cannot be
+    opened is an error and not an empty set."""
+    t = load_tables(spark, sf_dir)
+    models = brand_models(t)
+    names = _build_databases(spark, t, models, uuid.uuid4().hex)
+    projects = spark.createDataFrame([(p, d) for p, d in names.items()], "project string, database string")
+    listed = C.list_tables(spark, list(names.values())).join(projects, "database")
+    C.drop_databases(spark, list(names.values()))
+    declared = models.select("project", F.col("kind").alias("name"))
+    flags = N.name_flags(declared, declared.where(F.col("name").isin(*KINDS_SHIPPED)), models.select("project", "name"),
+                         listed.where("error is null").select("project", "name"))
+    return N.name_gate(flags, listed.where("error is not null")).select(
+        F.col("project").alias("brand"), "status", "reason", "n_offenders", "n_unmet", "n_built_candidates")
+
+
 # Expected verdict per labelled bucket (brand number mod 4).
 BUCKETS = ("gold", "bad", "control", "content")
 EXPECTED = {"gold": "pass", "bad": "violation", "control": "pass", "content": "pass"}

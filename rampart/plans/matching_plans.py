@@ -8,13 +8,16 @@ compared, no pruning), so it checks that the pruning never drops a match.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rampart.operators import matching as M
 from rampart.plans.registry import query
-from rampart.session import store
-from rampart.sources.tables import load_tables
+from rampart.session import ensure_checkpoint_dir, store
+from rampart.sources import catalogs as C
+from rampart.sources.tables import TABLE_NAMES, load_tables
 
 # ---------------------------------------------------------------------------
 # Predicted tables (Spark) and their SQL twins: (name, class, sql, spark expr)
@@ -162,30 +165,22 @@ def column_match_text_sort(spark, sf_dir) -> DataFrame:
 # Per-table diagnosis and task verdicts
 # ---------------------------------------------------------------------------
 
-def _pred_customer(t):
-    return t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
-                             F.col("c_nationkey").alias("nation"),
-                             F.round("c_acctbal", 1).alias("balance"))
-
-
-def _pred_nation(t):
-    return t.nation.select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("key"),
-                           F.col("n_regionkey").alias("region"))
-
-
-def _pred_region(t):
-    return t.region.select(F.col("r_name").alias("name"), F.col("r_regionkey").alias("key"))
-
-
-# table -> (gold builder, pred builder or None, checked gold column indices)
-DIAG_TABLES = {
-    "orders": (lambda t: t.orders.select(*ORDERS_GOLD),
-               lambda t: predicted_orders(t).drop("_row"), [0, 1, 2, 3]),
-    "customer": (lambda t: t.customer, _pred_customer, [0, 2, 3]),
-    "nation": (lambda t: t.nation, _pred_nation, [0, 1, 2]),
-    "region": (lambda t: t.region, _pred_region, [0, 1]),
-    "supplier": (lambda t: t.supplier, None, [0, 3]),
-}
+# Two databases: what was expected and what was produced.  {orders}... are the driver's
+# tables.  The produced one lacks supplier; the expected part has files that are no Parquet.
+GOLD_VIEWS = {
+    "orders": f"SELECT {', '.join(ORDERS_GOLD)} FROM {{orders}}",
+    "customer": "SELECT * FROM {customer}", "nation": "SELECT * FROM {nation}", "region": "SELECT * FROM {region}",
+    "supplier": "SELECT * FROM {supplier}"}
+PRED_VIEWS = {
+    "orders": """SELECT CAST(o.o_orderkey AS STRING) AS key_str, o.o_custkey + 1 AS cust_plus1, o.o_totalprice + 0.004 AS price_j,
+        o.o_orderstatus AS status, CASE WHEN o.o_orderkey % 1000 = 0 THEN o.o_orderkey + 0.02 ELSE CAST(o.o_orderkey AS DOUBLE) END AS alt_key,
+        s.o_totalprice AS price_swap FROM {orders} o LEFT JOIN {orders} s ON s.o_orderkey = (o.o_orderkey ^ 1)""",
+    "customer": "SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation, round(c_acctbal, 1) AS balance FROM {customer}",
+    "nation": "SELECT n_name AS name, n_nationkey AS key, n_regionkey AS region FROM {nation}",
+    "region": "SELECT r_name AS name, r_regionkey AS key FROM {region}",
+    "part": "SELECT p_partkey AS key, p_name AS name FROM {part}"}
+# table -> checked gold column indices
+DIAG_TABLES = {"orders": [0, 1, 2, 3], "customer": [0, 2, 3], "nation": [0, 1, 2], "region": [0, 1], "supplier": [0, 3], "part": [0, 1]}
 TASKS = {
     "nation_only": ["nation"],
     "orders_nation": ["orders", "nation"],
@@ -195,11 +190,19 @@ TASKS = {
 }
 
 
-def diagnose(spark, t, table: str) -> DataFrame:
-    """M2: one row for one table: counts, existence and [idx]name lists."""
-    gold_fn, pred_fn, idxs = DIAG_TABLES[table]
-    gold = gold_fn(t)
-    pred = pred_fn(t) if pred_fn else None
+DIAGNOSIS = ("table string, gold_rows bigint, pred_rows bigint, pred_exists boolean, cols_matched string, "
+             "cols_unmatched string, n_unmatched bigint, error string")
+
+
+def diagnose(spark, gold_db: str, pred_db: str, table: str, idxs: list[int]) -> DataFrame:
+    """M2: one row for one table: counts, existence, [idx]name lists, and ``error``.  A
+    gold table that cannot be read has nothing but its error; a prediction that is
+    missing or cannot be read matches no column."""
+    gold, cause = C.read_table(spark, gold_db, table)
+    if gold is None:
+        return spark.createDataFrame([(table, None, None, None, "", "", len(idxs), f"gold table unreadable: {cause}")], DIAGNOSIS)
+    pred, cause = C.read_table(spark, pred_db, table)
+    error = None if pred is not None else f"pred table missing/unreadable: {cause}"
     names = [gold.columns[i] for i in idxs]
     m = M.column_match(gold, pred, names)
     label = F.concat(F.lit("["), F.element_at(F.array(*[F.lit(i) for i in idxs]),
@@ -222,15 +225,25 @@ def diagnose(spark, t, table: str) -> DataFrame:
     out = lists.select(key, "*").join(gold_rows, "table").join(pred_rows, "table")
     return out.select("table", "gold_rows", "pred_rows",
                       F.lit(pred is not None).alias("pred_exists"),
-                      "cols_matched", "cols_unmatched", "n_unmatched")
+                      "cols_matched", "cols_unmatched", "n_unmatched", F.lit(error).cast("string").alias("error"))
 
 
 def diagnose_all(spark, sf_dir, tables=None) -> DataFrame:
-    t = load_tables(spark, sf_dir)
+    run, root = uuid.uuid4().hex, ensure_checkpoint_dir(spark).rstrip("/")
+    files = {n: f"parquet.`{sf_dir.rstrip('/')}/{n}.parquet`" for n in TABLE_NAMES}
+    load_tables(spark, sf_dir).part.select("p_name").write.text(f"{root}/diagnose-{run}/part")
+    gold, pred = f"gold_{run}", f"pred_{run}"
+    C.create_database(spark, gold, f"{root}/diagnose-{run}/gold",
+                      {"part": f"(p_partkey BIGINT, p_name STRING) USING parquet LOCATION '{root}/diagnose-{run}/part'"},
+                      {k: v.format(**files) for k, v in GOLD_VIEWS.items()})
+    C.create_database(spark, pred, f"{root}/diagnose-{run}/pred", {}, {k: v.format(**files) for k, v in PRED_VIEWS.items()})
     out = None
-    for name in tables or DIAG_TABLES:
-        d = diagnose(spark, t, name)
-        out = d if out is None else out.unionByName(d)
+    try:
+        for name in tables or DIAG_TABLES:
+            d = diagnose(spark, gold, pred, name, DIAG_TABLES[name])
+            out = d if out is None else out.unionByName(d)
+    finally:
+        C.drop_databases(spark, [gold, pred])
     return out
 
 
@@ -243,7 +256,12 @@ SELECT '{table}' AS "table", (SELECT count(*) FROM ({gold_src})) AS gold_rows,
        CAST(NULL AS BIGINT) AS pred_rows, false AS pred_exists, '' AS cols_matched,
        (SELECT string_agg('[' || i || ']' || c, ', ' ORDER BY i) FROM (VALUES {labels}) v(c, i))
          AS cols_unmatched,
-       {len(idxs)} AS n_unmatched"""
+       {len(idxs)} AS n_unmatched, 'pred table missing/unreadable' AS error"""
+    if gold_src is None:
+        return f"""
+SELECT '{table}' AS "table", CAST(NULL AS BIGINT) AS gold_rows, CAST(NULL AS BIGINT) AS pred_rows,
+       CAST(NULL AS BOOLEAN) AS pred_exists, '' AS cols_matched, '' AS cols_unmatched, {len(idxs)} AS n_unmatched,
+       'gold table unreadable' AS error"""
     m = match_sql(gold_src, gold_cols, pred_src, pred_cols)
     return f"""
 SELECT '{table}' AS "table", (SELECT count(*) FROM ({gold_src})) AS gold_rows,
@@ -252,7 +270,7 @@ SELECT '{table}' AS "table", (SELECT count(*) FROM ({gold_src})) AS gold_rows,
                            ORDER BY i), '') AS cols_matched,
        coalesce(string_agg(CASE WHEN NOT matched THEN '[' || i || ']' || m.gold_col END, ', '
                            ORDER BY i), '') AS cols_unmatched,
-       count(*) FILTER (WHERE NOT matched) AS n_unmatched
+       count(*) FILTER (WHERE NOT matched) AS n_unmatched, CAST(NULL AS VARCHAR) AS error
 FROM ({m}) m JOIN (VALUES {labels}) v(c, i) ON v.c = m.gold_col"""
 
 
@@ -274,6 +292,7 @@ DIAG_SQL = {
                [("name", "string"), ("key", "numeric")], [0, 1]),
     "supplier": ("SELECT * FROM supplier", [("s_suppkey", "numeric"), ("s_acctbal", "numeric")],
                  None, None, [0, 3]),
+    "part": (None, [], "SELECT 1", [], [0, 1]),
 }
 
 
@@ -282,7 +301,10 @@ def diagnose_sql(tables=None) -> str:
                                  for name in tables or DIAG_TABLES)
 
 
-query("table_diagnose", sql=diagnose_sql())(diagnose_all)
+@query("table_diagnose", sql=diagnose_sql())
+def table_diagnose(spark, sf_dir) -> DataFrame:
+    """M2 over two listed databases; of an error the kind is shown, not the engine's cause."""
+    return diagnose_all(spark, sf_dir).withColumn("error", F.split_part("error", F.lit(":"), F.lit(1)))
 
 
 def task_verdicts(spark, sf_dir, diag: DataFrame | None = None) -> DataFrame:
