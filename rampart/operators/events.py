@@ -5,11 +5,13 @@ pair (ts, tie)).  Starts are tool calls; ends close them.
 
 Call indices (E1/E2) and first occurrences (D5) are computed as *counts of
 starts before a threshold*: a grouped ``min`` finds each run's thresholds
-(one row per run), that row is joined back to the run's events on (run, salt)
-(:mod:`rampart.operators.skew`) and counted per (run, salt), then per run.
-Both aggregates combine map-side, and a run holding a third of all events is
-spread over many tasks -- unlike ``sum(is_start) over (partition by run
-order by ts)``, or a join on the run alone, which AQE cannot split here.
+(one row per run), that row is joined back to the run's events
+(:mod:`rampart.operators.skew`: a hot run is salted by its size) and counted per
+(run, salt), then per run.  Both aggregates combine map-side, and a run holding a
+third of all events is spread over many tasks -- unlike ``sum(is_start) over
+(partition by run order by ts)``, or a join on the run alone, which AQE cannot
+split here.  The last events of a run (E6) are found the same way: the top few
+keys per run, then counts up to them; no event table is numbered.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rampart.operators.skew import SALT, join_per_group
+from rampart.session import store
 
 # Fixed values that must equal the reference's behaviour.
 WRITE_TOOLS = ("write", "edit", "str_replace", "create_file")
@@ -39,6 +42,7 @@ def before(ts: Column, tie: Column, key: Column) -> Column:
 def first_indices(ev: DataFrame, *, run: str, is_start: Column,
                   markers: Mapping[str, tuple[Column, bool]],
                   after_counts: Mapping[str, tuple[str, Column]] = (),
+                  totals: Mapping[str, Column] = {},
                   ts: str = "ts", tie: str = "event_id") -> DataFrame:
     """Per run: for each marker, the call index of its first occurrence.
 
@@ -47,17 +51,21 @@ def first_indices(ev: DataFrame, *, run: str, is_start: Column,
     index of the last call started before it, i.e. that count minus one
     (-1 when nothing started yet).  ``after_counts`` maps a name to
     ``(marker, condition)``: events matching the condition later than the
-    marker's first occurrence.  Also returns ``n_calls`` (all starts).
+    marker's first occurrence; ``totals`` maps a name to a condition counted over
+    the whole run.  Also returns ``n_calls`` (all starts).
     """
     e = ev.select(F.col(run).alias("_run"), F.col(ts).alias("_ts"), F.col(tie).alias("_tie"),
                   is_start.alias("_start"),
                   *[cond.alias(f"_m_{name}") for name, (cond, _) in markers.items()],
-                  *[cond.alias(f"_a_{name}") for name, (_, cond) in dict(after_counts).items()])
+                  *[cond.alias(f"_a_{name}") for name, (_, cond) in dict(after_counts).items()],
+                  *[cond.alias(f"_t_{name}") for name, cond in totals.items()])
     key = F.struct(F.col("_ts").alias("ts"), F.col("_tie").alias("tie"))
     firsts = e.groupBy("_run").agg(
-        F.count_if("_start").alias("n_calls"),
+        F.count(F.lit(1)).alias("_n"), F.count_if("_start").alias("n_calls"),
+        *[F.count_if(f"_t_{n}").alias(n) for n in totals],
         *[F.min(F.when(F.col(f"_m_{n}"), key)).alias(f"_k_{n}") for n in markers])
-    j = join_per_group(e, firsts.drop("n_calls"), ["_run"], ["_ts", "_tie"])
+    firsts = store(firsts, "firsts")             # one row per run, read for the sizes and joined twice
+    j = join_per_group(e, firsts.select("_run", "_n", *[f"_k_{n}" for n in markers]), ["_run"], ["_ts", "_tie"], "_n")
     ts_c, tie_c = F.col("_ts"), F.col("_tie")
     counts = j.groupBy("_run", SALT).agg(
         *[F.count_if(F.col("_start") & before(ts_c, tie_c, F.col(f"_k_{n}"))).alias(f"_c_{n}")
@@ -68,7 +76,7 @@ def first_indices(ev: DataFrame, *, run: str, is_start: Column,
     names = [f"_c_{n}" for n in markers] + list(dict(after_counts))
     counts = counts.groupBy("_run").agg(*[F.sum(n).alias(n) for n in names])
     out = firsts.join(counts, "_run", "left")
-    cols = [F.col("_run").alias(run), F.col("n_calls")]
+    cols = [F.col("_run").alias(run), F.col("n_calls"), *totals]
     for n, (_, notice) in markers.items():
         cnt = F.coalesce(F.col(f"_c_{n}"), F.lit(0)) - (1 if notice else 0)
         cols.append(F.when(F.col(f"_k_{n}").isNotNull(), cnt).cast("bigint").alias(n))
@@ -77,6 +85,34 @@ def first_indices(ev: DataFrame, *, run: str, is_start: Column,
     return out.select(*cols)
 
 
+def last_positions(ev: DataFrame, *, run: str, keep: Column, n: int, payload: Sequence[str] = (),
+                   ts: str = "ts", tie: str = "event_id") -> DataFrame:
+    """The last ``n`` events of each run that meet ``keep``, with ``step_no``, their
+    1-based place among all events of the run.
+
+    The top ``n`` keys per run are limited before the shuffle; then each run's
+    events up to each of these keys are counted.
+    """
+    e = ev.select(F.col(run).alias("_run"), F.col(ts).alias("_ts"), F.col(tie).alias("_tie"),
+                  keep.alias("_keep"), *payload)
+    w = Window.partitionBy("_run").orderBy(F.col("_ts").desc(), F.col("_tie").desc())
+    last = e.where("_keep").withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+    tails = last.groupBy("_run").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("_ts").alias("ts"), F.col("_tie").alias("tie"), *payload))).alias("_keys"))
+    sizes = e.groupBy("_run").agg(F.count(F.lit(1)).alias("_n"))
+    tails = store(tails.join(sizes, "_run"), "tails")
+    j = join_per_group(e.select("_run", "_ts", "_tie"), tails, ["_run"], ["_ts", "_tie"], "_n")
+
+    def upto(i):
+        key = F.get("_keys", F.lit(i))
+        return F.count_if(~before(key["ts"], key["tie"], F.struct(F.col("_ts").alias("ts"), F.col("_tie").alias("tie"))))
+    counts = j.groupBy("_run", SALT).agg(*[upto(i).alias(f"_c{i}") for i in range(n)]) \
+        .groupBy("_run").agg(F.array(*[F.sum(f"_c{i}") for i in range(n)]).alias("_c"))
+    out = tails.join(counts, "_run").select("_run", "_c", F.posexplode("_keys").alias("_i", "_k"))
+    return out.select(F.col("_run").alias(run), F.get("_c", F.col("_i")).alias("step_no"),
+                      F.col("_k.ts").alias(ts), F.col("_k.tie").alias(tie), *[F.col(f"_k.{p}").alias(p) for p in payload])
+
+
 def causal_flags(first_wrong: Column, first_target: Column, first_notice: Column) -> list[Column]:
     """E3 with strict comparisons: trap, conversion, correct-before-notice."""
     trap = first_wrong.isNotNull() & (first_notice.isNull() | (first_wrong < first_notice))

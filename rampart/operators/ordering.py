@@ -1,14 +1,15 @@
 """Positions within groups without a one-task window.
 
 ``row_number() over (partition by g order by k)`` puts each whole group in
-one task; a group holding a third of the data then runs on one core.  Here
-rows are range-partitioned on (g, k), sorted within partitions and numbered
-by ``monotonically_increasing_id`` (partition id in the high bits, the row's
-place in the sorted partition in the low bits).  The numbered rows are
-written once under the checkpoint folder so ids never change, then each
-(partition, group) gets its offset from a small table of per-partition counts
-(at most one row per partition a group spans).  The partitions' number is
-left to the session and to AQE.
+one task; a group holding a third of the data then runs on one core.  Groups
+of at most a shuffle partition's share of the rows are numbered that way, in one
+shuffle.  A larger (hot) group, and rows without a group, are range-partitioned on
+(g, k), sorted within partitions and numbered by ``monotonically_increasing_id``
+(partition id in the high bits, the row's place in the sorted partition in the
+low bits).  These rows are written once under the checkpoint folder so ids never
+change; then each partition's offset comes from the partitions' counts: a literal
+where there is one group, and a small table of one row per partition that a
+hot group spans otherwise.
 """
 
 from __future__ import annotations
@@ -18,18 +19,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rampart.operators.skew import hot_groups, with_hot
 from rampart.session import store
 
 
 def positions(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
-              name: str = "pos") -> DataFrame:
+              name: str = "pos", counts: DataFrame | None = None) -> DataFrame:
     """Add a 1-based ``name`` column: the row's place within its group.
 
     ``order`` entries may be column names or sort Columns (e.g. ``F.col(x).asc_nulls_last()``).
-    Ties are numbered in an arbitrary but fixed order.
+    Ties are numbered in an arbitrary order.  ``counts`` (group columns, ``n``) may give
+    the groups' sizes, or upper bounds of them, where that is cheaper than to count ``df``.
     """
-    sort_cols = [F.col(g) for g in group] + [F.col(o) if isinstance(o, str) else o
-                                             for o in order]
+    group = list(group)
+    if not group:
+        return _number_all(df, order, name)
+    if counts is None:
+        counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_groups(store(counts, "group-sizes"), group, "n")
+    w = Window.partitionBy(*group).orderBy(*order)
+    if hot is None:
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    df = with_hot(df, hot, group)
+    rest = df.where("_salts is null").drop("_salts").withColumn(name, F.row_number().over(w).cast("bigint"))
+    return rest.unionByName(_number_hot(df.where("_salts is not null").drop("_salts"), group, order, name))
+
+
+def _ranged(df: DataFrame, sort_cols: Sequence[Column]) -> DataFrame:
+    """``df`` in range partitions, sorted and written, with ``_pid`` and ``_idx`` of each row."""
     # Equal sort keys cannot be told apart by range bounds; the row's own number
     # in the input splits a frequent value over many partitions.
     ranged = df.withColumn("_tie", F.monotonically_increasing_id())
@@ -37,8 +54,29 @@ def positions(df: DataFrame, group: Sequence[str], order: Sequence[str | Column]
         .sortWithinPartitions(*sort_cols, "_tie").drop("_tie")
     # One write; ids are fixed by the files, and nothing is kept on executors.
     ranged = store(ranged.withColumn("_mid", F.monotonically_increasing_id()), "positions")
-    ranged = ranged.withColumn("_pid", F.shiftright(F.col("_mid"), 33)) \
-                   .withColumn("_idx", F.col("_mid") - F.shiftleft(F.col("_pid"), 33))
+    pid = F.shiftright(F.col("_mid"), 33)
+    return ranged.withColumn("_pid", pid).withColumn("_idx", F.col("_mid") - F.shiftleft(pid, 33)).drop("_mid")
+
+
+def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
+    return [F.col(o) if isinstance(o, str) else o for o in order]
+
+
+def _number_all(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+    """Places in the whole table: one literal offset per partition, no join."""
+    ranged = _ranged(df, _sort_cols(order))
+    sizes = {r[0]: r[1] for r in ranged.groupBy("_pid").agg(F.count(F.lit(1))).collect()}
+    offsets, at = [], 0
+    for p in range(max(sizes, default=-1) + 1):
+        offsets.append(at)
+        at += sizes.get(p, 0)
+    off = F.get(F.lit(offsets).cast("array<bigint>"), F.col("_pid").cast("int"))
+    return ranged.withColumn(name, off + F.col("_idx") + 1).drop("_pid", "_idx")
+
+
+def _number_hot(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], name: str) -> DataFrame:
+    """Places in groups larger than a partition: few groups, many partitions each."""
+    ranged = _ranged(df, [F.col(g) for g in group] + _sort_cols(order))
     counts = ranged.groupBy("_pid", *group).agg(F.min("_idx").alias("_first"),
                                                 F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -47,7 +85,7 @@ def positions(df: DataFrame, group: Sequence[str], order: Sequence[str | Column]
                                  [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in ["_pid", *group]])
     out = out.select(*[F.col(f"r.{c}").alias(c) for c in ranged.columns], "_first", "_off")
     return out.withColumn(name, F.col("_off") + F.col("_idx") - F.col("_first") + 1) \
-              .drop("_mid", "_pid", "_idx", "_first", "_off")
+              .drop("_pid", "_idx", "_first", "_off")
 
 
 def running_total(df: DataFrame, group: Sequence[str], order: Sequence[str], weight: str,

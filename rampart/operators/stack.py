@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rampart.operators.skew import SALT, join_per_group
+from rampart.session import store
 from rampart.operators.verdict import ERROR, PASS, VIOLATION
 
 
@@ -81,9 +82,8 @@ def retry_trace(checks: DataFrame, run: str = "run", ts: str = "ts", tie: str =
     Every check before the stopping one is a violation by construction, so
     the round list is ``violation`` x retries followed by the final status.
     The stopping position is a count of the checks ordered before the first
-    non-violation: a grouped min, a salted join of one threshold row per run
-    and a count per (run, salt), then per run -- no window, and a hot run is
-    split.
+    non-violation: a grouped min, a join of one threshold row per run (a hot run
+    salted by its size) and a count per (run, salt), then per run -- no window.
     """
     c = checks.select(F.col(run).alias("run"), F.col(ts).alias("ts"),
                       F.col(tie).alias("tie"), F.col(status).alias("status"))
@@ -91,8 +91,8 @@ def retry_trace(checks: DataFrame, run: str = "run", ts: str = "ts", tie: str =
         F.count(F.lit(1)).alias("n_checks"),
         F.min(F.when(F.col("status") != VIOLATION, F.struct("ts", "tie", "status")))
          .alias("stop"))
-    with_stop = join_per_group(c, firsts.where("stop is not null").select("run", "stop"),
-                               ["run"], ["ts", "tie"])
+    firsts = store(firsts, "firsts")
+    with_stop = join_per_group(c, firsts.where("stop is not null"), ["run"], ["ts", "tie"], "n_checks")
     before = with_stop.where(_before(
         F.col("ts"), F.col("tie"), F.col("stop.ts"), F.col("stop.tie"))) \
         .groupBy("run", SALT).agg(F.count(F.lit(1)).alias("n_before")) \

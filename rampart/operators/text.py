@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rampart.operators.skew import SALT, join_per_group
+from rampart.session import store
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's behaviour.
@@ -171,8 +172,8 @@ def context_window(msgs: DataFrame, *, conv: str, pos: str, memory: int) -> Data
     window: once the history exceeds 2*memory+1, keep the first message and
     the last 2*memory.  overflow: keep the first, drop the next two.
     """
-    n = msgs.groupBy(conv).agg(F.count(F.lit(1)).alias("_n"))
-    j = join_per_group(msgs, n, [conv], [pos]).drop(SALT)
+    n = store(msgs.groupBy(conv).agg(F.count(F.lit(1)).alias("_n")), "lengths")
+    j = join_per_group(msgs, n, [conv], [pos], "_n").drop(SALT)
     p = F.col(pos)
     window = (F.col("_n") <= 2 * memory + 1) | (p == 0) | (p >= F.col("_n") - 2 * memory)
     overflow = ~p.isin(1, 2)

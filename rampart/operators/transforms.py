@@ -38,8 +38,10 @@ def charge_history(df: DataFrame, *, charge: str, kinds: Mapping[str, Column | t
                   *[c.alias(n) for n, c in (carry or {}).items()],
                   F.explode(F.filter(F.array(*items), lambda x: x["has"])).alias("x"))
     u = u.select("*", "x.line_item_type", "x.source_index", "x.amount").drop("x")
+    # a charge has at most one row per source row and kind
+    sizes = df.groupBy(F.col(charge).alias("charge_id")).agg((F.count(F.lit(1)) * len(kinds)).alias("n"))
     return positions(u, ["charge_id"], ["line_item_type", "amount", *order_tie],
-                     name="charge_row_num")
+                     name="charge_row_num", counts=sizes)
 
 
 def percentage_amount(kind: Column, value: Column, base: Column) -> Column:
@@ -85,8 +87,9 @@ def active_months(df: DataFrame, *, entity: str, day: str, inclusive: bool = Tru
     """T5: (days since the entity's first day [+1]) / 30, rounded; never
     negative.  First day = grouped min joined back on (entity, salt), so an
     entity with a third of all rows is split (no per-entity window)."""
-    first = df.groupBy(entity).agg(F.min(F.col(day).cast("date")).alias("_first"))
-    j = join_per_group(df, first, [entity], df.columns).drop(SALT)
+    first = store(df.groupBy(entity).agg(F.min(F.col(day).cast("date")).alias("_first"),
+                                         F.count(F.lit(1)).alias("_n")), "first-days")
+    j = join_per_group(df, first, [entity], df.columns, "_n").drop(SALT, "_n")
     days = F.datediff(F.col(day).cast("date"), F.col("_first")) + (1 if inclusive else 0)
     months = F.round(days.cast("decimal(12,0)") / F.lit(30), scale)
     return j.withColumn("months", F.greatest(months, F.lit(0)).cast("double")).drop("_first")

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rampart.operators import events as E
-from rampart.operators.ordering import positions
 from rampart.plans.registry import query
 from rampart.sources.tables import load_tables
 
@@ -284,14 +283,9 @@ steps AS (
 """
 
 
-def step_table(t) -> DataFrame:
-    tr = trajectory(t)
-    numbered = positions(tr, ["user_id"], ["ts", "event_id"], name="step_no")
-    return numbered.select(
-        "*", E.is_dbt_call(F.col("tool"), F.col("command")).alias("f_dbt"),
-        F.col("tool").isin("edit", "write").alias("f_edit"),
-        E.is_error_result(F.col("is_error"), F.col("result")).alias("f_error"),
-        E.is_dbt_build(F.col("command")).alias("f_build"))
+def step_flags(tr) -> dict:
+    return {"dbt": E.is_dbt_call(F.col("tool"), F.col("command")), "edits": F.col("tool").isin("edit", "write"),
+            "errors": E.is_error_result(F.col("is_error"), F.col("result")), "dbt_build": E.is_dbt_build(F.col("command"))}
 
 
 @query("step_filters", sql="WITH " + TRAJ_CTE + "," + STEP_CTE + """
@@ -302,12 +296,14 @@ SELECT user_id, count(*) AS n_steps, count(*) FILTER (WHERE f_dbt) AS n_dbt,
 FROM steps GROUP BY user_id
 """)
 def step_filters(spark, sf_dir) -> DataFrame:
-    s = step_table(load_tables(spark, sf_dir))
-    return s.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_steps"), F.count_if("f_dbt").alias("n_dbt"),
-        F.count_if("f_edit").alias("n_edits"), F.count_if("f_error").alias("n_errors"),
-        F.count_if("f_build").alias("n_dbt_build"),
-        F.min(F.when(F.col("f_error"), F.col("step_no"))).alias("first_error_step"))
+    """E5: numbers are given before any filter, so the first error's is one more than
+    the count of all steps before it."""
+    tr = trajectory(load_tables(spark, sf_dir))
+    flags = step_flags(tr)
+    out = E.first_indices(tr, run="user_id", is_start=F.lit(True), markers={"first_error": (flags["errors"], False)},
+                          totals={f"n_{k}": c for k, c in flags.items()})
+    return out.select("user_id", F.col("n_calls").alias("n_steps"), "n_dbt", "n_edits", "n_errors", "n_dbt_build",
+                      (F.col("first_error") + 1).alias("first_error_step"))
 
 
 TAIL_N = 3
@@ -319,13 +315,9 @@ SELECT user_id, step_no, tool FROM (
   FROM steps WHERE f_error) WHERE rn <= {TAIL_N}
 """)
 def step_tail(spark, sf_dir) -> DataFrame:
-    """The last N error steps per run.  ``row_number() <= N`` lets Spark
-    insert a per-partition group limit before the shuffle, so a hot run
-    sends at most N rows per map task."""
-    from pyspark.sql import Window
-    s = step_table(load_tables(spark, sf_dir)).where("f_error")
-    w = Window.partitionBy("user_id").orderBy(F.col("step_no").desc())
-    return s.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= TAIL_N) \
+    """The last N error steps per run, by their place among all steps."""
+    tr = trajectory(load_tables(spark, sf_dir))
+    return E.last_positions(tr, run="user_id", keep=step_flags(tr)["errors"], n=TAIL_N, payload=["tool"]) \
         .select("user_id", "step_no", "tool")
 
 
