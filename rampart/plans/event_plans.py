@@ -89,7 +89,7 @@ firsts AS (
 """
 
 
-def causal_table(t) -> DataFrame:
+def causal_table(t, totals=()) -> DataFrame:
     tr = trajectory(t)
     typ = F.col("event_type")
     return E.first_indices(
@@ -99,7 +99,7 @@ def causal_table(t) -> DataFrame:
                  "first_notice": (typ == "error", True),
                  "first_yml": (typ == "view", False),
                  "first_write": (typ.isin("click", "purchase"), False)},
-        after_counts={"rereads": ("first_notice", typ == "view")})
+        after_counts={"rereads": ("first_notice", typ == "view")}, totals=dict(totals))
 
 
 @query("causal_conversion", sql="WITH " + TRAJ_CTE + """

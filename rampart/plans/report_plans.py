@@ -18,31 +18,35 @@ from rampart.plans.event_plans import TRAJ_CTE, causal_table
 from rampart.plans.gate_plans import CHECK_CTE, OUTCOME_SQL, outcome_table
 from rampart.plans.registry import query
 from rampart.plans.run_plans import validity_table
+from rampart.session import store
 from rampart.sources.tables import load_tables
 
 
-def resolved_paths(t, records: DataFrame) -> DataFrame:
+def resolved_paths(records: DataFrame) -> DataFrame:
     """H7: each run's trajectory and database, first existing of re-rooted, canonical, stored."""
-    files, root = I.artifact_listing(t), F.lit(I.ROOT)
-    out = records.select("user_id")
-    for name, canonical in (("trajectory", F.concat(root, F.lit("/"), F.col("exp"), F.lit("/_pi_meta/"), F.col("task"),
-                                                    F.lit("/trajectory.jsonl"))), ("produced_db", None)):
-        stored = F.col(f"rec.{name}")
-        cands = [R.reroot(stored, F.col("exp"), root)] + ([canonical] if canonical is not None else []) + [stored]
-        c = records.select("user_id", F.posexplode(F.array(*cands)).alias("priority", "path")).where("path is not null")
-        found = R.resolve_first_existing(c, files, run="user_id").select("user_id", F.col("resolved").alias(name))
-        out = out.join(found, "user_id", "left")
-    return out
-
+    root = F.lit(I.ROOT)
+    canonical = F.concat(root, F.lit("/"), F.col("exp"), F.lit("/_pi_meta/"), F.col("task"), F.lit("/trajectory.jsonl"))
 
-def gate_parts(t) -> tuple[DataFrame, DataFrame]:
-    """(gate verdict, listing of scored targets) per run."""
-    runs, spec = I.grid(t).select("user_id", "task"), F.broadcast(I.spec_table(t.spark))   # a literal list
+    def candidates(name, more):
+        stored = F.col(f"rec.{name}")
+        return [F.struct(F.struct("user_id", F.lit(name).alias("artifact")).alias("key"), F.lit(i).alias("priority"), p.alias("path"))
+                for i, p in enumerate([R.reroot(stored, F.col("exp"), root), *more, stored])]
+    c = records.select(F.explode(F.array(*candidates("trajectory", [canonical]), *candidates("produced_db", []))).alias("c"))
+    c = c.select("c.*").where("path is not null")
+    found = R.resolve_first_existing(c, I.artifact_listing(records.where("tools is not null")), run="key")
+    return found.groupBy("key.user_id").agg(*[
+        F.max(F.when(F.col("key.artifact") == a, F.col("resolved"))).alias(a) for a in ("trajectory", "produced_db")])
+
+
+def gate_parts(t, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gate verdict, listing of scored targets) per run of ``runs`` (user_id, task)."""
+    spec = F.broadcast(I.spec_table(t.spark))   # a literal list
     spec = runs.join(spec, "task").select(F.col("user_id").alias("project"), "name", "shipped", "scored")
     shipped, wrote = spec.where("shipped"), I.written_models(t).withColumnRenamed("user_id", "project")
     cols = ["project", "name"]
-    flags = N.name_flags(spec.select(*cols), shipped.select(*cols), shipped.select(*cols).unionByName(wrote.select(*cols)),
-                         shipped.select(*cols).unionByName(wrote.where("built").select(*cols)))
+    flags = store(N.name_flags(
+        spec.select(*cols), shipped.select(*cols), shipped.select(*cols).unionByName(wrote.select(*cols)),
+        shipped.select(*cols).unionByName(wrote.where("built").select(*cols))), "name-flags")
     run = F.col("project").alias("user_id")
     return (N.name_gate(flags).select(run, "status", "n_built_candidates"),
             N.scored_listing(spec.where("scored"), flags).select(run, "n_scored", "n_scored_built", "scored_built"))
@@ -50,11 +54,11 @@ def gate_parts(t) -> tuple[DataFrame, DataFrame]:
 
 def trial_rows_df(t) -> DataFrame:
     records = validity_table(t)
-    warn = t.events.groupBy("user_id").agg(F.count_if(F.col("event_type") == "signup").alias("n_missing_node_warn"))
-    gate, listing = gate_parts(t)
+    gate, listing = gate_parts(t, records.select("user_id", "task"))
+    indices = causal_table(t, {"n_missing_node_warn": F.col("event_type") == "signup"})
     return X.trial_rows(
-        I.grid(t).select("user_id", "task", "arm", "model"), records.select("user_id", "problem", "status", "score"),
-        resolved_paths(t, records), gate, listing, causal_table(t).join(warn, "user_id"), "user_id")
+        records.select("user_id", "task", "arm", "model"), records.select("user_id", "problem", "status", "score"),
+        resolved_paths(records), gate, listing, indices, "user_id")
 
 
 TRIAL_SQL = "WITH " + TRAJ_CTE + "," + I.INPUT_SQL + "," + I.GATE_SQL + """,

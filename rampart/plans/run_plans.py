@@ -197,38 +197,59 @@ def pending_cells(spark, sf_dir) -> DataFrame:
 # X1 run validity
 # ---------------------------------------------------------------------------
 
-def validity_table(t, files: DataFrame | None = None) -> DataFrame:
-    """Every expected run with its record's facts and validity.  ``files`` is a
-    :func:`scan_record_files` result; without one the record texts are taken as rows."""
+def validity_table(t, facts: DataFrame | None = None, files: DataFrame | None = None) -> DataFrame:
+    """Every expected run with its record's facts and validity, as a written table (one
+    row per run, which every part of a report joins).  ``facts`` are the
+    :func:`log_facts`; ``files`` is a :func:`scan_record_files` result, without which
+    the record texts are taken as rows."""
+    facts = I.log_facts(t) if facts is None else facts
     if files is None:
-        files = I.record_texts(t).select("exp", F.octet_length("text").alias("bytes"), "text")
-    recs = expected_records(I.grid(t), parse_records(files))
-    j = recs.select("*", *record_facts()).join(I.transport_errors(t), "user_id", "left")
+        files = I.record_texts(facts).select("exp", F.octet_length("text").alias("bytes"), "text")
+    recs = expected_records(I.grid(facts), parse_records(files))
+    j = recs.select("*", *record_facts()).join(facts.select("user_id", "net"), "user_id", "left")
     status = R.validity_class(F.col("problem").isNull(), F.col("tokens"), F.col("tools"),
                               F.col("net"), F.col("settled"), F.col("timed_out"))
-    return j.withColumn("status", status)
+    return store(j.withColumn("status", status), "validity")
 
 
-def write_record_files(t, root: str) -> None:
+def write_record_files(facts: DataFrame, root: str) -> None:
     """The stand-in's records as files, one per run; the empty record has no bytes."""
-    texts = store(I.record_texts(t), "record-texts")
-    texts.where("text <> ''").select("exp", F.col("text").alias("value")).write.partitionBy("exp").text(root)
+    spark, texts = facts.sparkSession, I.record_texts(facts)
+    # files are made by all tasks at once: rows are dealt by run, and not coalesced by their few bytes
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts.where("text <> ''").select("exp", F.col("text").alias("value")).repartition(tasks, "exp") \
+        .write.partitionBy("exp").text(root)
+    none = spark.createDataFrame([], "value string").coalesce(1)
     for r in texts.where("text = ''").select("exp").collect():          # one run in 409
-        t.spark.createDataFrame([], "value string").repartition(1).write.text(f"{root}/exp={r.exp}")
+        none.write.text(f"{root}/exp={r.exp}")
 
 
-@query("run_validity", sql="WITH " + I.INPUT_SQL + """
+VALIDITY_SQL = "WITH " + I.INPUT_SQL + """
 SELECT status, coalesce(regexp_extract(record_problem, '^(no record|unparseable)', 1), '') AS problem, count(*) AS runs
 FROM validity GROUP BY 1, 2
-""")
+"""
+
+
+def validity_counts(v: DataFrame) -> DataFrame:
+    cause = F.regexp_extract(F.coalesce("problem", F.lit("")), "^(no record|unparseable)", 1)
+    return v.groupBy("status", cause.alias("problem")).agg(F.count(F.lit(1)).alias("runs"))
+
+
+@query("run_validity", sql=VALIDITY_SQL)
 def run_validity(spark, sf_dir) -> DataFrame:
-    """X1 over record files: absent, zero-byte and broken ones are MISSING, each with its cause."""
+    """Absent, empty and broken records are MISSING, each with its cause."""
+    return validity_counts(validity_table(load_tables(spark, sf_dir)))
+
+
+@query("record_scan", sql=VALIDITY_SQL)
+def record_scan(spark, sf_dir) -> DataFrame:
+    """A2: the same from record files, one per run: some are not there, some have no
+    bytes, some break off."""
     t = load_tables(spark, sf_dir)
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/records-{uuid.uuid4().hex}"
-    write_record_files(t, root)
-    v = validity_table(t, scan_record_files(spark, root, "*.txt", r"exp=([^/]+)/"))
-    cause = F.regexp_extract(F.coalesce("problem", F.lit("")), "^(no record|unparseable)", 1)
-    return v.groupBy("status", cause.alias("problem")).agg(F.count(F.lit(1)).alias("runs"))
+    facts = I.log_facts(t)
+    write_record_files(facts, root)
+    return validity_counts(validity_table(t, facts, scan_record_files(spark, f"{root}/*", "*.txt", r"exp=([^/]+)/")))
 
 
 # ---------------------------------------------------------------------------

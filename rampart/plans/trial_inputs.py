@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rampart.operators import runs as R
+from rampart.session import store
 
 TASKS4 = ("recharge001", "shopify001", "shopify002", "recharge002")
 # (task, model, ships with SQL, is scored): a fixed spec
@@ -40,32 +41,35 @@ def exp_of(uid: Column) -> Column:
     return R.exp_id("nudge", task_of(uid), arm_of(uid), uid)
 
 
-def grid(t) -> DataFrame:
+def log_facts(t) -> DataFrame:
+    """One pass over the logs, written: per run its token and call counts, last event
+    type, and ``net``, the first transport-failure message (H14)."""
+    k, typ = F.get_json_object("props", "$.k"), F.col("event_type")
+    n = k.cast("bigint")
+    msg = F.when(F.pmod(n, F.lit(9)) == 0, F.concat(_pick(R.NET_MARKERS, F.pmod(n, F.lit(10))), F.lit(" api.example.com"))) \
+        .otherwise(F.lit("HTTP 500"))
+    e = t.events.select("user_id", typ, F.struct("ts", "event_id").alias("at"),
+                        F.when(typ == "purchase", R.defensive_long(k)).otherwise(0).alias("k"),
+                        F.when(typ == "error", msg).alias("msg"))
+    hit = R.net_marker_hit(F.col("msg"))
+    return store(e.groupBy("user_id").agg(
+        F.sum("k").alias("tokens"), F.count_if(typ != "error").alias("tools"), F.max_by(typ, F.col("at")).alias("last"),
+        F.min_by(F.substring("msg", 1, 200), F.when(hit, F.col("at"))).alias("net")), "log-facts")
+
+
+def grid(facts: DataFrame) -> DataFrame:
     """The expected runs: every user, and one that never ran."""
-    users = t.events.select("user_id")
     uid = F.col("user_id")
-    return users.distinct().unionByName(users.agg((F.max("user_id") + 1).alias("user_id"))).distinct() \
+    return facts.select("user_id").unionByName(facts.agg((F.max("user_id") + 1).alias("user_id")).where("user_id is not null")) \
         .select("user_id", exp_of(uid).alias("exp"), task_of(uid).alias("task"), arm_of(uid).alias("arm"),
                 F.when(F.pmod(uid, F.lit(2)) == 0, "larger").otherwise("smaller").alias("model"))
 
 
-def transport_errors(t) -> DataFrame:
-    """The first transport-failure message of each run's log."""
-    e, k = t.events.where("event_type = 'error'"), F.get_json_object("props", "$.k").cast("bigint")
-    msg = F.when(F.pmod(k, F.lit(9)) == 0, F.concat(_pick(R.NET_MARKERS, F.pmod(k, F.lit(10))), F.lit(" api.example.com"))) \
-        .otherwise(F.lit("HTTP 500"))
-    return e.select("user_id", "ts", "event_id", msg.alias("msg")).where(R.net_marker_hit(F.col("msg"))).groupBy("user_id").agg(
-        F.min_by(F.substring("msg", 1, 200), F.struct("ts", "event_id")).alias("net"))
-
-
-def record_texts(t) -> DataFrame:
+def record_texts(facts: DataFrame) -> DataFrame:
     """(user_id, exp, text): what each run wrote as its record.  Some wrote none, a few
     an empty file, some broke off in the middle; some counts are not numbers."""
-    k, typ, uid = F.get_json_object("props", "$.k"), F.col("event_type"), F.col("user_id")
+    uid = F.col("user_id")
     outage = F.pmod(uid, F.lit(25)) == 0
-    f = t.events.groupBy("user_id").agg(
-        F.sum(F.when(typ == "purchase", R.defensive_long(k)).otherwise(0)).alias("tokens"),
-        F.count_if(typ != "error").alias("tools"), F.max_by(typ, F.struct("ts", "event_id")).alias("last"))
     exp, task = exp_of(uid), task_of(uid)
     usage = F.when(outage, F.lit("0")).when(F.pmod(uid, F.lit(29)) == 3, F.lit("n/a")).otherwise(F.col("tokens").cast("string"))
     old = F.concat(F.lit("/old"), F.lit(ROOT), F.lit("/"), exp)
@@ -79,14 +83,13 @@ def record_texts(t) -> DataFrame:
                 F.struct(F.lit(None).cast("struct<totalTokens:string>").alias("usage"))).alias("rounds")))
     text = F.when(F.pmod(uid, F.lit(409)) == 9, F.lit("")) \
         .when(F.pmod(uid, F.lit(37)) == 5, F.left(text, F.lit(60))).otherwise(text)
-    return f.where(F.pmod(uid, F.lit(41)) != 7).select("user_id", exp.alias("exp"), text.alias("text"))
+    return facts.where(F.pmod(uid, F.lit(41)) != 7).select("user_id", exp.alias("exp"), text.alias("text"))
 
 
-def artifact_listing(t) -> DataFrame:
-    """(path): the files that are there now; some runs lack one."""
+def artifact_listing(users: DataFrame) -> DataFrame:
+    """(path): the files that are there now for ``users`` (user_id); some runs lack one."""
     uid = F.col("user_id")
     run = F.concat(F.lit(ROOT + "/"), exp_of(uid), F.lit("/"))
-    users = t.events.select("user_id").distinct()
     logs = users.where(F.pmod(uid, F.lit(31)) != 0).select(F.concat(run, F.lit("_pi_meta/"), task_of(uid), F.lit("/trajectory.jsonl")).alias("path"))
     dbs = users.where(F.pmod(uid, F.lit(43)) != 1).select(F.concat(run, task_of(uid), F.lit("/shop.duckdb")).alias("path"))
     return logs.unionByName(dbs)

@@ -22,7 +22,8 @@ SUFFIX = ".stdout.json"
 def scan_record_files(spark: SparkSession, root: str, glob: str = f"*{SUFFIX}",
                       exp_pattern: str = r"([^/]+)\.stdout\.json$") -> DataFrame:
     """(exp, bytes, text) of every record file below ``root``: a file-level scan, so
-    an empty file is a row too.  ``text`` is null where the bytes are not UTF-8."""
+    an empty file is a row too.  ``text`` is null where the bytes are not UTF-8.  A
+    ``root`` with a pattern (``/runs/*``) has its many folders listed by the tasks."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", glob).load(root))
     return files.select(F.regexp_extract("path", exp_pattern, 1).alias("exp"), F.col("length").alias("bytes"),
