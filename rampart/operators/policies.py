@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rampart.functions.rounding import round_binary
 from rampart.functions.tolerance import DEFAULT_TOL, exceeds_abs_tol
 from rampart.functions.types import base_type_name, category, drifted_to_string
 from rampart.operators.verdict import (ERROR, PASS, VIOLATION, PolicyResult, empty_like,
@@ -61,14 +62,22 @@ def _key_condition(left: DataFrame, right: DataFrame,
 
 
 def expected_amount(kind: Column, value: Column, base: Column,
-                    percentage_kind: str = "percentage", scale: int = 2) -> Column:
+                    percentage_kind: str = "percentage", scale: int = 2,
+                    rounding: str = "decimal") -> Column:
     """round(value/100 * base, scale) for percentage rows, else the raw value.
 
-    Computed in exact decimal arithmetic (half-up), so that every engine
-    lands on the same cent; see tests for the binary-rounding hazard.
+    ``rounding="decimal"`` computes in exact decimal arithmetic (half up), so that
+    every engine lands on the same cent.  ``"binary"`` is the reference's way: the
+    product of doubles, rounded by its exact value with ties to even
+    (:func:`round_binary`).  The two differ by one unit near a tie.
     """
-    pct = F.round(value.cast("decimal(18,6)") * base.cast("decimal(18,6)")
-                  * F.lit(0.01).cast("decimal(3,2)"), scale).cast("double")
+    if rounding == "binary":
+        pct = round_binary(value.cast("double") / F.lit(100.0) * base.cast("double"), scale)
+    elif rounding == "decimal":
+        pct = F.round(value.cast("decimal(18,6)") * base.cast("decimal(18,6)")
+                      * F.lit(0.01).cast("decimal(3,2)"), scale).cast("double")
+    else:
+        raise ValueError(f"rounding must be 'decimal' or 'binary', not {rounding!r}")
     return F.when(F.lower(kind) == F.lit(percentage_kind), pct).otherwise(value.cast("double"))
 
 
@@ -79,7 +88,7 @@ def derived_amount_rows(target: DataFrame, source: DataFrame, base: DataFrame, *
                         target_filter: Column | str | None = None,
                         carry: Sequence[str] = (),
                         percentage_kind: str = "percentage", scale: int = 2,
-                        tol: float = DEFAULT_TOL) -> DataFrame:
+                        tol: float = DEFAULT_TOL, rounding: str = "decimal") -> DataFrame:
     """The joined rows P1 evaluates, one per (target row x matching source row).
 
     Inner join target->source, left join source->base (a missing base gives a
@@ -93,7 +102,7 @@ def derived_amount_rows(target: DataFrame, source: DataFrame, base: DataFrame, *
     value = F.col(f"s.{value_col}").cast("double")
     base_amt = F.col(f"b.{base_col}").cast("double")
     found = F.col(f"t.{found_col}").cast("double")
-    exp = expected_amount(kind, value, base_amt, percentage_kind, scale)
+    exp = expected_amount(kind, value, base_amt, percentage_kind, scale, rounding)
     return j.select(
         *[F.col(f"t.{c}").alias(c) for c in carry],
         kind.alias("value_type"),

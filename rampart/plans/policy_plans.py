@@ -89,7 +89,7 @@ flagged AS (
 """
 
 
-@query("discount_check", sql="WITH " + DISCOUNT_CTE + """
+DISCOUNT_SUMMARY = """
 SELECT value_type,
        count(*) AS checked_rows,
        count(*) FILTER (WHERE is_violation) AS violations,
@@ -97,11 +97,13 @@ SELECT value_type,
        round(coalesce(sum(CASE WHEN is_violation
                                THEN abs(amount_found - amount_expected) END), 0), 2) AS abs_error
 FROM flagged GROUP BY value_type
-""")
-def discount_check(spark, sf_dir) -> DataFrame:
+"""
+
+
+def discount_summary(spark, sf_dir, **kw) -> DataFrame:
     t = load_tables(spark, sf_dir)
     target, source, base = discount_inputs(t)
-    rows = P.derived_amount_rows(target, source, base, **discount_kw())
+    rows = P.derived_amount_rows(target, source, base, **discount_kw(), **kw)
     return rows.groupBy("value_type").agg(
         F.count(F.lit(1)).alias("checked_rows"),
         F.count_if("is_violation").alias("violations"),
@@ -111,6 +113,29 @@ def discount_check(spark, sf_dir) -> DataFrame:
          .alias("abs_error")).orderBy(F.col("value_type").asc_nulls_first())
 
 
+@query("discount_check", sql="WITH " + DISCOUNT_CTE + DISCOUNT_SUMMARY)
+def discount_check(spark, sf_dir) -> DataFrame:
+    return discount_summary(spark, sf_dir)
+
+
+# The double's exact value in 2^-60ths is a whole number; 2 places by whole-number division
+_SIXTY = 1 << 60
+_BINARY_SQL = DISCOUNT_CTE.replace("flagged AS (", f"""exact AS (
+  SELECT * REPLACE (CASE WHEN value_type = 'percentage' THEN (
+      (n * 100) // {_SIXTY} + CASE WHEN 2 * ((n * 100) % {_SIXTY}) > {_SIXTY} THEN 1
+                                   WHEN 2 * ((n * 100) % {_SIXTY}) = {_SIXTY} THEN ((n * 100) // {_SIXTY}) % 2
+                                   ELSE 0 END)::DOUBLE / 100 ELSE amount_expected END AS amount_expected)
+  FROM (SELECT *, CAST(raw_value / 100.0::DOUBLE * base_amount * {_SIXTY}::DOUBLE AS HUGEINT) AS n FROM checked) c),
+flagged AS (""").replace("FROM checked)\n", "FROM exact)\n")
+
+
+@query("discount_check_binary", sql="WITH " + _BINARY_SQL + DISCOUNT_SUMMARY)
+def discount_check_binary(spark, sf_dir) -> DataFrame:
+    """P1 with the reference's rounding (H19): amounts made by decimal rounding differ
+    by a cent near ties, which a tolerance of a cent just lets or does not let through."""
+    return discount_summary(spark, sf_dir, rounding="binary")
+
+
 @query("discount_key_fanout", sql="""
 SELECT side, count(*) AS distinct_keys, count(*) FILTER (WHERE n > 1) AS duplicated_keys,
        CAST(coalesce(sum(n - 1) FILTER (WHERE n > 1), 0) AS BIGINT) AS extra_rows

@@ -3,6 +3,7 @@ domain_small, types_small)."""
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from rampart.operators import policies as P
@@ -135,3 +136,34 @@ def test_key_fanout_counts_repeated_join_keys(spark):
     assert (r.distinct_keys, r.duplicated_keys, r.extra_rows) == (3, 1, 2)
     r = P.key_fanout(df.limit(0), ["k", "n"]).collect()[0]
     assert (r.distinct_keys, r.duplicated_keys, r.extra_rows) == (0, 0, 0)
+
+
+def test_rounding_by_the_binary_value(spark):
+    """2.675 lies below its tie and 0.125 on it; decimal rounding takes both up."""
+    import random
+
+    from rampart.functions.rounding import round_binary
+    rnd = random.Random(11)
+    values = [2.675, 0.125, 0.375, 1.005, -2.675, -0.125, 0.0, -0.001, 1e-9, 0.5, 1.5, 2.5, 1e15, -1e300, 1e12 + 0.125, 1.1, 99999.995]
+    values += [rnd.randrange(10 ** 7) / 8 for _ in range(300)] + [round(rnd.uniform(0, 1e5), 3) for _ in range(1500)]
+    values += [rnd.uniform(-1, 1) * 10 ** rnd.randint(-5, 9) for _ in range(1500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for scale in (0, 2, 4):
+        got = [r.r for r in df.select(round_binary(F.col("v"), scale).alias("r")).collect()]
+        want = [round(v, scale) if abs(v) < 2 ** 44 / 10 ** scale else v for v in values]
+        assert got == want, [x for x in zip(values, got, want) if x[1] != x[2]][:5]
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (None,)], "v double")
+    got = [r.r for r in odd.select(round_binary(F.col("v")).alias("r")).collect()]
+    assert got[0] != got[0] and got[1:] == [float("inf"), None]
+
+
+def test_expected_amount_in_both_roundings(spark):
+    df = spark.createDataFrame([("percentage", 8.0, 11.95), ("percentage", 12.5, 1.0), ("percentage", 50.0, 5.35), ("fixed", 3.0, 9.0)],
+                               "k string, v double, b double")
+
+    def amounts(mode):
+        return [r.e for r in df.select(P.expected_amount(F.col("k"), F.col("v"), F.col("b"), rounding=mode).alias("e")).collect()]
+    assert amounts("decimal") == [0.96, 0.13, 2.68, 3.0]
+    assert amounts("binary") == [0.96, 0.12, 2.67, 3.0] == [round(8.0 / 100 * 11.95, 2), round(0.125, 2), round(50 / 100 * 5.35, 2), 3.0]
+    with pytest.raises(ValueError):
+        amounts("up")
