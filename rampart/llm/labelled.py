@@ -22,12 +22,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, target: str, folds: int, h
                   rows: int = SAMPLE_ROWS) -> DataFrame:
     """(text, y) of at most ``rows`` labelled documents outside fold ``held``: those
     whose hashed id is smallest.  Ids without a label, or with two different ones,
-    are left out.  At most ``rows`` ids and labels are sent to the scan of ``docs``."""
+    are left out.  An id that repeats gives one row, with the text of smallest digest.
+    At most ``rows`` ids and labels are sent to the scan of ``docs``."""
     one = (labels.where(F.col("doc_id").isNotNull() & F.col(target).isin(0, 1))
            .where(fold("doc_id", folds) != held)
            .groupBy("doc_id").agg(F.min(target).alias("y"), F.max(target).alias("y2")).where("y = y2")
            .select("doc_id", "y").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    return docs.select("doc_id", "text").join(F.broadcast(one), "doc_id").select("text", "y")
+    found = docs.select("doc_id", "text").join(F.broadcast(one), "doc_id")
+    return found.groupBy("doc_id").agg(F.min_by("text", F.sha2("text", 256)).alias("text"),
+                                       F.first("y").alias("y")).select("text", "y")
 
 
 def one_of_copies(sample: DataFrame, run: int = 4, percent: int = 80) -> DataFrame:

@@ -5,8 +5,10 @@ smallest hash that starts inside it (the last one on a tie).  Anchors depend on
 the window's words alone, so equal windows own equal anchors at equal places.
 
 1. Seed: each anchor occurrence is one row (hash, digest of all words that its
-   windows cover, document).  Hashes that one document alone holds are dropped by
-   one combining aggregate; all other occurrences are seeds.
+   windows cover, document); neighbours with equal hash and digest, as in a text that
+   says one phrase over and over, are one row with the windows of all.  Hashes that
+   one document alone holds are dropped by one combining aggregate; all other
+   occurrences are seeds.
 2. Extend: occurrences with equal hash and digest are equal to the left and the
    right over all their windows, so the smallest document of that class decides
    for all of them at once.  Copies of any number are settled here; a hash of one
@@ -17,7 +19,8 @@ the window's words alone, so equal windows own equal anchors at equal places.
 4. Per document, the removed windows make maximal repeats: spans of covered words.
 
 Nothing is gathered by key: groups are reduced by combining aggregates and joined
-back as written tables, where Spark can split a hot key.
+back as written tables, where Spark can split a hot key.  Rows that repeat an id and
+its text are looked at once and get the result by a join at the end.
 """
 
 from __future__ import annotations
@@ -72,12 +75,23 @@ def anchors(w: Words, size: int = SIZE, seed: int = SEED):
     return row[begin], first, count, seeds[own], mix(ctx ^ (own - first).astype(U64))
 
 
+def runs_of(row, first, count, hashes, ctx):
+    """The occurrences with neighbours of one row, hash and digest made one: equal
+    digests cover equal words, so they are of one class and share its fate."""
+    if not len(row):
+        return row, first, count, hashes, ctx
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1]) | (ctx[1:] != ctx[:-1])
+    at = np.flatnonzero(new)
+    return row[at], first[at], np.add.reduceat(count, at), hashes[at], ctx[at]
+
+
 def _anchor_rows(size: int, seed: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 w = words_of(part.column("text"))
-                row, first, count, hashes, ctx = anchors(w, size, seed)
+                row, first, count, hashes, ctx = runs_of(*anchors(w, size, seed))
                 pick = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id").take(pick), part.column("tk").take(pick),
@@ -119,12 +133,21 @@ def covered(at: np.ndarray, length: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+def once(docs: DataFrame) -> DataFrame:
+    """One row of each (id, tk).  Texts move only where an id and its text repeat."""
+    again = store.write(docs.groupBy("id", "tk").count().where("count > 1").select("id", "tk"), "repeated")
+    if again.isEmpty():
+        return docs
+    same = docs.join(again, ["id", "tk"]).groupBy("id", "tk").agg(F.first("text").alias("text"))
+    return docs.join(again, ["id", "tk"], "left_anti").unionByName(same)
+
+
 def repeats(docs: DataFrame, size: int = SIZE, seed: int = SEED) -> DataFrame:
     """Spans (id, tk, at, length) of words of ``docs`` (id, tk, text) that windows
     of ``size`` words cover whose words also start in a document with a smaller id.
     ``tk`` tells apart rows with one id and other texts.  Spans may overlap."""
-    found = store.write(docs.where("id is not null").select("id", "tk", "text")
-                        .mapInArrow(_anchor_rows(size, seed), _ANCHORS), "anchors")
+    docs = once(docs.where("id is not null").select("id", "tk", "text"))
+    found = store.write(docs.mapInArrow(_anchor_rows(size, seed), _ANCHORS), "anchors")
     shared = store.write(
         found.groupBy("hash").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
                                   F.min("ctx").alias("c1"), F.max("ctx").alias("c2"))

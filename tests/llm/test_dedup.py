@@ -46,6 +46,37 @@ def test_windows_equal_brute_force(make):
     assert sorted(map(tuple, got), key=repr) == _kept(rows, 50)
 
 
+def test_periodic_texts_equal_brute_force(make):
+    """One phrase over and over: neighbouring anchors of one digest are one row."""
+    pair, three = "of the " * 150, "a b c " * 90
+    rows = [(9, pair), (2, "start here " + pair + "and end"), (5, three), (7, "x " + three + prose(60, 1)), (8, prose(60, 1) + " " + pair),
+            (1, "of the " * 24 + "of"), (12, "same " * 300), (11, prose(20, 8) + " " + "same " * 90 + prose(20, 9)), (20, pair + three + pair)]
+    got = substring.dedup(make(rows)).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == _kept(rows, 50)
+    w = words_of(pa.array([pair, "same " * 300, prose(300, 5)]))
+    plain, merged = substring.anchors(w), substring.runs_of(*substring.anchors(w))
+    assert plain[2].sum() == merged[2].sum()
+    per = np.bincount(merged[0], minlength=3)
+    assert per[0] <= 4 and per[1] <= 4 and per[2] == np.bincount(plain[0], minlength=3)[2]
+
+
+def test_equal_rows_give_the_windows_of_one(make, monkeypatch):
+    """N rows of one id and text must not meet each other's windows."""
+    base = prose(400, 1)
+    other = " ".join(base.split()[:200] + prose(200, 2).split())
+    counts = {}
+    for n in (1, 40):
+        seen = {}
+        write = substring.store.write
+        monkeypatch.setattr(substring.store, "write", lambda df, name: seen.setdefault(name, write(df, name)))
+        rows = [(5, base)] * n + [(6, other), (7, base + " " + other)]
+        got = substring.dedup(make(rows)).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+        assert sorted(map(tuple, got), key=repr) == _kept(rows, 50)
+        counts[n] = [seen[k].count() for k in ("anchors", "seeds", "windows")]
+        monkeypatch.undo()
+    assert counts[1] == counts[40]
+
+
 def test_kept_text_and_empty_table(make):
     assert substring.dedup(make([])).collect() == []
     rows = [(1, prose(80, 3)), (2, "start " + prose(80, 3) + " end")]

@@ -10,7 +10,7 @@ def test_stages_in_order():
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
 
 
 def test_stages_take_effect(spark):
@@ -37,7 +37,27 @@ def test_whole_run(spark):
     assert full.where("n > 4096").count() == 0 and full.where("n < 4096").count() <= 1
 
 
-def test_repeated_rows_leave_one(spark, make):
-    rows = [(1, prose(60, 1)), (1, prose(60, 1)), (2, prose(60, 1)), (3, prose(60, 2)), (None, prose(60, 1)), (4, None)]
+def test_equal_rows_leave_one_and_unlike_rows_stay(spark, make):
+    rows = [(1, prose(60, 1)), (1, prose(60, 1)), (2, prose(60, 1)), (3, prose(60, 2)), (None, prose(60, 1)), (4, None), (4, ""),
+            (5, prose(60, 3)), (5, prose(60, 4)), (5, prose(60, 2)), (5, prose(60, 3)), (4, None)]
     got = stages.distinct(spark, make(rows), SF).collect()
-    assert sorted((r.doc_id for r in got), key=repr) == [1, 3, 4, None]
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(
+        [(1, prose(60, 1)), (3, prose(60, 2)), (None, prose(60, 1)), (4, None), (4, ""), (5, prose(60, 3)), (5, prose(60, 4))], key=repr)
+    assert stages.distinct(spark, make(rows), SF).columns == make(rows).columns
+
+
+def test_stages_of_odd_rows(spark, make):
+    """Null and empty texts, null ids, repeated rows, clashing columns and no rows: each stage is defined."""
+    rows = [(1, None), (2, ""), (None, prose(30, 1)), (None, None), (3, prose(80, 2)), (3, prose(80, 2)), (4, prose(80, 2)), (5, "x " * 3000)]
+    docs, none = make(rows), make([(1, "a")]).where("doc_id < 0")
+    for name, stage in corpus_pipeline.STAGES:
+        out, empty = stage(spark, docs, SF), stage(spark, none, SF)
+        assert empty.count() == 0, name
+        if name != "packing":
+            assert out.columns == docs.columns == empty.columns, name
+    steps = dict(corpus_pipeline.STAGES)
+    assert steps["decontamination"](spark, docs, SF).count() == len(rows)
+    kept = steps["substring"](spark, docs, SF).collect()
+    assert sorted((r.doc_id for r in kept), key=repr) == [1, 2, 3, 3, 5, None, None]
+    pieces = steps["packing"](spark, docs, SF).collect()
+    assert sum(p.length for p in pieces if p.doc_id is None) > 2 and {p.doc_id for p in pieces} == {None, 1, 2, 3, 4, 5}
