@@ -11,9 +11,10 @@ density of text; the region is the lowest node above it that holds every node th
 dense, and its whole text is given.  Tags and names are evidence only: inside an
 article or main the region is that element, and a region whose article (else main)
 elements hold most of its text outside links is cut to those.  Elements named as
-something else (by tag, role, class or id) are taken out unless they wrap most of the
-page's text outside links; of the region, blocks that are mostly links and less dense
-than text are left out.
+something else (by tag, role, or a whole class or id) are taken out unless they wrap
+most of the page's text outside links; where a part of a class or id says so, only if
+the element is mostly links or a short text without paragraphs.  Of a region outside articles, blocks that are mostly
+links and less dense than text are left out.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ ENDS_P = frozenset(
     "form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 SIBLING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
            "td": ("td", "th"), "th": ("td", "th"), "option": ("option",),
-           "tbody": ("tr", "td", "th", "thead", "tbody"), "tfoot": ("tr", "td", "th", "thead", "tbody")}
+           "tbody": ("tr", "td", "th", "thead", "tbody"), "tfoot": ("tr", "td", "th", "thead", "tbody"), "thead": ()}
 SCOPE = frozenset("ul ol dl table div article section body main aside nav form blockquote".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu "
                   "menubar toolbar".split())
@@ -51,18 +52,28 @@ NAMES = frozenset(
     "subscription sidebar rail widget menu nav navbar navigation breadcrumb breadcrumbs masthead header footer "
     "comment comments commentlist disqus reply replies respond discussion share sharing social related recommended "
     "recommendations pagination pager toolbar login signup search skip hidden".split())
-_TAG = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>", re.S)
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd".split())
+SHORT = 100
+_OPEN = re.compile(r"<(?:(!--)|(!\[CDATA\[)|([!?])|(/?)([A-Za-z][^\s/>]*+))")
+_STEP = re.compile(r"[=>]")
+_SPACE = re.compile(r"\s*+")
 _ATTR = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "up", "kids", "gone", "named", "c", "t", "lc", "lt", "density", "sum")
+    """``block`` is the nearest node from here up that is no inline element, ``scope``
+    the nearest that rows and items do not reach beyond (with its open ``items``), and
+    ``in_text`` tells whether an article or main is among this node and those above."""
+    __slots__ = ("tag", "up", "kids", "gone", "named", "hinted", "block", "scope", "items", "in_text", "c", "t", "lc",
+                 "lt", "density", "sum")
 
     def __init__(self, tag: str, up: Node | None, gone: bool):
-        self.tag, self.up, self.gone, self.named = tag, up, gone, False
+        self.tag, self.up, self.gone, self.named, self.hinted = tag, up, gone, False, False
+        self.block = up.block if up is not None and tag in INLINE else self
+        self.scope = up.scope if up is not None and tag not in SCOPE else self
+        self.items: list[Node] = []
+        self.in_text = tag in ("article", "main") or (up is not None and up.in_text)
         self.kids: list[Node | str] = []
         self.c = self.t = self.lc = self.lt = 0
         self.density = self.sum = 0.0
@@ -87,20 +98,25 @@ def attributes(attrs: str) -> Iterator[tuple[str, str]]:
         yield m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "")
 
 
-def named(tag: str, attrs: str, up: Node) -> bool:
-    """Whether an element is named as something else than article text."""
+def named(tag: str, attrs: str, up: Node) -> tuple[bool, bool]:
+    """(named, hinted): whether an element is named as something else than article
+    text, by its tag, role or a whole class or id; and whether a part of a class or id
+    says so, as in ``site-menu``, but also in ``entry-header``."""
     if tag in ASIDE:
-        return True
+        return True, False
     if tag in ("html", "body", "main"):
-        return False
-    if tag == "header" and not within(up, ("article", "main")):
-        return True
+        return False, False
+    if tag == "header" and not up.in_text:
+        return True, False
+    hinted = False
     for key, value in attributes(attrs):
         if key == "role" and value.lower() in ROLES:
-            return True
-        if key in ("class", "id") and tag not in INLINE and any(x.lower() in NAMES for x in _NAME.findall(value)):
-            return True
-    return False
+            return True, False
+        if key in ("class", "id") and tag not in INLINE:
+            if any(x.lower() in NAMES for x in value.split()):
+                return True, False
+            hinted = hinted or any(x.lower() in NAMES for x in _NAME.findall(value))
+    return False, hinted
 
 
 def within(node: Node | None, tags: tuple) -> bool:
@@ -111,54 +127,95 @@ def within(node: Node | None, tags: tuple) -> bool:
     return False
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, slash, name, attributes) of each tag, and of each comment or
+    declaration with an empty name, in one pass over the page.
+
+    A quoted value may hold ``>``; where its quote, or the tag, never ends, the tag ends
+    at the next ``>``.  ``<`` is text where no tag begins or none ends after it.
+    """
+    at, n, last = 0, len(page), page.rfind(">")
+    while (m := _OPEN.search(page, at)) is not None:
+        start, at = m.start(), m.end()
+        if m[1] or m[2]:
+            ends = ("-->", "--!>") if m[1] else ("]]>",)
+            found = [(x, e) for e in ends if (x := page.find(e, at)) >= 0]
+            at = min(x + len(e) for x, e in found) if found else n
+            yield start, at, "", "", ""
+        elif m[3]:
+            at = page.find(">", at) + 1 or n
+            yield start, at, "", "", ""
+        elif at <= last:
+            end = _tag_end(page, at, last)
+            yield start, end + 1, m[4], m[5].lower(), page[at:end]
+            at = end + 1
+
+
+def _tag_end(page: str, at: int, last: int) -> int:
+    """Place of the ``>`` that ends a tag whose name ends at ``at``; there is one."""
+    i = at
+    while i <= last:
+        m = _STEP.search(page, i)
+        if page[m.start()] == ">":
+            return m.start()
+        i = _SPACE.match(page, m.end()).end()
+        if page[i:i + 1] in ('"', "'"):
+            i = page.find(page[i], i + 1) + 1
+            if not i:
+                break
+    return page.find(">", at)
+
+
 def parse(page: str) -> Node:
     """A tolerant tree: unclosed paragraphs, items and cells end where the next
     begins; an end tag without its start is skipped."""
     root = cur = Node("#root", None, False)
-    at, n = 0, len(page)
-    while at < n:
-        m = _TAG.search(page, at)
-        if m is None:
-            cur.kids.append(page[at:])
-            break
-        if m.start() > at:
-            cur.kids.append(page[at:m.start()])
-        at = m.end()
-        if not m[2]:
+    at, skip = 0, 0
+    opened: dict[str, int] = {}
+
+    def close(node: Node) -> Node:
+        """Close from ``cur`` up to ``node``; the node around it is open then."""
+        x = cur
+        while x is not node.up:
+            opened[x.tag] -= 1
+            if x.tag in SIBLING:
+                x.up.scope.items.pop()
+            x = x.up
+        return x
+    for start, end, slash, tag, attrs in tags(page):
+        if start < skip:
+            continue                             # inside a script or the like
+        if start > at:
+            cur.kids.append(page[at:start])
+        at = end
+        if not tag:
             continue
-        tag = m[2].lower()
-        if m[1]:
-            node = cur
-            while node is not None and node.tag != tag:
-                node = node.up
-            if node is not None and node.up is not None:
-                cur = node.up
+        if slash:
+            if opened.get(tag):
+                node = cur
+                while node.tag != tag:
+                    node = node.up
+                cur = close(node)
             continue
-        if tag in ENDS_P:
-            node = cur
-            while node.tag in INLINE and node.up is not None:
-                node = node.up
-            if node.tag == "p":
-                cur = node.up
+        if tag in ENDS_P and opened.get("p") and cur.block.tag == "p":
+            cur = close(cur.block)
         if tag in SIBLING:
-            node, last = cur, None
-            while node.up is not None and node.tag not in SCOPE:
-                if node.tag in SIBLING[tag]:
-                    last = node
-                node = node.up
-            if last is not None:
-                cur = last.up
-        node = Node(tag, cur, cur.gone or unwanted(tag, m[3]))
-        node.named = named(tag, m[3], cur)
+            node = next((x for x in cur.scope.items if x.tag in SIBLING[tag]), None)
+            if node is not None:
+                cur = close(node)
+        node = Node(tag, cur, cur.gone or unwanted(tag, attrs))
+        node.named, node.hinted = named(tag, attrs, cur)
         cur.kids.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|</{tag}\Z", re.I).search(page, at)
-            if end is None:
-                at = n
-            else:
-                at = end.end()
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
+            m = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(page, at)
+            at = skip = len(page) if m is None else page.find(">", m.end()) + 1 or len(page)
+        elif tag not in VOID and not attrs.rstrip().endswith("/"):
             cur = node
+            opened[tag] = opened.get(tag, 0) + 1
+            if tag in SIBLING:
+                node.up.scope.items.append(node)
+    if at < len(page):
+        cur.kids.append(page[at:])
     return root
 
 
@@ -199,13 +256,18 @@ def measure(root: Node) -> Node:
 def take_out(root: Node) -> None:
     """Mark named elements as gone.  One stays if it holds most of the text outside
     links and also an article or main, or none with text lies outside it; articles
-    stay whatever their names."""
+    stay whatever their names.  One that is only hinted at goes if it is mostly links, or a short
+    text (as on a button) without a paragraph or heading."""
     nodes = [x for x in walk(root)]
-    plain, good, every = {}, {}, {}
+    plain, links, prose, good, every = {}, {}, {}, {}, {}
     for x in reversed(nodes):
         kids = [k for k in x.kids if isinstance(k, Node) and not k.gone]
         own = sum(len("".join(k.split())) for k in x.kids if isinstance(k, str))
-        plain[x] = 0 if x.tag == "a" else own + sum(plain[k] for k in kids)
+        plain[x] = own + sum(plain[k] for k in kids)
+        links[x] = sum(links[k] for k in kids)
+        prose[x] = any(k.tag in PROSE or prose[k] for k in kids)
+        if x.tag == "a":
+            plain[x], links[x] = 0, plain[x] + links[x]
         is_text = x.tag in ("article", "main") and plain[x] > 0
         good[x] = (is_text and not x.named) + sum(good[k] for k in kids)
         every[x] = is_text + sum(every[k] for k in kids)
@@ -215,6 +277,8 @@ def take_out(root: Node) -> None:
         elif x.named and x.tag != "article":
             wraps = 2 * plain[x] > plain[root] and (good[x] > 0 or every[x] == every[root])
             x.gone = not wraps
+        elif x.hinted and x.tag != "article":
+            x.gone = links[x] > plain[x] or (plain[x] < SHORT and x.tag not in PROSE and not prose[x])
 
 
 def walk(node: Node) -> Iterator[Node]:
@@ -227,7 +291,8 @@ def walk(node: Node) -> Iterator[Node]:
 
 def blocks(node: Node, least: float) -> list[str]:
     """Texts of the blocks under a node in page order, without blocks below it of two
-    links or more that hold most of the block's text, if less dense than ``least``."""
+    links or more that hold most of the block's text, if less dense than ``least``.  In
+    an article or main nothing is left out: its lists of links are its own."""
     out: list[str] = []
     run: list[str] = []
 
@@ -249,7 +314,7 @@ def blocks(node: Node, least: float) -> list[str]:
                 stack.extend(reversed(x.kids))
                 continue
             end()
-            if x is not node and x.lt > 1 and 2 * x.lc > x.c and x.density < least:
+            if x is not node and not x.in_text and x.lt > 1 and 2 * x.lc > x.c and x.density < least:
                 continue
             stack.append(None)
             stack.extend(reversed(x.kids))

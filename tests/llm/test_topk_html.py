@@ -94,7 +94,7 @@ WHOLE = " ".join(" ".join(LONG).split())
     ("<body><article class='post has-sidebar'><p>" + "<p>".join(LONG) + "</article></body>", WHOLE),
     ("<body><div id=page class=no-comments><form><div class=elementor-widget><p>" + "<p>".join(LONG) + "</div></form></div></body>", WHOLE),
     ("<body><article><p>" + LONG[0] + "<p>" + LONG[1] + "</article><article><p>" + LONG[2] + "<p>" + LONG[3] + "</article></body>", WHOLE),
-    ("<body><article><p>" + "<p>".join(LONG) + "<ul><li><a href=1>other one</a><li><a href=2>other two</a></ul></article></body>", WHOLE),
+    ("<body><article><p>" + "<p>".join(LONG) + "<ul><li><a href=1>other one</a><li><a href=2>other two</a></ul></article></body>", WHOLE + " other one other two"),
 ])
 def test_names_are_evidence_only(page, want):
     assert html_text.extract(page) == want
@@ -120,3 +120,86 @@ def test_density_sum_prefers_text():
     body = html_text.measure(root)
     links, text = (k for k in body.kids if isinstance(k, html_text.Node))
     assert text.density > links.density and text.sum > links.sum and links.lc == 4 and links.lt == 2
+
+
+# ---- hostile and named pages -------------------------------------------------------------
+
+MB = 1_000_000
+HOSTILE = {
+    "open name": "<" + "b" * MB, "open quotes": '<a "' * (MB // 4), "open blocks": "<div>" * (MB // 5), "open paragraphs": "<p>x" * (MB // 4),
+    "open inlines": "<b>" * (MB // 3), "open items": "<li>x" * (MB // 5), "headers": "<header>x" * (MB // 9),
+    "paragraphs in inlines": "<b>" * (MB // 6) + "<p></p>" * (MB // 14), "ends of nothing": "<b>" * (MB // 6) + "</i>" * (MB // 8),
+    "open script ends": "<script>" + "</script " * (MB // 9), "values over tags": '<a b="x>' * (MB // 8), "spaces": "<a" + " " * MB,
+    "signs": "<" * MB, "comments": "<!--" * (MB // 4), "articles": "<article>x" * (MB // 10), "cells": "<table><tr>" + "<td><b>" * (MB // 7),
+    "items below inlines": "<li><ul>" + "<b>" * (MB // 6) + "<li>" * (MB // 8)}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_a_megabyte_of_anything_takes_seconds(kind):
+    import time
+    begin = time.perf_counter()
+    html_text.extract(HOSTILE[kind])
+    assert time.perf_counter() - begin < 12          # about 1 to 3 s; a quadratic scan takes hours
+
+
+LONG = "This paragraph of the article is long enough to be its text, and says a thing or two about nothing at all. " * 4
+
+
+def test_names_inside_words_do_not_take_text():
+    page = '<body><nav><a href="/">Home</a> <a href="/b">B</a></nav><article><div class="entry-header"><h1>The headline</h1></div>' \
+           f'<p class="search-intro">{LONG}</p><p id="social-contract">{LONG}</p><section id="related-work"><h2>Work</h2><p>{LONG}</p></section>' \
+           '<ul><li><a href="/1">First reference</a></li><li><a href="/2">Second reference</a></li></ul></article>' \
+           '<div class="ad">Buy now</div><div class="site-menu"><a href="/x">One</a> <a href="/y">Two</a></div></body>'
+    text = html_text.extract(page)
+    assert text == " ".join(["The headline", LONG.strip(), LONG.strip(), "Work", LONG.strip(), "First reference", "Second reference"])
+    assert html_text.extract(page.replace("entry-header", "post-header")) == text
+
+
+def test_hinted_link_lists_go_and_whole_names_go():
+    page = f'<body><div class="left-menu"><a href="/1">One page</a> <a href="/2">Two pages</a></div><div><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></div>' \
+           f'<div class="comments"><p>{LONG[:90]}</p></div><div id="page-footer"><a href="/i">Imprint</a></div></body>'
+    assert html_text.extract(page) == " ".join(["Head", LONG.strip(), LONG.strip()])
+
+
+def test_tags_in_one_pass():
+    page = 'a<b c="x>y">d</b><!-- <p> -->e<i f=\'>\'>g</i>1 < 2 <3<br/>h<a href="open>k</a>l<![CDATA[m>]]>n<?pi?><u'
+    got = [(page[s:e], slash + name) for s, e, slash, name, _ in html_text.tags(page)]
+    assert got == [('<b c="x>y">', "b"), ("</b>", "/b"), ("<!-- <p> -->", ""), ("<i f='>'>", "i"), ("</i>", "/i"), ("<br/>", "br"),
+                   ('<a href="open>', "a"), ("</a>", "/a"), ("<![CDATA[m>]]>", ""), ("<?pi?>", "")]
+
+
+def _sums(node):
+    """Density sums worked out anew for every node, from its text alone."""
+    def text(x, links):
+        own = sum(len("".join(k.split())) for k in x.kids if isinstance(k, str)) if not links else 0
+        return own + sum(text(k, links and k.tag != "a") for k in x.kids if isinstance(k, html_text.Node) and not k.gone)
+
+    def count(x, links):
+        return sum(1 + count(k, False) if not links else (1 + count(k, False) if k.tag == "a" else count(k, True))
+                   for k in x.kids if isinstance(k, html_text.Node) and not k.gone)
+
+    def density(x, body):
+        c, t = text(x, False), max(count(x, False), 1)
+        if not c:
+            return 0.0
+        inside = x.tag == "a"
+        lc, lt = (c, count(x, False)) if inside else (text(x, True), count(x, True))
+        whole, share = max(text(body, False), 1), text(body, True)
+        base = math.log(c / max(c - lc, 1) * lc + share / whole * c + math.e)
+        ratio = c / max(lc, 1) * t / max(lt, 1)
+        return c / t * (math.log(ratio) / math.log(base) if base > 1.0 + 1e-9 else math.log(ratio))
+    return text, density
+
+
+def test_density_sums_equal_slow_ones():
+    page = f'<body><div><a href="/">Home</a> <a href="/x">Extra</a></div><div><h1>Head</h1><p>{LONG}</p><p>Short <b>bold</b> one.</p>' \
+           f'<ul><li>item one</li><li><a href="/q">item two</a></li></ul></div><p>{LONG[:200]}</p></body>'
+    root = html_text.parse(page)
+    body = html_text.measure(root)
+    text, density = _sums(root)
+    for x in html_text.walk(root):
+        assert x.c == text(x, False), x.tag
+        if x.tag != "a" and not any(k.tag == "a" for k in html_text.walk(x)):
+            assert math.isclose(x.density, density(x, body), rel_tol=1e-9), x.tag
+        kids = [k for k in x.kids if isinstance(k, html_text.Node)]
+        assert math.isclose(x.sum, sum(k.density for k in kids) if kids else x.density, rel_tol=1e-9, abs_tol=1e-9)
