@@ -157,7 +157,9 @@ def top_k(vecs: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: str =
                     [pa.array(ids[row]), pa.array(state.who[found]), pa.array(state.best[found])],
                     ["query_id", id_col, "score"])
 
-            parts.append(sorted_.mapInArrow(work, schema))
+            # written before the next block is read: the driver holds one block of queries
+            found = sorted_.mapInArrow(work, schema)
+            parts.append(found if blocks == 1 else store.write(found, "found"))
     out = spark.createDataFrame([], schema)
     for p in parts:
         out = out.unionByName(p)

@@ -41,6 +41,17 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert _run(spark, rows) == want
 
 
+def test_one_block_of_queries_at_a_time(spark, monkeypatch):
+    """Each block's result is written before the next block's rows are collected."""
+    monkeypatch.setattr(topk, "QUERY_ROWS", 7)
+    log, write = [], topk.store.write
+    monkeypatch.setattr(topk.store, "write", lambda df, name: log.append(name) or write(df, name))
+    rows = [(i, [float((i * 7919 + j * 31) % 17) / 8 for j in range(6)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(df, F.col("id") % 4 == 0, k=3).count()
+    assert got == 30 * 3 and 4 <= log.count("found") <= 5
+
+
 def test_few_or_no_candidates(spark):
     assert _run(spark, []) == []
     assert _run(spark, [(50, [1.0, 2.0])]) == []
