@@ -140,15 +140,15 @@ def truncated_file_action(response: Column) -> Column:
 def flatten_content(raw: Column) -> Column:
     """Message content as text.  A JSON array keeps its text parts
     (``{type: text}`` objects and bare strings), joined by newlines; any other
-    content is itself; null is empty."""
-    v = F.try_parse_json(raw)
+    content is itself, and is not parsed; null is empty."""
+    v = F.try_parse_json(F.when(F.ltrim(raw).startswith("["), raw))
     items = F.try_variant_get(v, "$", "array<variant>")
     parts = F.filter(F.transform(items, lambda x: F.when(
         F.schema_of_variant(x) == "STRING", F.try_variant_get(x, "$", "string"))
         .when(F.try_variant_get(x, "$.type", "string") == "text",
               F.coalesce(F.try_variant_get(x, "$.text", "string"), F.lit("")))),
         lambda x: x.isNotNull())
-    is_list = F.coalesce(F.ltrim(raw).startswith("[") & F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
+    is_list = F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
     return F.when(is_list, F.array_join(parts, "\n")).otherwise(F.coalesce(raw, F.lit("")))
 
 
