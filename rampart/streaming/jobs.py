@@ -9,9 +9,11 @@ registered query functions return the sink read back as a batch DataFrame.
 
 from __future__ import annotations
 
+import bisect
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +94,9 @@ ROUND_OUT = T.StructType([
     T.StructField("outcome", T.StringType()), T.StructField("resolved_at", T.TimestampType())])
 
 
+_NO_TIME = np.iinfo(np.int64).min           # numpy's NaT
+
+
 def replay_rounds(start: int | None, events, deadline_us: int):
     """Run ordered (ts_us, event_id, opens) events over an open round: the new open
     start, and the rounds that ended as (start, outcome, at)."""
@@ -109,17 +114,23 @@ def replay_rounds(start: int | None, events, deadline_us: int):
 
 
 def _rounds_frame(rows) -> pd.DataFrame:
-    df = pd.DataFrame(rows, columns=["user_id", "round_start", "outcome", "resolved_at"])
-    df["user_id"] = df["user_id"].astype("Int64")
-    for c in ("round_start", "resolved_at"):
-        df[c] = pd.to_datetime(df[c], unit="us")
-    return df
+    users, starts, outcomes, ends = zip(*rows) if rows else ((), (), (), ())
+
+    def times(us):
+        return np.array([_NO_TIME if x is None else x for x in us], np.int64).view("datetime64[us]")
+    return pd.DataFrame({"user_id": pd.array(users, "Int64"), "round_start": times(starts),
+                         "outcome": np.array(outcomes, object), "resolved_at": times(ends)})
 
 
 class Rounds(StatefulProcessor):
-    """State of one key: the open round's start, and its waiting events by slot of
-    event time.  A slot has a timer at its end and is read, put in order and
-    forgotten when that fires, so only one slot of a key is ever in memory."""
+    """State of one key: the open round's start, and its waiting events.
+
+    The events that a call brings are put in order and kept as runs of at most ``chunk``
+    events, each under the slot of event time of its first event.  A key has one timer,
+    at the end of the first slot that waits.  When it fires, the runs that begin in
+    slots passed by the watermark are read in order and replayed slot by slot; what
+    reaches beyond goes back.  Only runs that overlap in time are in memory together,
+    and a key with few events costs a few state calls, however many slots they span."""
 
     def __init__(self, deadline_us: int, slot_ms: int, chunk: int):
         self.deadline_us, self.slot_ms, self.chunk = deadline_us, slot_ms, chunk
@@ -127,46 +138,81 @@ class Rounds(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getValueState("open", "start_us long")
-        self.chunks = handle.getMapState("chunks", "slot long", "n int")
         self.waiting = handle.getMapState("waiting", "slot long, chunk int",
                                           "ts_us array<long>, event_id array<long>, opens array<boolean>")
 
+    def _keep(self, events: list, number: dict[int, int]) -> None:
+        """Write ordered events as runs; ``number`` has the next free run of each slot."""
+        for i in range(0, len(events), self.chunk):
+            run = events[i:i + self.chunk]
+            slot = run[0][0] // (self.slot_ms * 1000)
+            n = number.get(slot, 0)
+            self.waiting.updateValue((slot, n), tuple(map(list, zip(*run))))
+            number[slot] = n + 1
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        number: dict[int, int] = {}
+        for slot, n in list(self.waiting.keys()):
+            number[slot] = max(number.get(slot, 0), n + 1)
+        first = None
         for f in rows:
-            us = f["ts"].astype("datetime64[us]").astype("int64")
-            for slot, g in f.assign(us=us).groupby(us // (self.slot_ms * 1000)):
-                slot = int(slot)
-                n = self.chunks.getValue((slot,))[0] if self.chunks.containsKey((slot,)) else 0
-                for i in range(0, len(g), self.chunk):
-                    c = g.iloc[i:i + self.chunk]
-                    self.waiting.updateValue((slot, n), (c["us"].tolist(), c["event_id"].tolist(), c["opens"].tolist()))
-                    n += 1
-                self.chunks.updateValue((slot,), (n,))
-                self.handle.registerTimer((slot + 1) * self.slot_ms)
-        yield _rounds_frame([])
+            us = f["ts"].to_numpy("datetime64[us]").astype(np.int64)
+            if len(us):
+                self._keep(sorted(zip(us.tolist(), f["event_id"].tolist(), f["opens"].tolist())), number)
+                first = int(us.min()) if first is None else min(first, int(us.min()))
+        if first is not None:
+            self.handle.registerTimer((first // (self.slot_ms * 1000) + 1) * self.slot_ms)
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """The watermark has passed a slot's end: earlier slots are done already, since
-        timers fire in their order, and what lies in this one is complete."""
-        end = expiredTimerInfo.getExpiryTimeInMs()
-        slot = end // self.slot_ms - 1
-        events = []
-        if self.chunks.containsKey((slot,)):
-            for i in range(self.chunks.getValue((slot,))[0]):
-                events += zip(*self.waiting.getValue((slot, i)))
-                self.waiting.removeKey((slot, i))
-            self.chunks.removeKey((slot,))
-        before = self.open.get()[0] if self.open.exists() else None
-        start, out = replay_rounds(before, sorted(events), self.deadline_us)
-        if start is not None and start + self.deadline_us < end * 1000:
-            out.append((start, "timed_out", start + self.deadline_us))
+        """Every slot that ends by the watermark is complete: its events are replayed in
+        order.  The next timer is for the first slot that still waits."""
+        passed = expiredTimerInfo.getExpiryTimeInMs()
+        if timerValues is not None:
+            passed = max(passed, timerValues.getCurrentWatermarkInMs())
+        slot_us, ended = self.slot_ms * 1000, passed // self.slot_ms       # slots below ``ended`` are complete
+        before = self.open.get()
+        before = start = None if before is None else before[0]
+        runs = sorted(tuple(k) for k in self.waiting.keys())
+        number: dict[int, int] = {}
+        for slot, n in runs:
+            number[slot] = n + 1
+        out, held = [], []                            # held: ordered events of the runs read so far
+
+        def replay(until_slot):
+            nonlocal start, held
+            n = bisect.bisect_left(held, (until_slot * slot_us,))
+            start, done = replay_rounds(start, held[:n], self.deadline_us)
+            out.extend((key[0], *r) for r in done)
+            held = held[n:]
+        for slot, n in runs:
+            if slot >= ended:
+                break
+            if held and held[0][0] < slot * slot_us:
+                replay(slot)
+            held = sorted([*held, *zip(*self.waiting.getValue((slot, n)))])
+            self.waiting.removeKey((slot, n))
+            if len(out) >= self.chunk:
+                yield _rounds_frame(out)
+                out = []
+        if held:
+            replay(ended)
+        # what reaches beyond goes back as runs of its own, under slots that have not ended
+        self._keep(held, number)
+        if start is not None and start + self.deadline_us < ended * slot_us:
+            out.append((key[0], start, "timed_out", start + self.deadline_us))
             start = None
-        if start is None:
-            self.open.clear()
-        elif start != before:
+        if start is not None and start != before:
             self.open.update((start,))
-            self.handle.registerTimer(((start + self.deadline_us) // (self.slot_ms * 1000) + 1) * self.slot_ms)
-        yield _rounds_frame([(key[0], *r) for r in out])
+            self.handle.registerTimer(((start + self.deadline_us) // slot_us + 1) * self.slot_ms)
+        elif start is None and before is not None:
+            self.open.clear()
+        later = [held[0][0] // slot_us] if held else []
+        later += [slot for slot, _ in runs if slot >= ended][:1]
+        if later:
+            self.handle.registerTimer((min(later) + 1) * self.slot_ms)
+        if out:
+            yield _rounds_frame(out)
 
     def close(self) -> None:
         pass
@@ -215,8 +261,7 @@ def round_state(spark: SparkSession, sf_dir: str, *, deadline_hours: int = 6,
     deadline passes first (a later event of these types, or the watermark) it times out.
 
     Only opening and settling events reach the state; all events drive the
-    watermark.  They wait, by slots of ``slot_ms``, until the watermark has passed
-    them, so a late event within the delay is taken in its place whichever batch
+    watermark.  They wait until the watermark has passed their slot of ``slot_ms``, so a late event within the delay is taken in its place whichever batch
     brings it, and the result does not depend on how the input is cut into batches.
     A timed-out round is emitted when the slot of its deadline is passed.
 

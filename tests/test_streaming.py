@@ -186,6 +186,48 @@ def test_a_key_is_read_slot_by_slot(monkeypatch):
     assert max(seen) < 1_000 and not h.maps["waiting"] and h.value is None
 
 
+class _Counted(_Map):
+    """Counts the calls that would go to the state store."""
+    def __init__(self):
+        super().__init__()
+        self.calls = 0
+
+    def __getattribute__(self, name):
+        if name in ("containsKey", "getValue", "updateValue", "removeKey", "keys"):
+            self.calls += 1
+        return super().__getattribute__(name)
+
+
+class _Passed:
+    def __init__(self, ms):
+        self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+
+@pytest.mark.parametrize("chunk", [3, 1_000])
+def test_a_key_costs_few_state_calls_and_timers(chunk):
+    """200 events over 20 days, brought in three calls that overlap: the slots that they
+    span cost nothing, and any number of watermarks gives the rounds of one ordered replay."""
+    rng, h = random.Random(9), _Handle()
+    us = [1_700_000_000_000_000 + rng.randrange(20 * 86_400_000_000) for _ in range(200)]
+    f = pd.DataFrame({"ts": pd.to_datetime(us, unit="us"), "event_id": range(200), "opens": [rng.random() < 0.5 for _ in us]})
+    h.maps = {"waiting": _Counted()}
+    p = S.Rounds(6 * 3_600_000_000, 600_000, chunk)
+    p.init(h)
+    for part in (f.iloc[:90], f.iloc[90:100], f.iloc[100:]):
+        list(p.handleInputRows((1,), iter([part.iloc[:40], part.iloc[40:]]), None))
+    assert len(h.timers) <= 3
+    got, ends = [], [min(us) // 1000 + 3 * 86_400_000, min(us) // 1000 + 11 * 86_400_000, max(us) // 1000 + 86_400_000]
+    for end in ends:
+        while h.timers and min(h.timers) <= end:
+            h.timers.remove(min(h.timers))
+            for frame in p.handleExpiredTimer((1,), _Passed(end), _Passed(end)):
+                got += list(zip(frame["round_start"].astype("int64"), frame["outcome"]))
+    start, want = S.replay_rounds(None, sorted(zip(us, range(200), f["opens"])), 6 * 3_600_000_000)
+    assert got == [(r[0], r[1]) for r in want] + ([] if start is None else [(start, "timed_out")])
+    assert not h.maps["waiting"] and h.value is None and not h.timers
+    assert h.maps["waiting"].calls <= (40 if chunk == 1_000 else 250)
+
+
 @pytest.mark.parametrize("parts", [0, 3])
 def test_event_counts_drop_only_repeated_events(spark, parts):
     rows = [(i, T0 + dt.timedelta(minutes=i), i % 2, "click", 1.5, "{}") for i in range(10)]
