@@ -7,6 +7,8 @@ artifact paths, parts give candidate database files per brand.
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame
@@ -17,7 +19,7 @@ from rampart.operators.ordering import positions
 from rampart.plans import trial_inputs as I
 from rampart.plans.registry import query
 from rampart.session import ensure_checkpoint_dir, store
-from rampart.sources.records import expected_records, parse_records, record_facts, scan_record_files
+from rampart.sources.records import SUFFIX, expected_records, parse_records, record_facts, scan_record_files
 from rampart.sources.tables import load_tables
 
 # ---------------------------------------------------------------------------
@@ -212,16 +214,46 @@ def validity_table(t, facts: DataFrame | None = None, files: DataFrame | None =
     return store(j.withColumn("status", status), "validity")
 
 
+#: record files by :func:`write_record_files`: below which folders, their names, their run
+RECORD_FILES = ("/*", f"{{part-*,*{SUFFIX}}}", rf"/(?:exp=)?([^/]+?)(?:{re.escape(SUFFIX)}|/part-[^/]*)$")
+
+
+def plain_folder(root: str) -> str | None:
+    """The path of a folder of the (shared) file system; None for a store that only Spark reaches."""
+    return re.sub("^file:/*", "/", root) if re.match("/|file:", root) else None
+
+
 def write_record_files(facts: DataFrame, root: str) -> None:
-    """The stand-in's records as files, one per run; the empty record has no bytes."""
+    """The stand-in's records as files, one per run; the empty record has no bytes.
+
+    Where ``root`` is a folder of the (shared) file system, tasks write its files as any
+    program would, dealt over 256 folders.  Elsewhere Spark's writers make a folder per
+    run.  Either way all tasks write at once, and no run takes a job of its own."""
     spark, texts = facts.sparkSession, I.record_texts(facts)
     # files are made by all tasks at once: rows are dealt by run, and not coalesced by their few bytes
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts.where("text <> ''").select("exp", F.col("text").alias("value")).repartition(tasks, "exp") \
-        .write.partitionBy("exp").text(root)
-    none = spark.createDataFrame([], "value string").coalesce(1)
-    for r in texts.where("text = ''").select("exp").collect():          # one run in 409
-        none.write.text(f"{root}/exp={r.exp}")
+    folder, suffix = plain_folder(root), SUFFIX
+    if folder:
+        def write(rows):
+            import os
+            import uuid
+            import zlib
+            for exp, text in rows:
+                at = f"{folder}/{zlib.crc32(exp.encode()) % 256:02x}"
+                os.makedirs(at, exist_ok=True)
+                part = f"{at}/.{uuid.uuid4().hex}"
+                with open(part, "wb") as f:
+                    f.write(text.encode())
+                os.replace(part, f"{at}/{exp}{suffix}")          # a task that runs twice writes the same
+        os.makedirs(f"{folder}/00")                              # there is a folder to list, if no run wrote
+        texts.where("text is not null").select("exp", "text").repartition(tasks, "exp").foreachPartition(write)
+        return
+
+    def files(rows: DataFrame):
+        return rows.repartition(tasks, "exp").write.mode("append").partitionBy("exp")
+    files(texts.where("text <> ''").select("exp", F.col("text").alias("value"))).text(root)
+    # a CSV line of one null, written as nothing, is a file without a byte
+    files(texts.where("text = ''").select("exp", F.lit(None).cast("string").alias("value"))).csv(root, nullValue="")
 
 
 VALIDITY_SQL = "WITH " + I.INPUT_SQL + """
@@ -249,7 +281,7 @@ def record_scan(spark, sf_dir) -> DataFrame:
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/records-{uuid.uuid4().hex}"
     facts = I.log_facts(t)
     write_record_files(facts, root)
-    return validity_counts(validity_table(t, facts, scan_record_files(spark, f"{root}/*", "*.txt", r"exp=([^/]+)/")))
+    return validity_counts(validity_table(t, facts, scan_record_files(spark, root + RECORD_FILES[0], *RECORD_FILES[1:])))
 
 
 # ---------------------------------------------------------------------------

@@ -261,9 +261,10 @@ def round_state(spark: SparkSession, sf_dir: str, *, deadline_hours: int = 6,
     deadline passes first (a later event of these types, or the watermark) it times out.
 
     Only opening and settling events reach the state; all events drive the
-    watermark.  They wait until the watermark has passed their slot of ``slot_ms``, so a late event within the delay is taken in its place whichever batch
-    brings it, and the result does not depend on how the input is cut into batches.
-    A timed-out round is emitted when the slot of its deadline is passed.
+    watermark.  They wait until the watermark has passed
+    their slot of ``slot_ms``, so a late event within the delay is taken in its place
+    whichever batch brings it, and the result does not depend on how the input is cut
+    into batches.  A timed-out round is emitted when the slot of its deadline is passed.
 
     When the input ends, what still waits is read from the state store and replayed
     as one ordered scan; a round still open then is returned as ``open`` (no

@@ -1,5 +1,6 @@
 """Runs (X1, H6, H7, E9, H16, B9-B11, H18) and golden report tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from rampart.operators import reports as X
@@ -263,3 +264,29 @@ def test_outcome_histograms(spark):
         ("class", "passed-first-try", 1), ("class", "fixed-after-2-retry", 1), ("class", "never-fired(no-target-tabl", 1),
         ("class", "no-policy", 1), ("fired", "fired", 2), ("fired", "not fired", 1), ("never-fired", "no-target-table", 1),
         ("outcome", "scored 1", 1), ("outcome", "scored 0", 1), ("retries", "0", 1), ("retries", "2", 1)}
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_record_files_take_no_job_per_run(spark, tmp_path, monkeypatch, plain):
+    """One file per record, empty ones of no bytes, by as many jobs for twenty empty records
+    as for one; a folder that only Spark's writers reach gives the same."""
+    from rampart.plans import run_plans as RP
+    from rampart.sources import records as A
+    if not plain:
+        monkeypatch.setattr(RP, "plain_folder", lambda root: None)
+
+    def run(name, ids):
+        texts = spark.createDataFrame([(i, f"nudge-a-off-r{i}", "" if i % 2 else '{"a": "é"}') for i in ids], "user_id long, exp string, text string")
+        monkeypatch.setattr(RP.I, "record_texts", lambda facts: facts)
+        spark.sparkContext.setJobGroup(name, name)
+        RP.write_record_files(texts, f"file:{tmp_path}/{name}")
+        spark.sparkContext.setJobGroup("", "")
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+        empty = [x for x in (tmp_path / name).rglob("*r[0-9]*") if x.suffix == ".json" and not x.stat().st_size] or [
+            x for x in (tmp_path / name).rglob("exp=*/part-*") if not x.stat().st_size]
+        files = A.scan_record_files(spark, f"{tmp_path}/{name}" + RP.RECORD_FILES[0], *RP.RECORD_FILES[1:]).collect()
+        return jobs, len(empty), sorted((r.exp, r.text.strip()) for r in files if r.bytes)
+    few, empty, got = run("few", [1, 2])
+    assert empty == 1 and got == [("nudge-a-off-r2", '{"a": "é"}')]
+    many, empty, got = run("many", range(40))
+    assert many <= few + 1 and empty == 20 and [e for e, _ in got] == sorted(f"nudge-a-off-r{i}" for i in range(0, 40, 2))
