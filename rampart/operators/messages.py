@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rampart.operators.ordering import positions
+from rampart.session import store
 
 
 def _quote(c: Column) -> Column:
@@ -69,10 +70,11 @@ def name_gate_retry_rows(flags: DataFrame) -> DataFrame:
 
 def retry_rows(policies: dict[str, DataFrame]) -> DataFrame:
     """(policy, subject, position, text) of several policies' (subject, text) rows,
-    positions by subject and text within each policy."""
+    positions by subject and text within each policy.  The rows are written first: sizes,
+    range bounds and places are all read from them, and the checks run once."""
     out = None
     for name, rows in policies.items():
         part = rows.select(F.lit(name).alias("policy"), "subject", "text")
         out = part if out is None else out.unionByName(part)
-    return positions(out, ["policy"], ["subject", "text"], name="position") \
+    return positions(store(out, "retry-rows"), ["policy"], ["subject", "text"], name="position") \
         .select("policy", "subject", "position", "text").orderBy("policy", "position")

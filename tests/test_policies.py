@@ -167,3 +167,21 @@ def test_expected_amount_in_both_roundings(spark):
     assert amounts("binary") == [0.96, 0.12, 2.67, 3.0] == [round(8.0 / 100 * 11.95, 2), round(0.125, 2), round(50 / 100 * 5.35, 2), 3.0]
     with pytest.raises(ValueError):
         amounts("up")
+
+
+def test_retry_rows_are_made_once(spark):
+    """Sizes, range bounds, positions and the final order do not run the checks again."""
+    from pyspark.sql import functions as F
+
+    from rampart.operators import messages as Msg
+    made = spark.sparkContext.accumulator(0)
+
+    def text(i):
+        made.add(1)
+        return f"t{i:06d}"
+    rows = spark.range(12_000).select(F.udf(text)("id").alias("subject"), F.lit("x").alias("text"))
+    few = spark.createDataFrame([("b", "2"), ("a", "1"), ("a", None)], "subject string, text string")
+    got = Msg.retry_rows({"many": rows, "few": few}).collect()
+    assert made.value == 12_000
+    assert [(r.policy, r.subject, r.position) for r in got[:3]] == [("few", "a", 1), ("few", "a", 2), ("few", "b", 3)]
+    assert [(r.subject, r.position) for r in got[3:]] == [(f"t{i:06d}", i + 1) for i in range(12_000)]
