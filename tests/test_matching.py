@@ -3,6 +3,7 @@
 import math
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -228,3 +229,28 @@ def test_hot_value_is_one_interval(spark):
     assert [tuple(r) for r in got] == [("v", "w", True)]
     bad = [(7.004,)] * 2999 + [(8.5,)] + g[3000:]
     assert match(spark, g, "v double", bad, "w double") == {"v": False}
+
+
+@pytest.mark.parametrize("sort", ["numeric", "string"])
+def test_values_of_a_task_do_not_grow_with_the_table(spark, monkeypatch, sort):
+    """Partitions follow the number of values, also where their bytes are few, and the
+    session's settings come back."""
+    import rampart.session as session
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    was, made, store = [spark.conf.get(k, None) for k in keys], [], session.store
+    monkeypatch.setattr(session, "TASK_ROWS", 500, raising=False)
+    monkeypatch.setattr(M, "TASK_ROWS", 500, raising=False)
+
+    def kept(df, name, *a):
+        out = store(df, name, *a)
+        made.append((name, out.select(F.input_file_name()).distinct().count()))
+        return out
+    monkeypatch.setattr(M, "store", kept)
+    g = spark.range(4000).select((F.col("id") * 1.5).alias("v"), F.col("id").cast("string").alias("s"))
+    p = g.select((F.col("v") + 0.004).alias("vj"), F.col("v").alias("v"), F.col("s").alias("sj"))
+    out = M.column_match(g, p.drop("v"), ["v", "s"], sort="numeric")
+    assert {r.gold_col: r.matched_by for r in out.collect()} == {"v": "vj", "s": "sj"}
+    assert made == [("value-counts", 32)]                  # 4,000 rows of 4 columns by 500
+    out = M.column_match(g, p, ["v", "s"], sort=sort)
+    assert {r.gold_col: r.matched_by for r in out.collect()} == {"v": "v", "s": "sj"}
+    assert [spark.conf.get(k, None) for k in keys] == was
