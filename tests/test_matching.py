@@ -231,6 +231,22 @@ def test_hot_value_is_one_interval(spark):
     assert match(spark, g, "v double", bad, "w double") == {"v": False}
 
 
+def test_ordered_mode_numbers_each_table_once(spark, monkeypatch):
+    """Rows are numbered, and not one row per column; ties of the pairs are as before."""
+    rows = [(i, float(i % 7) if i % 5 else None, f"t{i % 3}", i % 2 == 0) for i in range(300)]
+    g = spark.createDataFrame(rows, "o long, v double, s string, b boolean")
+    p = spark.createDataFrame([(i, None if v is None else v + 0.004, s, b, None) for i, v, s, b in rows],
+                              "o long, vj double, sj string, bj boolean, none string")
+    sizes, positions = [], M.positions
+    monkeypatch.setattr(M, "positions", lambda df, *a, **k: (sizes.append(df.count()), positions(df, *a, **k))[1])
+    out = M.column_match(g, p, ["v", "s", "b"], ignore_order=False, order_col="o", pred_order_col="o")
+    assert {r.gold_col: r.matched_by for r in out.collect()} == {"v": "vj", "s": "sj", "b": "bj"}
+    assert sizes == [300, 300]
+    moved = p.withColumn("o", -p["o"])
+    out = M.column_match(g, moved, ["v", "s", "b"], ignore_order=False, order_col="o", pred_order_col="o")
+    assert not any(r.matched for r in out.collect())
+
+
 @pytest.mark.parametrize("sort", ["numeric", "string"])
 def test_values_of_a_task_do_not_grow_with_the_table(spark, monkeypatch, sort):
     """Partitions follow the number of values, also where their bytes are few, and the
