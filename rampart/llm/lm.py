@@ -2,37 +2,38 @@
 
 Text is a chain of tokens: words in lower case A-Z, then one end.  A document's class
 is named first, at the cost of log2(CLASSES) bits: the hash of its most frequent word,
-so that texts of one language mostly share classes.  A token's probability is
-
-    a * (its share in the class) + b * (its share in all texts) + g * spelled
-
-with a + b + g = 1 per class.  The spelled part codes the token's bytes and a stop by
-the bits of a Huffman tree and predicts each bit:
-
-* Predictors are hashed contexts (_CONTEXTS), each with slots of two counts: how many
-  distinct words went on with bit 0 and with bit 1 there.  A predictor gives the logit
-  of its smoothed share.
-* A gate (place in the word, how much the two longest contexts have seen) picks the
-  weights that combine the logits.  Weights are learned online, a few words at a time,
-  each bit predicted from counts without that very word; tasks' weights are averaged.
+so that texts of one language mostly share classes.  The running text is then coded bit
+by bit:
+
+* A token that the training texts hold twice or more (FREQUENT of them at most) is a
+  leaf of a Huffman tree over these tokens.  One more leaf leads out of the tree: after
+  it a token's bytes and a stop are spelled by the bits of a Huffman tree over bytes.
+* Predictors are hashed contexts (_CONTEXTS), each with slots of two counts: how often
+  the training texts went on with bit 0 and with bit 1 there.  In the tree a context is
+  the inner node with the class and up to two tokens before; in the spelling, the
+  bytes so far with the class and the token before.  A predictor gives the logit of its
+  smoothed share.
+* A gate (depth or place, how much the two contexts _SURE have seen) picks the weights that
+  combine the logits.  Weights are learned online along the running text, a few words at
+  a time, each bit predicted from counts without itself; tasks' weights are averaged.
 * The mixed probability is refined by an adaptive map: what share of ones came at a
   gate and coarse probability, by the same leave-one-out predictions.
 
-a, b and g come from expectation steps over all training tokens, again leaving the
-token itself out.  Costs are worked out once per (class, word), where they lie;
-FREQUENT of them at most are sent to the scan, the rest is joined.  The gathered
-vocabulary grows with the corpus; slots, weights and map have a fixed size.
+Every token of every training text is counted, learned from and, of every text, scored.
+Spark sums the counts slot by slot; a slot's sums are kept as two levels of a fine
+scale (_LEVELS).  The gathered vocabulary grows with the corpus; tree, slots, weights and map are bounded.
 """
 
 from __future__ import annotations
 
+import copy
 import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rampart.llm import store
@@ -41,23 +42,52 @@ from rampart.llm.tokens import Slots
 from rampart.llm.words import U64, Words, mix, slices, words_of
 
 CLASSES = 8
-# (name, log2 of slots); the first two are gates' contexts, longest first
-_CONTEXTS = (("word so far", 20), ("last 3 bytes, class", 20), ("last 4 bytes", 20),
-             ("last 2 bytes, class", 18), ("last byte, place", 14))
+# (in the tree, in the spelling, log2 of slots); all with the node of the tree or byte
+_CONTEXTS = (("-", "last 2 bytes, class", 19), ("class", "last 3 bytes, place, class", 21),
+             ("token before", "word so far", 22), ("2 tokens before", "word so far, token before", 22))
+_SURE = (2, 3)                     # the contexts whose totals choose the gate
 PREDICTORS = len(_CONTEXTS)
-_BASES = np.concatenate([[0], np.cumsum([1 << b for _, b in _CONTEXTS])])
+_BASES = np.concatenate([[0], np.cumsum([1 << b for _, _, b in _CONTEXTS])])
 SLOTS = int(_BASES[-1])
-_CELLS = 1 << 14                   # slots that travel together
+_CELL = 1 << 13                    # slots that travel together
 FREQUENT = 1 << 18
-HELD = 1 << 19                     # (class, word) pairs a task keeps before it sends them on
-PLACES, SEEN, STEPS = 6, 3, 24
-GATES = PLACES * SEEN * SEEN
+HELD = 1 << 19                     # tokens a task keeps before it sends them on
+TASK_TOKENS = 1 << 24              # running text that one set of slots counts
+DEPTHS, PLACES, SEEN, STEPS = 8, 6, 4, 24
+GATES = (DEPTHS + PLACES) * SEEN * SEEN
+BLOCK, STEP_BITS = 1 << 13, 1 << 12          # tokens, bits looked at together
 STOP, END = b" ", b"\n"
+U32 = np.uint32
 
 
+_DEPTH = np.searchsorted([1, 2, 4, 6, 9, 12, 15], np.arange(64), "right")
+
 # the key that stands for the end token in the place of a word's hash
 END_KEY = int(mix(np.array([0xE2D], U64))[0].astype(np.int64))
 
+# counts that a slot tells apart: all below 32, then steps of 28 %
+_LEVELS = np.concatenate([np.arange(32), np.floor(32 * 1.28 ** np.arange(96))])
+_STATE_BITS = 14
+
+
+def state_of(counts: np.ndarray) -> np.ndarray:
+    """The state of each slot: the levels of its zeros and ones."""
+    level = np.searchsorted(_LEVELS, counts, "right") - 1
+    return (level[:, 0] << 7 | level[:, 1]).astype(np.uint16)
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """(logit, seen) by state, as they are, and less one zero or one one."""
+    zero, one = (x.ravel() for x in np.meshgrid(_LEVELS, _LEVELS, indexing="ij"))
+    logit, seen = [], []
+    for z, o in ((np.maximum(zero - 1, 0), one), (zero, np.maximum(one - 1, 0)), (zero, one)):
+        logit.append(np.log((o + 0.2) / (z + 0.2)))
+        seen.append((z + o > 0).astype(np.int64) + (z + o > 3) + (z + o > 30))
+    return np.concatenate(logit).astype(np.float32), np.concatenate(seen).astype(np.uint8)
+
+
+_LOGIT, _SEEN = _tables()
+
 
 def text_class(w: Words, h: np.ndarray) -> np.ndarray:
     """Class of each text: hash of its most frequent word, ties to the smaller hash;
@@ -66,15 +96,15 @@ def text_class(w: Words, h: np.ndarray) -> np.ndarray:
     out = np.zeros(n, np.int64)
     if not len(h):
         return out
-    row = w.row_of()
-    order = np.lexsort((h, row))
-    r, k = row[order], h[order]
-    new = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (k[1:] != k[:-1])]))
-    count = np.diff(np.append(new, len(r)))
-    r, k = r[new], k[new]
-    best = np.lexsort((k, -count, r))
-    first = best[np.concatenate([[True], r[best][1:] != r[best][:-1]])]
-    out[r[first]] = (k[first] & U64(CLASSES - 1)).astype(np.int64)
+    bits = U64(n.bit_length())                     # of the hash there is room for the others
+    both = np.sort(w.row_of().astype(U64) << (U64(64) - bits) | h >> bits)
+    new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+    count, both = np.diff(np.append(new, len(h))), both[new]
+    r = (both >> (U64(64) - bits)).astype(np.int64)
+    begin = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+    top = np.flatnonzero(count == np.repeat(np.maximum.reduceat(count, begin), np.diff(np.append(begin, len(r)))))
+    top = top[np.concatenate([[True], r[top][1:] != r[top][:-1]])]
+    out[r[top]] = ((both[top] << bits) // U64((1 << 64) // CLASSES)).astype(np.int64)
     return out
 
 
@@ -105,45 +135,163 @@ def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return length, bits, nodes
 
 
-class Coder:
-    """Words of a batch as one long row of bit decisions with their slots."""
+def tree(counts: np.ndarray) -> np.ndarray:
+    """A Huffman code of leaves with these counts: for each its bits behind a leading
+    one.  The leading one and the bits before a decision name the inner node."""
+    n = len(counts)
+    heap = [(float(c) + 0.01, i) for i, c in enumerate(counts.tolist())]
+    heapq.heapify(heap)
+    up = np.zeros(2 * n - 1, np.int64)
+    side = np.zeros(2 * n - 1, np.int64)
+    for node in range(n, 2 * n - 1):
+        a, b = heapq.heappop(heap), heapq.heappop(heap)
+        up[a[1]] = up[b[1]] = node
+        side[b[1]] = 1
+        heapq.heappush(heap, (a[0] + b[0], node))
+    code = np.ones(2 * n - 1, np.int64)
+    for x in range(2 * n - 3, -1, -1):
+        code[x] = code[up[x]] << 1 | side[x]
+    return code[:n]
+
+
+class Chain:
+    """The tokens of the texts of a slice in order, each text's end after its words."""
+
+    def __init__(self, w: Words, h: np.ndarray, cls: np.ndarray):
+        texts = len(w.first) - 1
+        row = w.row_of()
+        at = np.arange(len(w)) + row                       # place of each word in the chain
+        self.row = np.repeat(np.arange(texts), w.counts + 1)
+        self.key = np.full(len(self.row), END_KEY, np.int64).view(U64)
+        self.key[at] = h
+        self.data = w.data
+        self.start, self.size = np.zeros((2, len(self.row)), np.int64)
+        self.start[at], self.size[at] = w.start, w.end - w.start
+        self.cls = cls[self.row].astype(U64)
+        first = (w.first[:-1] + np.arange(texts))
+        place = np.arange(len(self.row)) - first[self.row]
+        self.before = []
+        for k in (1, 2):                                   # 0 before the text
+            b = np.zeros(len(self.key), U64)
+            b[k:] = self.key[:-k]
+            b[place < k] = 0
+            self.before.append(b)
+
+
+def _turn(x: np.ndarray) -> np.ndarray:
+    return (mix(x) >> U64(32)).astype(U32)
+
+
+def _spread(level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which, left) for things with so many decisions each: whose each decision is, and
+    how many of that one's follow, itself included."""
+    end = np.cumsum(level)
+    which = np.repeat(np.arange(len(level)), level)
+    return which, end[which] - np.arange(len(which))
 
-    def __init__(self, code):
-        self.length, self.bits, self.nodes = code
 
-    def decisions(self, words: list[bytes], classes: np.ndarray):
-        """(owner, bit, slots[PREDICTORS], place) of every decision."""
-        size = np.array([len(w) for w in words], np.int64)
-        data = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
-        first = np.concatenate([[0], np.cumsum(size)[:-1]])
-        owner = np.repeat(np.arange(len(words)), size)
+class Coder:
+    """Tokens as bit decisions with their slots.
+
+    ``keys`` are the hashes of the tree's tokens in ascending order, ``codes`` the codes
+    of their leaves and of the way out.  Without a tree every token is spelled."""
+
+    def __init__(self, code, keys: np.ndarray | None = None, codes: np.ndarray | None = None):
+        self.length, self.bits, nodes = code
+        self.turns = _turn(nodes.ravel().astype(U64) + U64(1 << 62))
+        self.keys = np.zeros(0, U64) if keys is None else keys
+        self.codes = np.ones(1, np.int64) if codes is None else codes
+        self.deep = np.floor(np.log2(self.codes)).astype(np.int64)
+        self.begin = np.searchsorted(self.keys, np.arange(1 << 18, dtype=U64) << U64(46))
+
+    def leaves(self, key: np.ndarray) -> np.ndarray:
+        """Leaf of each token; len(keys) is the way out."""
+        if not len(self.keys):
+            return np.zeros(len(key), np.int64)
+        at = self.begin.take(key >> U64(46))                # the first key of these 18 bits
+        left = np.flatnonzero(self.keys.take(at, mode="clip") < key)
+        while len(left):
+            at[left] += 1
+            left = left[self.keys.take(at[left], mode="clip") < key[left]]
+            left = left[at[left] < len(self.keys)]
+        at = np.minimum(at, len(self.keys) - 1)
+        return np.where(self.keys.take(at) == key, at, len(self.keys))
+
+    def pieces(self, chain: Chain, i: int, j: int, leaf: np.ndarray):
+        """(owner, bit, slots[PREDICTORS], place) of the decisions of tokens i to j, a
+        bounded number at a time; owners count from the chain's begin."""
+        one, two = (b[i:j] for b in chain.before)
+        cls, leaf = chain.cls[i:j], leaf[i:j]
+        deep = self.deep[leaf]
+        if deep.any():
+            contexts = [None, _turn(cls + U64(1)), _turn(one ^ U64(0x51)), _turn(mix(one) + two)]
+            owner, left = _spread(deep)
+            code = self.codes[leaf][owner] >> (left - 1)
+            node = ((code >> 1) * 0x1E3779B97F4A7C15 >> 24).astype(U32)
+            yield (owner + i, code & 1, self._slots(contexts, owner, node), _DEPTH.take(deep[owner] - left))
+        out = np.flatnonzero(leaf == len(self.keys))
+        if len(out):
+            size = chain.size[i:j][out]
+            for a, b in _runs(size + 1, 1 << 13):
+                yield from self._spelling(chain, i, out[a:b], size[a:b], cls, one)
+
+    def _spelling(self, chain, i, out, size, cls, one):
+        """The bytes and stops of tokens ``out``; an end is its own stop."""
+        first = np.cumsum(size + 1) - size - 1
+        owner = np.repeat(np.arange(len(out)), size + 1)
+        place = np.arange(len(owner)) - first[owner]
+        data = np.full(len(owner), STOP[0], np.int64)
+        inside = place < size[owner]
+        data[inside] = chain.data[(chain.start[i:][out][owner] + place)[inside]]
+        data[first[size == 0]] = END[0]
+        for owner, *rest in self.spelled(data, size + 1, cls[out], one[out]):
+            yield out[owner] + i, *rest
+
+    def spelled(self, data, size, cls, one):
+        """(owner, bit, slots, place) of the bytes of some tokens, each of ``size``
+        bytes, of class ``cls`` and after token ``one``."""
+        first = np.cumsum(size) - size
+        owner = np.repeat(np.arange(len(size)), size)
         place = np.arange(len(data)) - first[owner]
-        cls = classes[owner].astype(U64)
+        cls, one = cls[owner], one[owner]
 
         def back(k):
-            out = np.zeros(len(data), np.int64)
-            out[k:] = data[:-k] if k else data
-            out[place < k] = 0
-            return out.astype(U64)
+            x = np.zeros(len(data), np.int64)
+            x[k:] = data[:-k]
+            x[place < k] = 0
+            return x.astype(U64)
 
-        b1, b2, b3, b4 = (back(k) for k in (1, 2, 3, 4))
+        b1, b2, b3 = (back(k) for k in (1, 2, 3))
         pw, iv = _powers(len(data) + 1)
         acc = np.zeros(len(data) + 1, U64)
         np.cumsum(mix(data.astype(U64) + U64(1)) * pw[:len(data)], out=acc[1:])
-        at = np.arange(len(data))
-        so_far = mix((acc[at] - acc[first[owner]]) * iv[first[owner]] + place.astype(U64))
-        near = np.minimum(place, PLACES - 1).astype(U64)
-        last3 = b3 << U64(16) | b2 << U64(8) | b1
-        contexts = (so_far, mix(last3 | (cls + U64(1)) << U64(32)), mix(last3 | b4 << U64(24) | U64(1 << 40)),
-                    mix(b2 << U64(8) | b1 | (cls + U64(1)) << U64(41)), mix(b1 | near << U64(8) | U64(1 << 50)))
-        deep = self.length[data]
-        which = np.repeat(at, deep)
-        level = np.arange(len(which)) - np.repeat(np.cumsum(deep) - deep, deep)
-        node = self.nodes[data[which], level].astype(U64)
-        turn = mix(node + U64(0xABCD))
-        slots = [_BASES[i] + (((c[which] ^ turn) * U64(0xD6E8FEB86659FD93)) >> U64(64 - _CONTEXTS[i][1])).astype(np.int64)
-                 for i, c in enumerate(contexts)]
-        return owner[which], self.bits[data[which], level], slots, np.minimum(place[which], PLACES - 1)
+        so_far = mix((acc[:-1] - acc[first[owner]]) * iv[first[owner]] + place.astype(U64) + U64(1 << 33))
+        near = np.minimum(place, PLACES - 1)
+        last2 = b2 << U64(8) | b1 | (cls + U64(1)) << U64(32)
+        contexts = [_turn(c) for c in (last2 | U64(1 << 41), last2 | b3 << U64(16) | near.astype(U64) << U64(42), so_far, so_far + mix(one))]
+        for a in range(0, len(data), 1 << 14):               # a long word has many
+            part = data[a:a + (1 << 14)]
+            deep = self.length[part]
+            which, left = _spread(deep)
+            at = part[which] * self.bits.shape[1] + (deep[which] - left)
+            node = self.turns.take(at)
+            which += a
+            yield (owner[which], self.bits.ravel().take(at).astype(np.int64), self._slots(contexts, which, node),
+                   DEPTHS + near[which])
+
+    @staticmethod
+    def _slots(contexts, which, node):
+        return [((node if c is None else c[which] ^ node) * U32(0x9E3779B1)) >> U32(32 - _CONTEXTS[k][2])
+                for k, c in enumerate(contexts)]
+
+
+def _runs(size: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Neighbours of about ``limit`` together, one at least."""
+    end, i = np.cumsum(size), 0
+    while i < len(size):
+        j = max(i + 1, int(np.searchsorted(end, (end[i - 1] if i else 0) + limit, "right")))
+        yield i, j
+        i = j
 
 
 def _powers(n: int):
@@ -154,239 +302,214 @@ def _powers(n: int):
 
 
 class Mixer:
-    """Counts of all slots, weights of all gates and the adaptive map."""
-
-    def __init__(self, code, counts: np.ndarray):
-        self.coder, self.counts = Coder(code), counts          # counts: SLOTS x 2, float32
-        self.weights = np.full((GATES, PREDICTORS + 1), 0.3)
-        self.weights[:, -1] = 0
+    """States of all slots, weights of all gates and the adaptive map."""
+
+    def __init__(self, code, counts: np.ndarray, keys: np.ndarray | None = None, codes: np.ndarray | None = None):
+        """``counts``: SLOTS x 2, or the states of the slots."""
+        self.coder = Coder(code, keys, codes)
+        self.states = counts if counts.ndim == 1 else state_of(counts)
+        self.weights = np.full((PREDICTORS + 1, GATES), 0.25, np.float32)
+        self.weights[-1] = 0
         self.map = np.zeros((GATES, STEPS, 2))
 
-    def bits(self, words: list[bytes], classes: np.ndarray):
-        """(owner, bit, place, counts of zeros and ones per predictor) of the words' bits."""
-        owner, bit, slots, place = self.coder.decisions(words, classes)
-        return owner, bit, place, [self.counts[s] for s in slots]
-
-    def inputs(self, bit, place, seen, less: int):
-        """Logits of the predictors and the gates, from counts without ``less``
-        occurrences of each bit itself."""
-        x = np.empty((len(bit), PREDICTORS + 1), np.float32)
-        one_less, gate = less * (bit == 1), place * (SEEN * SEEN)
-        for i, c in enumerate(seen):
-            one = np.maximum(c[:, 1] - one_less, 0) if less else c[:, 1]
-            zero = np.maximum(c[:, 0] - (less - one_less), 0) if less else c[:, 0]
-            x[:, i] = np.log((one + np.float32(0.05)) / (zero + np.float32(0.05)))
-            if i < 2:
-                total = one + zero
-                gate = gate + ((total > 0).astype(np.int64) + (total > 8)) * (SEEN if i == 0 else 1)
-        x[:, -1] = 0.3
+    def inputs(self, bit, slots, place, without: bool):
+        """Logits of the predictors and the gates; ``without`` takes them from counts
+        without each bit itself."""
+        x = np.empty((PREDICTORS, len(bit)), np.float32)
+        turn, gate = bit << _STATE_BITS, place * (SEEN * SEEN)
+        logit, seen = (_LOGIT, _SEEN) if without else (_LOGIT[2 << _STATE_BITS:], _SEEN[2 << _STATE_BITS:])
+        for i, s in enumerate(slots):
+            state = self.states[_BASES[i]:_BASES[i + 1]].take(s)
+            if without:
+                state = state + turn
+            logit.take(state, out=x[i], mode="clip")
+            if i in _SURE:
+                gate += seen.take(state) * np.uint8(SEEN if i == _SURE[0] else 1)
         return x, gate
 
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip(np.einsum("ij,ij->i", x, self.weights.astype(np.float32)[gate]), -16, 16)
-
-    def learn(self, words: list[bytes], classes: np.ndarray, rate: float, note: bool) -> None:
-        """Online steps: each small batch of words is predicted, noted in the adaptive
-        map, and then moves its gates' weights along the error of its bits."""
-        for i in range(0, len(words), 256):
-            _, bit, place, seen = self.bits(words[i:i + 256], classes[i:i + 256])
-            x, gate = self.inputs(bit, place, seen, 1)
-            z = self.mixed(x, gate)
-            if note:
-                self.map += np.bincount((gate * STEPS + _step(z)) * 2 + bit, minlength=self.map.size).reshape(self.map.shape)
-            error = bit - 1 / (1 + np.exp(-z))
-            mass = np.maximum(np.bincount(gate, minlength=GATES), 32)
-            for k in range(PREDICTORS + 1):
-                self.weights[:, k] += rate * np.bincount(gate, weights=error * x[:, k], minlength=GATES) / mass
-
-    def costs(self, words: list[bytes], classes: np.ndarray, also_without: bool = False):
-        """Natural log of the spelled probability of each word; with ``also_without``
-        a second array, from counts without the word itself."""
-        out = np.zeros((2 if also_without else 1, len(words)))
-        for i in range(0, len(words), 2048):
-            part = words[i:i + 2048]
-            owner, bit, place, seen = self.bits(part, classes[i:i + 2048])
-            for less in range(len(out)):
-                x, gate = self.inputs(bit, place, seen, less)
-                z = self.mixed(x, gate)
-                noted = self.map[gate, _step(z)]
-                p = np.clip((noted[:, 1] + 50 / (1 + np.exp(-z))) / (noted.sum(1) + 50), 1e-7, 1 - 1e-7)
-                out[less, i:i + 2048] = np.bincount(owner, weights=np.log(np.where(bit == 1, p, 1 - p)), minlength=len(part))
-        return out if also_without else out[0]
+        z = self.weights[-1].take(gate) * np.float32(0.3)
+        for i in range(PREDICTORS):
+            z += self.weights[i].take(gate) * x[i]
+        return np.clip(z, -16, 16)
+
+    def fresh(self) -> Mixer:
+        """A mixer with the same states that has learned nothing."""
+        out = copy.copy(self)
+        out.weights, out.map = self.weights.copy(), self.map.copy()
+        return out
+
+    def learn(self, chain: Chain, mass: np.ndarray, after: bool = False) -> None:
+        """Online steps along the running text: the bits of a few words are predicted,
+        noted in the adaptive map (at first only if ``after``, which moves no weights),
+        and then move their gates' weights along their error.  ``mass`` counts the bits
+        learned from by gate."""
+        leaf = self.coder.leaves(chain.key)
+        for i in range(0, len(leaf), BLOCK):
+            done = mass.sum()
+            rate, note = 0.0 if after else max(0.1 / (1 + done / 2e6), 0.005), after or done > 1 << 18
+            for _, bit, slots, place in self.coder.pieces(chain, i, min(i + BLOCK, len(leaf)), leaf):
+                inputs, gates = self.inputs(bit, slots, place, True)
+                for a in range(0, len(bit), STEP_BITS):
+                    x, gate, b = inputs[:, a:a + STEP_BITS], gates[a:a + STEP_BITS], bit[a:a + STEP_BITS]
+                    z = self.mixed(x, gate)
+                    if note:
+                        self.map += np.bincount((gate * STEPS + _step(z)) * 2 + b, minlength=self.map.size).reshape(self.map.shape)
+                    if after:
+                        continue
+                    error = b - 1 / (1 + np.exp(-z))
+                    here = np.bincount(gate, minlength=GATES)
+                    mass += here
+                    here = rate / np.maximum(here, 32)
+                    for k in range(PREDICTORS):
+                        self.weights[k] += here * np.bincount(gate, weights=error * x[k], minlength=GATES)
+                    self.weights[-1] += here * np.bincount(gate, weights=error * 0.3, minlength=GATES)
+
+    def priced(self, bit, slots, place) -> np.ndarray:
+        """Natural log of the probability of each bit."""
+        x, gate = self.inputs(bit, slots, place, False)
+        z = self.mixed(x, gate)
+        noted = gate * STEPS + _step(z)
+        ones, mass = self.noted()
+        p = np.clip((ones.take(noted) + 50 / (1 + np.exp(-z))) / mass.take(noted), 1e-6, 1 - 1e-6)
+        return np.log(np.abs(p - (1 - bit).astype(np.float32)))
+
+    def noted(self):
+        """(ones, all and the weight of the mixed probability) of the adaptive map."""
+        return self.map[:, :, 1].ravel().astype(np.float32), (self.map.sum(2) + 50).ravel().astype(np.float32)
+
+    def score(self, chain: Chain, leaf: np.ndarray, texts: int) -> np.ndarray:
+        """Natural log of the probability of each text's tokens, given its class."""
+        out = np.zeros(texts)
+        for i in range(0, len(leaf), BLOCK):
+            for owner, *rest in self.coder.pieces(chain, i, min(i + BLOCK, len(leaf)), leaf):
+                out += np.bincount(chain.row[owner], weights=self.priced(*rest), minlength=texts)
+        return out
+
+    def costs(self, words: list[bytes], classes: np.ndarray) -> np.ndarray:
+        """Natural log of the probability of spelling each of these bytes at a text's
+        begin, whatever the last of them is."""
+        size = np.array([len(w) for w in words], np.int64)
+        data = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        out, none = np.zeros(len(words)), np.zeros(len(words), U64)
+        for piece in self.coder.spelled(data, size, classes.astype(U64), none):
+            out += np.bincount(piece[0], weights=self.priced(*piece[1:]), minlength=len(words))
+        return out
 
 
 def _step(z: np.ndarray) -> np.ndarray:
     return np.clip(((z + 9) * (STEPS / 18)).astype(np.int64), 0, STEPS - 1)
 
 
-def pair_key(h: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    """One key for a token hash and a class."""
-    return mix(h ^ ((cls + 1).astype(U64) * U64(0x9E3779B97F4A7C15)))
+def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words, Chain]]:
+    for batch in batches:
+        for part in slices(batch):
+            w = words_of(part.column("text"), lower=True)
+            h = w.hashes()
+            yield part, w, Chain(w, h, text_class(w, h))
 
 
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(pair, key, cls, word, n): occurrences in training texts of every pair that the
-    task has met, 0 for pairs of other texts only."""
-    slot, words, rest = Slots(), [], []          # rest: (pair, key, class) arrays of new pairs
-    count = np.zeros(1 << 16, np.int64)
-
-    def send() -> pa.RecordBatch:
-        nonlocal slot, words, rest, count
-        pair, key, cls = (np.concatenate(x) for x in zip(*rest))
-        out = pa.RecordBatch.from_arrays(
-            [pa.array(pair.view(np.int64)), pa.array(key.view(np.int64)), pa.array(cls.astype(np.int32)),
-             pa.array(words, pa.binary()), pa.array(count[:len(words)])], ["pair", "key", "cls", "word", "n"])
-        slot, words, rest, count = Slots(), [], [], np.zeros(1 << 16, np.int64)
-        return out
+    """(key, byte, n): how often the task met each token (byte -1) and each byte (key
+    0) of a word, stop or end."""
+    slot, keys, met = Slots(), [], 0
+    count, octets = np.zeros(1 << 16, np.int64), np.zeros(256, np.int64)
+
+    def rows(key, byte, n):
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(byte.astype(np.int32)), pa.array(n)], ["key", "byte", "n"])
+
+    def send():
+        return rows(np.concatenate(keys).view(np.int64), np.full(met, -1), count[:met])
 
     for batch in batches:
         for part in slices(batch):
             w = words_of(part.column("text"), lower=True)
-            h, texts = w.hashes(), len(part)
-            cls, train = text_class(w, h), np.asarray(part.column("train"))
-            row = np.concatenate([w.row_of(), np.arange(texts)])
-            h = np.concatenate([h, np.full(texts, END_KEY, np.int64).view(U64)])
-            pairs, at, inverse = np.unique(pair_key(h, cls[row]), return_index=True, return_inverse=True)
-            found = slot.find(pairs)
-            new = np.flatnonzero(found < 0)
-            found[new] = np.arange(len(words), len(words) + len(new))
-            slot.add(pairs[new], found[new])
-            words += [w.word(i) if i < len(w) else END for i in at[new].tolist()]
-            rest.append((pairs[new], h[at[new]], cls[row[at[new]]]))
-            while len(words) > len(count):
+            octets += np.bincount(w.data, minlength=256)
+            octets[STOP[0]] += len(w)
+            octets[END[0]] += len(part)
+            found, n = np.unique(np.concatenate([w.hashes(), np.full(len(part), END_KEY, np.int64).view(U64)]), return_counts=True)
+            at = slot.find(found)
+            new = np.flatnonzero(at < 0)
+            at[new] = np.arange(met, met + len(new))
+            slot.add(found[new], at[new])
+            keys.append(found[new])
+            met += len(new)
+            while met > len(count):
                 count = np.concatenate([count, np.zeros(len(count), np.int64)])
-            np.add.at(count, found, np.bincount(inverse, weights=train[row], minlength=len(pairs)).astype(np.int64))
-            if len(words) > HELD:
+            count[at] += n
+            if met > HELD:
                 yield send()
-    if words:
+                slot, keys, met, count = Slots(), [], 0, np.zeros(1 << 16, np.int64)
+    if met:
         yield send()
-
-
-def _spelled(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray]:
-    """Bytes to code (a stop after each word; the end is its own stop) and classes."""
-    return [w if w == END else w + STOP for w in batch.column("word").to_pylist()], \
-        np.asarray(batch.column("cls")).astype(np.int64)
-
-
-def train(vocab: DataFrame) -> Mixer:
-    """The mixer of a vocabulary (cls, word, n); words of n = 0 teach nothing."""
-    seen = vocab.where("n > 0").select("cls", "word")
-
-    def byte_counts(batches):
-        out = np.zeros(256)
-        for b in batches:
-            out += np.bincount(np.frombuffer(b"".join(_spelled(b)[0]), np.uint8), minlength=256)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(out)], ["i", "n"])
-
-    freq = np.zeros(256)
-    for r in seen.mapInArrow(byte_counts, "i long, n double").groupBy("i").agg(F.sum("n").alias("n")).collect():
-        freq[r["i"]] = r["n"]
-    code = huffman(freq)
+        yield rows(np.zeros(256, np.int64), np.arange(256), octets)
+
+
+def _slot_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum the cells of a run that is sorted by cell; (cell, states of its slots)."""
+    def done(cell, total):
+        return pa.RecordBatch.from_arrays([pa.array([cell], pa.int64()), pa.array([state_of(total.reshape(-1, 2)).tobytes()], pa.binary())],
+                                          ["cell", "v"])
+
+    cell, total = None, None
+    for b in batches:
+        for k, v in zip(b.column("cell").to_pylist(), b.column("v").to_pylist()):
+            if k != cell:
+                if cell is not None:
+                    yield done(cell, total)
+                cell, total = k, np.zeros(_CELL * 2, np.int64)
+            total += np.ascontiguousarray(np.frombuffer(v, np.uint8).reshape(4, -1).T).view(U32).ravel()
+    if cell is not None:
+        yield done(cell, total)
+
+
+def train(texts: DataFrame, code, keys: np.ndarray, codes: np.ndarray, tokens: int):
+    """(mixer, broadcast of the mixer before it learned) of the running text of
+    ``texts`` (text), which hold ``tokens`` tokens."""
+    context = texts.sparkSession.sparkContext
+    texts = texts.coalesce(max(context.defaultParallelism, tokens // TASK_TOKENS))
+    sent = context.broadcast((code, keys, codes))
 
     def slot_counts(batches):
-        coder, out = Coder(code), np.zeros(SLOTS * 2, np.float32)
-        for b in batches:
-            words, cls = _spelled(b)
-            for i in range(0, len(words), 2048):
-                _, bit, slots, _ = coder.decisions(words[i:i + 2048], cls[i:i + 2048])
-                for s in slots:
-                    np.add.at(out, s * 2 + bit, np.float32(1))
-        cells = out.reshape(-1, _CELLS)
+        coder, out = Coder(*sent.value), np.zeros(SLOTS * 2, U32)
+        for _, _, chain in _chains(batches):
+            leaf = coder.leaves(chain.key)
+            for i in range(0, len(leaf), BLOCK):
+                for _, bit, slots, _ in coder.pieces(chain, i, min(i + BLOCK, len(leaf)), leaf):
+                    for k, s in enumerate(slots):
+                        np.add.at(out[2 * _BASES[k]:2 * _BASES[k + 1]], s.astype(np.int64) << 1 | bit, U32(1))
+        cells = out.reshape(-1, _CELL * 2)
         used = np.flatnonzero(cells.any(1))
-        for i in range(0, len(used), 64):
-            some = used[i:i + 64]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([cells[k].tobytes() for k in some], pa.binary())],
-                                             ["cell", "v"])
-
-    def add(batches):
-        """Sum the cells of a run that is sorted by cell."""
-        cell, total = None, None
-        for b in batches:
-            for k, v in zip(b.column("cell").to_pylist(), b.column("v").to_pylist()):
-                if k != cell:
-                    if cell is not None:
-                        yield pa.RecordBatch.from_arrays([pa.array([cell], pa.int64()), pa.array([total.tobytes()], pa.binary())],
-                                                         ["cell", "v"])
-                    cell, total = k, np.zeros(_CELLS, np.float32)
-                total += np.frombuffer(v, np.float32)
-        if cell is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([cell], pa.int64()), pa.array([total.tobytes()], pa.binary())],
-                                             ["cell", "v"])
-
-    counts = np.zeros((SLOTS * 2 // _CELLS, _CELLS), np.float32)
-    sums = seen.mapInArrow(slot_counts, "cell long, v binary").repartition("cell").sortWithinPartitions("cell") \
-        .mapInArrow(add, "cell long, v binary")
-    for r in sums.toLocalIterator():               # SLOTS * 2 numbers in all, whatever the input
-        counts[r["cell"]] = np.frombuffer(r["v"], np.float32)
-    counts = counts.reshape(SLOTS, 2)
-    mixer = Mixer(code, counts)
-    sent = vocab.sparkSession.sparkContext.broadcast((code, counts))
+        for i in range(0, len(used), 64):                    # low bytes first, high bytes, mostly 0, last
+            some = [cells[k].view(np.uint8).reshape(-1, 4).T.tobytes() for k in used[i:i + 64]]
+            yield pa.RecordBatch.from_arrays([pa.array(used[i:i + 64]), pa.array(some, pa.binary())], ["cell", "v"])
+
+    sums = texts.mapInArrow(slot_counts, "cell long, v binary").repartition("cell").sortWithinPartitions("cell") \
+        .mapInArrow(_slot_sums, "cell long, v binary").toArrow()           # SLOTS numbers, whatever the input
+    states = np.zeros((SLOTS // _CELL, _CELL), np.uint16)
+    for k, v in zip(sums.column("cell").to_pylist(), sums.column("v").to_pylist()):
+        states[k] = np.frombuffer(v, np.uint16)
+    mixer = Mixer(code, states.ravel(), keys, codes)
+    sent.unpersist()
+    sent = context.broadcast(mixer)
 
     def one_pass(batches):
-        m, mass = Mixer(*sent.value), 0
-        for b in batches:
-            words, cls = _spelled(b)
-            for i in range(0, len(words), 1 << 12):
-                part = words[i:i + (1 << 12)]
-                m.learn(part, cls[i:i + (1 << 12)], 0.05 / (1 + mass / 100_000), note=mass > 1 << 14)
-                mass += len(part)
-        if mass and not m.map.any():             # a short run: note it all, after its steps
-            m.learn(words, cls, 0.0, note=True)
-        got = np.concatenate([m.weights.ravel() * mass, m.map.ravel()])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(got))), pa.array(got), pa.array(np.full(len(got), float(mass)))],
-                                         ["i", "v", "m"])
-
-    got = seen.mapInArrow(one_pass, "i long, v double, m double") \
-        .groupBy("i").agg(F.sum("v").alias("v"), F.sum("m").alias("m")).collect()      # weights and map: a fixed size
-    if sum(r["m"] for r in got):
-        out, n = np.zeros(len(got)), mixer.weights.size
-        for r in got:
-            out[r["i"]] = r["v"] / r["m"] if r["i"] < n else r["v"]
-        mixer.weights, mixer.map = out[:n].reshape(mixer.weights.shape), out[n:].reshape(mixer.map.shape)
-    return mixer
-
-
-def token_costs(vocab: DataFrame, mixer: Mixer, steps: int = 6) -> DataFrame:
-    """(pair, c, n, cost) of a vocabulary with (pair, key, cls, word, n, c): cost is the
-    natural log of a token's probability in its class."""
-    spark = vocab.sparkSession
-    sent = spark.sparkContext.broadcast(mixer)
-
-    def spell(batches):
-        for b in batches:
-            words, cls = _spelled(b)
-            n = np.asarray(b.column("n"))
-            full, out = np.zeros(len(words)), np.zeros(len(words))
-            for known in (True, False):
-                pick = np.flatnonzero((n > 0) == known)
-                got = sent.value.costs([words[i] for i in pick], cls[pick], also_without=known)
-                full[pick], out[pick] = (got[0], got[1]) if known else (got, got)
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("pair", "cls", "n", "c")), pa.array(full), pa.array(out)],
-                                             ["pair", "cls", "n", "c", "full", "out"])
-
-    spelled = store.write(vocab.select("pair", "cls", "n", "c", "word").mapInArrow(
-        spell, "pair long, cls int, n long, c long, full double, out double"), "spelled")
-    totals = {r["cls"]: float(r["n"]) for r in spelled.groupBy("cls").agg(F.sum("n").alias("n")).collect()}
-    n_all = sum(totals.values())
-    share = {k: (0.4, 0.3, 0.3) for k in range(CLASSES)}
-
-    def parts(less: int, spell_col: str):
-        def pick(i):
-            return F.element_at(F.array(*[F.lit(float(share[k][i])) for k in range(CLASSES)]), F.col("cls") + 1)
-        own = F.element_at(F.array(*[F.lit(max(totals.get(k, 0.0) - less, 1.0)) for k in range(CLASSES)]), F.col("cls") + 1)
-        return (pick(0) * F.greatest(F.col("n") - less, F.lit(0)) / own,
-                pick(1) * F.greatest(F.col("c") - less, F.lit(0)) / F.lit(max(n_all - less, 1.0)), pick(2) * F.exp(spell_col))
-
-    for _ in range(steps):
-        a, b, g = parts(1, "out")
-        whole = a + b + g
-        got = spelled.where("n > 0").groupBy("cls").agg(*[F.sum(F.col("n") * x / whole).alias(k)
-                                                          for k, x in (("a", a), ("b", b), ("g", g))]).collect()
-        for r in got:
-            total = r["a"] + r["b"] + r["g"]
-            share[r["cls"]] = tuple((r[k] / total) * 0.998 + 0.002 / 3 for k in "abg")
-    a, b, g = parts(0, "full")
-    return spelled.select("pair", "c", "n", F.log(a + b + g).alias("cost"))
+        m, mass, last = sent.value.fresh(), np.zeros(GATES, np.int64), None
+        for _, _, last in _chains(batches):
+            m.learn(last, mass)
+        if mass.any() and not m.map.any():       # a short run: note it all, after its steps
+            m.learn(last, mass, after=True)
+        got = np.concatenate([(m.weights * mass).ravel(), mass, m.map.ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(got))), pa.array(got)], ["i", "v"])
+
+    got = np.zeros(mixer.weights.size + GATES + mixer.map.size)
+    for r in texts.mapInArrow(one_pass, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():   # a fixed size
+        got[r["i"]] = r["v"]
+    weights, mass, noted = np.split(got, [mixer.weights.size, mixer.weights.size + GATES])
+    weights, known = weights.reshape(mixer.weights.shape), mass > 0
+    mixer.weights[:, known] = weights[:, known] / mass[known]
+    mixer.map = noted.reshape(mixer.map.shape)
+    return mixer, sent
 
 
 def grade(n: str):
@@ -415,62 +538,61 @@ def scores(docs: DataFrame, is_training, id_col: str = "doc_id", text_col: str =
     rows count, and are scored, as often as they occur.  Other columns of ``docs`` are
     not looked at.  Without training rows N and V are 0 and every token is spelled."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
-        .withColumn("train", F.coalesce(is_training, F.lit(False)).cast("int"))
-    raw = docs.select("text", "train").mapInArrow(_vocabulary, "pair long, key long, cls int, word binary, n long")
-    one = raw.groupBy("pair", "key", "cls", "word").agg(F.sum("n").alias("n"))
-    vocab = store.write(one.withColumn("c", F.sum("n").over(Window.partitionBy("key"))), "vocabulary")
-    n_all = vocab.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    v_all = vocab.where("c > 0").groupBy("key").agg(F.lit(1)).count()
-    costs = store.write(token_costs(vocab, train(vocab)), "costs")
-    head = costs.where(grade("n") >= frequent_from(costs)).toArrow()
-    pair = np.asarray(head.column("pair").combine_chunks()).view(U64)
-    order = np.argsort(pair)
-    sent = spark.sparkContext.broadcast((pair[order], np.asarray(head.column("c").combine_chunks())[order],
-                                         np.asarray(head.column("cost").combine_chunks())[order]))
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.where(is_training).select("text")
+    raw = texts.mapInArrow(_vocabulary, "key long, byte int, n long")
+    both = store.write(raw.groupBy("key", "byte").agg(F.sum("n").alias("n")), "vocabulary")
+    octets = np.zeros(256)
+    for r in both.where("byte >= 0").collect():
+        octets[r["byte"]] = r["n"]
+    octets[[9, 10, 11, 12, 13, 32]] = 0, octets[10], 0, 0, 0, octets[32]
+    vocab = both.where("byte < 0").select("key", F.col("n").alias("c"))
+    n_all, v_all = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    head = vocab.where((grade("c") >= frequent_from(vocab.withColumnRenamed("c", "n"))) & (F.col("c") > 1)).toArrow()
+    keys = np.asarray(head.column("key").combine_chunks()).view(U64)
+    order = np.argsort(keys)
+    keys, known = keys[order], np.asarray(head.column("c").combine_chunks())[order]
+    mixer, sent = train(texts, huffman(octets), keys, tree(np.append(known, n_all - known.sum())), n_all)
+    learned = spark.sparkContext.broadcast((known, mixer.weights, mixer.map))
     floor = float(n_all) + 0.1 * (v_all + 1)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, counts, cost = sent.value
+        m = sent.value.fresh()
+        counts, m.weights, m.map = learned.value
         rid = TaskContext.get().partitionId() << 36
-        for batch in batches:
-            for part in slices(batch):
-                w = words_of(part.column("text"), lower=True)
-                h, rows = w.hashes(), len(part)
-                cls = text_class(w, h)
-                row = np.concatenate([w.row_of(), np.arange(rows)])
-                key = pair_key(np.concatenate([h, np.full(rows, END_KEY, np.int64).view(U64)]), cls[row])
-                at = np.minimum(np.searchsorted(pairs, key), max(len(pairs) - 1, 0))
-                hit = pairs[at] == key if len(pairs) else np.zeros(len(key), bool)
-                c = counts[at[hit]]
-                sums = [np.bincount(row[hit], weights=v, minlength=rows) for v in
-                        ((c > 0).astype(float), np.log10((c + 0.1) / floor), cost[at[hit]])]
-                order = np.lexsort((key[~hit], row[~hit]))
-                r, k = row[~hit][order], key[~hit][order]
-                new = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (k[1:] != k[:-1])])[:len(r)])
-                rest = pa.ListArray.from_arrays(
-                    pa.array(np.searchsorted(r[new], np.arange(rows + 1)).astype(np.int32)),
-                    pa.StructArray.from_arrays([pa.array(k[new].view(np.int64)),
-                                                pa.array(np.diff(np.append(new, len(r))).astype(np.int64))], ["pair", "m"]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rid + np.arange(rows)), part.column("id"), pa.array(w.counts + 1),
-                     pa.array(np.bincount(w.row_of(), weights=w.end - w.start + 1, minlength=rows).astype(np.int64) + 1),
-                     *(pa.array(x) for x in sums), rest], ["rid", "id", "n_tokens", "n_bytes", "known", "base", "cost", "rest"])
-                rid += rows
+        for part, w, chain in _chains(batches):
+            rows, row = len(part), chain.row
+            leaf = m.coder.leaves(chain.key)
+            hit = leaf < len(counts)
+            sums = [np.bincount(row[hit], minlength=rows),
+                    np.bincount(row[hit], weights=np.log10((counts[leaf[hit]] + 0.1) / floor), minlength=rows).astype(float),
+                    m.score(chain, leaf, rows)]
+            r, k = row[~hit], chain.key[~hit]
+            order = np.lexsort((k, r))
+            r, k = r[order], k[order]
+            new = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (k[1:] != k[:-1])])[:len(r)])
+            rest = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(r[new], np.arange(rows + 1)).astype(np.int32)),
+                pa.StructArray.from_arrays([pa.array(k[new].view(np.int64)),
+                                            pa.array(np.diff(np.append(new, len(r))).astype(np.int64))], ["key", "m"]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rid + np.arange(rows)), part.column("id"), pa.array(w.counts + 1),
+                 pa.array(np.bincount(row, weights=chain.size + 1, minlength=rows).astype(np.int64)),
+                 *(pa.array(x) for x in sums), rest], ["rid", "id", "n_tokens", "n_bytes", "known", "base", "cost", "rest"])
+            rid += rows
 
     kind = docs.schema["id"].dataType.simpleString()
-    part = store.write(docs.select("id", "text").mapInArrow(
-        scan, f"rid long, id {kind}, n_tokens long, n_bytes long, known double, base double, cost double, "
-              "rest array<struct<pair:long,m:long>>"), "scanned")
-    tail = part.select("rid", F.inline("rest")).join(costs, "pair").groupBy("rid").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("m")).otherwise(0)).alias("known2"),
-        F.sum(F.col("m") * F.log10((F.col("c") + 0.1) / F.lit(floor))).alias("base2"),
-        F.sum(F.col("m") * F.col("cost")).alias("cost2"))
-    zero = F.lit(0.0)
+    part = store.write(docs.mapInArrow(
+        scan, f"rid long, id {kind}, n_tokens long, n_bytes long, known long, base double, cost double, "
+              "rest array<struct<key:long,m:long>>"), "scanned")
+    c = F.coalesce("c", F.lit(0))
+    tail = part.select("rid", F.inline("rest")).join(vocab, "key", "left").groupBy("rid").agg(
+        F.sum(F.when(c > 0, F.col("m")).otherwise(0)).alias("known2"),
+        F.sum(F.col("m") * F.log10((c + 0.1) / F.lit(floor))).alias("base2"))
     out = part.drop("rest").join(tail, "rid", "left").select(
-        F.col("id").alias(id_col), "n_tokens", "n_bytes", F.round(F.col("known") + F.coalesce("known2", zero)).cast("long").alias("n_known"),
-        F.lit(int(n_all)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("base2", zero)).alias("base_score"),
-        ((F.col("cost") + F.coalesce("cost2", zero)) / F.lit(float(np.log(10))) - F.lit(float(np.log10(CLASSES)))).alias("score"))
+        F.col("id").alias(id_col), "n_tokens", "n_bytes", (F.col("known") + F.coalesce("known2", F.lit(0))).alias("n_known"),
+        F.lit(int(n_all)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("base2", F.lit(0.0))).alias("base_score"),
+        (F.col("cost") / F.lit(float(np.log(10))) - F.lit(float(np.log10(CLASSES)))).alias("score"))
     return out.withColumn("bits_per_byte", -F.col("score") * F.lit(float(np.log2(10))) / F.col("n_bytes")).drop("n_bytes")
 
 

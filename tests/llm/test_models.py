@@ -211,3 +211,58 @@ def test_frequent_rows_are_bounded(spark, monkeypatch):
         kept = df.where(lm.grade("n") >= lm.frequent_from(df))
         assert kept.count() <= bound
         assert bound != 1000 or kept.count() == 1000
+
+
+def _phrases(seed, n):
+    """n words in which the first of a pair nearly always says which one follows."""
+    rng = np.random.default_rng(seed)
+    return " ".join(x for k in rng.integers(0, 40, n // 2) for x in (f"first{k}", f"second{k if rng.random() < 0.95 else 7}"))
+
+
+def test_language_model_learns_the_running_text(spark, make):
+    """A text is worth more than its shuffled words, and than the unigram base; before, words'
+    order did not count."""
+    texts = {i: _phrases(i, 120) for i in range(150)}
+    held = [i for i in texts if zlib.crc32(str(i).encode()) % 10 == 0]
+    rng = np.random.default_rng(5)
+    other = {1000 + i: " ".join(rng.permutation(texts[i].split())) for i in held}
+    rows = lm.scores(make([*texts.items(), *other.items()]), (fold("id", 10) != 0) & (F.col("id") < 1000)).collect()
+    got = {r.doc_id: r for r in rows}
+    for i in held:
+        assert got[i].score > 0.9 * got[1000 + i].score and got[i].score > 0.9 * got[i].base_score
+        assert abs(got[i].base_score - got[1000 + i].base_score) < 1e-6
+
+
+def test_language_model_counts_every_occurrence(spark, make):
+    """Repeated training rows teach more than one; before, a distinct word was one lesson."""
+    base = [(i, prose(60, i)) for i in range(30)]
+    probe = (900, "alpha omega gamma delta")
+    cost = [{r.doc_id: r.score for r in lm.scores(make([*base, *[(i + 100, probe[1]) for i in range(k)], probe]), F.col("id") != 900).collect()}[900]
+            for k in (2, 60)]
+    assert cost[1] > cost[0] + 1
+
+
+def test_slots_of_a_tree_and_of_tasks():
+    """The tree's codes are a distribution, and sums of tasks' cells are the cells of all."""
+    counts = np.array([50, 20, 20, 5, 5, 1, 1, 1])
+    codes = lm.tree(counts)
+    deep = np.floor(np.log2(codes))
+    assert abs((2.0 ** -deep).sum() - 1) < 1e-12 and deep[0] == 1 and len(set(codes.tolist())) == 8
+    assert lm.tree(np.array([3])).tolist() == [1]
+    small, big = np.full(lm._CELL * 2, 3, np.uint32), np.full(lm._CELL * 2, 70_000, np.uint32)
+    planes = [x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in (small, big, small)]
+    batch = pa.RecordBatch.from_arrays([pa.array([4, 4, 9]), pa.array(planes, pa.binary())], ["cell", "v"])
+    got = {b.column("cell")[0].as_py(): np.frombuffer(b.column("v")[0].as_py(), np.uint16) for b in lm._slot_sums(iter([batch]))}
+    assert (got[9] == lm.state_of(small.reshape(-1, 2))).all() and (got[4] == lm.state_of(np.full((1, 2), 70_003))).all()
+
+
+def test_a_long_word_is_spelled_in_parts():
+    words = [b"ab" * 40_000 + b" ", b"a "]
+    mixer = lm.Mixer(lm.huffman(np.ones(256)), np.zeros((lm.SLOTS, 2), np.float32))
+    w = words_of(pa.array([x.decode() for x in words]))
+    chain = lm.Chain(w, w.hashes(), np.zeros(2, np.int64))
+    leaf = mixer.coder.leaves(chain.key)
+    sizes = [len(bit) for _, bit, _, _ in mixer.coder.pieces(chain, 0, len(leaf), leaf)]
+    assert max(sizes) <= 8 << 14
+    got = mixer.score(chain, leaf, 2)
+    assert np.allclose(got, mixer.costs(words, np.zeros(2, np.int64)) + mixer.costs([lm.END], np.zeros(1, np.int64))[0])
