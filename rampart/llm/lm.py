@@ -26,7 +26,6 @@ scale (_LEVELS).  The gathered vocabulary grows with the corpus; tree, slots, we
 
 from __future__ import annotations
 
-import copy
 import heapq
 from collections.abc import Iterator
 
@@ -54,8 +53,11 @@ FREQUENT = 1 << 18
 HELD = 1 << 19                     # tokens a task keeps before it sends them on
 TASK_TOKENS = 1 << 24              # running text that one set of slots counts
 DEPTHS, PLACES, SEEN, STEPS = 8, 6, 4, 24
-GATES = (DEPTHS + PLACES) * SEEN * SEEN
-BLOCK, STEP_BITS = 1 << 13, 1 << 12          # tokens, bits looked at together
+GATES = (DEPTHS + PLACES) * SEEN * SEEN      # at most 256
+BLOCK, STEP_BITS = 1 << 13, 1 << 12          # tokens, bits learned from together
+WINDOW = 1 << 12                   # tokens counted or scored together
+NEAR = 4                           # a tree's nodes share a place in memory by so many levels
+PRICES = 1 << 11                   # logits from -16 to 16 that the price list tells apart
 STOP, END = b" ", b"\n"
 U32 = np.uint32
 
@@ -77,16 +79,19 @@ def state_of(counts: np.ndarray) -> np.ndarray:
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """(logit, seen) by state, as they are, and less one zero or one one."""
+    """Logits by state, less one zero, less one one, and as they are; the last two bits
+    of each tell how much the slot has seen (a millionth of the logit at most)."""
     zero, one = (x.ravel() for x in np.meshgrid(_LEVELS, _LEVELS, indexing="ij"))
     logit, seen = [], []
     for z, o in ((np.maximum(zero - 1, 0), one), (zero, np.maximum(one - 1, 0)), (zero, one)):
         logit.append(np.log((o + 0.2) / (z + 0.2)))
         seen.append((z + o > 0).astype(np.int64) + (z + o > 3) + (z + o > 30))
-    return np.concatenate(logit).astype(np.float32), np.concatenate(seen).astype(np.uint8)
+    logit, seen = np.concatenate(logit).astype(np.float32), np.concatenate(seen)
+    logit[logit == 0] = 1e-6                               # with these bits 0 is no normal number, and slow
+    return (logit.view(U32) & U32(~3 & 0xFFFFFFFF) | seen.astype(U32)).view(np.float32)
 
 
-_LOGIT, _SEEN = _tables()
+_LOGIT = _tables()
 
 
 def text_class(w: Words, h: np.ndarray) -> np.ndarray:
@@ -168,13 +173,13 @@ class Chain:
         self.start, self.size = np.zeros((2, len(self.row)), np.int64)
         self.start[at], self.size[at] = w.start, w.end - w.start
         self.cls = cls[self.row].astype(U64)
-        first = (w.first[:-1] + np.arange(texts))
-        place = np.arange(len(self.row)) - first[self.row]
+        self.first = w.first + np.arange(texts + 1)        # each text's first token, and the end
         self.before = []
         for k in (1, 2):                                   # 0 before the text
             b = np.zeros(len(self.key), U64)
             b[k:] = self.key[:-k]
-            b[place < k] = 0
+            for d in range(k):
+                b[np.minimum(self.first[:-1] + d, self.first[1:] - 1)] = 0
             self.before.append(b)
 
 
@@ -190,6 +195,14 @@ def _spread(level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, end[which] - np.arange(len(which))
 
 
+def _near(depth, prefix):
+    """(how far up, name) of a node in its group: of a group's nodes, NEAR levels of one
+    subtree, the slots in one context differ in the last NEAR bits only, which is why
+    they are near in memory.  ``prefix`` holds at least the last NEAR - 1 bits before it."""
+    up = depth % NEAR
+    return up, 1 << up | prefix & ((1 << up) - 1)
+
+
 class Coder:
     """Tokens as bit decisions with their slots.
 
@@ -198,11 +211,44 @@ class Coder:
 
     def __init__(self, code, keys: np.ndarray | None = None, codes: np.ndarray | None = None):
         self.length, self.bits, nodes = code
-        self.turns = _turn(nodes.ravel().astype(U64) + U64(1 << 62))
+        depth = np.arange(self.bits.shape[1])
+        past = np.zeros(self.bits.shape, np.int64)             # the NEAR - 1 bits before
+        for k in range(1, NEAR):
+            past[:, k:] |= self.bits[:, :-k].astype(np.int64) << (k - 1)
+        up, name = _near(depth, past)
+        top = np.take_along_axis(nodes, np.broadcast_to(depth - up, nodes.shape), 1)
+        self.steps = _packed(_turn(top.astype(U64) + U64(1 << 62)), name, self.bits).ravel()
         self.keys = np.zeros(0, U64) if keys is None else keys
         self.codes = np.ones(1, np.int64) if codes is None else codes
         self.deep = np.floor(np.log2(self.codes)).astype(np.int64)
         self.begin = np.searchsorted(self.keys, np.arange(1 << 18, dtype=U64) << U64(46))
+        self._paths = None
+
+    def paths(self) -> tuple[np.ndarray, np.ndarray]:
+        """(first, steps) of all leaves' decisions, one leaf after another, the frequent
+        ones first; made where it is first needed, so it does not travel."""
+        if self._paths is None:
+            order = np.argsort(self.deep, kind="stable")
+            first, steps = np.empty_like(self.deep), np.empty(int(self.deep.sum()), U32)
+            first[order] = np.cumsum(self.deep[order]) - self.deep[order]
+            for i in range(0, len(order), 1 << 14):
+                some = order[i:i + (1 << 14)]
+                which, left = _spread(self.deep[some])
+                depth, code = self.deep[some][which] - left, self.codes[some][which]
+                up, name = _near(depth, code >> left)
+                group = ((code >> (left + up)) * 0x1E3779B97F4A7C15 >> 24).astype(U32)
+                steps[first[some[0]]:][:len(which)] = _packed(group, name, code >> (left - 1) & 1, _DEPTH.take(depth))
+            self._paths = first, steps
+        return self._paths
+
+    def walk(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(owner, step) of the decisions that lead to some leaves."""
+        first, steps = self.paths()
+        deep = self.deep.take(leaf)
+        owner = np.repeat(np.arange(len(leaf)), deep)
+        at = (first.take(leaf) + deep - np.cumsum(deep)).take(owner)
+        at += np.arange(len(owner))
+        return owner, steps.take(at)
 
     def leaves(self, key: np.ndarray) -> np.ndarray:
         """Leaf of each token; len(keys) is the way out."""
@@ -217,24 +263,28 @@ class Coder:
         at = np.minimum(at, len(self.keys) - 1)
         return np.where(self.keys.take(at) == key, at, len(self.keys))
 
-    def pieces(self, chain: Chain, i: int, j: int, leaf: np.ndarray):
+    def pieces(self, chain: Chain, i: int, j: int, leaf: np.ndarray, skip: int = 0):
         """(owner, bit, slots[PREDICTORS], place) of the decisions of tokens i to j, a
-        bounded number at a time; owners count from the chain's begin."""
+        bounded number at a time; owners count from the chain's begin.  In the tree the
+        first ``skip`` predictors have None for slots."""
         one, two = (b[i:j] for b in chain.before)
         cls, leaf = chain.cls[i:j], leaf[i:j]
-        deep = self.deep[leaf]
-        if deep.any():
-            contexts = [None, _turn(cls + U64(1)), _turn(one ^ U64(0x51)), _turn(mix(one) + two)]
-            owner, left = _spread(deep)
-            code = self.codes[leaf][owner] >> (left - 1)
-            node = ((code >> 1) * 0x1E3779B97F4A7C15 >> 24).astype(U32)
-            yield (owner + i, code & 1, self._slots(contexts, owner, node), _DEPTH.take(deep[owner] - left))
+        if len(self.keys):
+            owner, step = self.walk(leaf)
+            if len(owner):
+                slots = self.tree_slots(owner, step, cls, one, two, range(skip, PREDICTORS))
+                yield owner + i, step & U32(1), [None] * skip + slots, (step >> U32(NEAR + 1)).astype(np.uint8) & np.uint8(DEPTHS - 1)
         out = np.flatnonzero(leaf == len(self.keys))
         if len(out):
             size = chain.size[i:j][out]
             for a, b in _runs(size + 1, 1 << 13):
                 yield from self._spelling(chain, i, out[a:b], size[a:b], cls, one)
 
+    def tree_slots(self, owner, step, cls, one, two, which):
+        """Slots of the predictors ``which`` for steps in the tree."""
+        contexts = (lambda: None, lambda: _turn(cls + U64(1)), lambda: _turn(one ^ U64(0x51)), lambda: _turn(mix(one) + two))
+        return self._slots([(k, contexts[k]()) for k in which], owner, step)
+
     def _spelling(self, chain, i, out, size, cls, one):
         """The bytes and stops of tokens ``out``; an end is its own stop."""
         first = np.cumsum(size + 1) - size - 1
@@ -244,16 +294,15 @@ class Coder:
         inside = place < size[owner]
         data[inside] = chain.data[(chain.start[i:][out][owner] + place)[inside]]
         data[first[size == 0]] = END[0]
-        for owner, *rest in self.spelled(data, size + 1, cls[out], one[out]):
-            yield out[owner] + i, *rest
+        yield from self.spelled(data, size + 1, cls[out], one[out], out + i)
 
-    def spelled(self, data, size, cls, one):
-        """(owner, bit, slots, place) of the bytes of some tokens, each of ``size``
-        bytes, of class ``cls`` and after token ``one``."""
+    def spelled(self, data, size, cls, one, names):
+        """(owner, bit, slots, place) of the bytes of some tokens, called ``names``, each
+        of ``size`` bytes, of class ``cls`` and after token ``one``."""
         first = np.cumsum(size) - size
         owner = np.repeat(np.arange(len(size)), size)
         place = np.arange(len(data)) - first[owner]
-        cls, one = cls[owner], one[owner]
+        cls, one, names = cls[owner], one[owner], names[owner]
 
         def back(k):
             x = np.zeros(len(data), np.int64)
@@ -269,20 +318,40 @@ class Coder:
         near = np.minimum(place, PLACES - 1)
         last2 = b2 << U64(8) | b1 | (cls + U64(1)) << U64(32)
         contexts = [_turn(c) for c in (last2 | U64(1 << 41), last2 | b3 << U64(16) | near.astype(U64) << U64(42), so_far, so_far + mix(one))]
+        near = (DEPTHS + near).astype(np.uint8)
         for a in range(0, len(data), 1 << 14):               # a long word has many
             part = data[a:a + (1 << 14)]
             deep = self.length[part]
-            which, left = _spread(deep)
-            at = part[which] * self.bits.shape[1] + (deep[which] - left)
-            node = self.turns.take(at)
-            which += a
-            yield (owner[which], self.bits.ravel().take(at).astype(np.int64), self._slots(contexts, which, node),
-                   DEPTHS + near[which])
+            end = np.cumsum(deep)
+            which = np.repeat(np.arange(a, a + len(part)), deep)
+            at = np.repeat(part * self.bits.shape[1] + deep - end, deep)
+            at += np.arange(len(at))
+            step = self.steps.take(at)
+            yield names.take(which), step & U32(1), self._slots(list(enumerate(contexts)), which, step), near.take(which)
 
     @staticmethod
-    def _slots(contexts, which, node):
-        return [((node if c is None else c[which] ^ node) * U32(0x9E3779B1)) >> U32(32 - _CONTEXTS[k][2])
-                for k, c in enumerate(contexts)]
+    def _slots(contexts, which, step):
+        """Slots by the hash of context and group, the last bits turned by the name."""
+        group, name = step >> U32(NEAR + 4), step >> U32(1) & U32((1 << NEAR) - 1)
+        out = []
+        for k, c in contexts:
+            s = group * U32(0x9E3779B1) if c is None else (c.take(which) ^ group) * U32(0x9E3779B1)
+            s >>= U32(32 - _CONTEXTS[k][2])
+            s ^= name
+            out.append(s)
+        return out
+
+
+def _packed(group, name, bit, depth=0) -> np.ndarray:
+    """A decision in 32 bits: the group's hash, the class of depth, the name, the bit."""
+    low = (np.asarray(depth) << NEAR | name) << 1 | bit
+    return group >> U32(NEAR + 4) << U32(NEAR + 4) | low.astype(U32)
+
+
+def _aligned(n: int, dtype) -> np.ndarray:
+    """Zeros that begin where a line of memory does, so that a group's slots share lines."""
+    raw = np.zeros(n * np.dtype(dtype).itemsize + 128, np.uint8)
+    return raw[-raw.ctypes.data % 128:][:n * np.dtype(dtype).itemsize].view(dtype)
 
 
 def _runs(size: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
@@ -301,6 +370,9 @@ def _powers(n: int):
     return words._powers(words._BASE, n), words._powers(words._INVERSE, n)
 
 
+_ROWS = np.arange(PREDICTORS + 1)[:, None] * GATES
+
+
 class Mixer:
     """States of all slots, weights of all gates and the adaptive map."""
 
@@ -311,32 +383,43 @@ class Mixer:
         self.weights = np.full((PREDICTORS + 1, GATES), 0.25, np.float32)
         self.weights[-1] = 0
         self.map = np.zeros((GATES, STEPS, 2))
+        self.prices = None
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.states, sent = _aligned(SLOTS, np.uint16), self.states
+        self.states[:] = sent
 
     def inputs(self, bit, slots, place, without: bool):
         """Logits of the predictors and the gates; ``without`` takes them from counts
         without each bit itself."""
-        x = np.empty((PREDICTORS, len(bit)), np.float32)
-        turn, gate = bit << _STATE_BITS, place * (SEEN * SEEN)
-        logit, seen = (_LOGIT, _SEEN) if without else (_LOGIT[2 << _STATE_BITS:], _SEEN[2 << _STATE_BITS:])
+        x = np.empty((PREDICTORS + 1, len(bit)), np.float32)
+        x[-1] = 0.3                                        # a gate's own lean
+        turn, gate = bit.astype(np.uint16) << np.uint16(_STATE_BITS), place * np.uint8(SEEN * SEEN)
+        logit = _LOGIT if without else _LOGIT[2 << _STATE_BITS:]
         for i, s in enumerate(slots):
-            state = self.states[_BASES[i]:_BASES[i + 1]].take(s)
+            state = self.states[_BASES[i]:_BASES[i + 1]].take(s, mode="clip")
             if without:
-                state = state + turn
+                state += turn
             logit.take(state, out=x[i], mode="clip")
             if i in _SURE:
-                gate += seen.take(state) * np.uint8(SEEN if i == _SURE[0] else 1)
-        return x, gate
+                gate += (x[i].view(U32) & U32(3)).astype(np.uint8) * np.uint8(SEEN if i == _SURE[0] else 1)
+        return x, gate.astype(np.intp)
 
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        z = self.weights[-1].take(gate) * np.float32(0.3)
+        z = self.weights[-1].take(gate)
+        z *= x[-1]
+        # a gate's weights in one reading
+        w = np.ascontiguousarray(self.weights[:-1].T).view(np.complex128).ravel().take(gate).view(np.float32)
         for i in range(PREDICTORS):
-            z += self.weights[i].take(gate) * x[i]
-        return np.clip(z, -16, 16)
+            z += w[i::PREDICTORS] * x[i]
+        return np.clip(z, -16, 16, out=z)
 
     def fresh(self) -> Mixer:
         """A mixer with the same states that has learned nothing."""
-        out = copy.copy(self)
-        out.weights, out.map = self.weights.copy(), self.map.copy()
+        out = Mixer.__new__(Mixer)
+        out.__dict__.update(self.__dict__)
+        out.weights, out.map, out.prices = self.weights.copy(), self.map.copy(), None
         return out
 
     def learn(self, chain: Chain, mass: np.ndarray, after: bool = False) -> None:
@@ -344,46 +427,66 @@ class Mixer:
         noted in the adaptive map (at first only if ``after``, which moves no weights),
         and then move their gates' weights along their error.  ``mass`` counts the bits
         learned from by gate."""
+        self.prices = None
         leaf = self.coder.leaves(chain.key)
         for i in range(0, len(leaf), BLOCK):
             done = mass.sum()
             rate, note = 0.0 if after else max(0.1 / (1 + done / 2e6), 0.005), after or done > 1 << 18
             for _, bit, slots, place in self.coder.pieces(chain, i, min(i + BLOCK, len(leaf)), leaf):
                 inputs, gates = self.inputs(bit, slots, place, True)
+                logits = []
                 for a in range(0, len(bit), STEP_BITS):
                     x, gate, b = inputs[:, a:a + STEP_BITS], gates[a:a + STEP_BITS], bit[a:a + STEP_BITS]
                     z = self.mixed(x, gate)
-                    if note:
-                        self.map += np.bincount((gate * STEPS + _step(z)) * 2 + b, minlength=self.map.size).reshape(self.map.shape)
+                    logits.append(z)
                     if after:
                         continue
-                    error = b - 1 / (1 + np.exp(-z))
+                    error = b.astype(np.float32) - 1 / (1 + np.exp(-z))
                     here = np.bincount(gate, minlength=GATES)
                     mass += here
-                    here = rate / np.maximum(here, 32)
-                    for k in range(PREDICTORS):
-                        self.weights[k] += here * np.bincount(gate, weights=error * x[k], minlength=GATES)
-                    self.weights[-1] += here * np.bincount(gate, weights=error * 0.3, minlength=GATES)
+                    along = np.bincount((gate + _ROWS).ravel(), weights=(x * error).ravel(), minlength=self.weights.size)
+                    self.weights += along.reshape(self.weights.shape) * (rate / np.maximum(here, 32))
+                if note:
+                    at = (gates * STEPS + _step(np.concatenate(logits))) * 2 + bit
+                    self.map += np.bincount(at, minlength=self.map.size).reshape(self.map.shape)
 
     def priced(self, bit, slots, place) -> np.ndarray:
         """Natural log of the probability of each bit."""
         x, gate = self.inputs(bit, slots, place, False)
         z = self.mixed(x, gate)
-        noted = gate * STEPS + _step(z)
-        ones, mass = self.noted()
-        p = np.clip((ones.take(noted) + 50 / (1 + np.exp(-z))) / mass.take(noted), 1e-6, 1 - 1e-6)
-        return np.log(np.abs(p - (1 - bit).astype(np.float32)))
+        z += np.float32(16)
+        z *= np.float32(PRICES / 32)
+        at = z.astype(np.int32)
+        np.minimum(at, PRICES - 1, out=at)
+        at <<= 1
+        at |= bit.view(np.int32)
+        gate *= 2 * PRICES
+        gate += at
+        return self.price_list().take(gate)
+
+    def price_list(self) -> np.ndarray:
+        """Natural log of the probability of a bit, by gate, logit and bit."""
+        if self.prices is None:
+            z = np.tile((np.arange(PRICES, dtype=np.float64) + 0.5) * (32 / PRICES) - 16, GATES)
+            noted = np.repeat(np.arange(GATES), PRICES) * STEPS + _step(z)
+            ones, mass = self.noted()
+            p = np.clip((ones.take(noted) + 50 / (1 + np.exp(-z))) / mass.take(noted), 1e-6, 1 - 1e-6)
+            self.prices = np.log(np.stack([1 - p, p], 1)).astype(np.float32).ravel()
+        return self.prices
 
     def noted(self):
         """(ones, all and the weight of the mixed probability) of the adaptive map."""
-        return self.map[:, :, 1].ravel().astype(np.float32), (self.map.sum(2) + 50).ravel().astype(np.float32)
+        return self.map[:, :, 1].ravel(), (self.map.sum(2) + 50).ravel()
 
     def score(self, chain: Chain, leaf: np.ndarray, texts: int) -> np.ndarray:
         """Natural log of the probability of each text's tokens, given its class."""
         out = np.zeros(texts)
-        for i in range(0, len(leaf), BLOCK):
-            for owner, *rest in self.coder.pieces(chain, i, min(i + BLOCK, len(leaf)), leaf):
-                out += np.bincount(chain.row[owner], weights=self.priced(*rest), minlength=texts)
+        for i in range(0, len(leaf), WINDOW):
+            for owner, *rest in self.coder.pieces(chain, i, min(i + WINDOW, len(leaf)), leaf):
+                a, b = chain.row[owner[0]], chain.row[owner[-1]] + 1      # owners come in order
+                ends = np.searchsorted(owner, chain.first[a:b + 1])
+                some = np.flatnonzero(np.diff(ends))
+                out[a + some] += np.add.reduceat(self.priced(*rest), ends[some])
         return out
 
     def costs(self, words: list[bytes], classes: np.ndarray) -> np.ndarray:
@@ -392,7 +495,7 @@ class Mixer:
         size = np.array([len(w) for w in words], np.int64)
         data = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
         out, none = np.zeros(len(words)), np.zeros(len(words), U64)
-        for piece in self.coder.spelled(data, size, classes.astype(U64), none):
+        for piece in self.coder.spelled(data, size, classes.astype(U64), none, np.arange(len(words))):
             out += np.bincount(piece[0], weights=self.priced(*piece[1:]), minlength=len(words))
         return out
 
@@ -471,13 +574,27 @@ def train(texts: DataFrame, code, keys: np.ndarray, codes: np.ndarray, tokens: i
     sent = context.broadcast((code, keys, codes))
 
     def slot_counts(batches):
-        coder, out = Coder(*sent.value), np.zeros(SLOTS * 2, U32)
+        coder, out = Coder(*sent.value), _aligned(SLOTS * 2, U32)
+        parts = [out[2 * _BASES[k]:2 * _BASES[k + 1]] for k in range(PREDICTORS)]
+        met = np.zeros(CLASSES * len(coder.codes), U32)      # leaves by class: all that the first two contexts need in the tree
+
+        def count(slots, bit, n):
+            for part, s in zip(parts, slots):
+                if s is not None:
+                    np.add.at(part, (s << U32(1) | bit).astype(np.int64), n)
+
         for _, _, chain in _chains(batches):
             leaf = coder.leaves(chain.key)
-            for i in range(0, len(leaf), BLOCK):
-                for _, bit, slots, _ in coder.pieces(chain, i, min(i + BLOCK, len(leaf)), leaf):
-                    for k, s in enumerate(slots):
-                        np.add.at(out[2 * _BASES[k]:2 * _BASES[k + 1]], s.astype(np.int64) << 1 | bit, U32(1))
+            np.add.at(met, chain.cls.astype(np.int64) * len(coder.codes) + leaf, U32(1))
+            for i in range(0, len(leaf), WINDOW):
+                for _, bit, slots, _ in coder.pieces(chain, i, min(i + WINDOW, len(leaf)), leaf, skip=2):
+                    count(slots, bit, U32(1))
+        if len(coder.keys):
+            some = np.flatnonzero(met)
+            for i in range(0, len(some), WINDOW):
+                cls, leaf = np.divmod(some[i:i + WINDOW], len(coder.codes))
+                owner, step = coder.walk(leaf)
+                count(coder.tree_slots(owner, step, cls.astype(U64), None, None, range(2)), step & U32(1), met[some[i:i + WINDOW]].take(owner))
         cells = out.reshape(-1, _CELL * 2)
         used = np.flatnonzero(cells.any(1))
         for i in range(0, len(used), 64):                    # low bytes first, high bytes, mostly 0, last

@@ -266,3 +266,40 @@ def test_a_long_word_is_spelled_in_parts():
     assert max(sizes) <= 8 << 14
     got = mixer.score(chain, leaf, 2)
     assert np.allclose(got, mixer.costs(words, np.zeros(2, np.int64)) + mixer.costs([lm.END], np.zeros(1, np.int64))[0])
+
+
+def test_slots_of_a_path_are_near_and_counts_by_class_are_those_of_the_text():
+    """Four levels of a path share one run of 16 slots (before, each decision had a place of its
+    own), and leaves counted by class give the slots that the running text gives."""
+    w = words_of(pa.array([" ".join(f"w{(i * i) % 97}" for i in range(k, k + 300)) for k in range(5)]))
+    h = w.hashes()
+    chain = lm.Chain(w, h, lm.text_class(w, h))
+    keys, known = np.unique(chain.key, return_counts=True)
+    coder = lm.Coder(lm.huffman(np.ones(256)), keys, lm.tree(np.append(known, 1)))
+    leaf = coder.leaves(chain.key)
+    (owner, bit, slots, place), = coder.pieces(chain, 0, len(leaf), leaf)
+    assert np.array_equal(place, lm._DEPTH[np.arange(len(owner)) - (np.cumsum(coder.deep[leaf]) - coder.deep[leaf])[owner]])
+    for t in range(0, len(leaf), 50):
+        for s in slots:
+            assert len(set((s[owner == t] >> lm.NEAR).tolist())) <= -(-coder.deep[leaf[t]] // lm.NEAR)
+    cells, n = np.unique(chain.cls.astype(np.int64) * len(coder.codes) + leaf, return_counts=True)
+    cls, some = np.divmod(cells, len(coder.codes))
+    at, step = coder.walk(some)
+    for k, s in enumerate(coder.tree_slots(at, step, cls.astype(np.uint64), None, None, range(2))):
+        want, got = np.zeros((2, 2 << lm._CONTEXTS[k][2]), np.int64)
+        np.add.at(want, slots[k].astype(np.int64) << 1 | bit, 1)
+        np.add.at(got, s.astype(np.int64) << 1 | (step & 1), n[at])
+        assert (want == got).all() and want.any()
+
+
+def test_price_list_is_the_adaptive_map():
+    """Prices by rounded logit are those of the map's formula, and of both bits add up to one."""
+    m = lm.Mixer(lm.huffman(np.ones(256)), np.zeros((lm.SLOTS, 2), np.float32))
+    m.map[:] = np.random.default_rng(2).integers(0, 90, m.map.shape)
+    prices = np.exp(m.price_list().astype(float)).reshape(lm.GATES, lm.PRICES, 2)
+    assert np.allclose(prices.sum(2), 1, atol=1e-6)
+    ones, mass = m.noted()
+    for gate, z in ((3, -15.9), (40, -2.0), (100, 0.3), (lm.GATES - 1, 8.7)):
+        cell = gate * lm.STEPS + lm._step(np.array([z]))[0]
+        p = (ones[cell] + 50 / (1 + math.exp(-z))) / mass[cell]
+        assert abs(prices[gate, int((z + 16) * lm.PRICES / 32), 1] - p) < 0.005
